@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
+from .ann import op2_ann
 from .language_id import op1_language_id
+from .packing import op6_packing
+from .pii import op4_pii
+from .quality_classifier import op10_quality_classifier
+from .quality_rules import op7_quality_rules
 from .simhash import op3_simhash
+from .substring_dedup import op5_substring_dedup
+from .toxicity import op8_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_ann": op2_ann,
     "op3_simhash": op3_simhash,
+    "op4_pii": op4_pii,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_packing": op6_packing,
+    "op7_quality_rules": op7_quality_rules,
+    "op8_toxicity": op8_toxicity,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {}
