@@ -43,8 +43,12 @@ class CentroidGraph:
     top: float
 
     def extend(self, x: np.ndarray, query: bool = False) -> np.ndarray:
-        last = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.top**2 - (x * x).sum(1), 0))
-        return np.concatenate([x, last[:, None]], 1)
+        """Vectors with the component that makes their norm `top`; queries are
+        scaled to it instead, which leaves the order of inner products alone."""
+        if query:
+            norm = np.sqrt((x * x).sum(1))[:, None]
+            return np.concatenate([x * (self.top / np.where(norm > 0, norm, 1)), np.zeros((len(x), 1))], 1)
+        return np.concatenate([x, np.sqrt(np.maximum(self.top**2 - (x * x).sum(1), 0))[:, None]], 1)
 
     def distances(self, x: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Squared distances of each x to its own centroids."""
@@ -75,8 +79,9 @@ class CentroidGraph:
                 return at, d
             pick = open_[live].argmax(1)
             done[live, pick] = True
-            near = self.links[at[live, pick]]
+            near = np.sort(self.links[at[live, pick]], 1)
             fresh = ~known[live[:, None], near]
+            fresh[:, 1:] &= near[:, 1:] != near[:, :-1]
             known[live[:, None], near] = True
             new = np.where(fresh, self.distances(x[live], near), np.inf)
             more_at, more_d = np.zeros((b, near.shape[1]), at.dtype), np.full((b, near.shape[1]), np.inf)
@@ -134,13 +139,22 @@ def fit_graph(sample: np.ndarray, top: float, lists: int, degree: int = 16, seed
         np.add.at(sums, own, x)
         centroids = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centroids)
     k = len(centroids)
-    links = np.empty((k, min(degree, k) + 4), np.int64)
+    near = np.empty((k, min(degree, k)), np.int64)
     for lo in range(0, k, 512):
         d = (centroids[lo : lo + 512] ** 2).sum(1)[:, None] - 2 * centroids[lo : lo + 512] @ centroids.T + (centroids**2).sum(1)
-        links[lo : lo + 512, : min(degree, k)] = np.argsort(d, 1, kind="stable")[:, : min(degree, k)]
-    links[:, -4] = (np.arange(k) + 1) % k  # a ring keeps the graph in one piece
+        near[lo : lo + 512] = np.argsort(d, 1, kind="stable")[:, : near.shape[1]]
+    # links go both ways, up to twice the degree; a ring keeps the graph in one
+    # piece and a few far links shorten its paths
+    links = np.repeat(np.arange(k)[:, None], 3 * degree + 4, 1)
+    links[:, : near.shape[1]] = near
+    used = np.full(k, degree)
+    for a, b in zip(np.repeat(np.arange(k), near.shape[1]).tolist(), near.ravel().tolist()):
+        if used[b] < 3 * degree:
+            links[b, used[b]] = a
+            used[b] += 1
+    links[:, -4] = (np.arange(k) + 1) % k
     links[:, -3:] = rng.integers(0, k, (k, 3))
-    return CentroidGraph(centroids, links, np.unique(rng.integers(0, k, min(k, 16))), top)
+    return CentroidGraph(centroids, links, np.unique(rng.integers(0, k, min(k, 32))), top)
 
 
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
