@@ -6,6 +6,7 @@ from .ann import op2_ann
 from .language_id import op1_language_id
 from .packing import op6_packing
 from .pii import op4_pii
+from .piece_sampling import op9_piece_sampling
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import op7_quality_rules
 from .simhash import op3_simhash
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
+    "op9_piece_sampling": op9_piece_sampling,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE_SQL: dict[str, str] = {}
