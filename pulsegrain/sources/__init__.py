@@ -22,9 +22,11 @@ def read_bronze(spark: SparkSession, root: str, record_type: str, since: dt.date
     """Records of a type, one JSON object a line, with pull_date; `since` prunes
     partitions. A line that is not an object is kept in _corrupt_record."""
     _known(record_type)
-    schema = T.StructType([*RECORDS[record_type].fields, T.StructField(CORRUPT, T.StringType()), T.StructField("pull_date", T.DateType())])
-    df = spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(f"{root}/{record_type}")
-    return df if since is None else df.where(F.col("pull_date") >= F.lit(since))
+    schema = T.StructType([*RECORDS[record_type].fields, T.StructField(CORRUPT, T.StringType())])
+    lines = spark.read.schema("value string, pull_date date").text(f"{root}/{record_type}")
+    if since is not None:
+        lines = lines.where(F.col("pull_date") >= F.lit(since))
+    return lines.select(F.from_json("value", schema, {"columnNameOfCorruptRecord": CORRUPT}).alias("r"), "pull_date").select("r.*", "pull_date")
 
 
 def read_array_file(spark: SparkSession, path: str, record_type: str) -> DataFrame:
