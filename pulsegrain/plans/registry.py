@@ -262,7 +262,7 @@ def impute_scale(spark, sf_dir):
     return rounded(prep.select(*keys, "n", *[x for i, c in enumerate(_HF) for x in (F.col("means")[i].alias(f"mean_{c}"), F.col("scales")[i].alias(f"scale_{c}"))]))
 
 
-@query(HISTORY + ", z as (select user_id, target, (recovery_score - avg(recovery_score) over u)/stddev_pop(recovery_score) over u as a, (total - avg(total) over u)/stddev_pop(total) over u as b from pairs window u as (partition by user_id)) select user_id, count(*) as n, round(sum(target),6) as sum_y, round(sum(a*target),4) as za_y, round(sum(b*target),4) as zb_y, round(sum(a*b),4) as za_zb from z group by 1")
+@query(HISTORY + ", z as (select user_id, target, (recovery_score - avg(recovery_score) over u)/coalesce(nullif(stddev_pop(recovery_score) over u, 0), 1) as a, (total - avg(total) over u)/coalesce(nullif(stddev_pop(total) over u, 0), 1) as b from pairs window u as (partition by user_id)) select user_id, count(*) as n, round(sum(target),6) as sum_y, round(sum(a*target),4) as za_y, round(sum(b*target),4) as zb_y, round(sum(a*b),4) as za_zb from z group by 1")
 def ridge_gram(spark, sf_dir):
     pairs, keys, cols = nation_pairs(spark, sf_dir), ["user_id"], ("recovery_score", "total")
     g = learn.gram(learn.standardise(pairs, learn.fit_preprocessing(pairs, keys, cols), keys, cols), keys, 2)
