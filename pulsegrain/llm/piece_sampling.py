@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from . import common as C
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 DRAW_BITS = 40
 _CONTROL = np.zeros(256, bool)
 _CONTROL[:32] = True
@@ -267,7 +267,7 @@ def encode_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
             lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo)}, piece_ids=lists)
 
-    return docs.select(id_col, row_seeds(id_col, seed), text_col).mapInArrow(run, schema)
+    return docs.select(id_col, row_seeds(id_col, seed), text_col).mapInArrow(C.tidy(run), schema)
 
 
 def decode_pieces(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "piece_ids", model: str | None = None) -> DataFrame:
@@ -280,7 +280,7 @@ def decode_pieces(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str =
         for b in batches:
             yield C.arrow_rows(schema, **{id_col: b.column(0)}, text=[decode_ids(x.as_py() or [], pieces) for x in b.column(1)])
 
-    return encoded.select(id_col, ids_col).mapInArrow(run, schema)
+    return encoded.select(id_col, ids_col).mapInArrow(C.tidy(run), schema)
 
 
 def piece_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, alpha: float = 1.0, seed: int = 0) -> DataFrame:
@@ -300,7 +300,7 @@ def piece_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
                 same.append(decode_ids(listed[a:z], pieces) == (text.as_py() or ""))
             yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo)}, n_pieces=np.diff(edge), ids_crc32=crc, lossless=same)
 
-    return docs.select(id_col, row_seeds(id_col, seed), text_col).mapInArrow(run, schema)
+    return docs.select(id_col, row_seeds(id_col, seed), text_col).mapInArrow(C.tidy(run), schema)
 
 
 def op9_piece_sampling(spark, sf_dir: str) -> DataFrame:
