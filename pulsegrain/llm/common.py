@@ -66,6 +66,26 @@ def stratified_sample(df: DataFrame, stratum: str, order_by: Column, per_stratum
     return thin.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_stratum).drop("__h", "__r")
 
 
+def tidy(run):
+    """A mapInArrow function that hands free memory back when it ends: workers
+    live on, and the next stage may need their executor's memory elsewhere."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return wrapped
+
+
 # ---------------------------------------------------------------- slices
 def text_slices(col: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of whole texts, each run of

@@ -160,7 +160,7 @@ def identify_languages(
                     lang, s = predict(buf[offs[a] : offs[z]], offs[a : z + 1] - offs[a], m)
                     yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo + a, z - a), "lang_pred": lang, "score": s})
 
-    return docs.select(id_col, text_col).mapInArrow(score, schema)
+    return docs.select(id_col, text_col).mapInArrow(C.tidy(score), schema)
 
 
 def op1_language_id(spark, sf_dir: str) -> DataFrame:

@@ -82,7 +82,7 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDE
         for lang in list(held):
             yield from out(lang)
 
-    return docs.select(F.col(lang_col), F.col(text_col)).mapInArrow(run, schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(lang_col), F.col(text_col)).mapInArrow(C.tidy(run), schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
@@ -184,8 +184,8 @@ def _scored(docs: DataFrame, model: DataFrame, id_col: str, text_col: str, lang_
                     yield C.arrow_rows(schema, **out)
 
     if small:
-        return source.mapInArrow(run, schema)
-    rows = C.materialise(source.mapInArrow(run, schema).withColumn("__row", F.monotonically_increasing_id()), "grams")
+        return source.mapInArrow(C.tidy(run), schema)
+    rows = C.materialise(source.mapInArrow(C.tidy(run), schema).withColumn("__row", F.monotonically_increasing_id()), "grams")
     parts = rows.select("__row", "lang", F.explode("grams").alias("g")).select("__row", "lang", "g.gram", "g.times")
     sums = parts.join(model, ["lang", "gram"]).groupBy("__row").agg(F.sum(F.col("logp") * F.col("times")).alias("s"))
     bits = F.when(F.col("length") > 0, -F.col("s") / F.col("length")).otherwise(0.0)

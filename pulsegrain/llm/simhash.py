@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3)
             fps = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
             yield C.arrow_rows(schema, **{id_col: b.column(0), "fp": np.array(fps, np.uint64).view(np.int64)})
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
 def _segments(distance: int) -> list[int]:

@@ -293,7 +293,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, *, id_col:
                 part = b.slice(lo, hi - lo)
                 yield C.arrow_rows(schema, **{n: part.column(i) for i, n in enumerate(names)}, score=score_slice(buf, offs, model.value))
 
-    return source.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return source.mapInArrow(C.tidy(run), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:
