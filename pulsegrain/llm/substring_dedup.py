@@ -70,8 +70,8 @@ def _doc_keys(values: np.ndarray, doc: np.ndarray) -> np.ndarray:
 
 
 def _anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
-    """(anchor, id): each anchor of each row once."""
-    schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col]])
+    """(anchor, id, times): each anchor of each row once, and at how many places."""
+    schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col], T.StructField("times", T.IntegerType())])
 
     def run(batches):
         for b in batches:
@@ -80,13 +80,15 @@ def _anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, k: in
                 if not len(s.start):
                     continue
                 new = np.ones(len(s.start), bool)
-                new[1:] = (s.doc[1:] != s.doc[:-1]) | (s.anchor[1:] != s.anchor[:-1])
+                where = s.start + s.shift
+                new[1:] = (s.doc[1:] != s.doc[:-1]) | (where[1:] != where[:-1])
                 anchor, doc = s.anchor[new], s.doc[new]
-                _, at = np.unique(_doc_keys(anchor, doc), return_index=True)
-                at.sort()
-                yield C.arrow_rows(schema, anchor=anchor[at].view(np.int64), **{id_col: b.column(0).take(pa.array(doc[at] + lo))})
+                _, at, times = np.unique(_doc_keys(anchor, doc), return_index=True, return_counts=True)
+                order = np.argsort(at)
+                at = at[order]
+                yield C.arrow_rows(schema, anchor=anchor[at].view(np.int64), times=times[order].astype(np.int32), **{id_col: b.column(0).take(pa.array(doc[at] + lo))})
 
-    return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, schema)
+    return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
 def _frequent(docs: DataFrame, anchors: np.ndarray, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
@@ -106,7 +108,7 @@ def _frequent(docs: DataFrame, anchors: np.ndarray, id_col: str, text_col: str,
                     doc = s.doc[hit]
                     yield C.arrow_rows(schema, h1=s.hashes()[hit].view(np.int64), h2=s.hashes(True)[hit].view(np.int64), at=(s.start[hit] - s.first[doc]).astype(np.int32), **{id_col: b.column(0).take(pa.array(doc + lo))})
 
-    rows = C.materialise(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(run, schema), "frequent")
+    rows = C.materialise(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema), "frequent")
     nodes = rows.groupBy("h1", "h2").agg(F.min(id_col).alias("least"), F.max(id_col).alias("most")).where("least != most").drop("most")
     return rows.join(nodes, ["h1", "h2"]).where(F.col(id_col) > F.col("least")).select(id_col, "at", F.lit(1).alias("bits"))
 
@@ -137,7 +139,7 @@ def _suffixes(flagged: DataFrame, id_col: str, text_col: str, window: int, k: in
                 hashes = pa.ListArray.from_arrays(pa.array(np.append(at, len(hit)).astype(np.int32)), pa.array(s.hashes()[hit].view(np.int64)))
                 yield C.arrow_rows(schema, anchor=s.anchor[hit][at].view(np.int64), at=(start[at] - s.first[doc[at]]).astype(np.int32), hashes=hashes, **{id_col: b.column(0).take(pa.array(doc[at] + lo))})
 
-    return flagged.mapInArrow(run, schema)
+    return flagged.mapInArrow(C.tidy(run), schema)
 
 
 def _subtrees(table: pa.Table, id_col: str, schema: T.StructType):
@@ -172,13 +174,15 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         raise ValueError("window too long")
     spark = docs.sparkSession
     rows = C.materialise(_anchor_rows(docs, id_col, text_col, window, k), "anchors")
-    shared = C.materialise(rows.groupBy("anchor").count().where("count > 1"), "shared")
-    limit = max(group, rows.count() // 1_000_000)
+    shared = rows.groupBy("anchor").agg(F.count("*").alias("rows"), F.sum("times").alias("places")).where("rows > 1")
+    shared = C.materialise(shared.select("anchor", "places"), "shared")
+    # a prefix's suffixes are its places, which one text can have many of
+    limit = max(group, (shared.agg(F.sum("places")).first()[0] or 0) // 1_000_000)
     # fewer than a million by the limit
-    frequent = np.array([r[0] for r in shared.where(F.col("count") > limit).select("anchor").collect()], np.int64)
+    frequent = np.array([r[0] for r in shared.where(F.col("places") > limit).select("anchor").collect()], np.int64)
     schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
     result = T.StructType([docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("bits", T.IntegerType())])
-    few = rows.join(shared.where(F.col("count") <= limit), "anchor").groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))
+    few = rows.drop("times").join(shared.where(F.col("places") <= limit).select("anchor"), "anchor").groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))
     # a left join, as below: both read the same shuffle of the texts
     flagged = docs.select(id_col, text_col).join(few, id_col, "left")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -200,7 +204,7 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if n:
             yield from _subtrees(pa.Table.from_batches(held), id_col, result)
 
-    out = dealt.mapInArrow(build, result)
+    out = dealt.mapInArrow(C.tidy(build), result)
     return out.unionByName(_frequent(docs, frequent, id_col, text_col, window, k)) if len(frequent) else out
 
 
@@ -270,7 +274,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 cols = {n: b.column(i) for i, n in enumerate(names)} | {text_col: pa.array(out, pa.string())}
                 yield C.arrow_rows(schema, **cols, n_words=words_n, n_removed=removed)
 
-    return docs.select(*names).join(marks, id_col, "left").select(*names, "__marks").mapInArrow(run, schema)
+    return docs.select(*names).join(marks, id_col, "left").select(*names, "__marks").mapInArrow(C.tidy(run), schema)
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
