@@ -75,9 +75,8 @@ def fit(rows: list[tuple[str, int]], trees: int = 40, depth: int = 3, penalty: f
     y = np.array([v for _, v in rows], float)
     if not len(y) or y.min() == y.max():
         return RuleModel(0.0 if not len(y) else (4.0 if y[0] else -4.0))
-    _, _, buf, offs = next(C.text_slices(pa.array([t for t, _ in rows]), 1 << 40))
-    f = quality_features(buf, offs)
-    x = np.stack([f[n] for n in FEATURES], 1)
+    parts = [quality_features(buf, offs) for _, _, buf, offs in C.text_slices(pa.array([t for t, _ in rows]))]
+    x = np.concatenate([np.stack([f[n] for n in FEATURES], 1) for f in parts])
     rng, rules = np.random.default_rng(seed), []
     score = np.zeros(len(y))
     for _ in range(trees):
@@ -141,7 +140,7 @@ def text_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for lo, hi, buf, offs in C.text_slices(b.column(1)):
                 yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo)}, **quality_features(buf, offs))
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1500, threshold: float = 0.5) -> DataFrame:
