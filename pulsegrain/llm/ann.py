@@ -28,8 +28,12 @@ from . import common as C
 SAMPLE = 40_000
 #: Vectors in a posting list on average, and the most centroids held in memory.
 LIST, CENTROIDS = 160, 8192
-#: Vectors of a list that one task holds at a time.
-BLOCK = 4096
+#: Vectors in a block of a list, and bytes of vectors that one task holds.
+BLOCK, HELD = 4096, 32 << 20
+#: Tasks that lists are dealt to at least.
+GROUPS = 16
+#: A block's number is its list's times this plus its place in the list.
+UNIT = 1 << 20
 
 
 @dataclass
@@ -89,16 +93,17 @@ class CentroidGraph:
             at, d = np.concatenate([at, more_at], 1), np.concatenate([d, more_d], 1)
             done = np.concatenate([done, np.zeros(more_at.shape, bool)], 1)
 
-    def within(self, x: np.ndarray, ratio: float, beam: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def within(self, x: np.ndarray, ratio: float, least: int = 1, beam: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, centroid, squared distance) of all centroids at most `ratio`
-        times as far as the nearest. The beam grows until it reaches past that."""
+        times as far as the nearest, and of the `least` nearest anyhow. The beam
+        grows until it reaches past that."""
         rows, ats, ds = [], [], []
-        left = np.arange(len(x))
+        left, beam = np.arange(len(x)), max(beam, least)
         while len(left):
             at, d = self.nearest(x[left], beam)
             limit = d[:, :1] * ratio**2 + 1e-12
             short = (d[:, -1] <= limit[:, 0]) & (at.shape[1] < len(self.centroids))
-            keep = (d <= limit) & ~short[:, None]
+            keep = ((d <= limit) | (np.arange(d.shape[1]) < least)) & ~short[:, None]
             r, c = np.nonzero(keep)
             rows.append(left[r])
             ats.append(at[r, c])
@@ -173,14 +178,16 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
 
 
 def nearest_neighbours(
-    vectors: DataFrame, queries, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, ratio: float = 1.2, boundary: float = 1.05, replicas: int = 4, sample: int = SAMPLE, list_size: int = LIST
+    vectors: DataFrame, queries, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, ratio: float = 1.2, least: int = 16, boundary: float = 1.05, replicas: int = 4, sample: int = SAMPLE, list_size: int = LIST
 ) -> DataFrame:
     """The k nearest rows found, by largest inner product, for each query row.
 
     queries: boolean column over `id`. ratio bounds how much farther than the
-    nearest centroid a list may be to be read; boundary the same for posting a
-    vector again (replicas lists at most; its nearest always). sample bounds
-    the rows that centroids are fitted on; every row is indexed.
+    nearest centroid a list may be to be read, and the `least` nearest lists are
+    read anyhow; boundary is the same for posting a vector again (replicas lists
+    at most; its nearest always). sample bounds the rows that centroids are
+    fitted on; every row is indexed. Queries whose lists hold too few vectors
+    for a full answer read all lists.
 
     Returns query_id, rank (from 1), id, score, fewer than k where there are
     fewer candidates. Rows that valid_vectors drops take no part, as queries or
@@ -213,55 +220,103 @@ def nearest_neighbours(
 
     posted_schema = T.StructType([T.StructField("list", T.IntegerType()), T.StructField("cls", id_type), T.StructField("v", T.ArrayType(T.DoubleType()))])
 
-    def deal(query: bool):
+    def post(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 512):
+                part = b.slice(lo, 512)
+                g = graph.value
+                row, at = _spread(g, *g.within(g.extend(_matrix(part.column(1), dim)), boundary), replicas)
+                idx = pa.array(row)
+                yield C.arrow_rows(posted_schema, list=at.astype(np.int32), cls=part.column(0).take(idx), v=part.column(1).take(idx))
+
+    posted = C.materialise(classes.select("cls", "v").mapInArrow(C.tidy(post), posted_schema), "postings")
+    # CENTROIDS counts at most. Long lists are several blocks; blocks are dealt to
+    # groups that fit a task, and a query meets each group once
+    counts = posted.groupBy("list").count().collect()
+    blocks = np.ones(len(graph.value.centroids), np.int64)
+    for r in counts:
+        blocks[r[0]] = -(-r[1] // BLOCK)
+    groups = max(GROUPS, -(-sum(r[1] for r in counts) * dim * 8 // HELD))
+    many = F.broadcast(spark.createDataFrame([(i, int(m)) for i, m in enumerate(blocks)], "list int, blocks int"))
+    posted = posted.join(many, "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    posted = posted.select("cls", "v", (F.col("list").cast("long") * UNIT + F.col("block")).alias("unit"), F.pmod(F.col("list") * 31 + F.col("block"), F.lit(groups)).cast("int").alias("grp"))
+    read_schema = T.StructType([T.StructField("cls", id_type), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("units", T.ArrayType(T.LongType())), T.StructField("grp", T.IntegerType())])
+
+    def choose(least_lists: int):
         def run(batches):
-            g = graph.value
             for b in batches:
                 for lo in range(0, b.num_rows, 512):
                     part = b.slice(lo, 512)
-                    x = g.extend(_matrix(part.column(1), dim), query)
-                    row, at, d = g.within(x, ratio if query else boundary)
-                    if not query:
-                        row, at = _spread(g, row, at, d, replicas)
-                    if len(row):
-                        idx = pa.array(row)
-                        yield C.arrow_rows(posted_schema, list=at.astype(np.int32), cls=part.column(0).take(idx), v=part.column(1).take(idx))
+                    row, at, _ = graph.value.within(graph.value.extend(_matrix(part.column(1), dim), True), ratio, least_lists)
+                    times = blocks[at]
+                    row, at = np.repeat(row, times), np.repeat(at, times)
+                    block = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+                    grp = (at * 31 + block) % groups
+                    order = np.lexsort((grp, row))
+                    row, grp, unit = row[order], grp[order], (at * UNIT + block)[order]
+                    head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (grp[1:] != grp[:-1])))
+                    units = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)).astype(np.int32)), pa.array(unit.astype(np.int64)))
+                    idx = pa.array(row[head])
+                    yield C.arrow_rows(read_schema, cls=part.column(0).take(idx), v=part.column(1).take(idx), units=units, grp=grp[head].astype(np.int32))
 
         return run
 
-    posted = C.materialise(classes.select("cls", "v").mapInArrow(deal(False), posted_schema), "postings")
-    reads = asked.dropDuplicates(["cls"]).select("cls", "v").mapInArrow(deal(True), posted_schema)
-    # lists are few (CENTROIDS at most); long ones are read as several blocks
-    blocks = posted.groupBy("list").count().select("list", F.greatest(F.lit(1), F.ceil(F.col("count") / BLOCK)).cast("int").alias("blocks"))
-    posted = posted.join(F.broadcast(blocks), "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")).drop("blocks")
-    reads = reads.join(F.broadcast(blocks), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
     pair_schema = T.StructType([T.StructField("qcls", id_type), T.StructField("cls", id_type), T.StructField("score", T.DoubleType())])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        """The k + 1 best of a group's blocks for each query that reads any."""
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(pair_schema)
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        v = _matrix(left.column("v"), dim)
-        keep = min(k + 1, len(v))
-        own = left.column("cls").combine_chunks()
-        out = []
-        for lo in range(0, right.num_rows, 1024):
-            part = right.slice(lo, 1024)
-            s = _matrix(part.column("v"), dim) @ v.T
-            if keep < len(v):
-                at = np.argpartition(-s, keep - 1, axis=1)[:, :keep]
+        v, query = _matrix(left.column("v"), dim), _matrix(right.column("v"), dim)
+        own, asking = left.column("cls").combine_chunks(), right.column("cls").combine_chunks()
+        cls = np.unique(own.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+        unit = left.column("unit").to_numpy()
+        order = np.argsort(unit, kind="stable")
+        wanted = right.column("units").combine_chunks()
+        of_query = np.repeat(np.arange(len(query)), np.diff(np.asarray(wanted.offsets)))
+        wanted = np.asarray(wanted.flatten())
+        by_unit = np.argsort(wanted, kind="stable")
+        qs, cs, ss = [], [], []
+        for u in np.unique(unit):
+            rows_u = order[slice(*np.searchsorted(unit[order], [u, u + 1]))]
+            asked_u = of_query[by_unit[slice(*np.searchsorted(wanted[by_unit], [u, u + 1]))]]
+            keep = min(k + 1, len(rows_u))
+            for lo in range(0, len(asked_u), 1024):
+                q = asked_u[lo : lo + 1024]
+                s = query[q] @ v[rows_u].T
                 # all that tie with the last place, so that the smaller id can win
-                cut = np.take_along_axis(s, at, 1).min(1)
-                q, c = np.nonzero(s >= cut[:, None])
-            else:
-                q, c = np.nonzero(np.isfinite(s))
-            out.append(pa.Table.from_arrays([part.column("cls").combine_chunks().take(pa.array(q)), own.take(pa.array(c)), pa.array(s[q, c])], schema=schema))
-        return pa.concat_tables(out)
-
-    pairs = posted.groupBy("list", "block").cogroup(reads.groupBy("list", "block")).applyInArrow(search, pair_schema)
-    pairs = pairs.groupBy("qcls", "cls").agg(F.max("score").alias("score"))
+                cut = np.partition(s, len(rows_u) - keep, axis=1)[:, len(rows_u) - keep]
+                r, c = np.nonzero(s >= cut[:, None])
+                qs.append(q[r])
+                cs.append(rows_u[c])
+                ss.append(s[r, c])
+        if not qs:
+            return schema.empty_table()
+        q, c, s = np.concatenate(qs), np.concatenate(cs), np.concatenate(ss)
+        # a vector posted to several of the lists counts once
+        _, at = np.unique(q * np.int64(len(v)) + cls[c], return_index=True)
+        q, c, s = q[at], c[at], s[at]
+        order = np.lexsort((cls[c], -s, q))
+        q, c, s = q[order], c[order], s[order]
+        head = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
+        place = np.arange(len(q)) - np.repeat(head, np.diff(np.append(head, len(q))))
+        top_ = place <= k
+        return pa.Table.from_arrays([asking.take(pa.array(q[top_])), own.take(pa.array(c[top_])), pa.array(s[top_])], schema=schema)
+
+    def searched(wanted: DataFrame, least_lists: int) -> DataFrame:
+        reads = wanted.mapInArrow(C.tidy(choose(least_lists)), read_schema)
+        hits = posted.groupBy("grp").cogroup(reads.groupBy("grp")).applyInArrow(search, pair_schema)
+        return C.materialise(hits.groupBy("qcls", "cls").agg(F.max("score").alias("score")), "pairs")
+
+    questions = C.materialise(asked.groupBy("cls").agg(F.first("v").alias("v")), "questions")
+    pairs = searched(questions, least)
+    enough = pairs.groupBy(F.col("qcls").alias("cls")).count().where(F.col("count") >= min(k + 1, n)).select("cls")
+    short = C.materialise(questions.join(enough, "cls", "left_anti"), "short")
+    if short.count():
+        pairs = pairs.join(short.select(F.col("cls").alias("qcls")), "qcls", "left_anti").unionByName(searched(short, len(blocks)))
     best = Window.partitionBy("qcls").orderBy(F.desc("score"), "cls")
     pairs = pairs.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1).drop("__r")
     found = pairs.join(members, "cls").withColumn("__r", F.row_number().over(Window.partitionBy("qcls").orderBy(F.desc("score"), "id"))).where(F.col("__r") <= k + 1)
