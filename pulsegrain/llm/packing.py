@@ -11,6 +11,8 @@ the elites of the others of its shard.
 from __future__ import annotations
 
 import bisect
+import functools
+import itertools
 import os
 import random
 import zlib
@@ -28,19 +30,67 @@ CAPACITY = 4096
 SHARD = 4096
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 6, 5
 #: Words whose ids a task remembers.
-MEMORY = 1_000_000
+MEMORY = 400_000
 
 
 # ---------------------------------------------------------------- token ids
+#: Byte classes: blank, letter, mark, and what only the full tokenizer may read
+#: (digits, the apostrophe, <, control bytes, most of what is not ASCII).
+_BLANK, _LETTER, _MARK, _OTHER, _WORD = range(5)
+_CLASS = np.full(256, _OTHER, np.uint8)
+_CLASS[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = _LETTER
+_CLASS[list(b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~")] = _MARK
+_CLASS[C.SEPARATORS] = _BLANK
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Of U+00C0 to U+017E, which have two bytes: no letters, or letters whose lower
+#: case or normal form is not one letter of the same kind.
+_UNUSUAL = "\u00D7\u00F7\u0130\u0131\u0149"
+
+
+def _classes(buf: np.ndarray) -> np.ndarray:
+    """Class of each byte; precomposed Latin letters are letters."""
+    out = _CLASS[buf]
+    lead = np.flatnonzero((buf >= 0xC3) & (buf <= 0xC5))
+    lead = lead[lead + 1 < len(buf)]
+    code = ((buf[lead].astype(np.int32) & 31) << 6) | (buf[lead + 1] & 63)
+    fine = lead[~np.isin(code, [ord(c) for c in _UNUSUAL]) & (code != 0x17F)]
+    out[fine] = out[fine + 1] = _LETTER
+    return out
+
+
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 itself, the others from U+0100 on in their order."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in own else chr(next(rest)) for b in range(256)}
+
+
 class WordIds:
     """Ids of texts by a tokenizer that never joins across blanks: each
-    distinct word of a slice is tokenized once and remembered."""
+    distinct unit is tokenized once and remembered.
+
+    The full tokenizer spends most of its time on normalizing and splitting. A
+    word of Latin letters and ASCII marks is read as its runs of letters, in
+    lower case, and of marks, so these are units of their own and go straight
+    to the vocabulary model; any other word is one unit for the full tokenizer.
+    A trial on sample words decides whether this tokenizer allows that.
+    """
+
+    TRIAL = ("Ab", "the,", "\u00C9t\u00E9.", "stra\u00DFe!!", "one%%%", "###", "\u017Durnal", "|", "No-", "ONLY", "a,b.c", "x1")
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.bytes = self.tokenizer.model, _byte_letters()
+        self.clear()
+        self.direct = True
+        buf, offs = next(C.text_slices(pa.array(self.TRIAL)))[2:]
+        ids, edge = self.slice_ids(buf, offs)
+        self.direct = [ids[a:z].tolist() for a, z in zip(edge, edge[1:])] == self._full(list(self.TRIAL))
         self.clear()
 
     def clear(self) -> None:
@@ -48,8 +98,22 @@ class WordIds:
         self.size, self.at, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), 0
         self.flat = np.zeros(1 << 18, np.uint32)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _full(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _direct(self, units: list[str]) -> list[list[int]]:
+        out, tokenize = [], self.model.tokenize
+        for text in units:
+            if not text.isascii():
+                text = text.lower().encode().decode("latin-1").translate(self.bytes)
+            out.append([t.id for t in tokenize(text)])
+        return out
+
+    def _learn(self, hashes: list[int], units: list[str], plain: list[bool]) -> None:
+        full = [u for u, p in zip(units, plain) if not p]
+        parts = iter(self._direct([u for u, p in zip(units, plain) if p]))
+        others = iter(self._full(full) if full else ())
+        ids = [next(parts) if p else next(others) for p in plain]
         n = len(self.row)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         total = int(sizes.sum())
@@ -59,37 +123,70 @@ class WordIds:
             self.flat = np.concatenate([self.flat, self.flat])
         self.size[n : n + len(ids)] = sizes
         self.at[n : n + len(ids)] = self.used + np.cumsum(sizes) - sizes
-        self.flat[self.used : self.used + total] = np.fromiter((x for i in ids for x in i), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(itertools.chain.from_iterable(ids), np.uint32, total)
         self.used += total
-        for i, h in enumerate(hashes):
-            self.row[h] = n + i
+        self.row.update(zip(hashes, range(n, n + len(ids))))
+
+    def _units(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(bytes as they are hashed, starts, ends, whether plain, first unit of
+        each text and the total)."""
+        starts, ends, first = C.word_bounds(buf, offs)
+        if not self.direct or not len(starts):
+            return buf, starts, ends, np.zeros(len(starts), bool), first
+        kind = _classes(buf)
+        other = np.concatenate([[0], np.cumsum(kind == _OTHER)])
+        whole = np.flatnonzero(other[ends] > other[starts])
+        if len(whole):
+            size = ends[whole] - starts[whole]
+            kind[np.repeat(starts[whole] - (np.cumsum(size) - size), size) + np.arange(size.sum())] = _WORD
+        text = np.where(kind == _LETTER, _LOWER[buf], buf)
+        change = np.ones(len(buf), bool)
+        change[1:] = kind[1:] != kind[:-1]
+        inner = offs[1:-1]
+        change[inner[inner < len(buf)]] = True
+        starts = np.flatnonzero(change)
+        ends = np.append(starts[1:], len(buf))
+        keep = kind[starts] != _BLANK
+        starts, ends = starts[keep], ends[keep]
+        return text, starts, ends, kind[starts] != _WORD, np.searchsorted(starts, offs)
 
     def slice_ids(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of the slice's texts, where each text's begin and the total)."""
-        starts, ends, first = C.word_bounds(buf, offs)
-        hashes, at, which = np.unique(C.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        text, starts, ends, plain, first = self._units(buf, offs)
+        h = C.span_hashes(text, starts, ends) ^ plain.astype(np.uint64)
+        hashes, at, which = np.unique(h, return_index=True, return_inverse=True)
         if len(self.row) + len(hashes) > MEMORY and len(self.row) > MEMORY // 2:
             self.clear()
         hashes = hashes.tolist()
-        new = [i for i, h in enumerate(hashes) if h not in self.row]
+        known = list(map(self.row.get, hashes))
+        new = [i for i, r in enumerate(known) if r is None]
         if new:
-            raw = buf.tobytes()
-            a, z = starts[at].tolist(), ends[at].tolist()
-            self._learn([hashes[i] for i in new], [raw[a[i] : z[i]].decode("utf-8", "replace") for i in new])
-        rows = np.fromiter((self.row[h] for h in hashes), np.int64, len(hashes))[which]
+            raw = text.tobytes()
+            a, z, p = starts[at[new]].tolist(), ends[at[new]].tolist(), plain[at[new]].tolist()
+            n = len(self.row)
+            self._learn([hashes[i] for i in new], [raw[x:y].decode("utf-8", "replace") for x, y in zip(a, z)], p)
+            for k, i in enumerate(new):
+                known[i] = n + k
+        rows = np.array(known, np.int64)[which]
         size = self.size[rows]
         edge = np.concatenate([[0], np.cumsum(size)])
         ids = self.flat[np.repeat(self.at[rows] - edge[:-1], size) + np.arange(edge[-1])]
         return ids, edge[first]
 
 
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> WordIds:
+    """One for each worker process; its words are forgotten with each task."""
+    return WordIds(path)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = 1) -> DataFrame:
     """(id, piece, start, length, ids_crc32): the text's ids and end_id, cut
     into pieces of capacity tokens, the last one what is left."""
     schema = T.StructType([docs.schema[id_col], T.StructField("piece", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32")]])
 
     def run(batches):
-        encoder = WordIds(tokenizer)
+        encoder = _encoder(tokenizer)
         for b in batches:
             for lo, hi, buf, offs in C.text_slices(b.column(1)):
                 ids, edge = encoder.slice_ids(buf, offs)
@@ -104,8 +201,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
                         length.append(len(part))
                         crc.append(zlib.crc32(part.tobytes()))
                 yield C.arrow_rows(schema, **{id_col: b.column(0).take(pa.array(row, pa.int64()))}, piece=piece, start=start, length=length, ids_crc32=crc)
+        encoder.clear()
 
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
 # ---------------------------------------------------------------- one island
@@ -232,7 +330,7 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, shard_size: int
             tasks = sizes.join(elites, "shard")
         tasks = tasks.select("shard", F.explode(F.array(*[F.lit(i) for i in range(islands)])).alias("island"), F.lit(epoch).alias("epoch"), "sizes", "elites")
         parts = max(1, min(n_shards * islands, 4096))
-        best = C.materialise(tasks.repartition(parts, "shard", "island").mapInArrow(run, out_schema), "islands")
+        best = C.materialise(tasks.repartition(parts, "shard", "island").mapInArrow(C.tidy(run), out_schema), "islands")
     top = best.groupBy("shard").agg(F.max_by("assign", F.struct(-F.col("bins"), F.col("fill"), -F.col("island"))).alias("assign"))
     placed = items.join(top, "shard").select("shard", F.explode(F.arrays_zip("items", "assign")).alias("x"))
     placed = placed.select((F.col("shard") * (1 << 20) + F.col("x.assign")).alias("sequence_id"), "x.items.*")
