@@ -6,8 +6,8 @@ trained from a small labelled table and decoded by Viterbi over numpy batches.
 It adds spans that the patterns miss (national phone numbers, cards with a
 wrong check digit, bracketed addresses); pattern spans always stay.
 
-Only tokens within a few places of a digit or an @ can begin or end a span, so
-the field is decoded over those neighbourhoods, wherever in the text they are.
+Only tokens within a few places of a digit, an @ or a bracketed "at" can begin
+or end a span, so the field is decoded over those neighbourhoods, wherever in the text they are.
 """
 
 from __future__ import annotations
@@ -37,6 +37,8 @@ _IP = re.compile(r"([0-9]++)(?:\.([0-9]++)\.([0-9]++)\.([0-9]++))?+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+#: What a token must have for a span to begin or end near it.
+_SEED = re.compile(r"[0-9@]|[(\[]at[)\]]")
 _TRIGGER = np.zeros(256, bool)
 _TRIGGER[48:58] = _TRIGGER[64] = True
 
@@ -263,9 +265,9 @@ def viterbi(field: Field, emit: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def _neighbourhoods(text: str) -> list[list[tuple[int, int]]]:
-    """Token spans around tokens with a digit or an @, runs joined."""
+    """Token spans around tokens with a digit, an @ or a bracketed at, runs joined."""
     at = [m.span() for m in _TOKEN.finditer(text)]
-    hot = [i for i, (a, z) in enumerate(at) if re.search(r"[0-9@]|[(\[]at[)\]]", text[a:z])]
+    hot = [i for i, (a, z) in enumerate(at) if _SEED.search(text[a:z])]
     out: list[list[int]] = []
     for i in hot:
         lo, hi = max(0, i - REACH), min(len(at), i + REACH + 1)
@@ -319,7 +321,14 @@ def find_spans(texts: list[str], field: Field, batch: int = 256) -> list[tuple[l
 
 
 def _triggered(buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    total = np.concatenate([[0], np.cumsum(_TRIGGER[buf])])
+    """Whether each text may have a token that _SEED finds: by its bytes. A
+    bracketed at that runs across two texts counts for the first (it costs time
+    only)."""
+    seed = _TRIGGER[buf]
+    if len(buf) > 3:
+        opens, closes = (buf == 40) | (buf == 91), (buf == 41) | (buf == 93)
+        seed[:-3] |= opens[:-3] & (buf[1:-2] == 97) & (buf[2:-1] == 116) & closes[3:]
+    total = np.concatenate([[0], np.cumsum(seed)])
     return total[offs[1:]] > total[offs[:-1]]
 
 
@@ -328,8 +337,8 @@ def _join(spans: list) -> str:
 
 
 def _each(batches, at: int, field: Field):
-    """(batch slice, texts, spans of each) over the batches; texts without a
-    digit or an @ have none."""
+    """(batch slice, texts, spans of each) over the batches; texts without
+    a seed have none."""
     for b in batches:
         for lo, hi, buf, offs in C.text_slices(b.column(at)):
             part = b.slice(lo, hi - lo)

@@ -295,6 +295,15 @@ def test_pii(spark, docs, odd, empty):
     assert back.columns == odd.columns and {r["doc_id"]: r["text"] for r in back.collect()}[2] is None
 
 
+def test_bracketed_addresses_without_digits(spark):
+    texts = ["mail kim(at)post.example or wait", "reach me via j.doe[at]corp.example.net.", "(at", "no data at all"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.find_pii(df).collect()}
+    assert got == {0: "email:5:24", 1: "email:13:38", 2: "", 3: ""}
+    back = {r["doc_id"]: r["text"] for r in pii.redact_pii(df).collect()}
+    assert back == {0: "mail <EMAIL> or wait", 1: "reach me via <EMAIL>.", 2: "(at", 3: "no data at all"}
+
+
 # ------------------------------------------------------------------ 5
 def _kept(rows: list[tuple[int, str | None]], window: int = 13) -> dict[int, tuple[int, int, str]]:
     first: dict[tuple, int] = {}
