@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from pulsegrain.llm import ann, common, components, language_id, packing, piece_sampling, pii, quality_classifier, quality_rules, simhash, substring_dedup, text_stats, toxicity
+from pulsegrain.llm import ann, common, components, language_id, near_copies, packing, piece_sampling, pii, quality_classifier, quality_rules, simhash, substring_dedup, text_stats, toxicity
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns that clash with names the operators use inside.
@@ -235,6 +235,60 @@ def test_dense_segments_lose_no_link(spark):
 
 
 # ------------------------------------------------------------------ 4
+def _near(rows: list[tuple[int, str | None]]) -> dict[int, int]:
+    sets = []
+    for i, t in rows:
+        w = [re.sub(r"[A-Z]", lambda m: m[0].lower(), x) for x in re.findall(r"[^\x20\x09-\x0D]+", t or "")]
+        sets.append((i, {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())))
+    parent = {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (a, x) in enumerate(sets):
+        for b, y in sets[:k]:
+            if 10 * len(x & y) >= 8 * len(x | y):
+                u, v = find(a), find(b)
+                parent[max(u, v)] = min(u, v)
+    return {i: find(i) for i in parent}
+
+
+@pytest.mark.parametrize("dense", [2, 16])
+def test_near_copies_equal_brute_force(spark, odd, empty, dense):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
+    rows, passage = [], [rng.choice(words) for _ in range(50)]
+    for g in range(6):  # groups with and without their first text, at all distances
+        base = [rng.choice(words) for _ in range(rng.choice([60, 120, 200]))]
+        if g % 2:
+            rows.append((len(rows), " ".join(base)))
+        for _ in range(30):
+            w = list(base)
+            for _ in range(rng.randint(1, 6)):
+                w[rng.randrange(len(w))] = rng.choice(words)
+            rows.append((len(rows), " ".join(w)))
+    for k in range(40):  # one passage in many texts
+        w = passage + [rng.choice(words) for _ in range(k % 20)]
+        rows.append((len(rows), " ".join(w)))
+    rows += [(5000 + i, t) for i, t in enumerate([None, "", "One two", "one TWO", rows[3][1].upper(), "É A"])] + [(3, "another text of the same id")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = _near(rows)
+    assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, dense=dense).collect()} == want
+    assert 5 < len(set(want.values())) < len(want) - 50
+    if dense == 16:
+        assert near_copies.without_near_copies(odd).columns == odd.columns and near_copies.without_near_copies(empty).count() == 0
+
+
+def test_near_duplicates_stage_takes_one_changed_word(spark, sf_dir):
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    copies = [" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(10, 190, 20)]
+    df = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in enumerate([" ".join(base), *copies])], DOCS)
+    assert [r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, sf_dir).collect()] == [0]
+
+
 def _base(text: str) -> list[tuple[str, int, int]]:
     """The base patterns as they are stated."""
     rules = {
