@@ -6,7 +6,6 @@ word hashes and n-gram hashes cost a few array passes and no Python per word.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -25,14 +24,12 @@ SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 
 # ---------------------------------------------------------------- scratch
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a
-    temporary local one where that is unset (single-machine runs)."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or the
+    context's checkpoint folder. There is no local fallback, since executors on
+    other hosts would not see it."""
+    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
-        path = spark.sparkContext.getCheckpointDir()
-    if not path:
-        path = tempfile.mkdtemp(prefix="pulsegrain-")
-        spark.sparkContext.setCheckpointDir(path)
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return path
 
 
@@ -45,6 +42,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of df has them (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_bucket(id_col: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo `modulus`; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
@@ -126,6 +135,20 @@ def word_bounds(buf: np.ndarray, offs: np.ndarray, separators: np.ndarray = SEPA
     return starts, ends, np.searchsorted(starts, offs)
 
 
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every run, one run after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def cut_texts(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The byte spans of a slice as strings; spans may overlap, and begin and
+    end between characters."""
+    sizes = ends - starts
+    offs = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offs.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(buf[ragged(starts, sizes)])))
+
+
 # ---------------------------------------------------------------- hashing
 _B, _C = np.uint64(0x9E3779B97F4A7C15 | 5), np.uint64(0xD6E8FEB86659FD93)
 _TABLE = np.random.default_rng(7).integers(1, 2**64, 256, dtype=np.uint64)

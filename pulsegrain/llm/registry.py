@@ -10,7 +10,7 @@ from .piece_sampling import op9_piece_sampling
 from .quality_classifier import op10_quality_classifier
 from .quality_rules import op7_quality_rules
 from .simhash import op3_simhash
-from .substring_dedup import op5_substring_dedup
+from .substring_dedup import OP5_SQL, op5_substring_dedup
 from .toxicity import op8_toxicity
 
 QUERIES = {
@@ -25,4 +25,6 @@ QUERIES = {
     "op9_piece_sampling": op9_piece_sampling,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLE_SQL: dict[str, str] = {}
+#: Words and hashes of other kinds (XXH64, token ids), and trained models, are
+#: not expressible; those queries are tested against brute force.
+ORACLE_SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL}

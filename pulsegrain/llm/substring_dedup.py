@@ -1,21 +1,24 @@
 """Repeated passages across documents, by prefix-partitioned suffix trees.
 
-The suffixes of interest are those that begin at a word with `window` words
-left in their document. Two of them share an internal node of that depth
-exactly if their first `window` words agree. Building the trees takes three
-steps that Spark partitions:
-
-1. Each window names an anchor, the run of `k` words in it with the least
-   hash. Equal windows name equal anchors, so a window whose anchor stands in
-   no other row cannot be repeated. About one word in six is an anchor.
-2. Suffixes are dealt out by a prefix of varying length: by their anchor's k
-   words where few suffixes share it, by all `window` words where many do.
-3. A prefix's suffixes fit in memory. Sorting them and reading where
-   neighbours share `window` words gives the deep internal nodes of its
-   subtree, and each leaf learns its node's smallest document. Suffixes that
-   were split by all their words need only that minimum, which is aggregated
-   before and after the shuffle, so a passage in a third of all documents
-   meets in no task.
+A suffix begins at any word with `window` words left in its document. Two of
+them hang under one internal node of that depth exactly if their first `window`
+words agree, and such nodes are the maximal repeats that matter here. The trees
+are never built whole:
+
+1. A window names an anchor, the run of K words in it with the least hash.
+   Equal windows name equal anchors, so suffixes whose anchor stands in no
+   other row cannot repeat and go no further.
+2. The others are dealt out by a key of varying length. It is the anchor where
+   few suffixes share that. Under a frequent anchor it is the suffix's own
+   first words, one more at a time until few enough suffixes share them.
+3. A key's suffixes fit in memory and come with their words. Sorted by words,
+   with the common prefix of neighbours counted in words, they give the deep
+   internal nodes of the key's subtree; each leaf learns its node's smallest
+   document.
+4. A prefix that has all `window` words and still too many suffixes is an
+   internal node by itself. Its smallest document is found by aggregation
+   before and after the shuffle, and its leaves are marked where they are read,
+   so that a passage in a third of all documents meets in no task.
 """
 
 from __future__ import annotations
@@ -32,22 +35,25 @@ from . import common as C
 
 #: Words in an anchor.
 K = 4
-#: A prefix with more suffixes than this is extended to the whole window; so
-#: is one with over a millionth of all, which bounds the list of such prefixes.
-GROUP = 20_000
-#: Suffixes whose subtrees are built at a time.
-BLOCK = 200_000
+#: A key with more suffixes than this is extended; so is one with over a
+#: SPREAD-th of all, which bounds the list of such keys.
+GROUP, SPREAD = 20_000, 4_000_000
+#: Rows (runs of suffixes) whose subtrees are built at a time.
+BLOCK = 40_000
+#: Windows that one row of marks can name.
+WIDE = 31
 
 
 class _Slice:
-    """Words, windows and anchors of a slice of texts."""
+    """Words, suffixes (windows) and anchors of a slice of texts."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, window: int, k: int):
+        self.buf = buf
         self.starts, self.ends, self.first = C.word_bounds(buf, offs)
-        words = C.span_hashes(buf, self.starts, self.ends)
-        n = max(0, len(words) - window + 1)
+        self.words = C.span_hashes(buf, self.starts, self.ends)
+        n = max(0, len(self.words) - window + 1)
         inside = np.flatnonzero(C.runs_within(self.first, window))
-        grams = C.gram_hashes(words, k)
+        grams = C.gram_hashes(self.words, k)
         best, shift = grams[:n].copy(), np.zeros(n, np.int16)
         for j in range(1, window - k + 1):
             other = grams[j : j + n]
@@ -56,112 +62,191 @@ class _Slice:
             shift[less] = j
         self.start = inside  # of each window, as a word of the slice
         self.doc = (np.searchsorted(self.first, inside, "right") - 1).astype(np.int64)
-        self.anchor, self.shift = best[inside], shift[inside].astype(np.int64)
-        self._words, self._window = words, window
+        self.at = inside - self.first[self.doc]  # the same as a word of its text
+        self.anchor, self.shift, self.window = best[inside], shift[inside].astype(np.int64), window
 
-    def hashes(self, other: bool = False) -> np.ndarray:
-        """Of each window; `other`: an independent second hash."""
-        w = C.mix(self._words ^ np.uint64(0x5851F42D4C957F2D)) if other else self._words
-        return C.gram_hashes(w, self._window)[self.start]
+    def prefix(self, n: int, of: np.ndarray, other: bool = False) -> np.ndarray:
+        """Hash of the first n words of the windows `of`; `other`: an independent one."""
+        w = C.mix(self.words ^ np.uint64(0x5851F42D4C957F2D)) if other else self.words
+        return C.mix(C.gram_hashes(w, n)[self.start[of]] + np.uint64(n))
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, text, places) of each text's distinct anchors."""
+        where = self.start + self.shift
+        new = np.ones(len(where), bool)
+        new[1:] = (self.doc[1:] != self.doc[:-1]) | (where[1:] != where[:-1])
+        anchor, doc = self.anchor[new], self.doc[new]
+        _, at, places = np.unique(_doc_keys(anchor, doc), return_index=True, return_counts=True)
+        return anchor[at], doc[at], places
+
+    def text(self, first: np.ndarray, last: np.ndarray) -> pa.Array:
+        """The text from the first word of windows `first` to the last of `last`."""
+        return C.cut_texts(self.buf, self.starts[self.start[first]], self.ends[self.start[last] + self.window - 1])
 
 
 def _doc_keys(values: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return C.mix(values + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _anchor_rows(docs: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
-    """(anchor, id, times): each anchor of each row once, and at how many places."""
-    schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col], T.StructField("times", T.IntegerType())])
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before in any of the columns."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new)
+
+
+def _last(heads: np.ndarray, n: int) -> np.ndarray:
+    return np.append(heads[1:], n) - 1
+
+
+# ---------------------------------------------------------------- keys
+def _anchor_counts(docs: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
+    """(anchor, rows, places): in how many rows each anchor stands, and how often."""
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "rows", "places")])
 
     def run(batches):
         for b in batches:
-            for lo, _, buf, offs in C.text_slices(b.column(1)):
-                s = _Slice(buf, offs, window, k)
-                if not len(s.start):
-                    continue
-                new = np.ones(len(s.start), bool)
-                where = s.start + s.shift
-                new[1:] = (s.doc[1:] != s.doc[:-1]) | (where[1:] != where[:-1])
-                anchor, doc = s.anchor[new], s.doc[new]
-                _, at, times = np.unique(_doc_keys(anchor, doc), return_index=True, return_counts=True)
-                order = np.argsort(at)
-                at = at[order]
-                yield C.arrow_rows(schema, anchor=anchor[at].view(np.int64), times=times[order].astype(np.int32), **{id_col: b.column(0).take(pa.array(doc[at] + lo))})
+            for _, _, buf, offs in C.text_slices(b.column(0)):
+                anchor, _, places = _Slice(buf, offs, window, k).anchors()
+                names, which, rows = np.unique(anchor, return_inverse=True, return_counts=True)
+                if len(names):
+                    yield C.arrow_rows(schema, anchor=names.view(np.int64), rows=rows, places=np.bincount(which, places).astype(np.int64))
 
-    return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
+    found = docs.where(F.col(id_col).isNotNull()).select(text_col).mapInArrow(C.tidy(run), schema)
+    return found.groupBy("anchor").agg(F.sum("rows").alias("rows"), F.sum("places").alias("places"))
 
 
-def _frequent(docs: DataFrame, anchors: np.ndarray, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
-    """(id, at, bits) of repeated windows under the frequent anchors: split by
-    the whole window, smallest document by aggregation, then a keyed join that
-    Spark can split where one window is in very many rows."""
-    spark = docs.sparkSession
-    index = spark.sparkContext.broadcast(C.HashIndex(anchors.view(np.uint64)))
-    schema = T.StructType([T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), docs.schema[id_col], T.StructField("at", T.IntegerType())])
+def _anchor_ids(docs: DataFrame, hot, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
+    """(anchor, id): each anchor of each row once, without the frequent ones."""
+    schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col]])
 
     def run(batches):
         for b in batches:
             for lo, _, buf, offs in C.text_slices(b.column(1)):
-                s = _Slice(buf, offs, window, k)
-                hit = np.flatnonzero(index.value.find(s.anchor) >= 0)
-                if len(hit):
-                    doc = s.doc[hit]
-                    yield C.arrow_rows(schema, h1=s.hashes()[hit].view(np.int64), h2=s.hashes(True)[hit].view(np.int64), at=(s.start[hit] - s.first[doc]).astype(np.int32), **{id_col: b.column(0).take(pa.array(doc + lo))})
+                anchor, doc, _ = _Slice(buf, offs, window, k).anchors()
+                rare = hot.value.find(anchor) < 0
+                yield C.arrow_rows(schema, anchor=anchor[rare].view(np.int64), **{id_col: b.column(0).take(pa.array(doc[rare] + lo))})
 
-    rows = C.materialise(docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema), "frequent")
-    nodes = rows.groupBy("h1", "h2").agg(F.min(id_col).alias("least"), F.max(id_col).alias("most")).where("least != most").drop("most")
-    return rows.join(nodes, ["h1", "h2"]).where(F.col(id_col) > F.col("least")).select(id_col, "at", F.lit(1).alias("bits"))
+    return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
-def _suffixes(flagged: DataFrame, id_col: str, text_col: str, window: int, k: int, schema: T.StructType) -> DataFrame:
-    """flagged: id, text, the text's shared anchors (or null). One row for each
-    run of windows with one anchor: (anchor, id, at: first window, hashes)."""
+def _prefix_counts(docs: DataFrame, hot, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
+    """(words, h1, h2, places, least, most) of the prefixes of more than k words
+    of all suffixes under frequent anchors; least and most are document ids."""
+    id_type = docs.schema[id_col].dataType
+    schema = T.StructType(
+        [T.StructField("words", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in ("h1", "h2", "places")], T.StructField("least", id_type), T.StructField("most", id_type)]
+    )
 
     def run(batches):
         for b in batches:
-            keep = pa.compute.is_valid(b.column(2))
-            b = b.filter(keep)
-            if not b.num_rows:
-                continue
-            for lo, hi, buf, offs in C.text_slices(b.column(1)):
+            ids = b.column(0).to_numpy()
+            for lo, _, buf, offs in C.text_slices(b.column(1)):
                 s = _Slice(buf, offs, window, k)
-                shared = b.column(2).slice(lo, hi - lo)
-                sizes = np.diff(np.asarray(shared.offsets))
-                wanted = _doc_keys(np.asarray(shared.flatten()).view(np.uint64), np.repeat(np.arange(hi - lo), sizes))
-                hit = np.flatnonzero(np.isin(_doc_keys(s.anchor, s.doc), wanted))
-                if not len(hit):
+                under = np.flatnonzero(hot.value.find(s.anchor) >= 0)
+                if not len(under):
                     continue
-                doc, start = s.doc[hit], s.start[hit]
-                where = start + s.shift[hit]
-                new = np.ones(len(hit), bool)
-                new[1:] = (doc[1:] != doc[:-1]) | (where[1:] != where[:-1])
-                at = np.flatnonzero(new)
-                hashes = pa.ListArray.from_arrays(pa.array(np.append(at, len(hit)).astype(np.int32)), pa.array(s.hashes()[hit].view(np.int64)))
-                yield C.arrow_rows(schema, anchor=s.anchor[hit][at].view(np.int64), at=(start[at] - s.first[doc[at]]).astype(np.int32), hashes=hashes, **{id_col: b.column(0).take(pa.array(doc[at] + lo))})
-
-    return flagged.mapInArrow(C.tidy(run), schema)
-
-
-def _subtrees(table: pa.Table, id_col: str, schema: T.StructType):
-    """Leaves of deep internal nodes in a document after the node's first, as
-    (id, at, bits): bit j is the window at + j. The table holds whole prefixes."""
-    lists = table.column("hashes").combine_chunks()
-    sizes = np.diff(np.asarray(lists.offsets))
-    leaf = np.repeat(np.arange(len(sizes)), sizes)
-    nth = np.arange(len(leaf)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    ids = table.column(id_col).to_numpy()
-    anchor, path, doc = table.column("anchor").to_numpy()[leaf], np.asarray(lists.flatten()), ids[leaf]
-    order = np.lexsort((doc, path, anchor))
-    anchor, path = anchor[order], path[order]
-    node = np.ones(len(order), bool)
-    node[1:] = (anchor[1:] != anchor[:-1]) | (path[1:] != path[:-1])
-    least = doc[order][np.flatnonzero(node)][np.cumsum(node) - 1]
-    hit = order[doc[order] > least]
-    bits = np.zeros(len(sizes), np.int64)
-    np.bitwise_or.at(bits, leaf[hit], np.int64(1) << nth[hit])
-    got = np.flatnonzero(bits)
-    if len(got):
-        yield C.arrow_rows(schema, at=table.column("at").to_numpy()[got], bits=bits[got].astype(np.int32), **{id_col: pa.array(ids[got])})
+                own = ids[s.doc[under] + lo]
+                for n in range(k + 1, window + 1):
+                    h1, h2 = s.prefix(n, under), s.prefix(n, under, True)
+                    order = np.lexsort((own, h2, h1))
+                    h1, h2, sorted_ = h1[order], h2[order], own[order]
+                    head = _runs(h1, h2)
+                    last = _last(head, len(h1))
+                    yield C.arrow_rows(schema, words=[n] * len(head), h1=h1[head].view(np.int64), h2=h2[head].view(np.int64), places=last - head + 1, least=sorted_[head], most=sorted_[last])
+
+    found = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
+    return found.groupBy("words", "h1", "h2").agg(F.sum("places").alias("places"), F.min("least").alias("least"), F.max("most").alias("most"))
+
+
+class _Keys:
+    """Which suffixes have a frequent key: anchors, prefixes by their length,
+    and whole windows, which are nodes with a smallest document."""
+
+    def __init__(self, anchors: np.ndarray, prefixes: pa.Table | None, window: int, k: int):
+        self.anchors, self.window, self.k = C.HashIndex(anchors.view(np.uint64)), window, k
+        self.longer: dict[int, C.HashIndex] = {}
+        if prefixes is not None:
+            words = prefixes.column("words").to_numpy()
+            h1, h2 = (prefixes.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
+            for n in range(k + 1, window + 1):
+                own = words == n
+                self.longer[n] = C.HashIndex(h1[own], h2[own], prefixes.column("least").to_numpy()[own])
+
+    def deal(self, s: _Slice, under: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(key, whether it is a node, the node's smallest document) of the
+        suffixes `under` frequent anchors."""
+        key, least = np.zeros(len(under), np.uint64), np.zeros(len(under), np.int64)
+        left = np.arange(len(under))
+        for n in range(self.k + 1, self.window):
+            h = s.prefix(n, under[left])
+            key[left] = h
+            left = left[self.longer[n].find(h) >= 0]
+            if not len(left):
+                return key, np.zeros(len(under), bool), least
+        node = np.zeros(len(under), bool)
+        key[left] = h = s.prefix(self.window, under[left])
+        own = self.longer[self.window].find(h)
+        second, smallest = self.longer[self.window].values
+        hit = np.flatnonzero(own >= 0)
+        hit = hit[second[own[hit]] == s.prefix(self.window, under[left[hit]], True)]
+        node[left[hit]], least[left[hit]] = True, smallest[own[hit]]
+        return key, node, least
+
+
+# ---------------------------------------------------------------- subtrees
+def word_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each word, equal exactly for equal words: hashes name the
+    words and their bytes are compared with the first word of that hash."""
+    _, first, code = np.unique(C.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    size = ends - starts
+    like = first[code]
+    if (size == size[like]).all() and (buf[C.ragged(starts, size)] == buf[C.ragged(starts[like], size)]).all():
+        return code
+    names: dict[bytes, int] = {}
+    raw = buf.tobytes()
+    return np.array([names.setdefault(raw[a:z], len(names)) for a, z in zip(starts.tolist(), ends.tolist())], np.int64)
+
+
+def deep_nodes(codes: np.ndarray, key: np.ndarray, start: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The internal nodes of at least `window` words in the subtrees of the
+    suffixes: (suffixes in the order of their words, within it the first leaf of
+    each node and the end). Leaves of a node are in the order of their documents.
+    start: of each suffix in codes; key: its subtree."""
+    columns = [codes[start + j] for j in range(window)]
+    order = np.lexsort((doc, *columns[::-1], key))
+    key = key[order]
+    going = key[1:] == key[:-1]
+    common = np.zeros(len(going), np.int64)  # words that neighbours share
+    for c in columns:
+        c = c[order]
+        going &= c[1:] == c[:-1]
+        common += going
+    return order, np.append(np.flatnonzero(np.append(True, common < window)), len(order))
+
+
+def _marked(table: pa.Table, id_col: str, window: int) -> np.ndarray:
+    """Bits of the suffixes of each run that are in a document after their
+    node's first. The table holds whole keys."""
+    _, _, buf, offs = next(C.text_slices(table.column("span"), 1 << 60))
+    starts, ends, first = C.word_bounds(buf, offs)
+    many = np.maximum(np.diff(first) - window + 1, 0)  # suffixes of each run
+    run = np.repeat(np.arange(len(many)), many)
+    start = C.ragged(first[:-1], many)
+    key, doc = table.column("key").to_numpy()[run], table.column(id_col).to_numpy()[run]
+    # suffixes whose first words occur once hang from no deep node
+    h = C.mix(C.gram_hashes(C.span_hashes(buf, starts, ends), window)[start] ^ C.mix(key.view(np.uint64)))
+    order = np.argsort(h)
+    same = h[order][1:] == h[order][:-1]
+    often = order[np.append(same, False) | np.append(False, same)]
+    bits = np.zeros(len(many), np.int64)
+    if len(often):
+        order, head = deep_nodes(word_codes(buf, starts, ends), key[often], start[often], doc[often], window)
+        leaf = often[order]
+        least = np.repeat(doc[leaf[head[:-1]]], np.diff(head))
+        hit = leaf[doc[leaf] > least]
+        np.bitwise_or.at(bits, run[hit], np.int64(1) << (start[hit] - first[run[hit]]))
+    return bits
 
 
 def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, group: int = GROUP) -> DataFrame:
@@ -170,23 +255,71 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     a null id neither lose nor claim windows; rows of one id are one document.
     """
     k = min(K, window)
-    if window - k >= 31:
+    if window - k >= WIDE:
         raise ValueError("window too long")
     spark = docs.sparkSession
-    rows = C.materialise(_anchor_rows(docs, id_col, text_col, window, k), "anchors")
-    shared = rows.groupBy("anchor").agg(F.count("*").alias("rows"), F.sum("times").alias("places")).where("rows > 1")
-    shared = C.materialise(shared.select("anchor", "places"), "shared")
-    # a prefix's suffixes are its places, which one text can have many of
-    limit = max(group, (shared.agg(F.sum("places")).first()[0] or 0) // 1_000_000)
-    # fewer than a million by the limit
-    frequent = np.array([r[0] for r in shared.where(F.col("places") > limit).select("anchor").collect()], np.int64)
-    schema = T.StructType([T.StructField("anchor", T.LongType()), docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
-    result = T.StructType([docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("bits", T.IntegerType())])
-    few = rows.drop("times").join(shared.where(F.col("places") <= limit).select("anchor"), "anchor").groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))
-    # a left join, as below: both read the same shuffle of the texts
-    flagged = docs.select(id_col, text_col).join(few, id_col, "left")
+    docs = docs.select(id_col, text_col)
+    shared = C.materialise(_anchor_counts(docs, id_col, text_col, window, k).where("rows > 1").select("anchor", "places"), "shared")
+    # a key's suffixes are its places, which one text can have many of
+    limit = max(group, (shared.agg(F.sum("places")).first()[0] or 0) // SPREAD)
+    # fewer than SPREAD by the limit
+    anchors = shared.where(F.col("places") > limit).select("anchor").toArrow().column(0).to_numpy()
+    hot = spark.sparkContext.broadcast(C.HashIndex(anchors.view(np.uint64)))
+    prefixes = None
+    if len(anchors):
+        found = _prefix_counts(docs, hot, id_col, text_col, window, k).where(F.col("places") > limit)
+        prefixes = found.select("words", "h1", "h2", "least").toArrow()  # fewer than (window - k) * SPREAD
+    keys = spark.sparkContext.broadcast(_Keys(anchors, prefixes, window, k))
+    few = _anchor_ids(docs, hot, id_col, text_col, window, k).join(shared.where(F.col("places") <= limit).select("anchor"), "anchor")
+    few = few.groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))
+    # a left join, as in remove_repeats: both read the same shuffle of the texts
+    flagged = docs.join(few, id_col, "left")
+    schema = T.StructType([T.StructField("key", T.LongType()), docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("bits", T.IntegerType()), T.StructField("span", T.StringType())])
+
+    def deal(batches):
+        for b in batches:
+            b = b.filter(pa.compute.is_valid(b.column(0)))
+            for lo, hi, buf, offs in C.text_slices(b.column(1)):
+                s = _Slice(buf, offs, window, k)
+                lists = b.column(2).slice(lo, hi - lo)
+                sizes = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy()
+                wanted = _doc_keys(np.asarray(lists.flatten()).view(np.uint64), np.repeat(np.arange(hi - lo), sizes))
+                hit = np.flatnonzero(np.isin(_doc_keys(s.anchor, s.doc), wanted))
+                ids = b.column(0).slice(lo, hi - lo)
+                if len(hit):
+                    head = _runs(s.doc[hit], s.start[hit] + s.shift[hit])
+                    last = _last(head, len(hit))
+                    head, last = hit[head], hit[last]
+                    yield C.arrow_rows(schema, key=s.anchor[head].view(np.int64), at=s.at[head].astype(np.int32), bits=np.zeros(len(head), np.int32), span=s.text(head, last), **{id_col: ids.take(pa.array(s.doc[head]))})
+                under = np.flatnonzero(keys.value.anchors.find(s.anchor) >= 0)
+                if not len(under):
+                    continue
+                key, node, least = keys.value.deal(s, under)
+                one = under[~node]
+                if len(one):
+                    yield C.arrow_rows(schema, key=key[~node].view(np.int64), at=s.at[one].astype(np.int32), bits=np.zeros(len(one), np.int32), span=s.text(one, one), **{id_col: ids.take(pa.array(s.doc[one]))})
+                leaf = np.flatnonzero(node)
+                leaf = leaf[ids.to_numpy()[s.doc[under[leaf]]] > least[leaf]]
+                if len(leaf):
+                    leaf = under[leaf]
+                    head = _runs(s.doc[leaf], s.at[leaf] // WIDE)
+                    at = s.at[leaf] // WIDE * WIDE
+                    bits = np.bitwise_or.reduceat(np.int64(1) << (s.at[leaf] - at), head)
+                    spread = C.mix(C.mix(s.doc[leaf[head]].astype(np.uint64)) + s.at[leaf[head]].astype(np.uint64))
+                    yield C.arrow_rows(schema, key=spread.view(np.int64), at=at[head].astype(np.int32), bits=bits.astype(np.int32), span=pa.nulls(len(head), pa.string()), **{id_col: ids.take(pa.array(s.doc[leaf[head]]))})
+
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _suffixes(flagged, id_col, text_col, window, k, schema).repartition(parts, "anchor").sortWithinPartitions("anchor")
+    dealt = flagged.mapInArrow(C.tidy(deal), schema).repartition(parts, "key").sortWithinPartitions("key")
+    result = T.StructType([docs.schema[id_col], T.StructField("at", T.IntegerType()), T.StructField("bits", T.IntegerType())])
+
+    def subtrees(table: pa.Table):
+        done = table.filter(pa.compute.is_null(table.column("span")))
+        table = table.filter(pa.compute.is_valid(table.column("span")))
+        for part, bits in ((done, done.column("bits").to_numpy()), (table, _marked(table, id_col, window) if table.num_rows else np.zeros(0, np.int64))):
+            got = np.flatnonzero(bits)
+            if len(got):
+                part = part.take(pa.array(got))
+                yield C.arrow_rows(result, at=part.column("at").combine_chunks(), bits=bits[got].astype(np.int32), **{id_col: part.column(id_col).combine_chunks()})
 
     def build(batches):
         held, n = [], 0
@@ -195,19 +328,18 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
             n += b.num_rows
             if n >= BLOCK:
                 table = pa.Table.from_batches(held)
-                anchor = table.column("anchor").to_numpy()
-                cut = int(np.searchsorted(anchor, anchor[-1]))  # the last prefix may go on
+                cut = int(np.searchsorted(table.column("key").to_numpy(), b.column(0)[b.num_rows - 1].as_py()))  # the last key may go on
                 if cut:
-                    yield from _subtrees(table.slice(0, cut), id_col, result)
+                    yield from subtrees(table.slice(0, cut))
                     rest = table.slice(cut)
                     held, n = rest.to_batches(), rest.num_rows
         if n:
-            yield from _subtrees(pa.Table.from_batches(held), id_col, result)
+            yield from subtrees(pa.Table.from_batches(held))
 
-    out = dealt.mapInArrow(C.tidy(build), result)
-    return out.unionByName(_frequent(docs, frequent, id_col, text_col, window, k)) if len(frequent) else out
+    return dealt.mapInArrow(C.tidy(build), result)
 
 
+# ---------------------------------------------------------------- removal
 def _covered(n: int, packed, window: int) -> np.ndarray:
     """Which of n words the windows cover; packed: at << 32 | bits."""
     packed = np.asarray(packed, np.int64)
@@ -223,27 +355,33 @@ def _covered(n: int, packed, window: int) -> np.ndarray:
     return np.cumsum(step[:n]) > 0
 
 
-def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, group: int = GROUP, digest: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 13, group: int = GROUP, digest: bool = False, counts: bool = True) -> DataFrame:
     """docs without the words of repeated passages.
 
     A word goes if a window of `window` words that covers it also starts in a
     document with a smaller id; windows are judged on the input. Kept words
     keep the blanks after them; a text that loses nothing is unchanged. All
-    columns of docs stay, n_words and n_removed follow; with digest, the id,
+    columns of docs stay. With counts, n_words and n_removed follow (columns of
+    docs with these names give way to them); with digest, the result is the id,
     the two counts and kept_sha256 (of the kept words joined by one space).
 
     Null texts have no words and stay null. Rows with a null id lose nothing.
     Rows with one id count as one document: each loses what was found in any.
+    A text of any length is read whole by one task. An empty table gives an
+    empty result; any other columns pass through, whatever their names.
     """
     found = repeated_windows(docs, id_col=id_col, text_col=text_col, window=window, group=group)
     packed = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("bits").cast("long"))
-    marks = found.groupBy(id_col).agg(F.collect_list(packed).alias("__marks"))
-    names = [id_col, text_col] if digest else docs.columns
-    counts = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())]
+    (marks_col,) = C.fresh(docs, "__marks")
+    marks = found.groupBy(id_col).agg(F.collect_list(packed).alias(marks_col))
+    counts = counts or digest
+    own = ["n_words", "n_removed"] if counts else []
+    names = [id_col, text_col] if digest else [c for c in docs.columns if c.lower() not in own]
+    fields = [T.StructField(c, T.LongType()) for c in own]
     if digest:
-        schema = T.StructType([docs.schema[id_col], *counts, T.StructField("kept_sha256", T.StringType())])
+        schema = T.StructType([docs.schema[id_col], *fields, T.StructField("kept_sha256", T.StringType())])
     else:
-        schema = T.StructType([*docs.select(*names).schema.fields, *counts])
+        schema = T.StructType([*docs.select(*names).schema.fields, *fields])
 
     def run(batches):
         for b in batches:
@@ -268,13 +406,34 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                     keep = np.concatenate([[True], ~gone])
                     spans = zip(np.concatenate([[0], starts])[keep], edges[keep])
                     out.append(b"".join(raw[a:z] for a, z in spans).decode())
+            values = {"n_words": words_n, "n_removed": removed} if counts else {}
             if digest:
-                yield C.arrow_rows(schema, **{id_col: b.column(0), "n_words": words_n, "n_removed": removed, "kept_sha256": out})
+                yield C.arrow_rows(schema, **{id_col: b.column(0), **values, "kept_sha256": out})
             else:
-                cols = {n: b.column(i) for i, n in enumerate(names)} | {text_col: pa.array(out, pa.string())}
-                yield C.arrow_rows(schema, **cols, n_words=words_n, n_removed=removed)
-
-    return docs.select(*names).join(marks, id_col, "left").select(*names, "__marks").mapInArrow(C.tidy(run), schema)
+                yield C.arrow_rows(schema, **({n: b.column(i) for i, n in enumerate(names)} | {text_col: pa.array(out, pa.string())} | values))
+
+    return docs.select(*names).join(marks, id_col, "left").select(*names, marks_col).mapInArrow(C.tidy(run), schema)
+
+
+#: Words are found with a pattern, windows are lists of 13 of them.
+OP5_SQL = """
+with words as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w from documents
+), windows as (
+    select doc_id, s as start, array_to_string(w[s : s + 12], ' ') as passage
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) as s from words)
+), firsts as (
+    select passage, min(doc_id) as least from windows group by passage
+), gone as (
+    select distinct x.doc_id, x.start + d.j as place
+    from windows x join firsts f on x.passage = f.passage and x.doc_id > f.least, (select unnest(range(0, 13)) as j) d
+), lost as (
+    select doc_id, list(place) as places from gone group by doc_id
+)
+select k.doc_id, len(k.w)::bigint as n_words, coalesce(len(l.places), 0)::bigint as n_removed,
+    sha256(array_to_string(case when l.places is null then k.w else list_filter(k.w, lambda x, i: not list_contains(l.places, i)) end, ' ')) as kept_sha256
+from words k left join lost l on k.doc_id = l.doc_id
+"""
 
 
 def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:

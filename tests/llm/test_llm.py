@@ -399,6 +399,27 @@ def test_substrings(spark, group):
             assert r["n_removed"] or r["text"] == texts[r["doc_id"]]
 
 
+def test_word_codes_and_deep_nodes():
+    rng = random.Random(3)
+    words = [rng.choice("abc") for _ in range(400)]
+    _, _, buf, offs = next(common.text_slices(pa.array([" ".join(words)])))
+    codes = substring_dedup.word_codes(buf, *common.word_bounds(buf, offs)[:2])
+    assert [codes[i] == codes[0] for i in range(400)] == [w == words[0] for w in words]
+    start, doc = np.arange(396), np.array([rng.randrange(9) for _ in range(396)])
+    order, head = substring_dedup.deep_nodes(codes, np.zeros(396, np.int64), start, doc, 5)
+    nodes = [order[a:z] for a, z in zip(head, head[1:])]
+    assert len({tuple(words[i : i + 5]) for i in start}) == len(nodes)
+    assert all(len({tuple(words[i : i + 5]) for i in n}) == 1 and (np.diff(doc[n]) >= 0).all() for n in nodes)
+
+
+def test_repeats_keep_columns_with_the_same_names(odd):
+    clash = odd.withColumns({"n_words": F.lit("mine"), "N_removed": F.lit(1), "__marks": F.lit(2)})
+    out = substring_dedup.remove_repeats(clash)
+    assert out.columns == [*[c for c in clash.columns if c.lower() not in ("n_words", "n_removed")], "n_words", "n_removed"] and out.count() == odd.count()
+    kept = substring_dedup.remove_repeats(clash, counts=False)
+    assert kept.columns == clash.columns and {r["n_words"] for r in kept.collect()} == {"mine"}
+
+
 def test_substrings_odd(odd, empty):
     out = substring_dedup.remove_repeats(odd).select(*odd.columns, "n_words", "n_removed").collect()
     assert len(out) == odd.count()
