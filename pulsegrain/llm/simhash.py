@@ -17,7 +17,11 @@ from pyspark.sql import types as T
 
 from . import common as C
 from .components import connected_components
+from .near_copies import near_copies
 
+#: Bits in which linked fingerprints may differ: dense segments are covered by
+#: points one bit away, which is exact for two.
+DISTANCE = 2
 #: A segment's value with more fingerprints than this is not paired up.
 DENSE = 16
 
@@ -62,20 +66,18 @@ def _segments(distance: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
-def hamming_links(reps: DataFrame, distance: int = 2, dense: int = DENSE) -> DataFrame:
+def hamming_links(reps: DataFrame, dense: int = DENSE) -> DataFrame:
     """Links (a, b) that connect every two rows of reps (node, fp; fp distinct)
-    whose fingerprints differ in at most `distance` bits.
+    whose fingerprints differ in at most DISTANCE bits.
 
     A segment value that at most `dense` fingerprints share is paired up, under
     the chain condition. Denser values would give pairs with the square of
-    their size; there (distance 2) every fingerprint is written at the points
+    their size; there every fingerprint is written at the points
     one bit away from it that keep the segment. Two fingerprints differ in at
     most two bits outside it exactly if they share such a point, and no point
     has more than 65 fingerprints; each point links its fingerprints in a star.
     """
-    if distance != 2:
-        raise ValueError("distance must be 2: dense segments are covered by one-bit points")
-    masks = _segments(distance)
+    masks = _segments(DISTANCE)
     n = len(masks)
     keyed = reps.select("node", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), F.col("fp").bitwiseAND(F.lit(m)).alias("val")) for i, m in enumerate(masks)])).alias("k")).select("node", "fp", "k.seg", "k.val")
     crowd = keyed.groupBy("seg", "val").count().where("count > 1")
@@ -89,7 +91,7 @@ def hamming_links(reps: DataFrame, distance: int = 2, dense: int = DENSE) -> Dat
         chain = chain & (F.bit_count(x.bitwiseAND(run)) <= length - 1)
     pairs = (
         small.alias("l").join(small.alias("r"), (F.col("l.seg") == F.col("r.seg")) & (F.col("l.val") == F.col("r.val")) & (F.col("l.fp") < F.col("r.fp")) & chain)
-        .where(F.bit_count(x) <= distance)
+        .where(F.bit_count(x) <= DISTANCE)
         .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
     )
     flips = F.array(*[F.lit(0).cast("long")], *[F.lit((1 << j) - (1 << 64) if j == 63 else 1 << j).cast("long") for j in range(64)])
@@ -100,11 +102,11 @@ def hamming_links(reps: DataFrame, distance: int = 2, dense: int = DENSE) -> Dat
     return pairs.unionByName(stars).distinct()
 
 
-def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """Fingerprint and near-duplicate component of every row.
 
     Returns id, fp (long), component_id: the smallest id that links of at most
-    `distance` bits reach. One row for each input row. Null and empty texts
+    two bits reach. One row for each input row. Null and empty texts
     have fingerprint zero and are linked like any other; rows with a null id
     link nothing and have a null component. Rows of one id are one node. Extra
     columns are ignored.
@@ -115,18 +117,31 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     # an id with several texts ties its fingerprints together
     ids = fps.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("fp").alias("x"), F.max("fp").alias("fp")).where("x != fp").select(id_col)
     tied = fps.join(ids, id_col).join(reps, "fp").select(F.col(id_col).alias("a"), F.col("node").alias("b"))
-    links = hamming_links(reps, distance).unionByName(tied)
+    links = hamming_links(reps).unionByName(tied)
     comps = connected_components(links)
     roots = reps.join(comps, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     out = fps.join(roots, "fp", "left")
     return out.select(id_col, "fp", F.when(F.col(id_col).isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
+def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, percent: int | None = None) -> DataFrame:
     """docs without near duplicates: of each component the smallest id stays.
-    Rows with a null id stay; of rows with one id and fingerprint one stays.
-    Empty texts are one component like any other."""
-    comps = simhash_components(docs.select(id_col, text_col), id_col=id_col, text_col=text_col, shingle=shingle, distance=distance)
+
+    Texts are linked by fingerprints that differ in two bits at most or, with
+    `percent`, by shingle sets of at least that Jaccard similarity: 64 bits
+    cannot tell those (texts of similarity 0.8 are 10 bits apart on average, and
+    up to 20), so there the pigeonring filter works on sketches of the sets and
+    every link is checked exactly.
+
+    Rows with a null id stay; of rows with one id one stays. Null and empty
+    texts are one component like any other. Columns pass through, whatever
+    their names; an empty table stays empty.
+    """
+    own = docs.select(id_col, text_col)
+    if percent is None:
+        comps = simhash_components(own, id_col=id_col, text_col=text_col, shingle=shingle)
+    else:
+        comps = near_copies(own, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent)
     keep = comps.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
     kept = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)

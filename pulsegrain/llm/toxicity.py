@@ -272,9 +272,9 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
     return model
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 1200, threshold: float = 0.7) -> DataFrame:
-    """docs with `score` and `predicted` appended (their own columns stay;
-    columns of those names are replaced).
+def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 1200, threshold: float = 0.7, score_col: str = "score", predicted_col: str = "predicted") -> DataFrame:
+    """docs with score_col and predicted_col appended (other columns stay;
+    columns of those names give way).
 
     Labels are learnt from at most per_class rows of either label that `train`
     (on the labels table) allows. Every window of the whole text is scored and
@@ -283,17 +283,17 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, *, id_col:
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit(training_texts(docs, labels, label_col, train, per_class, id_col, text_col)))
-    source = docs.drop("score", "predicted")
-    schema = T.StructType([*source.schema.fields, T.StructField("score", T.DoubleType())])
+    source = docs.drop(score_col, predicted_col)
+    schema = T.StructType([*source.schema.fields, T.StructField(score_col, T.DoubleType())])
     names, at = source.columns, source.columns.index(text_col)
 
     def run(batches):
         for b in batches:
             for lo, hi, buf, offs in C.text_slices(b.column(at)):
                 part = b.slice(lo, hi - lo)
-                yield C.arrow_rows(schema, **{n: part.column(i) for i, n in enumerate(names)}, score=score_slice(buf, offs, model.value))
+                yield C.arrow_rows(schema, **{n: part.column(i) for i, n in enumerate(names)}, **{score_col: score_slice(buf, offs, model.value)})
 
-    return source.mapInArrow(C.tidy(run), schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return source.mapInArrow(C.tidy(run), schema).withColumn(predicted_col, (F.col(score_col) >= threshold).cast("int"))
 
 
 def op8_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -278,7 +278,7 @@ def test_near_copies_equal_brute_force(spark, odd, empty, dense):
     assert {r["doc_id"]: r["component_id"] for r in near_copies.near_copies(df, dense=dense).collect()} == want
     assert 5 < len(set(want.values())) < len(want) - 50
     if dense == 16:
-        assert near_copies.without_near_copies(odd).columns == odd.columns and near_copies.without_near_copies(empty).count() == 0
+        assert simhash.near_dedup(odd, shingle=5, percent=80).columns == odd.columns and simhash.near_dedup(empty, shingle=5, percent=80).count() == 0
 
 
 def test_near_duplicates_stage_takes_one_changed_word(spark, sf_dir):
@@ -710,8 +710,8 @@ def test_pipeline(spark, sf_dir, docs):
         if name == "toxicity":
             assert sizes[-1] >= 0.8 * docs.count()
         elif name == "near_duplicates":
-            comps = {r["component_id"] for r in simhash.simhash_components(before).collect()}
-            assert {r["doc_id"] for r in now.collect()} == comps
+            want = _near([(r["doc_id"], r["text"]) for r in before.collect()])
+            assert {r["doc_id"] for r in now.collect()} == set(want.values())
         elif name == "substrings":
             want = _kept([(r["doc_id"], r["text"]) for r in before.collect()])
             for r in now.collect():
@@ -720,3 +720,25 @@ def test_pipeline(spark, sf_dir, docs):
             assert all(not pii.base_spans(r["text"]) for r in now.collect())
     assert {r["doc_id"] for r in now.select("doc_id").distinct().collect()} == {r["doc_id"] for r in before.select("doc_id").collect()}
     _check_packing(now.collect(), 4096)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_take_odd_inputs(spark, sf_dir, odd, empty, name, stage):
+    columns = odd.columns
+    for df in (odd, empty):
+        out = stage(spark, df, sf_dir)
+        if name != "packing":
+            assert out.columns == columns
+        rows = out.collect()
+        if df is empty:
+            assert not rows
+            continue
+        ids = {r["doc_id"] for r in rows}
+        if name == "near_duplicates":
+            assert ids == {1, 2, 5, 7, 8, 9, 10, 11, None} and len(rows) == 10
+        else:
+            assert ids == {r["doc_id"] for r in df.collect()}
+        if name != "packing":
+            assert {r["score"] for r in rows} == {"x"} and {r["anchor"] for r in rows} == {"x"}
+
+
