@@ -2,11 +2,12 @@
 
 A modified Kneser-Ney model of byte n-grams for each language is counted and
 smoothed by Spark over every text. Its n-grams are packed into longs, so that
-suffixes and contexts are shifts and masks. The finished probabilities are
-small against the corpus (they follow the distinct n-grams, which level off);
-behind a check of their number they go out as sorted hash arrays, and beyond
-it scoring is a keyed join. Each language's documents with a perplexity far
-from the middle, up or down, are rejected.
+suffixes and contexts are shifts and masks. Texts fall into two folds by a hash
+of what they say, and each fold is scored by the model of the other one, so that
+neither a text nor its copies vouch for themselves. Only the n-grams that the
+texts hold are scored; behind a check of their number these probabilities go out
+as sorted hash arrays, and beyond it scoring is a keyed join. Documents with a
+perplexity outside their language's band, up or down, are rejected.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 from . import common as C
 from .text_stats import rule_counts
 
-ORDER = 5
+ORDER = 4
 #: Broadcast at most this many n-grams (12 bytes each); beyond, join.
 BROADCAST_GRAMS = 6_000_000
 _FOLD = np.arange(256, dtype=np.uint64)
@@ -48,192 +49,217 @@ def _merge(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarra
     return g[head], np.add.reduceat(c, head)
 
 
+def fold_of(text_col: str):
+    """0 or 1, by what the text says."""
+    return F.pmod(F.xxhash64(F.col(text_col)), F.lit(2)).cast("int")
+
+
 def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDER) -> DataFrame:
-    """(lang, gram, n) over all texts; a null lang is ''. Tasks add up what
-    they read before anything is shuffled."""
-    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
+    """(lang, fold, gram, n) over all texts; a null lang is ''. Tasks add up
+    what they read before anything is shuffled."""
+    schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("fold", T.IntegerType()), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches):
-        held: dict[str, tuple[list, list]] = {}
+        held: dict[tuple, tuple[list, list]] = {}
 
-        def out(lang):
-            g, c = _merge(*held.pop(lang))
+        def out(key):
+            g, c = _merge(*held.pop(key))
             for lo in range(0, len(g), 50_000):
                 part = g[lo : lo + 50_000]
-                yield C.arrow_rows(schema, lang=[lang] * len(part), gram=part.view(np.int64), n=c[lo : lo + 50_000])
+                yield C.arrow_rows(schema, lang=[key[0]] * len(part), fold=[key[1]] * len(part), gram=part.view(np.int64), n=c[lo : lo + 50_000])
 
         for b in batches:
-            langs = b.column(0).cast(pa.string()).fill_null("").dictionary_encode()
-            codes, names = np.asarray(langs.indices), langs.dictionary.to_pylist()
-            for i, lang in enumerate(names):
-                for _, _, buf, offs in C.text_slices(b.column(1).take(pa.array(np.flatnonzero(codes == i)))):
+            for key, rows in _groups(b.column(0), b.column(1)):
+                for _, _, buf, offs in C.text_slices(b.column(2).take(rows)):
                     g, _ = _packed(buf, offs, order)
                     if not len(g):
                         continue
                     g, c = np.unique(g, return_counts=True)
-                    own = held.setdefault(lang, ([], []))
+                    own = held.setdefault(key, ([], []))
                     own[0].append(g)
                     own[1].append(c)
                     if sum(map(len, own[0])) > 1_000_000:
                         g, c = _merge(*own)
-                        held[lang] = ([g], [c])
+                        held[key] = ([g], [c])
                         if len(g) > 500_000:
-                            yield from out(lang)
-        for lang in list(held):
-            yield from out(lang)
-
-    return docs.select(F.col(lang_col), F.col(text_col)).mapInArrow(C.tidy(run), schema).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-
-
-def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, logp): log2 probability of the last byte of every counted
-    n-gram after the others, by modified Kneser-Ney smoothing. Lower orders
-    count distinct left contexts; each order and language has three discounts
-    from its counts of counts."""
+                            yield from out(key)
+        for key in list(held):
+            yield from out(key)
+
+    source = docs.select(F.col(lang_col), fold_of(text_col), F.col(text_col))
+    return source.mapInArrow(C.tidy(run), schema).groupBy("lang", "fold", "gram").agg(F.sum("n").alias("n"))
+
+
+def _groups(langs: pa.Array, folds: pa.Array):
+    """((lang, fold), rows) of a batch."""
+    langs = langs.cast(pa.string()).fill_null("").dictionary_encode()
+    codes, names = np.asarray(langs.indices) * 2 + folds.to_numpy(), langs.dictionary.to_pylist()
+    for code in np.unique(codes):
+        yield (names[code // 2], int(code % 2)), pa.array(np.flatnonzero(codes == code))
+
+
+def crossed(counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, fold, gram, logp): log2 probability of the last byte of every
+    n-gram of a fold after its others, under the other fold's interpolated
+    modified Kneser-Ney model. Lower orders count distinct left contexts; each
+    order, language and fold has three discounts from its counts of counts. What
+    the model has not seen falls back on the lower order, at last on 1/256."""
+    own = ["lang", "fold"]
+    other = (1 - F.col("fold")).alias("fold")
     tables = {order: C.materialise(counts, "grams")}
     for n in range(order - 1, 0, -1):
         short = F.col("gram").bitwiseAND(F.lit((1 << (8 * n)) - 1))
-        tables[n] = C.materialise(tables[n + 1].groupBy("lang", short.alias("gram")).agg(F.count("*").alias("n")), "grams")
-    alphabet = tables[1].groupBy("lang").agg(F.count("*").alias("size"))
+        tables[n] = C.materialise(tables[n + 1].groupBy(*own, short.alias("gram")).agg(F.count("*").alias("n")), "grams")
     lower = None
     for n in range(1, order + 1):
         t = tables[n]
         ones = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
-        cc = t.groupBy("lang").agg(*ones)
+        cc = t.groupBy(*own).agg(*ones)
         y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(F.lit(0.5))
         ratio = lambda a, b: F.when(F.col(b) > 0, F.col(a) / F.when(F.col(b) > 0, F.col(b))).otherwise(F.lit(1.0))  # noqa: E731, B023
         d = cc.select(
-            "lang",
+            *own,
             F.greatest(F.lit(0.05), F.least(F.lit(1.0), 1 - 2 * y * ratio("n2", "n1"))).alias("d1"),
             F.greatest(F.lit(0.05), F.least(F.lit(2.0), 2 - 3 * y * ratio("n3", "n2"))).alias("d2"),
             F.greatest(F.lit(0.05), F.least(F.lit(3.0), 3 - 4 * y * ratio("n4", "n3"))).alias("d3"),
         )
-        t = t.withColumn("ctx", F.shiftrightunsigned("gram", 8)).join(F.broadcast(d), "lang")
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        t = t.withColumn("off", F.least(off, F.col("n").cast("double")))
-        ctx = t.groupBy("lang", "ctx").agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
-        t = t.join(ctx, ["lang", "ctx"])
-        own, rest = (F.col("n") - F.col("off")) / F.col("total"), F.col("mass") / F.col("total")
+        model = t.join(F.broadcast(d), own).withColumn("off", F.least(off, F.col("n").cast("double")))
+        contexts = model.groupBy(*own, F.shiftrightunsigned("gram", 8).alias("ctx")).agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
+        seen = model.select("lang", other, "gram", (F.col("n") - F.col("off")).alias("left"))
+        asked = t.select(*own, "gram", F.shiftrightunsigned("gram", 8).alias("ctx")).join(seen, [*own, "gram"], "left")
+        asked = asked.join(contexts.select("lang", other, "ctx", "total", "mass"), [*own, "ctx"], "left")
+        known, rest = F.coalesce(F.col("left") / F.col("total"), F.lit(0.0)), F.coalesce(F.col("mass") / F.col("total"), F.lit(1.0))
         if n == 1:
-            # the lowest order falls back on the language's alphabet
-            p = t.join(F.broadcast(alphabet), "lang").select("lang", "gram", (own + rest / F.col("size")).alias("p"))
+            p = asked.select(*own, "gram", (known + rest / 256).alias("p"))
         else:
-            low = lower.select("lang", F.col("gram").alias("low"), F.col("p").alias("q"))
-            t = t.withColumn("low", F.col("gram").bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1)))
-            p = t.join(low, ["lang", "low"]).select("lang", "gram", (own + rest * F.col("q")).alias("p"))
+            low = lower.select(*own, F.col("gram").alias("low"), F.col("p").alias("q"))
+            asked = asked.withColumn("low", F.col("gram").bitwiseAND(F.lit((1 << (8 * (n - 1))) - 1)))
+            p = asked.join(low, [*own, "low"]).select(*own, "gram", (known + rest * F.col("q")).alias("p"))
         lower = C.materialise(p, "probabilities")
-    return lower.select("lang", "gram", F.log2("p").alias("logp"))
+    return lower.select(*own, "gram", F.log2("p").cast("float").alias("logp"))
 
 
-def _keys(lang: str, grams: np.ndarray) -> np.ndarray:
-    salt = np.uint64(0)
+def _keys(lang: str, fold: int, grams: np.ndarray) -> np.ndarray:
+    salt = fold + 1
     for byte in lang.encode():
-        salt = np.uint64((int(salt) * 0x100000001B3 + byte + 1) & (2**64 - 1))
+        salt = (salt * 0x100000001B3 + byte + 1) & (2**64 - 1)
     return C.mix(grams ^ C.mix(np.array([salt], np.uint64))[0])
 
 
 def _arrays(model: DataFrame) -> C.HashIndex:
-    table = model.toArrow()
-    lang, gram, logp = table.column("lang").to_pylist(), table.column("gram").to_numpy().view(np.uint64), table.column("logp").to_numpy()
-    lang = np.array(lang, object)
-    keys = np.zeros(len(gram), np.uint64)
-    for name in set(lang.tolist()):
-        keys[lang == name] = _keys(name, gram[lang == name])
-    return C.HashIndex(keys, logp.astype(np.float32))
+    """The model as hash arrays; tasks make the keys, 12 bytes an n-gram come here."""
+    schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("logp", T.FloatType())])
+
+    def run(batches):
+        for b in batches:
+            for key, rows in _groups(b.column(0), b.column(1)):
+                grams = b.column(2).take(rows).to_numpy().view(np.uint64)
+                yield C.arrow_rows(schema, key=_keys(*key, grams).view(np.int64), logp=b.column(3).take(rows))
+
+    table = model.select("lang", "fold", "gram", "logp").mapInArrow(C.tidy(run), schema).toArrow()
+    return C.HashIndex(table.column(0).to_numpy().view(np.uint64), table.column(1).to_numpy())
 
 
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 def _scored(docs: DataFrame, model: DataFrame, id_col: str, text_col: str, lang_col: str, order: int, broadcast_grams: int) -> DataFrame:
-    """id, lang, the counts, and bits: mean -log2 p of the text's bytes."""
+    """id, lang, the counts, length (bytes), and bits: mean -log2 p of the bytes."""
     spark = docs.sparkSession
-    fields = [docs.schema[id_col], T.StructField("lang", T.StringType()), *[T.StructField(c, T.LongType()) for c in _COUNTS]]
-    source = docs.select(id_col, lang_col, text_col)
+    fields = [docs.schema[id_col], T.StructField("lang", T.StringType()), *[T.StructField(c, T.LongType()) for c in (*_COUNTS, "length")]]
+    source = docs.select(id_col, lang_col, fold_of(text_col), text_col)
     small = model.count() <= broadcast_grams
     if small:
         index = spark.sparkContext.broadcast(_arrays(model))
         schema = T.StructType([*fields, T.StructField("bits", T.DoubleType())])
     else:
         grams = T.ArrayType(T.StructType([T.StructField("gram", T.LongType()), T.StructField("times", T.LongType())]))
-        schema = T.StructType([*fields, T.StructField("length", T.LongType()), T.StructField("grams", grams)])
+        schema = T.StructType([*fields, T.StructField("fold", T.IntegerType()), T.StructField("grams", grams)])
 
     def run(batches):
         for b in batches:
-            langs = b.column(1).cast(pa.string()).fill_null("").dictionary_encode()
-            codes, names = np.asarray(langs.indices), langs.dictionary.to_pylist()
-            for i, lang in enumerate(names):
-                rows = pa.array(np.flatnonzero(codes == i))
+            for (lang, fold), rows in _groups(b.column(1), b.column(2)):
                 ids = b.column(0).take(rows)
-                for lo, hi, buf, offs in C.text_slices(b.column(2).take(rows)):
+                for lo, hi, buf, offs in C.text_slices(b.column(3).take(rows)):
                     c = rule_counts(buf, offs)
-                    out = {id_col: ids.slice(lo, hi - lo), "lang": [lang] * (hi - lo)} | {k: c[k] for k in _COUNTS}
-                    g, doc = _packed(buf, offs, order)
+                    g, _ = _packed(buf, offs, order)
                     size = np.diff(offs)
+                    out = {id_col: ids.slice(lo, hi - lo), "lang": [lang] * (hi - lo), "length": size} | {k: c[k] for k in _COUNTS}
                     if small:
-                        at = index.value.find(_keys(lang, g))
+                        at = index.value.find(_keys(lang, fold, g))
                         total = np.zeros(len(g) + 1)
                         np.cumsum(index.value.values[0][at], out=total[1:], dtype=np.float64)
                         out["bits"] = np.where(size > 0, -(total[offs[1:]] - total[offs[:-1]]) / np.maximum(size, 1), 0.0)
                     else:
-                        out["length"], lists = size, []
+                        lists = []
                         for a, z in zip(offs[:-1], offs[1:]):
                             u, n = np.unique(g[a:z], return_counts=True)
                             lists.append([{"gram": x, "times": y} for x, y in zip(u.view(np.int64).tolist(), n.tolist())])
-                        out["grams"] = lists
+                        out |= {"fold": [fold] * (hi - lo), "grams": lists}
                     yield C.arrow_rows(schema, **out)
 
     if small:
         return source.mapInArrow(C.tidy(run), schema)
     rows = C.materialise(source.mapInArrow(C.tidy(run), schema).withColumn("__row", F.monotonically_increasing_id()), "grams")
-    parts = rows.select("__row", "lang", F.explode("grams").alias("g")).select("__row", "lang", "g.gram", "g.times")
-    sums = parts.join(model, ["lang", "gram"]).groupBy("__row").agg(F.sum(F.col("logp") * F.col("times")).alias("s"))
+    parts = rows.select("__row", "lang", "fold", F.explode("grams").alias("g")).select("__row", "lang", "fold", "g.gram", "g.times")
+    sums = parts.join(model, ["lang", "fold", "gram"]).groupBy("__row").agg(F.sum(F.col("logp").cast("double") * F.col("times")).alias("s"))
     bits = F.when(F.col("length") > 0, -F.col("s") / F.col("length")).otherwise(0.0)
-    return rows.join(sums, "__row", "left").select(id_col, "lang", *_COUNTS, bits.alias("bits"))
+    return rows.join(sums, "__row", "left").select(id_col, "lang", *_COUNTS, "length", bits.alias("bits"))
 
 
-def perplexity_bands(scored: DataFrame, width: float, floor: float = 0.05, step: float = 0.002, least: int = 100) -> DataFrame:
-    """(lang, low, high) of bits: median -+ width robust deviations, from a
-    histogram of all scored documents (bounded by its step, exact at any size).
-    Languages with fewer than `least` documents have no band."""
-    hist = scored.groupBy("lang", F.floor(F.col("bits") / step).cast("long").alias("bin")).count()
-    total = hist.groupBy("lang").agg(F.sum("count").alias("all"))
+def perplexity_bands(scored: DataFrame, floor: float = 0.02, prior: float = 2.0, vague: float = 4.0, step: float = 0.002) -> DataFrame:
+    """(lang, middle, noise, floor): a language's median bits, and what a text's
+    bits may stray from it: noise over the root of its bytes, and floor. noise is
+    the robust deviation of (bits - median) times that root, both from histograms
+    of all scored documents (bounded by their steps, exact at any size). The floor
+    has the weight of `prior` documents that stray `vague` bits, so that a
+    language with few documents rejects next to nothing."""
     from pyspark.sql.window import Window
 
-    def middle(h: DataFrame, value: str, name: str) -> DataFrame:
-        # at most a few thousand bins for each language
-        w = Window.partitionBy("lang").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-        return h.withColumn("upto", F.sum("count").over(w)).join(total, "lang").where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min(value).alias(name))
+    total = scored.groupBy("lang").agg(F.count("*").alias("all"))
+
+    def middle(rows: DataFrame, value, name: str) -> DataFrame:
+        # at most some thousand bins for each language
+        hist = rows.groupBy("lang", F.floor(value).cast("long").alias("bin")).agg(F.count("*").alias("count"))
+        w = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        hist = hist.withColumn("upto", F.sum("count").over(w)).join(total, "lang")
+        return hist.where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min("bin").alias(name))
 
-    mid = middle(hist, "bin", "median")
-    away = hist.join(mid, "lang").groupBy("lang", F.abs(F.col("bin") - F.col("median")).alias("far")).agg(F.sum("count").alias("count"))
-    mad = middle(away, "far", "mad")
-    spread = F.greatest(F.col("mad") * step * 1.4826, F.lit(floor)) * width
-    center = (F.col("median") + 0.5) * step
-    return mid.join(mad, "lang").join(total, "lang").where(F.col("all") >= least).select("lang", (center - spread).alias("low"), (center + spread).alias("high"))
+    mid = C.materialise(middle(scored, F.col("bits") / step, "bin").select("lang", ((F.col("bin") + 0.5) * step).alias("middle")), "middles")
+    strays = scored.join(F.broadcast(mid), "lang")
+    spread = middle(strays, F.abs(F.col("bits") - F.col("middle")) * F.sqrt("length") * 50, "far")
+    wide = floor + prior * vague / (F.col("all") + prior)
+    return mid.join(spread, "lang").join(total, "lang").select("lang", "middle", (1.4826 * (F.col("far") + 0.5) / 50).alias("noise"), wide.alias("floor"))
 
 
 def quality_rules(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER, width: float = 12.0, min_words: int = 50, repeat_percent: int = 50, broadcast_grams: int = BROADCAST_GRAMS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER, upper: float = 6.0, lower: float = 5.0, min_words: int = 50, repeat_percent: int = 50, broadcast_grams: int = BROADCAST_GRAMS
 ) -> DataFrame:
     """Counts and verdict of every text.
 
     Returns id, the five counts, base_failed, kept, lang and bits (the log2 of
     the text's perplexity for a byte). base_failed: fewer than min_words words,
     or over repeat_percent of the words in repeated 3-word windows. kept: not
-    base_failed and inside the language's perplexity band. The bands come from
-    the documents that the base rules keep; a language with fewer than 100 of
-    them has none and rejects nothing. A null text is empty (base_failed); a
-    null language is a language of its own. One row for each input row.
+    base_failed and inside the language's perplexity band, whose edges are
+    `upper` and `lower` deviations from its middle (perplexity_bands; they come
+    from the documents that the base rules keep).
+
+    One row for each input row; repeated rows are judged alike. A null text is
+    empty (base_failed); a null language is a language of its own; a null id
+    stays null. An empty table gives an empty result. Columns beside the three
+    named play no part, whatever their names. A text is read whole by one task.
     """
-    model = kneser_ney(count_grams(docs, text_col, lang_col, order), order)
+    docs = docs.select(id_col, lang_col, text_col)
+    model = crossed(count_grams(docs, text_col, lang_col, order), order)
     scored = _scored(docs, model, id_col, text_col, lang_col, order, broadcast_grams)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     scored = C.materialise(scored.withColumn("base_failed", failed), "scored")
-    bands = perplexity_bands(scored.where(~F.col("base_failed")), width)
+    bands = perplexity_bands(scored.where(~F.col("base_failed")))
     out = scored.join(F.broadcast(bands), "lang", "left")
-    inside = F.coalesce(F.col("bits").between(F.col("low"), F.col("high")), F.lit(True))
-    return out.select(id_col, *_COUNTS, "base_failed", (~F.col("base_failed") & inside).alias("kept"), "lang", "bits")
+    may = F.sqrt(F.col("noise") ** 2 / F.greatest("length", F.lit(1)) + F.col("floor") ** 2)
+    inside = (F.col("bits") <= F.col("middle") + upper * may) & (F.col("bits") >= F.col("middle") - lower * may)
+    return out.select(id_col, *_COUNTS, "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "lang", "bits")
 
 
 def op7_quality_rules(spark, sf_dir: str) -> DataFrame:
