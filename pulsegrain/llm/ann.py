@@ -2,10 +2,16 @@
 
 A bounded sample is halved again and again at medians, so that its cells are
 equal in size; their means are the centroids. A vector is posted to its
-nearest centroid and, near a boundary, to others almost as near that are not
-closer to one already chosen. A graph of the centroids, small enough for
-memory, is searched to find them. A query reads the lists whose centroid is at
-most `ratio` times as far as its nearest one, as blocks that meet in tasks.
+nearest centroid and, near a boundary, to others almost as near. A graph of the
+centroids, small enough for memory, is searched to find them. A query reads the
+lists whose centroid is at most a ratio times as far as its nearest one; the
+ratio is the least that reaches a wanted recall for a bounded number of
+questions that are answered by brute force beforehand.
+
+The number of centroids in memory is bounded. Lists that are long in spite of
+them have centroids of their own, fitted and used where the list's vectors are,
+and are read in parts by the same rule, so that what a query scans does not
+grow with the table.
 
 Equal vectors are one class: the index holds one copy, and as many of the
 smallest ids as an answer can use. Largest inner product becomes smallest
@@ -26,14 +32,19 @@ from pyspark.sql.window import Window
 from . import common as C
 
 SAMPLE = 40_000
-#: Vectors in a posting list on average, and the most centroids held in memory.
+#: Vectors in a posting list on average, without copies, and the most centroids
+#: held in memory. A list of over LONG times its usual length gets own centroids,
+#: PARTS at most; they are fitted on PART_SAMPLE vectors at most.
 LIST, CENTROIDS = 160, 8192
-#: Vectors in a block of a list, and bytes of vectors that one task holds.
-BLOCK, HELD = 4096, 32 << 20
-#: Tasks that lists are dealt to at least.
-GROUPS = 16
-#: A block's number is its list's times this plus its place in the list.
+LONG, PARTS, PART_SAMPLE = 4, 1024, 20_000
+#: Bytes of vectors that one task holds, and tasks that lists are dealt to at least.
+HELD, GROUPS = 32 << 20, 16
+#: Vectors of a long list, or questions that read it, that meet in a task.
+BLOCK = 20_000
+#: A part's number is its list's times this plus its place in the list.
 UNIT = 1 << 20
+#: Questions answered by brute force to find the ratio.
+CALIBRATED = 256
 
 
 @dataclass
@@ -93,16 +104,17 @@ class CentroidGraph:
             at, d = np.concatenate([at, more_at], 1), np.concatenate([d, more_d], 1)
             done = np.concatenate([done, np.zeros(more_at.shape, bool)], 1)
 
-    def within(self, x: np.ndarray, ratio: float, least: int = 1, beam: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def within(self, x: np.ndarray, ratio: float, least: int = 1, most: int | None = None, beam: int = 32) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, centroid, squared distance) of all centroids at most `ratio`
-        times as far as the nearest, and of the `least` nearest anyhow. The beam
-        grows until it reaches past that."""
+        times as far as the nearest, and of the `least` nearest anyhow; of these
+        the `most` nearest. The beam grows until it reaches past that."""
         rows, ats, ds = [], [], []
-        left, beam = np.arange(len(x)), max(beam, least)
+        left, beam = np.arange(len(x)), max(beam if most is None else 2 * most, least)
         while len(left):
             at, d = self.nearest(x[left], beam)
+            at, d = at[:, :most], d[:, :most]
             limit = d[:, :1] * ratio**2 + 1e-12
-            short = (d[:, -1] <= limit[:, 0]) & (at.shape[1] < len(self.centroids))
+            short = (d[:, -1] <= limit[:, 0]) & (at.shape[1] < min(len(self.centroids), most or len(self.centroids)))
             keep = ((d <= limit) | (np.arange(d.shape[1]) < least)) & ~short[:, None]
             r, c = np.nonzero(keep)
             rows.append(left[r])
@@ -177,32 +189,98 @@ def valid_vectors(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame
     return out.where(~F.exists("v", bad) & F.exists("v", lambda x: x != 0)).dropDuplicates(["id", "v"])
 
 
+def calibrate(classes: DataFrame, graph, dim: int, k: int, boundary: float, replicas: int, recall: float, asked: int = CALIBRATED) -> float:
+    """The least ratio by which that share of the k nearest of `asked` classes
+    (those with the smallest hashes of a thinned set) is found. Each task keeps
+    its k best for each question; the exact answers come from those."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    n = classes.count()
+    thin = classes.where(F.pmod(F.xxhash64("cls", F.lit(31)), F.lit(1_000_003)) <= 1_000_003 * min(1.0, 4 * asked / n))
+    chosen = thin.orderBy(F.xxhash64("cls", F.lit(31)), "cls").limit(asked).toArrow()
+    questions = classes.sparkSession.sparkContext.broadcast((chosen.column("cls").combine_chunks(), _matrix(chosen.column("v"), dim)))
+    schema = T.StructType([T.StructField("q", T.IntegerType()), T.StructField("cls", classes.schema["cls"].dataType), T.StructField("score", T.DoubleType()), T.StructField("need", T.DoubleType())])
+
+    def run(batches):
+        own, x = questions.value
+        m, best, ids, vectors = len(own), np.zeros((len(own), 0)), np.zeros((len(own), 0), np.int64), np.zeros((len(own), 0, dim))
+        cls, seen = [], 0
+        for b in batches:
+            for lo in range(0, b.num_rows, 1024):
+                part = b.slice(lo, 1024)
+                v = _matrix(part.column(1), dim)
+                score = np.concatenate([best, x @ v.T], 1)
+                top = np.argsort(-score, 1, kind="stable")[:, : k + 1]
+                old = top < best.shape[1]
+                at = np.where(old, 0, top - best.shape[1])
+                cls.append(part.column(0))
+                if best.shape[1]:
+                    was = np.minimum(top, best.shape[1] - 1)
+                    ids = np.where(old, np.take_along_axis(ids, was, 1), at + seen)
+                    vectors = np.where(old[:, :, None], np.take_along_axis(vectors, was[:, :, None], 1), v[at])
+                else:
+                    ids, vectors = at + seen, v[at]
+                best = np.take_along_axis(score, top, 1)
+                seen += part.num_rows
+        if not seen:
+            return
+        g = graph.value
+        cls = pa.concat_arrays([c if isinstance(c, pa.Array) else c.combine_chunks() for c in cls])
+        row, at, _ = g.within(g.extend(vectors.reshape(-1, dim)), boundary, most=replicas)
+        ext = g.extend(x, True)
+        first = g.nearest(ext, 16)[1][:, 0]
+        q = np.repeat(np.arange(m), best.shape[1])
+        far = np.concatenate([g.distances(ext[q[row[i : i + 4096]]], at[i : i + 4096, None])[:, 0] for i in range(0, len(row), 4096)])
+        need = np.full(len(q), np.inf)
+        np.minimum.at(need, row, far)
+        hit = pa.array(ids.ravel())
+        yield C.arrow_rows(schema, q=q.astype(np.int32), cls=cls.take(hit), score=best.ravel(), need=np.sqrt(need / np.maximum(first[q], 1e-300)))
+
+    hits = classes.select("cls", "v").mapInArrow(C.tidy(run), schema)
+    mine = chosen.select(["cls"]).append_column("q", pa.array(np.arange(chosen.num_rows, dtype=np.int32)))
+    mine = classes.sparkSession.createDataFrame(mine.to_pylist(), T.StructType([T.StructField("cls", classes.schema["cls"].dataType), T.StructField("q", T.IntegerType())]))
+    hits = hits.join(F.broadcast(mine), ["cls", "q"], "left_anti")
+    w = Window.partitionBy("q").orderBy(F.desc("score"), "cls")
+    needs = hits.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= k).select("need").toArrow().column(0).to_numpy()
+    return max(1.0, float(np.quantile(needs, recall, method="higher"))) * (1 + 1e-9) if len(needs) else 1.0
+
+
 def nearest_neighbours(
-    vectors: DataFrame, queries, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, ratio: float = 1.2, least: int = 16, boundary: float = 1.05, replicas: int = 4, sample: int = SAMPLE, list_size: int = LIST
+    vectors: DataFrame, queries, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, recall: float = 0.93, ratio: float | None = None, least: int = 4, boundary: float = 1.1, replicas: int = 8, sample: int = SAMPLE, list_size: int = LIST, centroids: int = CENTROIDS
 ) -> DataFrame:
     """The k nearest rows found, by largest inner product, for each query row.
 
-    queries: boolean column over `id`. ratio bounds how much farther than the
-    nearest centroid a list may be to be read, and the `least` nearest lists are
-    read anyhow; boundary is the same for posting a vector again (replicas lists
-    at most; its nearest always). sample bounds the rows that centroids are
-    fitted on; every row is indexed. Queries whose lists hold too few vectors
-    for a full answer read all lists.
+    queries: boolean column over `id`. A list is read if its centroid is at most
+    `ratio` times as far as the nearest one (by default the ratio that `calibrate`
+    finds for `recall`); the `least` nearest lists are read anyhow. boundary is
+    the same for posting a vector, to `replicas` lists at most. sample bounds the
+    rows that centroids are fitted on, centroids their number; every row is
+    indexed. Queries whose lists hold too few vectors for a full answer read all.
 
     Returns query_id, rank (from 1), id, score, fewer than k where there are
     fewer candidates. Rows that valid_vectors drops take no part, as queries or
-    candidates; vectors whose length is not the most frequent one take no part
-    either. A row is not its own candidate, nor are rows with its id.
+    candidates. Vectors of different lengths have no inner product: each length
+    is a search of its own, and over 64 of them are an error. A row is not its
+    own candidate, nor are rows with its id; equal rows count once; ties go to
+    the smaller id. Other columns play no part; an empty table has no answers.
     """
     spark = vectors.sparkSession
     id_type = vectors.schema[id_col].dataType
-    result = T.StructType([T.StructField("query_id", id_type), T.StructField("rank", T.IntegerType()), T.StructField(id_col, id_type), T.StructField("score", T.DoubleType())])
     rows = C.materialise(valid_vectors(vectors, id_col, vector_col), "vectors")
-    dims = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
-    if dims is None:
-        return spark.createDataFrame([], result)
-    dim = int(dims["dim"])
-    rows = rows.where(F.size("v") == dim)
+    dims = [r[0] for r in rows.groupBy(F.size("v").alias("dim")).count().orderBy("dim").limit(65).collect()]
+    if len(dims) > 64:
+        raise ValueError("vectors of more than 64 lengths")
+    out = None
+    for dim in dims:
+        found = _search(rows.where(F.size("v") == dim), dim, queries, k, recall, ratio, least, boundary, replicas, sample, list_size, centroids, id_col)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame([], T.StructType([T.StructField("query_id", id_type), T.StructField("rank", T.IntegerType()), T.StructField(id_col, id_type), T.StructField("score", T.DoubleType())]))
+    return out
+
+
+def _search(rows: DataFrame, dim: int, queries, k: int, recall: float, ratio: float | None, least: int, boundary: float, replicas: int, sample: int, list_size: int, most_lists: int, id_col: str) -> DataFrame:
+    spark, id_type = rows.sparkSession, rows.schema["id"].dataType
     # a class of equal vectors: its smallest id, and the k + 1 smallest
     classes = C.materialise(rows.groupBy("v").agg(F.min("id").alias("cls")), "classes")
     top = Window.partitionBy("v").orderBy("id")
@@ -212,59 +290,60 @@ def nearest_neighbours(
 
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
     n, most = classes.agg(F.count("*"), F.max(norm)).first()
-    lists = max(1, min(CENTROIDS, -(-n // list_size)))
+    lists = max(1, min(most_lists, -(-n // list_size)))
     part = min(1.0, 1.2 * sample / n)
     chosen = classes.where(F.pmod(F.xxhash64("cls", F.lit(9)), F.lit(1_000_003)) < part * 1_000_003).select("v").limit(sample).toArrow()
     fitted = _matrix(chosen.column(0), dim) if chosen.num_rows else _matrix(classes.select("v").limit(1).toArrow().column(0), dim)
     graph = spark.sparkContext.broadcast(fit_graph(fitted, float(most) * (1 + 1e-9), lists))
+    if ratio is None:
+        ratio = calibrate(classes, graph, dim, k, boundary, replicas, recall)
 
-    posted_schema = T.StructType([T.StructField("list", T.IntegerType()), T.StructField("cls", id_type), T.StructField("v", T.ArrayType(T.DoubleType()))])
+    vector = T.ArrayType(T.DoubleType())
+    posted_schema = T.StructType([T.StructField("cls", id_type), T.StructField("v", vector), T.StructField("unit", T.LongType())])
 
     def post(batches):
         for b in batches:
             for lo in range(0, b.num_rows, 512):
                 part = b.slice(lo, 512)
-                g = graph.value
-                row, at = _spread(g, *g.within(g.extend(_matrix(part.column(1), dim)), boundary), replicas)
+                row, at, _ = graph.value.within(graph.value.extend(_matrix(part.column(1), dim)), boundary, most=replicas)
                 idx = pa.array(row)
-                yield C.arrow_rows(posted_schema, list=at.astype(np.int32), cls=part.column(0).take(idx), v=part.column(1).take(idx))
+                yield C.arrow_rows(posted_schema, cls=part.column(0).take(idx), v=part.column(1).take(idx), unit=at.astype(np.int64) * UNIT)
 
     posted = C.materialise(classes.select("cls", "v").mapInArrow(C.tidy(post), posted_schema), "postings")
-    # CENTROIDS counts at most. Long lists are several blocks; blocks are dealt to
-    # groups that fit a task, and a query meets each group once
-    counts = posted.groupBy("list").count().collect()
-    blocks = np.ones(len(graph.value.centroids), np.int64)
-    for r in counts:
-        blocks[r[0]] = -(-r[1] // BLOCK)
-    groups = max(GROUPS, -(-sum(r[1] for r in counts) * dim * 8 // HELD))
-    many = F.broadcast(spark.createDataFrame([(i, int(m)) for i, m in enumerate(blocks)], "list int, blocks int"))
-    posted = posted.join(many, "list").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    posted = posted.select("cls", "v", (F.col("list").cast("long") * UNIT + F.col("block")).alias("unit"), F.pmod(F.col("list") * 31 + F.col("block"), F.lit(groups)).cast("int").alias("grp"))
-    read_schema = T.StructType([T.StructField("cls", id_type), T.StructField("v", T.ArrayType(T.DoubleType())), T.StructField("units", T.ArrayType(T.LongType())), T.StructField("grp", T.IntegerType())])
-
-    def choose(least_lists: int):
+    counts = {r[0]: r[1] for r in posted.groupBy("unit").count().collect()}  # most_lists at most
+    usual = list_size * min(replicas, len(graph.value.centroids))
+    long = {u: c for u, c in counts.items() if c > LONG * usual}
+    parts = None
+    if long:
+        parts = _list_parts(posted, long, usual, dim)
+        posted = C.materialise(_within_parts(posted, parts, long, graph, dim, boundary, replicas, posted_schema, False), "postings")
+    groups = max(GROUPS, -(-sum(counts.values()) * (dim + 8) * 8 // HELD))
+    posted = posted.withColumn("grp", F.pmod(F.xxhash64("unit"), F.lit(groups)).cast("int"))
+
+    def choose(wanted: DataFrame, least_lists: int) -> DataFrame:
+        """(cls, v, unit) of every list that a query reads."""
+
         def run(batches):
             for b in batches:
                 for lo in range(0, b.num_rows, 512):
                     part = b.slice(lo, 512)
                     row, at, _ = graph.value.within(graph.value.extend(_matrix(part.column(1), dim), True), ratio, least_lists)
-                    times = blocks[at]
-                    row, at = np.repeat(row, times), np.repeat(at, times)
-                    block = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
-                    grp = (at * 31 + block) % groups
-                    order = np.lexsort((grp, row))
-                    row, grp, unit = row[order], grp[order], (at * UNIT + block)[order]
-                    head = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (grp[1:] != grp[:-1])))
-                    units = pa.ListArray.from_arrays(pa.array(np.append(head, len(row)).astype(np.int32)), pa.array(unit.astype(np.int64)))
-                    idx = pa.array(row[head])
-                    yield C.arrow_rows(read_schema, cls=part.column(0).take(idx), v=part.column(1).take(idx), units=units, grp=grp[head].astype(np.int32))
-
-        return run
+                    idx = pa.array(row)
+                    yield C.arrow_rows(posted_schema, cls=part.column(0).take(idx), v=part.column(1).take(idx), unit=at.astype(np.int64) * UNIT)
+
+        reads = wanted.select("cls", "v").mapInArrow(C.tidy(run), posted_schema)
+        if parts is not None:
+            # an own centroid may be as much farther again
+            wide = 1 + 2 * (ratio - 1) if least_lists < len(graph.value.centroids) else float("inf")
+            reads = _within_parts(reads, parts, long, graph, dim, wide, None, posted_schema, True)
+        # a query meets each group once
+        reads = reads.groupBy("cls", F.pmod(F.xxhash64("unit"), F.lit(groups)).cast("int").alias("grp")).agg(F.collect_set("unit").alias("units"))
+        return reads.join(wanted.select("cls", "v"), "cls")
 
     pair_schema = T.StructType([T.StructField("qcls", id_type), T.StructField("cls", id_type), T.StructField("score", T.DoubleType())])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        """The k + 1 best of a group's blocks for each query that reads any."""
+        """The k + 1 best of a group's lists for each query that reads any."""
         from pyspark.sql.pandas.types import to_arrow_schema
 
         schema = to_arrow_schema(pair_schema)
@@ -307,8 +386,7 @@ def nearest_neighbours(
         return pa.Table.from_arrays([asking.take(pa.array(q[top_])), own.take(pa.array(c[top_])), pa.array(s[top_])], schema=schema)
 
     def searched(wanted: DataFrame, least_lists: int) -> DataFrame:
-        reads = wanted.mapInArrow(C.tidy(choose(least_lists)), read_schema)
-        hits = posted.groupBy("grp").cogroup(reads.groupBy("grp")).applyInArrow(search, pair_schema)
+        hits = posted.groupBy("grp").cogroup(choose(wanted, least_lists).groupBy("grp")).applyInArrow(search, pair_schema)
         return C.materialise(hits.groupBy("qcls", "cls").agg(F.max("score").alias("score")), "pairs")
 
     questions = C.materialise(asked.groupBy("cls").agg(F.first("v").alias("v")), "questions")
@@ -316,7 +394,7 @@ def nearest_neighbours(
     enough = pairs.groupBy(F.col("qcls").alias("cls")).count().where(F.col("count") >= min(k + 1, n)).select("cls")
     short = C.materialise(questions.join(enough, "cls", "left_anti"), "short")
     if short.count():
-        pairs = pairs.join(short.select(F.col("cls").alias("qcls")), "qcls", "left_anti").unionByName(searched(short, len(blocks)))
+        pairs = pairs.join(short.select(F.col("cls").alias("qcls")), "qcls", "left_anti").unionByName(searched(short, len(graph.value.centroids)))
     best = Window.partitionBy("qcls").orderBy(F.desc("score"), "cls")
     pairs = pairs.withColumn("__r", F.row_number().over(best)).where(F.col("__r") <= k + 1).drop("__r")
     found = pairs.join(members, "cls").withColumn("__r", F.row_number().over(Window.partitionBy("qcls").orderBy(F.desc("score"), "id"))).where(F.col("__r") <= k + 1)
@@ -327,28 +405,56 @@ def nearest_neighbours(
     return out.select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("h.id").alias(id_col), F.col("h.score").alias("score"))
 
 
-def _spread(g: CentroidGraph, row, at, d, replicas: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lists of each vector: the nearest, then others in order that are nearer
-    to the vector than to any list it already has, `replicas` at most."""
-    order = np.lexsort((d, row))
-    row, at, d = row[order], at[order], d[order]
-    head = np.append(True, row[1:] != row[:-1])
-    nth = np.arange(len(row)) - np.flatnonzero(head)[np.cumsum(head) - 1]
-    keep = np.zeros(len(row), bool)
-    has = np.full((int(row.max()) + 1 if len(row) else 0, replicas), -1)
-    many = np.zeros(len(has), np.int64)
-    for turn in range(int(nth.max()) + 1 if len(nth) else 0):
-        i = np.flatnonzero((nth == turn) & (many[row] < replicas))
-        if not len(i):
-            break
-        own = has[row[i]]
-        gap = ((g.centroids[at[i]][:, None] - g.centroids[own]) ** 2).sum(2)
-        ok = ((own < 0) | (gap > d[i][:, None])).all(1)
-        i = i[ok]
-        keep[i] = True
-        has[row[i], many[row[i]]] = at[i]
-        many[row[i]] += 1
-    return row[keep], at[keep]
+def _list_parts(posted: DataFrame, long: dict[int, int], usual: int, dim: int) -> DataFrame:
+    """(unit, n, parts): the own centroids of each long list, one after another."""
+    schema = T.StructType([T.StructField("unit", T.LongType()), T.StructField("parts", T.ArrayType(T.DoubleType()))])
+
+    def fit(table: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        x = _matrix(table.column("v"), dim)
+        g = fit_graph(x, float(np.sqrt((x * x).sum(1)).max()) * (1 + 1e-9), max(2, min(PARTS, int(table.column("parts")[0].as_py()))))
+        # without the norm component, which every list would scale by itself
+        return pa.Table.from_arrays([pa.array([table.column("unit")[0].as_py()]), pa.array([g.centroids[:, :dim].ravel().tolist()])], schema=to_arrow_schema(schema))
+
+    sizes = posted.sparkSession.createDataFrame([(u, -(-c // usual), min(1.0, PART_SAMPLE / c)) for u, c in long.items()], "unit long, parts long, share double")
+    taken = posted.join(F.broadcast(sizes), "unit").where(F.pmod(F.xxhash64("cls", F.lit(17)), F.lit(1_000_003)) <= F.col("share") * 1_000_003)
+    return C.materialise(taken.groupBy("unit").applyInArrow(fit, schema), "parts")
+
+
+def _within_parts(rows: DataFrame, parts: DataFrame, long: dict[int, int], graph, dim: int, ratio: float, most: int | None, schema: T.StructType, query: bool) -> DataFrame:
+    """rows (cls, v, unit) with the units of long lists replaced by those of
+    their parts within `ratio`. Rows meet a list's centroids in blocks."""
+    spark = rows.sparkSession
+    sizes = F.broadcast(spark.createDataFrame([(u, max(1, -(-c // BLOCK))) for u, c in long.items()], "unit long, blocks long"))
+    split = rows.join(sizes, "unit").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    keyed = parts.join(sizes, "unit").select("unit", "parts", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        if not left.num_rows or not right.num_rows:
+            return to_arrow_schema(schema).empty_table()
+        own = np.asarray(right.column("parts").combine_chunks().flatten()).reshape(-1, dim)
+        top = graph.value.top
+        own = np.concatenate([own, np.sqrt(np.maximum(top**2 - (own * own).sum(1), 0))[:, None]], 1)
+        unit, takes, units = left.column("unit")[0].as_py(), [], []
+        x = graph.value.extend(_matrix(left.column("v"), dim), query)
+        for lo in range(0, len(x), 2048):
+            y = x[lo : lo + 2048]
+            d = np.maximum((y * y).sum(1)[:, None] - 2 * y @ own.T + (own * own).sum(1), 0)
+            keep = d <= d.min(1, keepdims=True) * ratio**2 + 1e-12
+            if most is not None and most < d.shape[1]:
+                keep &= d <= np.partition(d, most - 1, 1)[:, most - 1 : most]
+            r, c = np.nonzero(keep)
+            takes.append(r + lo)
+            units.append(unit + c)
+        at = pa.array(np.concatenate(takes))
+        return pa.Table.from_arrays([left.column("cls").take(at), left.column("v").take(at), pa.array(np.concatenate(units).astype(np.int64))], schema=to_arrow_schema(schema))
+
+    names = [f.name for f in schema]
+    done = split.groupBy("unit", "block").cogroup(keyed.groupBy("unit", "block")).applyInArrow(run, schema)
+    return done.select(*names).unionByName(rows.join(sizes, "unit", "left_anti").select(*names))
 
 
 def op2_ann(spark, sf_dir: str) -> DataFrame:

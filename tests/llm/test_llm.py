@@ -118,32 +118,61 @@ def test_languages_odd(odd, empty):
 
 
 # ------------------------------------------------------------------ 2
-def test_neighbours_recall_and_ties(spark):
-    rng = np.random.default_rng(4)
-    base = rng.normal(size=(12, 16))
-    x = (base[rng.integers(0, 12, 1500)] + 0.4 * rng.normal(size=(1500, 16))).astype(np.float32)
-    x[200:900:7] = x[200]  # a large class of equal vectors
-    rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    rows += [(3000, None), (3020, []), (3040, [0.0] * 16), (3060, [float("nan")] + [1.0] * 15), (3080, [None] + [1.0] * 15), (3100, [float("inf")] * 16), (3120, [1.0, 2.0]), rows[0]]
-    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumns({c: F.lit(1) for c in EXTRA})
+def _recall(x: np.ndarray, ids: np.ndarray, rows: list, k: int = 20) -> float:
     got: dict[int, list] = {}
-    for r in ann.nearest_neighbours(df, F.col("id") % 20 == 0, list_size=50, ratio=1.3).orderBy("query_id", "rank").collect():
+    for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
-    assert set(got) == set(range(0, 1500, 20))
+    place = {int(i): p for p, i in enumerate(ids)}
+    assert set(got) == {int(i) for i in ids if i % 20 == 0}
     hit = 0
     for q, hits in got.items():
-        s = x.astype(float) @ x[q].astype(float)
-        s[q] = -np.inf
-        want = np.lexsort((np.arange(1500), -s))[:20].tolist()
-        assert [h[0] for h in hits] == list(range(1, 21)) and all(abs(s[h[1]] - h[2]) < 1e-9 for h in hits)
+        s = x @ x[place[q]]
+        s[place[q]] = -np.inf
+        want = ids[np.lexsort((ids, -s))[:k]].tolist()
+        assert [h[0] for h in hits] == list(range(1, len(want) + 1)) and all(abs(s[place[h[1]]] - h[2]) < 1e-9 for h in hits)
+        assert [h[1:] for h in hits] == sorted((h[1:] for h in hits), key=lambda h: (-h[1], h[0]))
         hit += len(set(want) & {h[1] for h in hits})
-    assert hit / (20 * len(got)) >= 0.9
-    few = spark.createDataFrame(rows[:4], df.schema[:2])
-    assert ann.nearest_neighbours(few, F.lit(True)).count() == 12
+    return hit / sum(min(k, len(ids) - 1) for _ in got)
+
+
+@pytest.mark.parametrize("centroids", [8192, 3])
+def test_neighbours_recall_and_ties(spark, centroids, monkeypatch):
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(12, 16))
+    x = (base[rng.integers(0, 12, 1500)] + 0.4 * rng.normal(size=(1500, 16))).astype(np.float32)
+    x[200:900:7] = x[200]  # a large class of equal vectors
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(3000, None), (3020, []), (3040, [0.0] * 16), (3060, [float("nan")] + [1.0] * 15), (3080, [None] + [1.0] * 15), (3100, [float("inf")] * 16), rows[0]]
+    other = [(4000 + i, [float(i % 7), 1.0]) for i in range(30)]  # vectors of another length find their own
+    df = spark.createDataFrame(rows + other, "vec_id bigint, embedding array<float>").withColumns({c: F.lit(1) for c in EXTRA})
+    # with three centroids all lists are long and are read by parts
+    monkeypatch.setattr(ann, "LONG", 4 if centroids > 3 else 1)
+    monkeypatch.setattr(ann, "BLOCK", 400)
+    found = ann.nearest_neighbours(df, F.col("id") % 20 == 0, list_size=20, replicas=3, centroids=centroids).collect()
+    assert _recall(x.astype(float), np.arange(1500), [r for r in found if r["query_id"] < 3000]) >= 0.9
+    assert _recall(np.array([v for _, v in other]), np.arange(4000, 4030), [r for r in found if r["query_id"] >= 3000]) == 1
     assert ann.nearest_neighbours(df.limit(0), F.lit(True)).count() == 0
     assert ann.nearest_neighbours(df.where("vec_id > 2000 and vec_id < 3120"), F.lit(True)).count() == 0
 
 
+def test_neighbours_of_the_given_vectors(spark, monkeypatch):
+    """Recall on the table itself, by a part of its lists; vectors near a
+    boundary stand in several."""
+    spark_rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    table = spark_rows.orderBy("vec_id").toArrow()
+    x, ids = np.array(table.column("embedding").to_pylist(), float), table.column("vec_id").to_numpy()
+    ratios = []
+    calibrate = ann.calibrate
+    monkeypatch.setattr(ann, "calibrate", lambda *a, **k: ratios.append((calibrate(*a, **k), a[1].value)) or ratios[-1][0])
+    assert _recall(x, ids, ann.nearest_neighbours(spark_rows, F.col("id") % 20 == 0, list_size=20).collect()) >= 0.9
+    ratio, graph = ratios[0]
+    asked = x[ids % 20 == 0]
+    row, _, _ = graph.within(graph.extend(asked, True), ratio, 4)
+    assert len(graph.centroids) == 100 and len(row) < 0.5 * 100 * len(asked)
+    posts, _, _ = graph.within(graph.extend(x), 1.1, most=8)
+    assert len(posts) > 2 * len(x)
+
+
 def test_graph_search_finds_the_nearest():
     rng = np.random.default_rng(0)
     sample = rng.normal(size=(4000, 8))
