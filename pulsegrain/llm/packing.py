@@ -5,7 +5,9 @@ hash into shards of bounded size. Each shard is packed by several islands of
 solutions: a crossover injects whole well-filled bins of one parent into
 another, drops the bins that hold the same pieces, and puts displaced pieces
 back best fit first. Islands evolve as Spark tasks; between epochs each gets
-the elites of the others of its shard.
+the elites of the others of its shard. An island stops where no packing can
+have fewer bins. The emptiest bin of every shard is opened again and its pieces
+are packed with those of other shards, until one shard holds what is left.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark.sql import types as T
 from . import common as C
 
 CAPACITY = 4096
-#: Pieces in a shard on average; a shard's last bin is its only loss to others.
-SHARD = 4096
+#: Pieces in a shard on average, and the bins that a shard's tokens fill at least.
+SHARD, SHARD_BINS = 4096, 16
 ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 6, 5
 #: Words whose ids a task remembers.
 MEMORY = 400_000
@@ -255,8 +257,8 @@ def _mutate(bins: Bins, size: list[int], capacity: int, rng: random.Random) -> B
     return best_fit([list(b) for k, b in enumerate(bins) if k not in out], sorted(loose, key=lambda i: (-size[i], i)), size, capacity)
 
 
-def evolve(size: list[int], capacity: int, elites: list[Bins], seed: int, population: int = POPULATION, generations: int = GENERATIONS) -> Bins:
-    """Best packing after some generations; stops at the least possible bins."""
+def evolve(size: list[int], capacity: int, elites: list[Bins], seed: int, population: int = POPULATION, generations: int = GENERATIONS) -> tuple[Bins, int]:
+    """(best packing, generations run); stops at the least possible bins."""
     least = -(-sum(size) // capacity)
     rng = random.Random(seed)
     falling = sorted(range(len(size)), key=lambda i: (-size[i], i))
@@ -270,9 +272,9 @@ def evolve(size: list[int], capacity: int, elites: list[Bins], seed: int, popula
         own = best_fit([], noisy, size, capacity)
         people.append((own, _fitness(own, size, capacity)))
     people.sort(key=lambda p: p[1], reverse=True)
-    for _ in range(generations):
-        if len(people[0][0]) <= least:
-            break
+    turn = 0
+    while turn < generations and len(people[0][0]) > least:
+        turn += 1
         for _ in range(population):
             (a, fa), (b, fb) = rng.sample(people, 2) if len(people) > 1 else (people[0], people[0])
             child = crossover(a, b, size, capacity, rng)
@@ -281,7 +283,7 @@ def evolve(size: list[int], capacity: int, elites: list[Bins], seed: int, popula
             people.append((child, _fitness(child, size, capacity)))
         people.sort(key=lambda p: p[1], reverse=True)
         people = people[:population]
-    return people[0][0]
+    return people[0][0], turn
 
 
 def _bins(assign: np.ndarray) -> Bins:
@@ -292,52 +294,70 @@ def _bins(assign: np.ndarray) -> Bins:
 
 
 # ---------------------------------------------------------------- islands
-def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, shard_size: int = SHARD, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
-    """pieces (any columns, `length` among them, 1 to capacity) with
-    sequence_id and offset. Pieces of full length are sequences of their own."""
-    names = pieces.columns
-    full = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", -F.monotonically_increasing_id() - 1).withColumn("offset", F.lit(0).cast("long"))
-    rest = pieces.where(F.col("length") < capacity)
-    n_shards = max(1, -(-rest.count() // shard_size))
-    shard = F.pmod(F.xxhash64(*names), F.lit(n_shards)) if n_shards > 1 else F.lit(0).cast("long")
-    # shards hold shard_size rows on average; rows that are equal in every
-    # column would share one, so they are told apart by their place
-    spread = rest.withColumn("__i", F.monotonically_increasing_id())
-    shard = F.pmod(F.xxhash64(*names, "__i"), F.lit(n_shards))
-    items = C.materialise(spread.groupBy(shard.alias("shard")).agg(F.sort_array(F.collect_list(F.struct("length", *[n for n in names if n != "length"]))).alias("items")), "shards")
-    sizes = items.select("shard", F.transform("items", lambda x: x["length"].cast("int")).alias("sizes"))
-    out_schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("island", T.IntegerType()), T.StructField("bins", T.IntegerType()), T.StructField("fill", T.DoubleType()), T.StructField("assign", T.ArrayType(T.IntegerType()))])
+def evolve_islands(shards: DataFrame, *, capacity: int = CAPACITY, islands: int = ISLANDS, epochs: int = EPOCHS, generations: int = GENERATIONS, population: int = POPULATION, parts: int = 4096) -> DataFrame:
+    """(shard, assign, loose, generations) of shards (shard long, sizes
+    array<int>): each piece's bin, the emptiest bin, and how many generations
+    the shard's islands ran."""
+    schema = T.StructType([T.StructField("shard", T.LongType()), *[T.StructField(n, T.IntegerType()) for n in ("island", "bins", "loose", "generations")], T.StructField("fill", T.DoubleType()), T.StructField("assign", T.ArrayType(T.IntegerType()))])
 
     def run(batches):
         for b in batches:
             for r in range(b.num_rows):
-                shard_, island, epoch = b.column(0)[r].as_py(), b.column(1)[r].as_py(), b.column(2)[r].as_py()
-                size = np.asarray(b.column(3)[r].values).tolist()
-                elites = [_bins(np.asarray(e.values)) for e in b.column(4)[r].values] if b.column(4)[r].is_valid else []
-                best = evolve(size, capacity, elites, hash((shard_, island, epoch)) & 0x7FFFFFFF)
+                shard, island, epoch, before = (b.column(i)[r].as_py() for i in range(4))
+                size = np.asarray(b.column(4)[r].values).tolist()
+                elites = [_bins(np.asarray(e.values)) for e in b.column(5)[r].values] if b.column(5)[r].is_valid else []
+                best, turns = evolve(size, capacity, elites, hash((shard, island, epoch)) & 0x7FFFFFFF, population, generations)
                 assign = np.zeros(len(size), np.int32)
                 for k, x in enumerate(best):
                     assign[x] = k
                 bins, fill = _fitness(best, size, capacity)
-                yield C.arrow_rows(out_schema, shard=[shard_], island=[island], bins=[-bins], fill=[fill], assign=pa.array([assign], pa.list_(pa.int32())))
+                loose = min(range(len(best)), key=lambda k: (sum(size[i] for i in best[k]), k))
+                yield C.arrow_rows(schema, shard=[shard], island=[island], bins=[-bins], loose=[loose], generations=[before + turns], fill=[fill], assign=pa.array([assign], pa.list_(pa.int32())))
 
     best = None
     for epoch in range(epochs):
         if best is None:
-            tasks = sizes.withColumn("elites", F.lit(None).cast("array<array<int>>"))
+            tasks = shards.select("shard", "sizes", F.lit(0).alias("before"), F.lit(None).cast("array<array<int>>").alias("elites"))
         else:
-            elites = best.groupBy("shard").agg(F.transform(F.sort_array(F.collect_list(F.struct("island", "assign"))), lambda x: x["assign"]).alias("elites"))
-            tasks = sizes.join(elites, "shard")
-        tasks = tasks.select("shard", F.explode(F.array(*[F.lit(i) for i in range(islands)])).alias("island"), F.lit(epoch).alias("epoch"), "sizes", "elites")
-        parts = max(1, min(n_shards * islands, 4096))
-        best = C.materialise(tasks.repartition(parts, "shard", "island").mapInArrow(C.tidy(run), out_schema), "islands")
-    top = best.groupBy("shard").agg(F.max_by("assign", F.struct(-F.col("bins"), F.col("fill"), -F.col("island"))).alias("assign"))
-    placed = items.join(top, "shard").select("shard", F.explode(F.arrays_zip("items", "assign")).alias("x"))
-    placed = placed.select((F.col("shard") * (1 << 20) + F.col("x.assign")).alias("sequence_id"), "x.items.*")
+            elites = best.groupBy("shard").agg(F.sum("generations").cast("int").alias("before"), F.transform(F.sort_array(F.collect_list(F.struct("island", "assign"))), lambda x: x["assign"]).alias("elites"))
+            tasks = shards.join(elites, "shard")
+        tasks = tasks.select("shard", F.explode(F.array(*[F.lit(i) for i in range(islands)])).alias("island"), F.lit(epoch).alias("epoch"), "before", "sizes", "elites")
+        # what was run before is counted on one island
+        tasks = tasks.withColumn("before", F.when(F.col("island") == 0, F.col("before")).otherwise(0))
+        best = C.materialise(tasks.repartition(parts, "shard", "island").mapInArrow(C.tidy(run), schema), "islands")
+    first = F.struct(-F.col("bins"), F.col("fill"), -F.col("island"))
+    return best.groupBy("shard").agg(F.max_by("assign", first).alias("assign"), F.max_by("loose", first).alias("loose"), F.sum("generations").alias("generations"))
+
+
+def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY, shard_size: int = SHARD, islands: int = ISLANDS, epochs: int = EPOCHS) -> DataFrame:
+    """pieces (`length` among its columns, 1 to capacity) with sequence_id and
+    offset; columns of these two names give way. Pieces of full length are
+    sequences of their own. Equal rows are packed each; an empty table stays
+    empty."""
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    pieces = pieces.select(*names)
+    full = pieces.where(F.col("length") >= capacity).withColumn("sequence_id", -F.monotonically_increasing_id() - 1).withColumn("offset", F.lit(0).cast("long"))
+    rest, placed, level = pieces.where(F.col("length") < capacity), None, 0
+    last = None
+    while last != 1:
+        n, tokens = rest.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        last = n_shards = max(1, min(-(-n // shard_size), tokens // (capacity * SHARD_BINS)))
+        # rows that are equal in every column are told apart by their place
+        spread = rest.select(F.struct("length", *[n for n in names if n != "length"]).alias("piece"), F.monotonically_increasing_id().alias("at"))
+        shard = F.pmod(F.xxhash64("piece", "at"), F.lit(n_shards)) if n_shards > 1 else F.lit(0).cast("long")
+        items = C.materialise(spread.groupBy(shard.alias("shard")).agg(F.sort_array(F.collect_list("piece")).alias("items")), "shards")
+        sizes = items.select("shard", F.transform("items", lambda x: x["length"].cast("int")).alias("sizes"))
+        top = evolve_islands(sizes, capacity=capacity, islands=islands, epochs=epochs, parts=max(1, min(n_shards * islands, 4096)))
+        out = items.join(top, "shard").select("shard", "loose", F.explode(F.arrays_zip("items", "assign")).alias("x"))
+        out = C.materialise(out, "packed") if n_shards > 1 else out
+        done = out.where("x.assign != loose") if n_shards > 1 else out
+        done = done.select(((F.col("shard") * (1 << 20) + F.col("x.assign")) * 8 + F.lit(min(level, 7))).alias("sequence_id"), "x.items.*")
+        placed = done if placed is None else placed.unionByName(done)
+        rest, level = out.where("x.assign = loose").select("x.items.*"), level + 1
     from pyspark.sql.window import Window
 
     # a sequence has at most `capacity` pieces
-    w = Window.partitionBy("sequence_id").orderBy(*[c for c in ("length", *names)]).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy("sequence_id").orderBy("length", *names).rowsBetween(Window.unboundedPreceding, 0)
     placed = placed.withColumn("offset", F.sum("length").over(w) - F.col("length"))
     return placed.select(*names, "sequence_id", "offset").unionByName(full)
 
@@ -346,7 +366,9 @@ def pack_documents(docs: DataFrame, *, tokenizer: str | None = None, id_col: str
     """Every piece of every document with its sequence and place.
 
     Returns id, piece, start, length, ids_crc32, sequence_id, offset. A null or
-    empty text is the end token alone; repeated rows are packed each. tokenizer:
+    empty text is the end token alone; a null id is packed like any other and
+    repeated rows are packed each; a text of any length is cut. Other columns
+    play no part, and an empty table gives no pieces. tokenizer:
     the file of a tokenizer that never joins across blanks; by default the
     installed word-level one.
     """

@@ -515,19 +515,45 @@ def test_packing(docs, odd, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def _triplets(seed: int, n: int = 40) -> list[int]:
+    """Sizes of three that fill a bin of 100: best fit by falling size is not optimal."""
+    rng, size = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randint(38, 49)
+        b = rng.randint(25, (100 - a) // 2 + 5)
+        size += [a, b, 100 - a - b]
+    rng.shuffle(size)
+    return size
+
+
 def test_packing_shards_and_evolution(spark):
+    size = _triplets(1)
+    falling = sorted(range(120), key=lambda i: -size[i])
+    start = packing.best_fit([], falling, size, 100)
+    valid = lambda bins: sorted(i for b in bins for i in b) == list(range(120)) and all(sum(size[i] for i in b) <= 100 for b in bins)
+    best, turns = packing.evolve(size, 100, [], seed=1, population=10, generations=25)
+    assert 40 <= len(best) < len(start) and turns > 0 and valid(best)
+    child = packing.crossover(start, best, size, 100, random.Random(2))
+    assert valid(child) and sorted(map(sorted, child)) != sorted(map(sorted, start))
+    # an immigrant that is better than all others is built on, one that cannot be bettered ends it
+    moved, _ = packing.evolve(size, 100, [start, best], seed=7, population=10, generations=3)
+    assert len(moved) <= len(best) and valid(moved)
+    assert packing.evolve([50, 50, 60, 40], 100, [], seed=1)[1] == 0
+    # the same on Spark: two epochs with migration, counted generations
+    shards = spark.createDataFrame([(i, _triplets(i)) for i in range(3)], "shard bigint, sizes array<int>")
+    for r in packing.evolve_islands(shards, capacity=100, generations=20, population=10, parts=4).join(shards, "shard").collect():
+        first = packing.best_fit([], sorted(range(120), key=lambda i: -r["sizes"][i]), r["sizes"], 100)
+        fill = np.bincount(r["assign"], r["sizes"])
+        assert r["generations"] > 20 and len(fill) < len(first) and fill.max() <= 100 and fill[r["loose"]] == fill.min()
+
+
+def test_packing_joins_the_last_bins_of_shards(spark):
     rng = random.Random(4)
-    sizes = [rng.choice([rng.randint(1, 60), rng.randint(30, 100)]) for _ in range(300)]
-    df = spark.createDataFrame([(i, 0, n) for i, n in enumerate(sizes)], "doc_id bigint, piece int, length bigint")
-    rows = packing.pack_pieces(df, capacity=100, shard_size=100).collect()
-    assert sorted(r["doc_id"] for r in rows) == list(range(300))
-    assert _check_packing(rows, 100) <= 1.2 * -(-sum(sizes) // 100)
-    falling = sorted(range(300), key=lambda i: -sizes[i])
-    start = packing.best_fit([], falling, sizes, 100)
-    best = packing.evolve(sizes, 100, [start], seed=1)
-    assert len(best) <= len(start) and sorted(i for b in best for i in b) == list(range(300)) and all(sum(sizes[i] for i in b) <= 100 for b in best)
-    child = packing.crossover(start, best, sizes, 100, random.Random(2))
-    assert sorted(i for b in child for i in b) == list(range(300)) and all(sum(sizes[i] for i in b) <= 100 for b in child)
+    sizes = [rng.randint(1, 9) for _ in range(6000)]
+    df = spark.createDataFrame([(i, 0, n, "x", 1) for i, n in enumerate(sizes)], "doc_id bigint, piece int, length bigint, sequence_id string, offset int")
+    rows = packing.pack_pieces(df, capacity=100, shard_size=500, epochs=1).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(6000))
+    assert _check_packing(rows, 100) <= -(-sum(sizes) // 100) + 1
 
 
 # ------------------------------------------------------------------ 7
