@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from . import common as C
 from .components import connected_components
-from .near_copies import near_copies
+from .near_copies import near_copy_roots
 
 #: Bits in which linked fingerprints may differ: dense segments are covered by
 #: points one bit away, which is exact for two.
@@ -140,9 +140,9 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     own = docs.select(id_col, text_col)
     if percent is None:
         comps = simhash_components(own, id_col=id_col, text_col=text_col, shingle=shingle)
+        keep = comps.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
     else:
-        comps = near_copies(own, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent)
-    keep = comps.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+        keep = near_copy_roots(own, id_col=id_col, text_col=text_col, shingle=shingle, percent=percent)
     kept = docs.where(F.col(id_col).isNotNull()).join(keep, id_col, "left_semi")
     return kept.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull())).select(*docs.columns)
 

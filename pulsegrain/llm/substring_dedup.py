@@ -37,7 +37,7 @@ from . import common as C
 K = 4
 #: A key with more suffixes than this is extended; so is one with over a
 #: SPREAD-th of all, which bounds the list of such keys.
-GROUP, SPREAD = 20_000, 4_000_000
+GROUP, SPREAD = 2_000, 4_000_000
 #: Rows (runs of suffixes) whose subtrees are built at a time.
 BLOCK = 40_000
 #: Windows that one row of marks can name.

@@ -167,12 +167,15 @@ def score_slice(buf: np.ndarray, offs: np.ndarray, model: ToxicityModel | None)
     return out
 
 
-def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int = 12, seed: int = 5, rate: float = 0.01) -> ToxicityModel | None:
+def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int = 500, seed: int = 5, rate: float = 0.01, doubt: float = 0.5, balance: float = 4.0, chars: float = 0.1, decay: float = 0.01) -> ToxicityModel | None:
     """Train on (text, label). A labelled text is a bag of windows: a toxic one
     is represented by its most suspicious window (by the words' log odds over
-    the sample, after two epochs by the network), a clean one by its most
-    suspicious and a random window. Labels may be wrong: from then on the windows
-    with the largest loss (8 % of the toxic, 0.5 % of the clean) are left out."""
+    the sample, for the first sixth of the epochs, then by the network), a clean
+    one by its most suspicious and a random window. There are as many epochs, 12
+    at least, as give `steps` batches of 64, so that a small sample is seen more
+    often. The rarer class weighs more, up to `balance` times. Labels may be
+    wrong: after that sixth a window counts by the probability of its label to
+    the power of `doubt`, so that no share of them is left out."""
     if not rows or len({y for _, y in rows}) < 2:
         return None
     rng = np.random.default_rng(seed)
@@ -188,7 +191,9 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
     model = ToxicityModel(C.HashIndex(tokens.hash[known], np.arange(len(known))))
     f4 = lambda *s, k=0.3: (rng.standard_normal(s) * k).astype(np.float32)
     p = model.p
-    p["words"], p["chars"] = f4(len(known) + 1, dim, k=0.1), f4(CHARS, dim, k=0.3)
+    # a word vector begins as the word's log odds, so that a few toxic texts do
+    p["words"], p["chars"] = f4(len(known) + 1, dim, k=0.05), f4(CHARS, dim, k=chars)
+    p["words"][: len(known), 0] = np.clip(odds[known], -3, 3) / 3
     p["wx"], p["bx"] = f4(2 * dim, 6 * hidden), np.zeros(6 * hidden, np.float32)
     p["uf"], p["ub"] = f4(hidden, 3 * hidden), f4(hidden, 3 * hidden)
     p["v"], p["w"], p["b"] = f4(2 * hidden), f4(2 * hidden), np.zeros(1, np.float32)
@@ -202,9 +207,10 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
     suspicion = total[start + size] - total[start]
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
-    loss_of = np.zeros(len(start))
+    weights = np.where(y == 1, min(balance, max(1.0, (y == 0).sum() / max((y == 1).sum(), 1))), min(balance, max(1.0, (y == 1).sum() / max((y == 0).sum(), 1))))
+    epochs = max(12, -(-steps * 64 // max(1, int(((y == 1) + 2 * (y == 0))[np.unique(text)].sum()))))
     for epoch in range(epochs):
-        if epoch >= 2:
+        if epoch >= epochs // 6:
             suspicion = _logits(p, _gates(model, tokens), tokens.which, start, size)
         order = np.lexsort((-suspicion, text))
         worst = order[np.append(True, text[order][1:] != text[order][:-1])]
@@ -212,23 +218,14 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
         order = lots[np.argsort(text[lots], kind="stable")]
         other = order[np.append(True, text[order][1:] != text[order][:-1])]
         chosen = np.concatenate([worst, other[y[text[other]] == 0]])
-        if epoch >= 2:
-            logit = suspicion[chosen]
-            loss_of = np.logaddexp(0, np.where(y[text[chosen]] == 1, -logit, logit))
-            toxic = y[text[chosen]] == 1
-            keep = np.ones(len(chosen), bool)
-            for own, share in ((toxic, 0.08), (~toxic, 0.005)):
-                at_ = np.flatnonzero(own)
-                keep[at_[np.argsort(-loss_of[at_], kind="stable")[: int(share * len(at_))]]] = False
-            chosen = chosen[keep]
         chosen = rng.permutation(chosen)
         for lo in range(0, len(chosen), 64):
             c = chosen[lo : lo + 64]
             n, target = size[c], y[text[c]].astype(np.float32)
-            steps = int(n.max())
-            idx = np.minimum(np.arange(steps)[:, None], n[None] - 1) + start[c][None]
-            mask = (np.arange(steps)[:, None] < n[None]).astype(np.float32)
-            which = tokens.which[idx]  # steps, batch
+            long = int(n.max())
+            idx = np.minimum(np.arange(long)[:, None], n[None] - 1) + start[c][None]
+            mask = (np.arange(long)[:, None] < n[None]).astype(np.float32)
+            which = tokens.which[idx]  # tokens, batch
             uniq, inv = np.unique(which, return_inverse=True)
             inv = inv.reshape(which.shape)
             tri_n = tokens.tri_n[uniq]
@@ -247,7 +244,9 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
             a = np.exp(e - e.max(0))
             a /= a.sum(0)
             pooled = np.einsum("tb,tbh->bh", a, s)
-            dz = (_sigmoid(pooled @ p["w"] + p["b"][0]) - target) / len(c)
+            miss = _sigmoid(pooled @ p["w"] + p["b"][0]) - target
+            trust = (1 - np.abs(miss)) ** doubt if epoch >= epochs // 6 else 1.0
+            dz = (miss * trust * weights[text[c]] / len(c)).astype(np.float32)
             grad = {"w": pooled.T @ dz, "b": np.array([dz.sum()], np.float32)}
             dpool = dz[:, None] * p["w"][None]
             da = np.einsum("bh,tbh->tb", dpool, s)
@@ -268,6 +267,8 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, epochs: int
                 m, v = adam[k]
                 m += 0.1 * (gr - m)
                 v += 0.001 * (gr * gr - v)
+                if k == "chars":
+                    p[k] *= 1 - decay * rate
                 p[k] -= (rate * (1 - 0.9 * epoch / epochs) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return model
 
