@@ -167,15 +167,16 @@ def score_slice(buf: np.ndarray, offs: np.ndarray, model: ToxicityModel | None)
     return out
 
 
-def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int = 500, seed: int = 5, rate: float = 0.01, doubt: float = 0.5, balance: float = 4.0, chars: float = 0.1, decay: float = 0.01) -> ToxicityModel | None:
+def fit(rows: list[tuple[str, int]], hidden: int = 4, dim: int = 4, steps: int = 250, seed: int = 5, rate: float = 0.01, doubt: float = 0.5, jitter: int = 12, drop: float = 0.3) -> ToxicityModel | None:
     """Train on (text, label). A labelled text is a bag of windows: a toxic one
     is represented by its most suspicious window (by the words' log odds over
     the sample, for the first sixth of the epochs, then by the network), a clean
     one by its most suspicious and a random window. There are as many epochs, 12
     at least, as give `steps` batches of 64, so that a small sample is seen more
-    often. The rarer class weighs more, up to `balance` times. Labels may be
-    wrong: after that sixth a window counts by the probability of its label to
-    the power of `doubt`, so that no share of them is left out."""
+    often; a window moves by up to `jitter` tokens each time and a word shows its
+    characters alone with the chance `drop`, so that none is learnt by heart.
+    Labels may be wrong: after that sixth a window counts by the probability of
+    its label to the power of `doubt`, so that no share of them is left out."""
     if not rows or len({y for _, y in rows}) < 2:
         return None
     rng = np.random.default_rng(seed)
@@ -192,7 +193,7 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
     f4 = lambda *s, k=0.3: (rng.standard_normal(s) * k).astype(np.float32)
     p = model.p
     # a word vector begins as the word's log odds, so that a few toxic texts do
-    p["words"], p["chars"] = f4(len(known) + 1, dim, k=0.05), f4(CHARS, dim, k=chars)
+    p["words"], p["chars"] = f4(len(known) + 1, dim, k=0.05), f4(CHARS, dim, k=0.1)
     p["words"][: len(known), 0] = np.clip(odds[known], -3, 3) / 3
     p["wx"], p["bx"] = f4(2 * dim, 6 * hidden), np.zeros(6 * hidden, np.float32)
     p["uf"], p["ub"] = f4(hidden, 3 * hidden), f4(hidden, 3 * hidden)
@@ -202,12 +203,12 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
     word_row[at >= 0] = model.words.values[0][at[at >= 0]]
 
     start, size, text = _windows(tokens.first)
-    weight = np.maximum(odds, 0)[tokens.which]
+    # words of few texts say little, whatever their odds
+    weight = np.where(word_row >= 0, np.maximum(odds, 0), 0)[tokens.which]
     total = np.concatenate([[0], np.cumsum(weight * weight)])
     suspicion = total[start + size] - total[start]
     adam = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
-    weights = np.where(y == 1, min(balance, max(1.0, (y == 0).sum() / max((y == 1).sum(), 1))), min(balance, max(1.0, (y == 1).sum() / max((y == 0).sum(), 1))))
     epochs = max(12, -(-steps * 64 // max(1, int(((y == 1) + 2 * (y == 0))[np.unique(text)].sum()))))
     for epoch in range(epochs):
         if epoch >= epochs // 6:
@@ -223,7 +224,9 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
             c = chosen[lo : lo + 64]
             n, target = size[c], y[text[c]].astype(np.float32)
             long = int(n.max())
-            idx = np.minimum(np.arange(long)[:, None], n[None] - 1) + start[c][None]
+            # each time a little to the left or right, so that windows are not learnt by heart
+            begin = np.clip(start[c] + rng.integers(-jitter, jitter + 1, len(c)), tokens.first[text[c]], tokens.first[text[c] + 1] - n)
+            idx = np.minimum(np.arange(long)[:, None], n[None] - 1) + begin[None]
             mask = (np.arange(long)[:, None] < n[None]).astype(np.float32)
             which = tokens.which[idx]  # tokens, batch
             uniq, inv = np.unique(which, return_inverse=True)
@@ -233,8 +236,8 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
             owner = np.repeat(np.arange(len(uniq)), tri_n)
             mean = np.add.reduceat(p["chars"][tri], np.cumsum(tri_n) - tri_n, axis=0) / tri_n[:, None].astype(np.float32)
             rows_w = word_row[uniq]
-            drop = rng.random(len(uniq)) < 0.3  # so that characters are learnt beside words
-            seen = (rows_w >= 0) & ~drop
+            hidden_words = rng.random(len(uniq)) < drop  # so that characters are learnt beside words
+            seen = (rows_w >= 0) & ~hidden_words
             x = np.concatenate([np.where(seen[:, None], p["words"][rows_w], 0), mean], 1)
             g = (x @ p["wx"] + p["bx"])[inv]
             hf, tf = _run(g[:, :, : 3 * hidden], mask, p["uf"], False, True)
@@ -246,7 +249,7 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
             pooled = np.einsum("tb,tbh->bh", a, s)
             miss = _sigmoid(pooled @ p["w"] + p["b"][0]) - target
             trust = (1 - np.abs(miss)) ** doubt if epoch >= epochs // 6 else 1.0
-            dz = (miss * trust * weights[text[c]] / len(c)).astype(np.float32)
+            dz = (miss * trust / len(c)).astype(np.float32)
             grad = {"w": pooled.T @ dz, "b": np.array([dz.sum()], np.float32)}
             dpool = dz[:, None] * p["w"][None]
             da = np.einsum("bh,tbh->tb", dpool, s)
@@ -267,8 +270,6 @@ def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int =
                 m, v = adam[k]
                 m += 0.1 * (gr - m)
                 v += 0.001 * (gr * gr - v)
-                if k == "chars":
-                    p[k] *= 1 - decay * rate
                 p[k] -= (rate * (1 - 0.9 * epoch / epochs) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
     return model
 

@@ -685,6 +685,69 @@ def test_gradients():
             assert (f(gx, u + e) - f(gx, u - e)) / 2e-6 == pytest.approx(du[i, j], abs=1e-6)
 
 
+def test_scores_equal_plain_loops():
+    """The batched forward pass against one that walks tokens one by one."""
+    rng = random.Random(2)
+    rows = [(sentence(rng, rng.randint(5, 90)) + (" vexbile grumwart" if i % 2 else ""), i % 2) for i in range(40)]
+    model = toxicity.fit(rows, steps=20)
+    p, size = model.p, model.p["uf"].shape[0]
+    sig = lambda x: 1 / (1 + np.exp(-x))
+
+    def trigrams(token: bytes) -> np.ndarray:
+        b = b"\x01" + token + b"\x01"
+        return np.mean([p["chars"][((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 2654435761 % 2**32) >> 20] for i in range(len(b) - 2)], axis=0)
+
+    def plain(text: str) -> float:
+        tokens = re.findall(rb"[0-9a-z\x80-\xff]+", text.encode().lower())
+        if not tokens:
+            return 0.0
+        best = -np.inf
+        starts = [0] if len(tokens) <= 32 else [*range(0, len(tokens) - 32, 16), len(tokens) - 32]
+        for start in starts:
+            gates = []
+            for t in tokens[start : start + 32]:
+                buf = np.frombuffer(t, np.uint8)
+                at = model.words.find(common.span_hashes(buf, np.array([0]), np.array([len(buf)])))[0]
+                word = p["words"][model.words.values[0][at]] if at >= 0 else np.zeros(p["words"].shape[1])
+                gates.append(np.concatenate([word, trigrams(t)]) @ p["wx"] + p["bx"])
+            states = [[], []]
+            for way, u, part in ((0, p["uf"], slice(0, 3 * size)), (1, p["ub"], slice(3 * size, None))):
+                h = np.zeros(size)
+                for g in gates if way == 0 else gates[::-1]:
+                    x, y = g[part], h @ u
+                    r, z = sig(x[:size] + y[:size]), sig(x[size : 2 * size] + y[size : 2 * size])
+                    h = z * h + (1 - z) * np.tanh(x[2 * size :] + r * y[2 * size :])
+                    states[way].append(h)
+            both = np.concatenate([np.array(states[0]), np.array(states[1][::-1])], 1)
+            a = np.exp(both @ p["v"])
+            best = max(best, float((a / a.sum()) @ both @ p["w"] + p["b"][0]))
+        return float(sig(best))
+
+    texts = [*[t for t, _ in rows[:12]], "", "!!!", sentence(rng, 300), "caf\u00e9 \u65e5\u672c vexbile"]
+    _, _, buf, offs = next(common.text_slices(pa.array(texts)))
+    assert toxicity.score_slice(buf, offs, model) == pytest.approx([plain(t) for t in texts], abs=2e-5)
+
+
+def test_few_labels_and_rare_styles_are_learnt(spark):
+    """33 toxic texts, 15 of them without a toxic word, are enough for the words;
+    so is a style of its own in one of twenty-five labelled rows."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    held = common.crc_bucket("doc_id", 3) == 1
+    out = toxicity.score_toxicity(docs, labels, ~held).join(labels, "doc_id").where(held).collect()
+    toxic, clean = [[r["predicted"] for r in out if r["toxic"] == y] for y in (1, 0)]
+    assert len(toxic) == 18 and sum(toxic) >= 10 and sum(clean) <= 0.05 * len(clean)
+    rng = random.Random(8)
+    styles = [["vexbile", "grumwart", "snarfle"]] * 7 + [["plonkish", "drazzle"]]
+    text = lambda style: " ".join(w for x in sentence(rng, rng.randint(20, 120)).split() for w in ([x, rng.choice(style)] if style and rng.random() < 0.06 else [x]))
+    rows = [(text(styles[i % 8] if i % 3 == 0 else None), int(i % 3 == 0)) for i in range(600)]
+    model = toxicity.fit(rows)
+    fresh = [text(styles[7]) + " plonkish" for _ in range(40)] + [text(None) for _ in range(40)]
+    _, _, buf, offs = next(common.text_slices(pa.array(fresh)))
+    score = toxicity.score_slice(buf, offs, model)
+    assert (score[:40] >= 0.7).mean() > 0.8 and (score[40:] < 0.7).mean() > 0.95
+
+
 def test_windows_cover_every_token():
     start, size, text = toxicity._windows(np.array([0, 0, 5, 37, 137, 138, 170]))
     for t, (a, z) in enumerate([(0, 0), (0, 5), (5, 37), (37, 137), (137, 138), (138, 170)]):
