@@ -59,20 +59,16 @@ def crc_bucket(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
-def stratified_sample(df: DataFrame, stratum: str, order_by: Column, per_stratum: int) -> DataFrame:
-    """At most `per_stratum` rows of each stratum, those with the smallest
-    hash. Strata are first thinned by a hash threshold computed from their
-    counts, so that no window ever holds a large stratum."""
-    counts = {r[0]: r[1] for r in df.groupBy(stratum).count().collect()}
-    h = (F.pmod(order_by, F.lit(1_000_003)) / F.lit(1_000_003.0)).alias("__h")
-    limit = F.lit(1.0)
-    for value, n in counts.items():
-        share = min(1.0, 2.0 * per_stratum / n + 100.0 / n)
-        cond = F.col(stratum).isNull() if value is None else F.col(stratum) == F.lit(value)
-        limit = F.when(cond, F.lit(share)).otherwise(limit)
-    thin = df.withColumn("__h", h).where(F.col("__h") <= limit)
-    w = Window.partitionBy(stratum).orderBy("__h", *[c for c in df.columns if c != stratum][:1])
-    return thin.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_stratum).drop("__h", "__r")
+def stratified_sample(df: DataFrame, stratum: str, order_by: Column, per_stratum: int, strata: int = 1000) -> DataFrame:
+    """At most `per_stratum` rows of each of the `strata` most frequent strata,
+    those with the smallest hash. Strata are first thinned by a hash threshold
+    computed from their counts, so that no window ever holds a large stratum."""
+    share, h = fresh(df, "__share", "__h")
+    counts = df.groupBy(F.col(stratum).alias("__of")).count().orderBy(F.desc("count"), "__of").limit(strata)
+    counts = counts.select("__of", F.least(F.lit(1.0), (2.0 * per_stratum + 100.0) / F.col("count")).alias(share))
+    thin = df.withColumn(h, F.pmod(order_by, F.lit(1_000_003)) / F.lit(1_000_003.0)).join(F.broadcast(counts), F.col(stratum).eqNullSafe(F.col("__of"))).where(F.col(h) <= F.col(share))
+    w = Window.partitionBy(stratum).orderBy(h, *[c for c in df.columns if c != stratum][:1])
+    return thin.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= per_stratum).select(*df.columns)
 
 
 def tidy(run):

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
+from .labelled import LONGEST
 
 #: Presence features: hashed n-grams in 2**BITS places.
 BITS, ORDERS = 18, (1, 2, 3)
@@ -136,17 +137,22 @@ def identify_languages(
 
     docs: documents; train: boolean column, the rows whose label may be learnt.
     per_language bounds the training sample (rows of each language with the
-    smallest id hash) and landmarks_per_language the kernel's landmarks.
+    smallest id hash, of the 1000 most frequent languages, and texts of LONGEST
+    bytes at most) and landmarks_per_language the kernel's landmarks.
 
     Returns id, lang_pred, score, one row for each input row. A null text, or
     one without a letter, is `und` with score 0; a null label is not learnt
-    from; without any label everything is `und`. Other columns are ignored.
+    from; without any label everything is `und`. Repeated rows are judged alike
+    and a null id stays null. Other columns are ignored, whatever their names;
+    an empty table gives an empty result. A text is read whole by one task.
     """
     spark = docs.sparkSession
-    ids = docs.where(train & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("label"))
+    docs = docs.select(id_col, text_col, label_col)
+    short = docs.where(F.octet_length(text_col) <= LONGEST)
+    ids = short.where(train & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("label"))
     picked = C.stratified_sample(ids, "label", F.xxhash64(F.col(id_col)), per_language).select(F.col(id_col), F.col("label").alias("__label"))
     # the sample is bounded by per_language and the number of languages
-    sample = docs.select(id_col, text_col, label_col).join(F.broadcast(picked.distinct()), id_col, "inner").where(train & (F.col(label_col) == F.col("__label")))
+    sample = short.join(F.broadcast(picked.distinct()), id_col, "inner").where(train & (F.col(label_col) == F.col("__label")))
     rows = sample.orderBy(F.xxhash64(F.col(id_col)), id_col, text_col).select(text_col, label_col).collect()
     model = spark.sparkContext.broadcast(fit([(r[0], r[1]) for r in rows], landmarks_per_language))
     schema = T.StructType([docs.schema[id_col], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

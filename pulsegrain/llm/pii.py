@@ -158,7 +158,7 @@ class Field:
 
 def _shape(token: str) -> str:
     """Letters as a, digits as 9, runs shortened to their length class."""
-    s = re.sub(r"[^\W\d_]", "a", token[:200])
+    s = re.sub(r"[^\W\d_]", "a", token)
     s = re.sub(r"[0-9]", "9", s)
     return re.sub(r"(a+|9+)", lambda m: m[0][0] + (str(len(m[0])) if m[0][0] == "9" and len(m[0]) < 6 else "n" if m[0][0] == "9" and len(m[0]) < 13 else "c" if m[0][0] == "9" and len(m[0]) < 20 else "" if m[0][0] == "a" else "z"), s)
 
@@ -363,7 +363,10 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     spans: kind:start:end of base spans and of all spans (code points, end
     exclusive) by start, then kind, comma-joined. examples: the labelled table
     (column `marked`, 5000 rows at most are read); by default the built-in one.
-    A null text is empty. One row for each input row.
+    A null text is empty. One row for each input row; repeated rows give equal
+    rows and a null id stays null. Other columns play no part, whatever their
+    names; an empty table gives an empty result. A text of any length is read
+    whole by one task, which holds the features of its neighbourhoods at a time.
     """
     field = _field(docs.sparkSession, examples)
     counts = [T.StructField(f"n_{k}", T.LongType()) for k in KINDS]
@@ -388,7 +391,9 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 
 def redact_pii(docs: DataFrame, *, text_col: str = "text", examples: DataFrame | None = None) -> DataFrame:
-    """docs with every span in its text replaced by its kind; null texts stay."""
+    """docs with every span in its text replaced by its kind. Null texts stay
+    null, repeated rows are treated alike, and all other columns pass through,
+    whatever their names."""
     field = _field(docs.sparkSession, examples)
     schema, names, at = docs.schema, docs.columns, docs.columns.index(text_col)
 

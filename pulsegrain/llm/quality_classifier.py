@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common as C
-from .labelled import training_texts
+from .labelled import training_rows
 from .text_stats import FEATURES, quality_features
 
 #: A condition: (feature, at most?, threshold).
@@ -70,13 +70,18 @@ def _grow(x, grad, hess, rows, depth, least, path, rules, step):
         _grow(x, grad, hess, part, depth - 1, least, [*path, (FEATURES[j], at_most, cut)], rules, step)
 
 
-def fit(rows: list[tuple[str, int]], trees: int = 40, depth: int = 3, penalty: float = 0.004, least: int = 8, seed: int = 3) -> RuleModel:
-    """Train on (text, label). Without both labels the model is its base rate."""
-    y = np.array([v for _, v in rows], float)
+def fit_texts(rows: list[tuple[str, int]], **options) -> RuleModel:
+    """fit on the statistics of (text, label) pairs."""
+    parts = [quality_features(buf, offs) for _, _, buf, offs in C.text_slices(pa.array([t for t, _ in rows], pa.string()))]
+    x = np.concatenate([np.zeros((0, len(FEATURES))), *[np.stack([f[n] for n in FEATURES], 1) for f in parts]])
+    return fit(x, np.array([v for _, v in rows], float), **options)
+
+
+def fit(x: np.ndarray, y: np.ndarray, trees: int = 40, depth: int = 3, penalty: float = 0.004, least: int = 8, seed: int = 3) -> RuleModel:
+    """Train on statistics (rows x FEATURES) and labels. Without both labels the
+    model is its base rate."""
     if not len(y) or y.min() == y.max():
         return RuleModel(0.0 if not len(y) else (4.0 if y[0] else -4.0))
-    parts = [quality_features(buf, offs) for _, _, buf, offs in C.text_slices(pa.array([t for t, _ in rows]))]
-    x = np.concatenate([np.stack([f[n] for n in FEATURES], 1) for f in parts])
     rng, rules = np.random.default_rng(seed), []
     score = np.zeros(len(y))
     for _ in range(trees):
@@ -131,26 +136,33 @@ def compile_rules(model: RuleModel) -> Column:
     return 1.0 / (1.0 + F.exp(-total))
 
 
-def text_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and the columns in FEATURES of every row."""
-    schema = T.StructType([docs.schema[id_col], *[T.StructField(n, T.DoubleType()) for n in FEATURES]])
+def text_features(docs: DataFrame, id_col: str, text_col: str, also: tuple[str, ...] = ()) -> DataFrame:
+    """id, the columns `also` and those in FEATURES of every row."""
+    schema = T.StructType([*docs.select(id_col, *also).schema.fields, *[T.StructField(n, T.DoubleType()) for n in FEATURES]])
 
     def run(batches):
         for b in batches:
             for lo, hi, buf, offs in C.text_slices(b.column(1)):
-                yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo)}, **quality_features(buf, offs))
+                own = {n: b.column(i).slice(lo, hi - lo) for n, i in ((id_col, 0), *zip(also, range(2, 2 + len(also))))}
+                yield C.arrow_rows(schema, **own, **quality_features(buf, offs))
 
-    return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
+    return docs.select(id_col, text_col, *also).mapInArrow(C.tidy(run), schema)
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = 1500, threshold: float = 0.5) -> DataFrame:
     """id, score and predicted of every row of docs.
 
     Labels are learnt from at most per_class rows of either label that `train`
-    (on the labels table) allows. Null texts are empty; empty texts are scored
-    by their statistics, which are all zero. Without labels the score is 0.5.
+    (on the labels table) allows; their statistics, not their texts, come to the
+    driver. Null texts are empty; empty texts are scored by their statistics,
+    which are all zero. Without labels the score is 0.5. One row for each input
+    row: repeated rows are scored alike, a null id stays null and is not learnt
+    from. Other columns play no part, whatever their names; an empty table gives
+    an empty result. A text is read whole by one task.
     """
-    model = fit(training_texts(docs, labels, label_col, train, per_class, id_col, text_col))
+    rows = training_rows(docs, labels, label_col, train, per_class, id_col, text_col)
+    rows = text_features(rows, id_col, text_col, ("y",)).orderBy(F.xxhash64(F.col(id_col)), id_col).toArrow()
+    model = fit(np.stack([rows.column(n).to_numpy() for n in FEATURES], 1), rows.column("y").to_numpy().astype(float))
     out = text_features(docs, id_col, text_col).select(id_col, compile_rules(model).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 

@@ -108,6 +108,35 @@ def test_languages(spark, docs):
     assert out.where("score < 0 or score > 1").count() == 0
 
 
+def test_language_scores_equal_plain_sets():
+    """Presence kernel, landmarks and ridge against sets and plain sums."""
+    rng = random.Random(3)
+    alphabets = {"aa": "abcde fg", "bb": "hijkl mn", "cc": "aehimo pq"}
+    text = lambda y, n: "".join(rng.choice(alphabets[y]) for _ in range(n))
+    rows = [(text(y, rng.randint(30, 80)), y) for _ in range(12) for y in alphabets]
+    model = language_id.fit(rows, landmarks_per_language=4)
+    place = lambda code, n: ((code + n * 0x1000193) * 2654435761 % 2**32) >> (32 - language_id.BITS)
+
+    def grams(t: str) -> set:
+        b = bytes(c if 97 <= c <= 122 or c > 127 else 32 for c in t.lower().encode())
+        return {place(int.from_bytes(b[i : i + n], "big"), n) for n in (1, 2, 3) for i in range(len(b) - n + 1)}
+
+    marks = [grams(t) for y in alphabets for t in [t for t, z in rows if z == y][:4]]
+    order = [i for i, (t, y) in enumerate(rows) if t in [u for u, z in rows if z == y][:4]]
+    marks = [grams(rows[i][0]) for i in order]
+    used = set().union(*marks)
+    kernel = lambda t: np.array([len(grams(t) & m) for m in marks]) / np.sqrt(max(1, len(grams(t) & used)) * np.array([len(m) for m in marks]))
+    k = np.stack([kernel(t) for t, _ in rows])
+    y = np.array([[1.0 if z == a else -1.0 for a in sorted(alphabets)] for _, z in rows])
+    weights = np.linalg.solve(k.T @ k + 1e-2 * len(rows) / 100 * k[order] + 1e-6 * np.eye(len(order)), k.T @ y)
+    fresh = [text(a, 50) for a in alphabets] + ["", "123", text("aa", 20) + text("bb", 20)]
+    _, _, buf, offs = next(common.text_slices(pa.array(fresh)))
+    lang, score = language_id.predict(buf, offs, model)
+    for t, l, s in zip(fresh, lang, score):
+        f = kernel(t) @ weights
+        assert (l, s) == (("und", 0.0) if not re.search("[a-z]", t) else (sorted(alphabets)[f.argmax()], pytest.approx((1 + min(1, max(-1, f.max()))) / 2, abs=1e-4)))
+
+
 def test_languages_odd(odd, empty):
     rows = language_id.identify_languages(odd, F.lit(True)).collect()
     assert len(rows) == odd.count()
@@ -847,7 +876,7 @@ def test_quality_classifier(spark, docs, labels, odd, empty):
 def test_rules_compile_to_what_they_say(spark):
     rng = np.random.default_rng(3)
     texts = [("word " * n + "%% " * k, int(k < 3)) for n, k in zip(rng.integers(5, 90, 200), rng.integers(0, 8, 200))]
-    model = quality_classifier.fit(texts)
+    model = quality_classifier.fit_texts(texts)
     assert 0 < len(model.rules) <= 60
     df = quality_classifier.text_features(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id int, text string"), "doc_id", "text")
     rows = df.withColumn("score", quality_classifier.compile_rules(model)).collect()
