@@ -6,6 +6,7 @@ word hashes and n-gram hashes cost a few array passes and no Python per word.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -25,11 +26,16 @@ SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 # ---------------------------------------------------------------- scratch
 def scratch_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or the
-    context's checkpoint folder. There is no local fallback, since executors on
-    other hosts would not see it."""
-    path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context's checkpoint folder. Where neither is set, a local master, which is
+    driver and executor in one, gets a temporary one; on a cluster that is an
+    error, since executors on other hosts would not see it."""
+    context = spark.sparkContext
+    path = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not path:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        path = tempfile.mkdtemp(prefix="spark-")
+        context.setCheckpointDir(path)
     return path
 
 

@@ -82,6 +82,34 @@ def test_hash_index():
     assert (common.HashIndex(np.zeros(0, np.uint64)).find(keys) == -1).all()
 
 
+def test_scratch_folder_is_shared_or_refused():
+    class Context:
+        def __init__(self, master, path=None):
+            self.master, self.path = master, path
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.path
+
+        def setCheckpointDir(self, path):
+            self.path = path
+
+    class Session:
+        conf = {}
+
+        def __init__(self, *args):
+            self.sparkContext = Context(*args)
+
+    assert common.scratch_dir(Session("spark://host:7077", "/shared")) == "/shared"
+    one = Session("local[2]")
+    assert common.scratch_dir(one) == common.scratch_dir(one)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            common.scratch_dir(Session(master))
+
+
 def test_components(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(400, 460)] + [(1000, i) for i in range(500, 560)] + [(7, 7)]
