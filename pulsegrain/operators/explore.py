@@ -125,9 +125,10 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 
 def lag_correlation(df: DataFrame, column: str, lag: int = 1) -> DataFrame:
-    """Autocorrelation of each user's series at a lag."""
+    """Autocorrelation of each user's series at a lag; pairs: rows with a value
+    before, both: those with a value of their own as well."""
     before = F.lag(column, lag).over(Window.partitionBy("user_id").orderBy("start_at", "cycle_id"))
-    return df.withColumn("__before", before).groupBy("user_id").agg(F.corr(column, "__before").alias("correlation"), F.count("__before").alias("pairs"))
+    return df.withColumn("__before", before).groupBy("user_id").agg(F.corr(F.col(column).cast("double"), F.col("__before").cast("double")).alias("correlation"), F.count("__before").alias("pairs"), F.count(F.col(column) + F.col("__before")).alias("both"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

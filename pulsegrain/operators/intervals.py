@@ -27,20 +27,25 @@ def bootstrap_tails(residuals: DataFrame, order: list[str], confidence: float =
     """(user_id, n, low_tail, high_tail): mean tail quantiles over replicates
     that redraw each user's residuals (user_id, residual, order columns) in
     runs of `block`. Users with fewer than max(20, block) residuals, or with one
-    that is not finite, have no row. A replicate is one array, never rows."""
+    that is not finite, have no row. Replicates are arrays within the user's one row."""
     if not 0 < confidence < 1 or replicates < 100 or block < 1:
         raise ValueError("invalid bootstrap")
     start = hashed_start(seed) if start is None else start
     r = F.col("residual").cast("double")
     series = residuals.groupBy("user_id").agg(F.transform(F.sort_array(F.collect_list(F.struct(*order, r.alias("r")))), lambda x: x["r"]).alias("r"), F.bool_and(r.isNotNull() & ~F.isnan(r) & (F.abs(r) != float("inf"))).alias("ok"))
     series = series.where("ok").withColumn("n", F.size("r")).where(F.col("n") >= max(20, block))
-    one = series.select("user_id", "n", "r", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"))
     blocks = F.sequence(F.lit(0), F.ceil(F.col("n") / block).cast("int") - 1)
-    drawn = F.flatten(F.transform(blocks, lambda b: F.slice("r", (start(F.col("replicate"), b, F.col("n") - block + 1) + 1).cast("int"), block)))
-    one = one.withColumn("s", F.sort_array(F.slice(drawn, F.lit(1), F.col("n"))))
     tail = (1 - confidence) / 2
-    one = one.select("user_id", "n", _quantile(F.col("s"), F.col("n"), tail).alias("lo"), _quantile(F.col("s"), F.col("n"), 1 - tail).alias("hi"))
-    return one.groupBy("user_id", "n").agg(F.avg("lo").alias("low_tail"), F.avg("hi").alias("high_tail"))
+
+    def ends(replicate: Column) -> Column:
+        drawn = F.flatten(F.transform(blocks, lambda b: F.slice("r", (start(replicate, b, F.col("n") - block + 1) + 1).cast("int"), block)))
+        # a one-element array names the sorted draw, so that it is made once
+        once = F.array(F.sort_array(F.slice(drawn, F.lit(1), F.col("n"))))
+        return F.get(F.transform(once, lambda s: F.struct(_quantile(s, F.col("n"), tail).alias("lo"), _quantile(s, F.col("n"), 1 - tail).alias("hi"))), F.lit(0))
+
+    one = series.select("user_id", "n", F.transform(F.sequence(F.lit(0), F.lit(replicates - 1)), ends).alias("e"))
+    mean = lambda k: F.aggregate("e", F.lit(0.0), lambda a, x: a + x[k]) / replicates
+    return one.select("user_id", "n", mean("lo").alias("low_tail"), mean("hi").alias("high_tail"))
 
 
 def prediction_intervals(predictions: DataFrame, tails: DataFrame) -> DataFrame:

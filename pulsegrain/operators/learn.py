@@ -26,12 +26,22 @@ def _values(features: tuple[str, ...]) -> list[Column]:
 
 def fit_preprocessing(train: DataFrame, keys: list[str], features: tuple[str, ...] = FEATURES) -> DataFrame:
     """(keys, medians, means, scales): exact medians that fill nulls (0 where a
-    column is all null), then mean and population deviation (0 becomes 1)."""
-    medians = train.groupBy(*keys).agg(F.array(*[F.coalesce(F.percentile(v, 0.5), F.lit(0.0)) for v in _values(features)]).alias("medians"))
-    filled = train.join(medians, keys).select(*keys, "medians", *[F.coalesce(v, F.col("medians")[i]).alias(f"__x{i}") for i, v in enumerate(_values(features))])
-    scale = lambda x: F.when(F.stddev_pop(x) > 0, F.stddev_pop(x)).otherwise(F.lit(1.0))
-    n = range(len(features))
-    return filled.groupBy(*keys).agg(F.first("medians").alias("medians"), F.array(*[F.avg(f"__x{i}") for i in n]).alias("means"), F.array(*[scale(F.col(f"__x{i}")) for i in n]).alias("scales"))
+    column is all null), then mean and population deviation (0 becomes 1). One
+    aggregation: what filling does to both follows from counts and the median."""
+    parts = {}
+    for i, v in enumerate(_values(features)):
+        parts |= {f"__p{i}": F.percentile(v, 0.5), f"__c{i}": F.count(v), f"__a{i}": F.avg(v), f"__v{i}": F.var_pop(v)}
+    one = train.groupBy(*keys).agg(F.count("*").alias("__n"), *[c.alias(n) for n, c in parts.items()])
+    medians, means, scales = [], [], []
+    for i in range(len(features)):
+        median, own, avg = F.coalesce(f"__p{i}", F.lit(0.0)), F.col(f"__c{i}"), F.coalesce(f"__a{i}", F.lit(0.0))
+        filled = F.col("__n") - own
+        mean = F.when(filled == 0, avg).otherwise((own * avg + filled * median) / F.col("__n"))
+        spread = (own * (F.coalesce(f"__v{i}", F.lit(0.0)) + (avg - mean) ** 2) + filled * (median - mean) ** 2) / F.col("__n")
+        medians.append(median)
+        means.append(mean)
+        scales.append(F.when(spread > 0, F.sqrt(spread)).otherwise(F.lit(1.0)))
+    return one.select(*keys, F.array(*medians).alias("medians"), F.array(*means).alias("means"), F.array(*scales).alias("scales"))
 
 
 def standardise(df: DataFrame, prepared: DataFrame, keys: list[str], features: tuple[str, ...] = FEATURES) -> DataFrame:

@@ -67,8 +67,3 @@ def nation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supervised_pairs(nation_history(spark, sf_dir))
-
-
-def splits_for(sf_dir: str) -> dict:
-    """Walk-forward sizes; the smallest scale has too few days for the usual ones."""
-    return {"initial": 30, "test": 7, "gap": 1} if sf_dir.rstrip("/").endswith("sf0.001") else {"initial": 60, "test": 14, "gap": 1}

@@ -32,35 +32,46 @@ workouts as (
   from base where event_type='purchase'
 )
 """
-DAILY = SHAPES + """, main_sleep as (
-  select *, row_number() over (partition by cycle_id order by updated_at desc, sleep_id) as rk from sleep where not is_nap
+#: The main sleep is the greatest by a key, a workout's cycle the greatest of
+#: those that hold it, and its sums hang on the cycle by a grouped subquery.
+DAILY = SHAPES + """, night as (
+  select cycle_id, unnest(best) from (
+    select cycle_id, arg_min({'sleep_id': sleep_id, 'total_in_bed_hours': total_in_bed_hours, 'sleep_debt_need_hours': sleep_debt_need_hours, 'respiratory_rate': respiratory_rate},
+      {'age': -epoch_us(updated_at), 'name': sleep_id}) as best
+    from sleep where is_nap = false group by cycle_id)
 ),
-assigned as (
-  select c.cycle_id, w.workout_id, w.user_id, w.strain, w.kilojoule, w.start_at, w.end_at,
-    row_number() over (partition by w.workout_id order by c.start_at desc, c.cycle_id desc) as rk
-  from workouts w join cycles c on w.user_id=c.user_id and w.start_at>=c.start_at and (c.end_at is null or w.start_at<c.end_at)
+place as (
+  select w.workout_id, w.user_id, arg_max(c.cycle_id, {'at': c.start_at, 'id': c.cycle_id}) as cycle_id
+  from cycles c, workouts w where w.user_id = c.user_id and c.start_at <= w.start_at and coalesce(c.end_at > w.start_at, true) group by all
 ),
-by_cycle as (
-  select c.cycle_id, c.user_id, count(a.workout_id) as workout_count, round(coalesce(sum(a.strain),0.0),6) as workout_total_strain, round(coalesce(max(a.strain),0.0),6) as workout_max_strain,
-    round(coalesce(sum(a.kilojoule),0.0),6) as workout_total_kilojoule, round(coalesce(sum(date_diff('millisecond',a.start_at,a.end_at))/cast(3600000 as double),0.0),6) as workout_total_duration_hours
-  from cycles c left join assigned a on c.cycle_id=a.cycle_id and a.rk=1 group by c.cycle_id, c.user_id
+effort as (
+  select c.cycle_id, c.user_id, coalesce(n, 0) as workout_count, coalesce(total, 0.0) as workout_total_strain, coalesce(top, 0.0) as workout_max_strain,
+    coalesce(energy, 0.0) as workout_total_kilojoule, coalesce(length, 0.0) as workout_total_duration_hours
+  from cycles c left join (
+    select p.cycle_id, count(*) as n, round(sum(w.strain), 6) as total, round(max(w.strain), 6) as top, round(sum(w.kilojoule), 6) as energy, round(sum(epoch_ms(w.end_at) - epoch_ms(w.start_at)) / cast(3600000 as double), 6) as length
+    from place p join workouts w using (workout_id) group by p.cycle_id) using (cycle_id)
 ),
 daily as (
-  select c.cycle_id, c.user_id, c.start_at, c.end_at, c.score_state as cycle_score_state, c.strain as cycle_strain, r.recovery_score, r.resting_heart_rate, r.hrv_rmssd_milli, s.sleep_id, s.total_in_bed_hours,
-    s.sleep_debt_need_hours, s.respiratory_rate, w.workout_count, w.workout_total_strain, w.workout_max_strain, w.workout_total_kilojoule, w.workout_total_duration_hours
-  from cycles c left join recovery r on c.cycle_id=r.cycle_id left join main_sleep s on c.cycle_id=s.cycle_id and s.rk=1 left join by_cycle w on c.cycle_id=w.cycle_id
+  select c.cycle_id, c.user_id, c.start_at, c.end_at, c.score_state as cycle_score_state, c.strain as cycle_strain, r.recovery_score, r.resting_heart_rate, r.hrv_rmssd_milli, n.sleep_id, n.total_in_bed_hours,
+    n.sleep_debt_need_hours, n.respiratory_rate, e.* exclude (cycle_id, user_id)
+  from effort e join cycles c using (cycle_id) left join night n using (cycle_id) left join recovery r using (cycle_id)
 )
 """
-MART = DAILY + """, idx as (select *, row_number() over (partition by user_id order by start_at, cycle_id) as day_index from daily),
-marked as (select *, case when cycle_strain<8.0 then day_index end as low_idx from idx),
+#: Cycles are numbered by counting the earlier ones; the last seven, the one
+#: before and the last low one are found by their numbers, without windows.
+MART = DAILY + """, numbered as (
+  select a.*, (select count(*) from daily b where b.user_id = a.user_id and (b.start_at < a.start_at or (b.start_at = a.start_at and b.cycle_id <= a.cycle_id))) as place from daily a
+),
+week as (
+  select a.cycle_id, avg(b.recovery_score) as recovery, avg(b.cycle_strain) as strain, avg(b.hrv_rmssd_milli) as hrv, avg(b.sleep_debt_need_hours) as debt
+  from numbered a join numbered b on b.user_id = a.user_id and a.place - b.place between 0 and 6 group by a.cycle_id
+),
 mart as (
-  select cycle_id, user_id, start_at, cast(dayofweek(start_at) as int) as day_of_week, cycle_strain, recovery_score, hrv_rmssd_milli, sleep_debt_need_hours,
-    round(avg(recovery_score) over w7,6) as recovery_score_7d_avg, round(avg(cycle_strain) over w7,6) as cycle_strain_7d_avg, round(avg(hrv_rmssd_milli) over w7,6) as hrv_rmssd_milli_7d_avg,
-    lag(cycle_strain,1) over wo as prior_day_strain, round(avg(sleep_debt_need_hours) over w7,6) as sleep_debt_7d_avg_hours,
-    round(sleep_debt_need_hours - avg(sleep_debt_need_hours) over w7,6) as sleep_debt_trend_hours, cast(day_index - max(low_idx) over wu as bigint) as days_since_last_low_strain_day
-  from marked
-  window wo as (partition by user_id order by start_at, cycle_id), w7 as (partition by user_id order by start_at, cycle_id rows between 6 preceding and current row),
-    wu as (partition by user_id order by start_at, cycle_id rows between unbounded preceding and current row)
+  select a.cycle_id, a.user_id, a.start_at, (isodow(a.start_at) % 7)::int as day_of_week, a.cycle_strain, a.recovery_score, a.hrv_rmssd_milli, a.sleep_debt_need_hours,
+    round(w.recovery, 6) as recovery_score_7d_avg, round(w.strain, 6) as cycle_strain_7d_avg, round(w.hrv, 6) as hrv_rmssd_milli_7d_avg, y.cycle_strain as prior_day_strain,
+    round(w.debt, 6) as sleep_debt_7d_avg_hours, round(a.sleep_debt_need_hours - w.debt, 6) as sleep_debt_trend_hours,
+    (a.place - (select max(l.place) from numbered l where l.user_id = a.user_id and l.place <= a.place and l.cycle_strain < 8))::bigint as days_since_last_low_strain_day
+  from numbered a join week w using (cycle_id) left join numbered y on y.user_id = a.user_id and y.place = a.place - 1
 )
 """
 HISTORY = """with hist0 as (
@@ -76,7 +87,7 @@ led as (select *, lead(recovery_score) over (partition by user_id order by day)
 pairs as (select *, case when target<=33 then 1 else 0 end as low_recovery, row_number() over (partition by user_id order by day) - 1 as row_index, count(*) over (partition by user_id) as n_rows
   from led where target is not null)
 """
-#: The usual sizes; smoke runs at the smallest scale use smaller ones.
+#: Folds of 14 after 60, with a gap of one.
 FOLDS = HISTORY + """, folds as (
   select p.*, f.fold, case when row_index < 60+f.fold*14 then 'train' when row_index < 61+f.fold*14 then 'purged' else 'test' end as role
   from pairs p cross join (select unnest(range(0,400)) as fold) f

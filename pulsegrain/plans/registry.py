@@ -17,7 +17,7 @@ from ..operators import anomaly, contracts, daily, explore, features, intervals,
 from ..operators.flatten import flatten
 from ..schemas import RECORDS, SCORE_STATES
 from . import inputs
-from .inputs import nation_history, nation_pairs, silver, splits_for
+from .inputs import nation_history, nation_pairs, silver
 from .oracle import DAILY, FOLDS, FORECASTS, HISTORY, MART, SHAPES, TAIL
 
 QUERIES: dict = {}
@@ -57,13 +57,13 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- joins and windows
-@query(DAILY + "select workout_id, user_id, cycle_id from assigned where rk=1")
+@query(DAILY + "select workout_id, user_id, cycle_id from place")
 def workout_assignment(spark, sf_dir):
     t = silver(spark, sf_dir)
     return daily.assign_workouts(t["workouts"], t["cycles"]).select("workout_id", "user_id", "cycle_id")
 
 
-@query(DAILY + "select cycle_id, user_id, workout_count, workout_total_strain, workout_max_strain, workout_total_kilojoule, workout_total_duration_hours from by_cycle")
+@query(DAILY + "select cycle_id, user_id, workout_count, workout_total_strain, workout_max_strain, workout_total_kilojoule, workout_total_duration_hours from effort")
 def workout_by_cycle(spark, sf_dir):
     t = silver(spark, sf_dir)
     return rounded(daily.workouts_by_cycle(t["cycles"], daily.assign_workouts(t["workouts"], t["cycles"]))).select("cycle_id", "user_id", "workout_count", "workout_total_strain", "workout_max_strain", "workout_total_kilojoule", "workout_total_duration_hours")
@@ -79,7 +79,7 @@ def mart_daily_features(spark, sf_dir):
     return _plain(rounded(features.mart_daily_features(_daily(spark, sf_dir))))
 
 
-@query(MART + "select m.*, c.end_at, r.resting_heart_rate, s.respiratory_rate from mart m join cycles c on c.cycle_id=m.cycle_id left join recovery r on r.cycle_id=m.cycle_id left join main_sleep s on s.cycle_id=m.cycle_id and s.rk=1")
+@query(MART + "select m.*, c.end_at, r.resting_heart_rate, s.respiratory_rate from mart m join cycles c on c.cycle_id=m.cycle_id left join recovery r on r.cycle_id=m.cycle_id left join night s on s.cycle_id=m.cycle_id")
 def model_history(spark, sf_dir):
     t = silver(spark, sf_dir)
     mart = features.mart_daily_features(daily.daily_summary(t["cycles"], t["recovery"], t["sleep"], t["workouts"]))
@@ -164,12 +164,15 @@ def numeric_summary(spark, sf_dir):
 
 
 _OVERLAP = ["cycles", "recovery", "sleep"]
+#: Sleep ids of the sleep table and of the daily summary, as a second key.
+_SLEEPS = " union all select 'sleep_id:sleep', 'sleep_id:sleep', count(distinct sleep_id) from sleep union all select 'sleep_id:daily', 'sleep_id:daily', count(distinct sleep_id) from daily union all select 'sleep_id:sleep', 'sleep_id:daily', count(*) from (select sleep_id from sleep intersect select sleep_id from daily)"
 
 
-@query(SHAPES + " union all ".join([f"select '{a}' as left_table, '{a}' as right_table, count(distinct cycle_id) as n from {a}" for a in _OVERLAP] + [f"select '{a}', '{b}', count(*) from (select cycle_id from {a} intersect select cycle_id from {b})" for i, a in enumerate(_OVERLAP) for b in _OVERLAP[i + 1 :]]))
+@query(DAILY + " union all ".join([f"select '{a}' as left_table, '{a}' as right_table, count(distinct cycle_id) as n from {a}" for a in _OVERLAP] + [f"select '{a}', '{b}', count(*) from (select cycle_id from {a} intersect select cycle_id from {b})" for i, a in enumerate(_OVERLAP) for b in _OVERLAP[i + 1 :]]) + _SLEEPS)
 def key_overlap(spark, sf_dir):
     t = silver(spark, sf_dir)
-    return explore.key_overlap({n: t[n] for n in _OVERLAP}, "cycle_id")
+    sleeps = {"sleep_id:sleep": t["sleep"], "sleep_id:daily": _daily(spark, sf_dir)}
+    return explore.key_overlap({n: t[n] for n in _OVERLAP}, "cycle_id").unionByName(explore.key_overlap(sleeps, "sleep_id"))
 
 
 _KEYED = (("cycles", "cycle_id"), ("recovery", "cycle_id"), ("sleep", "sleep_id"), ("workouts", "workout_id"))
@@ -186,9 +189,11 @@ def histogram30(spark, sf_dir):
     return rounded(explore.histogram(_daily(spark, sf_dir), "cycle_strain", 30))
 
 
-@query(DAILY + ", l as (select user_id, recovery_score as x, lag(recovery_score) over (partition by user_id order by start_at, cycle_id) as y from daily) select user_id, count(y) as pairs from l group by 1")
-def lag_pairs(spark, sf_dir):
-    return explore.lag_correlation(_daily(spark, sf_dir), "recovery_score").select("user_id", "pairs")
+@query(DAILY + ", l as (select user_id, recovery_score as x, lag(recovery_score) over (partition by user_id order by start_at, cycle_id) as y from daily), c as (select user_id, corr(x, y) as c, count(y) as pairs, count(x+y) as known from l group by 1) select user_id, case when known>2 and not isnan(c) then round(c,6) end as correlation, pairs from c")
+def lag_correlation(spark, sf_dir):
+    d = _daily(spark, sf_dir)
+    out = explore.lag_correlation(d, "recovery_score")
+    return rounded(out.select("user_id", F.when(F.col("both") > 2, F.nanvl("correlation", F.lit(None).cast("double"))).alias("correlation"), "pairs"))
 
 
 # ---------------------------------------------------------------- contracts
@@ -238,7 +243,7 @@ def readiness(spark, sf_dir):
 
 @query(FOLDS + "select user_id, cast(fold as int) as fold, role, count(*) as n, min(cycle_id) as first_cycle, max(cycle_id) as last_cycle from folds group by 1, 2, 3")
 def walk_forward_folds(spark, sf_dir):
-    return supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir)).groupBy("user_id", "fold", "role").agg(F.count("*").alias("n"), F.min("cycle_id").alias("first_cycle"), F.max("cycle_id").alias("last_cycle"))
+    return supervised.walk_forward(nation_pairs(spark, sf_dir)).groupBy("user_id", "fold", "role").agg(F.count("*").alias("n"), F.min("cycle_id").alias("first_cycle"), F.max("cycle_id").alias("last_cycle"))
 
 
 _Z = "round(case when count({c}) over w >= 14 then abs({c} - median({c}) over w) / greatest(1.4826*mad({c}) over w, {f}) end, 6) as z_{c}"
@@ -256,7 +261,7 @@ _HF = inputs.HISTORY_FEATURES
 
 @query(FOLDS + ", tr as (select * from folds where role='train'), med as (select user_id, fold, " + ", ".join(f"coalesce(quantile_cont({c},0.5),0) as m_{c}" for c in _HF) + " from tr group by 1, 2), f as (select tr.user_id, tr.fold, target, " + ", ".join(f"coalesce({c}, m_{c}) as {c}" for c in _HF) + " from tr join med using (user_id, fold)) select user_id, cast(fold as int) as fold, count(*) as n, " + ", ".join(f"round(avg({c}),6) as mean_{c}, round(stddev_pop({c}),6) as scale_{c}" for c in _HF) + " from f group by 1, 2")
 def impute_scale(spark, sf_dir):
-    train = supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir)).where("role = 'train'")
+    train = supervised.walk_forward(nation_pairs(spark, sf_dir)).where("role = 'train'")
     keys = ["user_id", "fold"]
     prep = learn.fit_preprocessing(train, keys, _HF).join(train.groupBy(*keys).agg(F.count("*").alias("n")), keys)
     return rounded(prep.select(*keys, "n", *[x for i, c in enumerate(_HF) for x in (F.col("means")[i].alias(f"mean_{c}"), F.col("scales")[i].alias(f"scale_{c}"))]))
@@ -272,7 +277,7 @@ def ridge_gram(spark, sf_dir):
 
 @query(FOLDS + ", t as (select user_id, fold, target as a, recovery_score as p from folds where role='test') select user_id, cast(fold as int) as fold, count(*) as n, round(avg(abs(p-a)),6) as mae, round(avg(abs((p-a)/nullif(a,0)))*100,6) as mape, count(*) filter (a=0) as mape_excluded_zeros, round(case when min(a)=max(a) then (case when sum((p-a)*(p-a))=0 then 1.0 else 0.0 end) else 1-sum((p-a)*(p-a))/(count(*)*var_pop(a)) end,6) as r2 from t group by 1, 2")
 def fold_metrics(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir))
+    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
     return rounded(supervised.regression_metrics(monitor.persistence_forecast(folds.where("role = 'test'")), ["user_id", "fold"]))
 
 
@@ -282,23 +287,28 @@ select user_id, cast(fold as int) as fold, round(case when count(*) filter (p>=0
 round(case when sum(y)>0 then count(*) filter (p>=0.5 and y=1)/cast(sum(y) as double) else 0.0 end,6) as recall, cast(sum(y) as bigint) as positive_count,
 round(case when sum(y)>0 and sum(y)<count(*) then (sum(case when y=1 then rk end) - sum(y)*(sum(y)+1)/cast(2 as double))/(sum(y)*(count(*)-sum(y))) end,6) as auc from r group by 1, 2""")
 def auc_by_fold(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir)).where("role = 'test'")
+    folds = supervised.walk_forward(nation_pairs(spark, sf_dir)).where("role = 'test'")
     return rounded(supervised.classification_metrics(folds.withColumn("probability", 1 - F.col("recovery_score") / F.lit(101.0)), ["user_id", "fold"]))
 
 
 @query(FOLDS + ", t as (select user_id, fold, avg(abs(recovery_score-target)) as mae, count(*) as n from folds where role='test' group by 1, 2) select user_id, 'mae' as metric, round(avg(mae),6) as mean, round(stddev_pop(mae),6) as std, count(*) as folds from t group by 1")
 def metric_summary(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir))
+    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
     m = supervised.regression_metrics(monitor.persistence_forecast(folds.where("role = 'test'")), ["user_id", "fold"])
     return rounded(supervised.metric_summary(supervised.metrics_long(m, ["user_id", "fold"]).where("metric = 'mae'"), ["user_id"]))
 
 
 @query(HISTORY + TAIL + "select user_id, cast(n as int) as n, round(avg(lo),6) as low_tail, round(avg(hi),6) as high_tail from tails group by 1, 2")
 def bootstrap_interval(spark, sf_dir):
-    h = nation_history(spark, sf_dir).where("prior is not null")
+    return rounded(_tails(nation_history(spark, sf_dir)))
+
+
+def _tails(history: DataFrame) -> DataFrame:
+    """Tails of the persistence residuals, from blocks that SQL can draw as well."""
+    h = history.where("prior is not null")
     start = lambda rep, b, places: ((rep.cast("long") * 7919 + b.cast("long") * 104729 + 31) % 1000003) % places
     r = h.select("user_id", "day", (F.col("recovery_score") - F.col("prior")).alias("residual"))
-    return rounded(intervals.bootstrap_tails(r, ["day"], replicates=100, start=start))
+    return intervals.bootstrap_tails(r, ["day"], replicates=100, start=start)
 
 
 def _forecasts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -333,16 +343,25 @@ def first_write_wins(spark, sf_dir):
     return serving.save_predictions(p.where("cycle_id % 2 = 0"), p).select("user_id", "cycle_id", "predicted_value")
 
 
-@query(FORECASTS + ", s as (select * from settled where error is not null) select user_id, cycle_id, round(avg(abs(error)) over w,6) as mae_7, round(sqrt(avg(error*error) over w),6) as rmse_7, round(avg(error) over w,6) as bias_7 from s window w as (partition by user_id order by day, cycle_id rows between 6 preceding and current row)")
+_ROLLED = ", ".join(f"round(avg(abs(error)) over w{n},6) as mae_{n}, round(sqrt(avg(error*error) over w{n}),6) as rmse_{n}, round(avg(error) over w{n},6) as bias_{n}, round(var_pop(error) over w{n},6) as variance_{n}, round(case when var_pop(actual_value) over w{n} > 0 then 1 - avg(error*error) over w{n} / nullif(var_pop(actual_value) over w{n}, 0) end, 4) as r2_{n}" for n in (7, 30))
+
+
+@query(FORECASTS + f", s as (select * from settled where error is not null) select user_id, cycle_id, {_ROLLED} from s window w7 as (partition by user_id order by day, cycle_id rows between 6 preceding and current row), w30 as (partition by user_id order by day, cycle_id rows between 29 preceding and current row)")
 def rolling_error_stats(spark, sf_dir):
     p, h = _forecasts(spark, sf_dir)
-    return rounded(monitor.rolling_errors(serving.settle(p, h), (7,)).select("user_id", "cycle_id", "mae_7", "rmse_7", "bias_7"))
+    out = monitor.rolling_errors(serving.settle(p, h), (7, 30)).withColumns({f"r2_{n}": F.round(f"r2_{n}", 4) for n in (7, 30)})
+    return rounded(out.select("user_id", "cycle_id", *[f"{k}_{n}" for n in (7, 30) for k in ("mae", "rmse", "bias", "variance", "r2")]))
 
 
-@query(FORECASTS + "select user_id, round(avg(case when actual_value between 0 and 100 then 1.0 else 0.0 end),6) as coverage, count(*) as n from settled where actual_value is not null group by 1")
+@query(FORECASTS + TAIL + """, ends as (select user_id, avg(lo) as lo, avg(hi) as hi from tails group by 1)
+select s.user_id, round(avg(case when actual_value between least(100, greatest(0, predicted_value + lo)) and least(100, greatest(0, predicted_value + hi)) then 1.0 else 0.0 end), 6) as coverage,
+round(avg(least(100, greatest(0, predicted_value + hi)) - least(100, greatest(0, predicted_value + lo))), 6) as mean_width, count(*) as n
+from settled s join ends e on e.user_id = s.user_id where actual_value is not null group by 1""")
 def interval_coverage(spark, sf_dir):
     p, h = _forecasts(spark, sf_dir)
-    return rounded(monitor.interval_coverage(serving.settle(p, h)).select("user_id", "coverage", "n"))
+    tails = _tails(h)
+    p = intervals.prediction_intervals(p.drop("ci_lower", "ci_upper").withColumn("predicted", F.col("predicted_value")), tails)
+    return rounded(monitor.interval_coverage(serving.settle(p, h)).select("user_id", "coverage", "mean_width", "n"))
 
 
 @query(FORECASTS + ", s as (select user_id, avg(error) as m, stddev_samp(error) as d from settled where error is not null group by 1) select t.user_id, t.cycle_id, t.error from settled t join s on t.user_id=s.user_id where abs(t.error-s.m) > 2*s.d")
@@ -376,7 +395,7 @@ def daily_rollup(spark, sf_dir):
 @query()
 def ridge_walk_forward(spark, sf_dir):
     """Out-of-sample forecasts of every nation's folds (ridge)."""
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir), **splits_for(sf_dir))
+    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
     return rounded(learn.validate_ridge(folds, _HF).select("user_id", "fold", "cycle_id", "target", "predicted", "residual"))
 
 
