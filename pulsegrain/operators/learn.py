@@ -122,6 +122,122 @@ def validate_ridge(folds: DataFrame, features: tuple[str, ...] = FEATURES, alpha
     return predict_ridge(folds.where("role = 'test'"), models, keys, features).withColumn("residual", F.col("target") - F.col("predicted"))
 
 
+def validate_incremental(folds: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA) -> DataFrame:
+    """The same by the incremental learner: preprocessing stays as the first
+    fold's training rows have it, and later folds add to its sums."""
+    train, keys = folds.where("role = 'train'"), ["user_id", "fold"]
+    frozen = fit_preprocessing(train.where("fold = 0"), ["user_id"], features)
+    state = gram(standardise(train, frozen, ["user_id"], features), keys, len(features))
+    models = solve(state.join(frozen, "user_id"), alpha)
+    return predict_ridge(folds.where("role = 'test'"), models, keys, features).withColumn("residual", F.col("target") - F.col("predicted"))
+
+
+def _prepared(train: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Filled by medians, then scaled, as the training rows say."""
+    known = np.isfinite(train)
+    middle = np.array([np.median(c[k]) if k.any() else 0.0 for c, k in zip(train.T, known.T)])
+    train, test = (np.where(np.isfinite(x), x, middle) for x in (train, test))
+    scale = train.std(0)
+    scale[scale == 0] = 1.0
+    return (train - train.mean(0)) / scale, (test - train.mean(0)) / scale
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, c: float) -> np.ndarray:
+    """Class-balanced weights and intercept (last, not penalised), by Newton."""
+    share = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
+    z = np.c_[x, np.ones(len(x))]
+    penalty = np.append(np.full(x.shape[1], 1 / c), 1e-9)
+    w = np.zeros(z.shape[1])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-z @ w))
+        step = np.linalg.solve((z * (share * p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (share * (p - y)) + penalty * w)
+        w -= step
+        if np.abs(step).max() < 1e-10:
+            break
+    return w
+
+
+def _boosted(x: np.ndarray, y: np.ndarray, new: np.ndarray, trees: int, depth: int, step: float) -> np.ndarray:
+    """Forecasts for new rows by boosted regression trees."""
+    out, fit = np.full(len(new), y.mean()), np.full(len(y), y.mean())
+    orders = np.argsort(x, 0, kind="stable")
+
+    def grow(rows: np.ndarray, at: np.ndarray, depth: int, error: np.ndarray) -> None:
+        best = (1e-12, None, None)
+        inside = np.zeros(len(y), bool)
+        inside[rows] = True
+        for j in range(x.shape[1]) if depth else ():
+            order = orders[:, j][inside[orders[:, j]]]
+            v, total = x[order, j], np.cumsum(error[order])
+            n = np.arange(1, len(order))
+            gain = total[:-1] ** 2 / n + (total[-1] - total[:-1]) ** 2 / (len(order) - n) - total[-1] ** 2 / len(order)
+            gain = np.where(v[1:] > v[:-1], gain, 0)
+            if len(gain) and gain.max() > best[0]:
+                i = int(gain.argmax())
+                best = (gain[i], j, (v[i] + v[i + 1]) / 2)
+        if best[1] is None:
+            value = step * error[rows].mean()
+            fit[rows] += value
+            out[at] += value
+            return
+        left, low = x[rows, best[1]] <= best[2], new[at, best[1]] <= best[2]
+        grow(rows[left], at[low], depth - 1, error)
+        grow(rows[~left], at[~low], depth - 1, error)
+
+    for _ in range(trees):
+        grow(np.arange(len(y)), np.arange(len(new)), depth, y - fit)
+    return out
+
+
+def _by_fold(folds: DataFrame, features: tuple[str, ...], columns: list[str], result: str, predict) -> DataFrame:
+    """Test rows (user_id, fold, cycle_id, columns, result) of every fold that
+    predict(train, test) gives values for. A fold is one user's history."""
+    names = ["user_id", "fold", "cycle_id", *columns]
+    schema = T.StructType([*folds.select(*names).schema.fields, T.StructField(result, T.DoubleType())])
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        train, test = (pdf[pdf["role"] == r].sort_values("cycle_id") for r in ("train", "test"))
+        got = predict(train, test, *_prepared(train[list(features)].to_numpy(float), test[list(features)].to_numpy(float))) if len(train) and len(test) else None
+        return test[names].assign(**{result: got}) if got is not None else test[names].head(0).assign(**{result: pd.Series(dtype=float)})
+
+    return folds.where("role in ('train', 'test')").select(*names, "role", *[f for f in features if f not in names]).groupBy("user_id", "fold").applyInPandas(run, schema)
+
+
+def validate_low_recovery(folds: DataFrame, features: tuple[str, ...] = FEATURES, c: float = 1.0) -> DataFrame:
+    """Test rows of walk-forward folds with the `probability` of low recovery by
+    a class-balanced logistic regression of each fold. Folds whose training rows
+    hold one class have no rows; fold_status counts them."""
+
+    def predict(train, test, x, new):
+        y = train["low_recovery"].to_numpy(float)
+        if y.min() == y.max():
+            return None
+        return 1 / (1 + np.exp(-np.c_[new, np.ones(len(new))] @ _logistic(x, y, c)))
+
+    return _by_fold(folds, features, ["low_recovery"], "probability", predict)
+
+
+def validate_boosted(folds: DataFrame, features: tuple[str, ...] = FEATURES, trees: int = 80, depth: int = 2, step: float = 0.05) -> DataFrame:
+    """Test rows of walk-forward folds with `predicted` (within [0, 100]) by
+    boosted trees of each fold."""
+    return _by_fold(folds, features, ["target"], "predicted", lambda train, test, x, new: np.clip(_boosted(x, train["target"].to_numpy(float), new, trees, depth, step), 0, 100))
+
+
+def compare_models(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
+    """(user_id, model_name, metric, mean, std, folds): the metrics of several
+    forecasters over the same folds."""
+    from .monitor import persistence_forecast
+    from .supervised import metric_summary, metrics_long, regression_metrics
+
+    made = {"persistence": lambda: persistence_forecast(folds.where("role = 'test'")), "ridge": lambda: validate_ridge(folds, features), "incremental_ridge": lambda: validate_incremental(folds, features), "boosted": lambda: validate_boosted(folds, features)}
+    out = None
+    for name in models:
+        own = made[name]().select("user_id", "fold", "target", "predicted", F.lit(name).alias("model_name"))
+        out = own if out is None else out.unionByName(own)
+    keys = ["user_id", "model_name"]
+    return metric_summary(metrics_long(regression_metrics(out, [*keys, "fold"]), [*keys, "fold"]), keys)
+
+
 def fold_status(folds: DataFrame) -> DataFrame:
     """Whether a fold's training rows hold both classes; others are skipped."""
     out = folds.where("role = 'train'").groupBy("user_id", "fold").agg(F.countDistinct("low_recovery").alias("classes"))

@@ -411,3 +411,6 @@ def ridge_incremental(spark, sf_dir):
 def isolation_flags(spark, sf_dir):
     """Isolation forest over all users' cycles."""
     return rounded(anomaly.isolation_forest(_daily(spark, sf_dir).select("cycle_id", "user_id", *anomaly.FLOORS)).select("cycle_id", "user_id", "isolation_score", "is_isolated"))
+
+
+from . import more  # noqa: E402, F401  registers its queries here
