@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,8 @@ from pyspark.sql import types as T
 from ..operators.daily import CYCLE, daily_summary
 from ..operators.features import mart_daily_features
 from ..operators.flatten import flatten
-from ..operators.tables import Store, latest_by_key, upsert
-from ..schemas import KEYS, RECORD_TYPES, RECORDS
+from ..operators.tables import Store, latest_by_key
+from ..schemas import KEYS, RECORD_TYPES, RECORDS, SILVER
 
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
@@ -22,19 +23,35 @@ def read_landed(spark: SparkSession, root: str) -> DataFrame:
     return lines.select(kind.alias("type"), F.col("value").alias("raw"))
 
 
+#: Each table's key as landed records name it.
+_RAW_KEYS = {t: next(path for name, path, _ in SILVER[t] if name == KEYS[t]) for t in RECORD_TYPES}
+
+
+def _parsed(batch: DataFrame, record_type: str) -> DataFrame:
+    return batch.where(F.col("type") == record_type).select("type", "raw", F.from_json("raw", RECORDS[record_type]).alias("r"))
+
+
+def rejected(batch: DataFrame) -> DataFrame:
+    """(type, raw) of lines that are no record, or have no key, or no known type."""
+    parts = [_parsed(batch, t).where(F.col("r").isNull() | F.col(f"r.{_RAW_KEYS[t]}").isNull()).select("type", "raw") for t in RECORD_TYPES]
+    return reduce(DataFrame.unionByName, parts, batch.where(~F.coalesce(F.col("type").isin(*RECORD_TYPES), F.lit(False))).select("type", "raw"))
+
+
 def silver_batch(batch: DataFrame) -> dict[str, DataFrame]:
-    """Typed tables of a batch, the newest version of each key."""
+    """Typed tables of a batch, the newest version of each key; `rejected` has
+    the lines that are left out."""
     out = {}
     for t in RECORD_TYPES:
-        records = batch.where(F.col("type") == t).select(F.from_json("raw", RECORDS[t]).alias("r")).where("r is not null").select("r.*")
+        records = _parsed(batch, t).where(F.col(f"r.{_RAW_KEYS[t]}").isNotNull()).select("r.*")
         out[t] = latest_by_key(flatten(records, t), [KEYS[t]], ["updated_at"])
     return out
 
 
 def gold_writer(store: Store, stream: str, today: dt.date | None = None):
-    """A foreachBatch function: contract, upsert, commit, then the mart of the
-    users that the batch touches. A batch that the manifest has seen is left
-    out, so replays change nothing."""
+    """A foreachBatch function: bad lines to the table `rejects`, contract,
+    merge, then the mart of the users that the batch touches. A batch that the
+    manifest has seen is left out, so replays change nothing; one that failed in
+    between may leave its rejects twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if store.manifest()["batches"].get(stream, -1) >= batch_id:
@@ -45,8 +62,10 @@ def gold_writer(store: Store, stream: str, today: dt.date | None = None):
             from ..operators.contracts import enforce
 
             enforce(silver)
-            merged = {n: upsert(store.read(n), silver[n], [KEYS[n]]) for n in silver}
-            store.commit(merged, today)  # the mart and the batch id follow; a replay in between is idempotent
+            bad = rejected(batch)
+            if not bad.isEmpty():
+                store.append("rejects", bad.withColumn("batch", F.lit(batch_id).cast("long")))
+            store.merge({n: (silver[n], KEYS[n]) for n in silver}, today)  # the mart and the batch id follow; a replay in between is idempotent
             users = None
             for n in silver:
                 own = silver[n].select("user_id")
@@ -54,9 +73,7 @@ def gold_writer(store: Store, stream: str, today: dt.date | None = None):
             users = users.distinct()
             gold = {n: store.read(n).join(users, "user_id", "left_semi") for n in RECORD_TYPES}
             mart = mart_daily_features(daily_summary(gold["cycles"], gold["recovery"], gold["sleep"], gold["workouts"]))
-            old = store.read("mart_daily_features")
-            whole = mart if old is None else old.join(users, "user_id", "left_anti").unionByName(mart)
-            store.commit({"mart_daily_features": whole}, batch=(stream, batch_id))
+            store.merge({"mart_daily_features": (mart, "user_id")}, batch=(stream, batch_id))
         finally:
             batch.unpersist()
 

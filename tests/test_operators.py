@@ -175,12 +175,43 @@ def test_store_commits_all_or_nothing(spark, frames, tmp_path):
     assert store.manifest() == before
     store.load_gold({n: df.limit(0) for n, df in frames.items()}, dt.date(2024, 3, 4))
     assert store.read("cycles").count() == 3 and store.last_synced_date() == dt.date(2024, 3, 4)
-    (tmp_path / "gold" / "manifest.json").write_text("{")
-    (tmp_path / "gold" / ".manifest.json.crc").unlink(missing_ok=True)
+    newest = sorted((tmp_path / "gold").glob("manifest-*.json"))[-1]
+    newest.write_text("{")
+    (tmp_path / "gold" / f".{newest.name}.crc").unlink(missing_ok=True)
     with pytest.raises(tables.ManifestError):
         store.manifest()
 
 
+def test_two_writers(spark, tmp_path):
+    """Neither loses what the other wrote: other tables are taken up, the same
+    one is merged again; a merge rewrites its own buckets only."""
+    root = f"file://{tmp_path}/gold"
+    one, two = tables.Store(spark, root, buckets=4), tables.Store(spark, root, buckets=4)
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    one.merge({"t": (rows(0, 100, 1), "k")})
+    before = one.manifest()["tables"]["t"]["parts"]
+    real, between = tables.Store._publish, []
+
+    def late(self, manifest):
+        if self is one and not between:
+            between.append(two.merge({"t": (rows(50, 51, 2), "k")}))
+            two.commit({"u": rows(0, 3, 9)})
+        return real(self, manifest)
+
+    try:
+        tables.Store._publish = late
+        one.merge({"t": (rows(10, 11, 3), "k")})
+    finally:
+        tables.Store._publish = real
+    got = {r["k"]: r["v"] for r in one.read("t").collect()}
+    assert len(got) == 100 and got[50] == 2 and got[10] == 3 and got[0] == 1 and one.read("u").count() == 3
+    after = one.manifest()["tables"]["t"]["parts"]
+    assert set(after) == set(before) and 0 < sum(after[k] != before[k] for k in before) <= 2
+    assert one.vacuum(1) > 0 and {r["k"]: r["v"] for r in one.read("t").collect()} == got and len(one._versions()) == 1
+    one.merge({"t": (rows(0, 0, 1), "k"), "empty": (rows(0, 0, 1), "k")})
+    assert one.read("t").count() == 100 and one.read("empty").count() == 0
+
+
 # ------------------------------------------------------------------ daily
 def test_interval_assignment(spark):
     cycles = spark.createDataFrame(
@@ -413,8 +444,11 @@ def test_streaming_to_gold(spark, tmp_path):
     assert mart[2]["cycle_strain"] == 3.0 and mart[3]["days_since_last_low_strain_day"] == 1
     from pulsegrain.streaming import gold_writer
 
+    (tmp_path / "landing" / "sleep" / "bad.json").write_text('not json\n[1]\n{"cycle_id": 3}\n' + json.dumps(records()["sleep"][0] | {"updated_at": iso(9)}) + "\n")
+    run_available(spark, str(tmp_path / "landing"), store, str(tmp_path / "cp"))
+    assert sorted(r["raw"] for r in store.read("rejects").collect()) == ["[1]", "not json", '{"cycle_id": 3}'] and store.read("sleep").count() == 2
     version = store.manifest()["version"]
-    gold_writer(store, "landing")(spark.createDataFrame([], "type string, raw string"), 1)
+    gold_writer(store, "landing")(spark.createDataFrame([], "type string, raw string"), 2)
     assert store.manifest()["version"] == version  # a replay
 
 
