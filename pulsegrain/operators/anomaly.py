@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .features import recent_rows, user_line
+from .quantiles import exact_quantiles
 
 # The watched measurements and their least scales.
 FLOORS = {"hrv_rmssd_milli": 1.0, "resting_heart_rate": 1.0, "skin_temp_celsius": 0.05, "respiratory_rate": 0.1}
@@ -86,21 +87,23 @@ def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees
     most) is broadcast. Nulls count as the column's median."""
     columns = list(FLOORS) if columns is None else columns
     spark = history.sparkSession
-    medians = history.agg(*[F.coalesce(F.percentile(F.col(c).cast("double"), 0.5), F.lit(0.0)).alias(c) for c in columns]).first()
-    fill = {c: float(medians[c]) for c in columns}
-    filled = history.withColumns({f"__{c}": F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(fill[c])) for c in columns})
-    names = [f"__{c}" for c in columns]
+    medians = exact_quantiles(history, columns, [0.5])
+    keys, names = ["user_id", "cycle_id"], [f"__{c}" for c in columns]
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    narrow = history.select(*keys, *[F.coalesce(value(c), F.lit(medians[c][0] or 0.0)).alias(f"__{c}") for c in columns])
     total = max(1, history.count())
     share = min(1.0, rows / total)
-    draws = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.pmod(F.xxhash64(t, F.lit(seed), "user_id", "cycle_id"), F.lit(1_000_003)) < share * 1_000_003)
-    sample = filled.select(F.explode(draws).alias("tree"), "cycle_id", *names)
+    draw = lambda t: F.pmod(F.xxhash64(t, F.lit(seed), *keys), F.lit(1_000_003))
+    draws = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < share * 1_000_003)
+    sample = narrow.select(F.explode(draws).alias("tree"), *keys, *names).withColumn("__draw", draw(F.col("tree")))
     limit = int(np.ceil(np.log2(max(rows, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         import json
 
         t = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values("cycle_id")[names].to_numpy()[: 2 * rows]
+        # the smallest draws, so that no part of the ids is preferred
+        x = pdf.sort_values(["__draw", *keys])[names].to_numpy()[: 2 * rows]
         return pd.DataFrame({"tree": [t], "nodes": [json.dumps(_tree(x, np.random.default_rng(seed * 1000 + t), 0, limit))], "n": [len(x)]})
 
     grown = sample.groupBy("tree").applyInPandas(grow, "tree int, nodes string, n int").orderBy("tree").collect()
@@ -108,14 +111,14 @@ def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees
 
     forest = spark.sparkContext.broadcast([json.loads(r["nodes"]) for r in grown])
     norm = float(_expected(np.mean([r["n"] for r in grown]) if grown else 2)) or 1.0
-    schema = history.schema.add("isolation_score", "double")
 
-    def score(batches):
-        for pdf in batches:
-            x = pdf[names].to_numpy()
-            depth = np.mean([_depths(t, x) for t in forest.value], axis=0) if forest.value else np.zeros(len(x))
-            yield pdf.drop(columns=names).assign(isolation_score=2.0 ** (-depth / norm))
+    @F.pandas_udf("double")
+    def score(cols: pd.DataFrame) -> pd.Series:
+        x = cols.to_numpy()
+        depth = np.mean([_depths(t, x) for t in forest.value], axis=0) if forest.value else np.zeros(len(x))
+        return pd.Series(2.0 ** (-depth / norm))
 
-    scored = filled.mapInPandas(score, schema)
-    cut = F.broadcast(scored.agg(F.percentile("isolation_score", 1 - contamination).alias("__cut")))  # one row
-    return scored.join(cut, F.lit(True)).withColumn("is_isolated", F.col("isolation_score") > F.col("__cut")).drop("__cut")
+    filled = history.withColumns({f"__{c}": F.coalesce(value(c), F.lit(medians[c][0] or 0.0)) for c in columns})
+    scored = filled.withColumn("isolation_score", score(F.struct(*names))).drop(*names)
+    cut = exact_quantiles(scored.select("isolation_score"), ["isolation_score"], [1 - contamination])["isolation_score"][0]
+    return scored.withColumn("is_isolated", F.coalesce(F.col("isolation_score") > F.lit(cut).cast("double"), F.lit(False)))

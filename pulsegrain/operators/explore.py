@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import sleep_band, strain_band, weekday_name, year_month
+from .quantiles import exact_quantiles
 
 
 def weekday_profile(daily: DataFrame) -> DataFrame:
@@ -90,10 +91,12 @@ def table_profile(df: DataFrame, time_column: str | None = None) -> DataFrame:
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, deviation, minimum, exact quartiles and maximum."""
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+
     def of(c: str) -> Column:
         v = F.col(c).cast("double")
-        q = F.percentile(v, [0.25, 0.5, 0.75])
-        return F.struct(F.lit(c).alias("column_name"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), q[0].alias("q25"), q[1].alias("q50"), q[2].alias("q75"), F.max(v).alias("max"))
+        q = [F.lit(x).cast("double").alias(n) for x, n in zip(quartiles[c], ("q25", "q50", "q75"))]
+        return F.struct(F.lit(c).alias("column_name"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *q, F.max(v).alias("max"))
 
     return df.agg(F.array(*[of(c) for c in columns]).alias("x")).select(F.explode("x").alias("x")).select("x.*")
 

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import clipped
 from .features import FEATURES
+from .quantiles import exact_quantiles
 
 ALPHA = 10.0
 
@@ -245,20 +246,28 @@ def fold_status(folds: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- pooled models
-def _vectors(df: DataFrame, features: tuple[str, ...], prepared: DataFrame | None = None) -> DataFrame:
+def pooled_preprocessing(train: DataFrame, features: tuple[str, ...]) -> DataFrame:
+    """fit_preprocessing over all rows, as one row of the key __all; medians are
+    found by counting, so that no task holds a column's values."""
+    medians = exact_quantiles(train, list(features), [0.5])
+    fill = [medians[f][0] or 0.0 for f in features]
+    x = [F.coalesce(v, F.lit(m)) for v, m in zip(_values(features), fill)]
+    scale = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0))
+    return train.agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in x]).alias("means"), F.array(*[scale(c) for c in x]).alias("scales")).select(F.lit(0).alias("__all"), F.array(*[F.lit(m) for m in fill]).alias("medians"), "means", "scales")
+
+
+def _vectors(df: DataFrame, features: tuple[str, ...], prepared: DataFrame) -> DataFrame:
     from pyspark.ml.functions import array_to_vector
 
-    d = df.withColumn("__all", F.lit(0))
-    prepared = fit_preprocessing(d, ["__all"], features) if prepared is None else prepared
-    return standardise(d, F.broadcast(prepared), ["__all"], features).withColumn("features", array_to_vector("z")).drop("z", "__all")
+    d = standardise(df.withColumn("__all", F.lit(0)), F.broadcast(prepared), ["__all"], features)  # one row
+    return d.withColumn("features", array_to_vector("z")).drop("z", "__all")
 
 
 def fit_boosted(train: DataFrame, features: tuple[str, ...] = FEATURES, trees: int = 80, depth: int = 2, step: float = 0.05, seed: int = 42):
     """(model, preprocessing) of gradient-boosted trees over all users."""
     from pyspark.ml.regression import GBTRegressor
 
-    d = train.withColumn("__all", F.lit(0))
-    prepared = fit_preprocessing(d, ["__all"], features)
+    prepared = pooled_preprocessing(train, features)
     model = GBTRegressor(labelCol="target", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed).fit(_vectors(train, features, prepared).withColumn("target", F.col("target").cast("double")))
     return model, prepared
 
@@ -272,8 +281,7 @@ def fit_low_recovery(train: DataFrame, features: tuple[str, ...] = FEATURES, c:
     """(model, preprocessing) of a class-balanced logistic regression."""
     from pyspark.ml.classification import LogisticRegression
 
-    d = train.withColumn("__all", F.lit(0))
-    prepared = fit_preprocessing(d, ["__all"], features)
+    prepared = pooled_preprocessing(train, features)
     n = {r[0]: r[1] for r in train.groupBy("low_recovery").count().collect()}
     if len(n) < 2:
         raise ValueError("both classes are needed")

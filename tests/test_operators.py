@@ -452,6 +452,44 @@ def test_streaming_to_gold(spark, tmp_path):
     assert store.manifest()["version"] == version  # a replay
 
 
+def test_exact_quantiles(spark):
+    from pulsegrain.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=3000), rng.normal(size=500) * 1e12, np.full(700, 0.125), [1e-300, -1e-300, 1.7e308, -1.7e308]])
+    rows = [(float(v), int(i % 5), None) for i, v in enumerate(rng.permutation(x))] + [(None, None, None), (float("nan"), None, None), (float("inf"), None, None)]
+    shares = [0.0, 0.03, 0.25, 0.5, 0.97, 1.0]
+    got = exact_quantiles(spark.createDataFrame(rows, "x double, k int, none double"), ["x", "k", "none"], shares)
+    s = np.sort(x)
+    for q, v in zip(shares, got["x"]):
+        at = (len(s) - 1) * q
+        a, b = s[int(np.floor(at))], s[int(np.ceil(at))]
+        assert v == pytest.approx(a + (b - a) * (at - np.floor(at)))
+    assert got["k"] == pytest.approx(np.quantile([i % 5 for i in range(len(x))], shares)) and got["none"] == [None] * 6
+
+
+def test_classifier_and_boosted_folds(spark):
+    rng = np.random.default_rng(1)
+    rows = []
+    for user, level in ((1, 0.5), (2, 3.0)):
+        for i in range(110):
+            a, b = rng.normal(size=2)
+            # user 2 has one class in the first training rows
+            low = int(a + 0.3 * rng.normal() > level) if user == 1 or i > 80 else 0
+            rows.append((user, i, at(i), float(a), None if i % 9 == 0 else float(b), 50 + 10 * float(np.sign(a)) + float(rng.normal()), low))
+    df = spark.createDataFrame(rows, "user_id long, cycle_id long, start_at timestamp, a double, b double, target double, low_recovery int")
+    folds = supervised.walk_forward(df)
+    status = {(r["user_id"], r["fold"]): r["skipped"] for r in learn.fold_status(folds).collect()}
+    out = learn.validate_low_recovery(folds, ("a", "b")).collect()
+    assert {(r["user_id"], r["fold"]) for r in out} == {k for k, skipped in status.items() if not skipped} and any(status.values())
+    mine = [r for r in out if r["user_id"] == 1]
+    assert np.mean([(r["probability"] > 0.5) == (r["low_recovery"] == 1) for r in mine]) > 0.8
+    boosted = learn.validate_boosted(folds.where("user_id = 1"), ("a", "b")).collect()
+    assert np.mean([abs(r["predicted"] - r["target"]) for r in boosted]) < 4 and all(0 <= r["predicted"] <= 100 for r in boosted)
+    whole = learn.compare_models(folds.withColumn("recovery_score", F.col("a")), ("a", "b"))
+    assert {r["model_name"] for r in whole.collect()} == {"persistence", "ridge", "incremental_ridge", "boosted"}
+
+
 def test_explore_helpers(spark, tmp_path):
     df = spark.createDataFrame([(1, 1, at(0), 5.0), (1, 2, at(1), 7.0), (1, 3, at(2), 9.0), (1, 4, at(3), None)], "user_id long, cycle_id long, start_at timestamp, x double")
     assert explore.histogram(df, "x", 2).orderBy("bin").select("n").collect() == [(1,), (2,)]
