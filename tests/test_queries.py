@@ -53,3 +53,21 @@ def test_entry_without_the_training_part(spark, monkeypatch):
     monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
     assert "daily_summary" in e.queries()
     assert "pipeline" not in e.queries()
+
+
+def test_entry_tells_of_missing_packages(monkeypatch):
+    import sys
+
+    import __spark_entry__ as e
+
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("pulsegrain.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    try:
+        import corpus_pipeline  # noqa: F401
+    except ModuleNotFoundError:
+        pytest.skip("the training part is not here")
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("pulsegrain.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "xxhash", None)
+    with pytest.raises(ModuleNotFoundError):
+        e.queries()
