@@ -1,7 +1,8 @@
 """Sampled sub-word segmentation: forward filtering, backward sampling.
 
-A text is its bytes with one blank in front, cut before blanks and around
-control bytes into units that no piece spans. The lattice of a unit has an edge
+A text is its bytes with one blank in front, cut before runs of blanks and
+after runs of control bytes into units; no piece of the vocabulary spans such a cut, so
+none is lost to the lattice. The lattice of a unit has an edge
 for each vocabulary piece that matches it, and one of byte pieces for each
 character that has no piece. Forward sums over the lattice give each place the
 probability of every edge that ends there; a segmentation is drawn backwards
@@ -61,8 +62,9 @@ def load_pieces(path: str) -> Pieces:
             raw[i] = bytes([int(piece[3:5], 16)])
         elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
             raw[i] = piece.replace("▁", " ").encode()
-            # no piece spans a blank or a control byte
-            if b" " not in raw[i][1:] and raw[i].decode().isprintable():
+            if b" " in raw[i].lstrip(b" ") or min(raw[i].rstrip(bytes(range(32))), default=32) < 32:
+                raise ValueError(f"piece {i} spans a place where texts are cut")
+            if raw[i]:
                 ids.append(i)
                 weight.append(-np.log(max(0.0, -sp.get_score(i)) + 2.7))
     if (byte_ids < 0).any():
@@ -176,8 +178,10 @@ def sample_slice(buf: np.ndarray, offs: np.ndarray, seeds: np.ndarray, pieces: P
     if not len(wide):
         return np.zeros(0, np.int64), np.zeros(n_docs + 1, np.int64)
     control = _CONTROL[wide]
-    opens = (wide == 32) | control
-    opens[1:] |= control[:-1]
+    blank = wide == 32
+    opens = blank.copy()
+    opens[1:] &= ~(blank[1:] & blank[:-1])
+    opens[1:] |= control[:-1] & ~control[1:]
     opens[begin[size > 0]] = True
     starts = np.flatnonzero(opens)
     ends = np.append(starts[1:], len(wide))

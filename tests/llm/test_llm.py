@@ -867,6 +867,12 @@ def test_segmentations_follow_the_lattice():
         assert set(got) <= {s for s, _ in want} and max(abs(got[s] / n - math.exp(alpha * q) / total) for s, q in want) < 0.015
 
 
+def test_runs_of_blanks_have_pieces_of_their_own():
+    pieces = _pieces()
+    wide = {i for i in pieces.spans.values[0].tolist() if len(pieces.raw[i]) > 1 and not pieces.raw[i].strip(b" ")}
+    assert wide and any(set(ids) & wide for ids in _segment(["a        b   c\n    d"] * 50, 3, 1.0))
+
+
 def test_decoding_is_lossless():
     rng = random.Random(7)
     texts = ["", " ", "  a  b \n\n\tc ", "▁ a ▁b▁", "日本語 é ñ 🎉 e\u0301", "a" * 5000, "\x00\x01x\x7f", "hello world"]
