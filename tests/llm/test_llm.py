@@ -907,6 +907,26 @@ def test_quality_classifier(spark, docs, labels, odd, empty):
     assert quality_classifier.score_quality(empty, labels, F.lit(True)).count() == 0
 
 
+def test_quality_statistics_equal_plain_counts(docs, odd):
+    from pulsegrain.llm.text_stats import FEATURES, _PUNCT, _SHOUT
+
+    texts = [r["text"] or "" for r in odd.select("text").collect()] + [r["text"] for r in docs.limit(60).collect()] + ["ABC def!!! 12 | x", "\n\na\na\n b"]
+    _, _, buf, offs = next(common.text_slices(pa.array(texts), 1 << 40))
+    got = text_stats.quality_features(buf, offs)
+    share = lambda x, base: x / base if base else 0.0
+    for i, t in enumerate(texts):
+        n, chars, symbols, dup, repeat = _counts(t)
+        w, raw = re.findall(r"[^\x20\x09-\x0D]+", t), t.encode()
+        lines = sum(bool(re.search(r"[^\x20\x09-\x0D]", x)) for x in t.split("\n"))
+        upper, letters = len(re.findall("[A-Z]", t)), len(re.findall("[A-Za-z]", t))
+        want = {
+            "n_words": n, "word_length": share(chars, n), "symbol_share": share(symbols, n), "dup_line_share": share(dup, lines), "repeat_share": share(repeat, n), "distinct_share": share(len(set(w)), n), "upper_share": share(upper, letters),
+            "digit_share": share(len(re.findall("[0-9]", t)), chars), "punct_share": share(sum(_PUNCT[b] for b in raw), n), "pipe_share": share(t.count("|"), n), "shout_share": share(sum(_SHOUT[b] for b in raw), n),
+            "line_words": share(n, lines), "wide_share": share(sum(b > 191 for b in raw), chars),
+        }
+        assert set(want) == set(FEATURES) and {k: float(got[k][i]) for k in want} == pytest.approx(want)
+
+
 def test_rules_compile_to_what_they_say(spark):
     rng = np.random.default_rng(3)
     texts = [("word " * n + "%% " * k, int(k < 3)) for n, k in zip(rng.integers(5, 90, 200), rng.integers(0, 8, 200))]
