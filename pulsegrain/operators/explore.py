@@ -30,6 +30,16 @@ def monthly_trend(daily: DataFrame, months: int = 12) -> DataFrame:
     return out.orderBy(F.desc("month")).limit(months)
 
 
+def recovery_cycles(daily: DataFrame) -> DataFrame:
+    """Weekly and monthly cycles: mean recovery at each weekday (1 to 7, Monday
+    first) and day of the month, and its distance from the overall mean."""
+    d = daily.where("recovery_score is not null")
+    places = F.array(F.struct(F.lit("week").alias("cycle"), (F.weekday("start_at") + 1).alias("position")), F.struct(F.lit("month").alias("cycle"), F.dayofmonth("start_at").alias("position")))
+    out = d.select("recovery_score", F.explode(places).alias("at")).groupBy("at.cycle", "at.position").agg(F.avg("recovery_score").alias("avg_recovery"), F.count("*").alias("n"))
+    whole = F.broadcast(d.agg(F.avg("recovery_score").alias("__mean")))  # a single row
+    return out.join(whole, F.lit(True)).withColumn("from_mean", F.col("avg_recovery") - F.col("__mean")).drop("__mean")
+
+
 def sport_profile(workouts: DataFrame, top: int = 10) -> DataFrame:
     """Counts, means and energy of each named sport, most frequent first."""
     from ..functions import elapsed_ms, minutes

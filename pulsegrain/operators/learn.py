@@ -224,19 +224,26 @@ def validate_boosted(folds: DataFrame, features: tuple[str, ...] = FEATURES, tre
     return _by_fold(folds, features, ["target"], "predicted", lambda train, test, x, new: np.clip(_boosted(x, train["target"].to_numpy(float), new, trees, depth, step), 0, 100))
 
 
-def compare_models(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
-    """(user_id, model_name, metric, mean, std, folds): the metrics of several
-    forecasters over the same folds."""
+def suite_metrics(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
+    """(user_id, model_name, fold, metric, value) of several forecasters over the
+    same folds."""
     from .monitor import persistence_forecast
-    from .supervised import metric_summary, metrics_long, regression_metrics
+    from .supervised import metrics_long, regression_metrics
 
     made = {"persistence": lambda: persistence_forecast(folds.where("role = 'test'")), "ridge": lambda: validate_ridge(folds, features), "incremental_ridge": lambda: validate_incremental(folds, features), "boosted": lambda: validate_boosted(folds, features)}
     out = None
     for name in models:
         own = made[name]().select("user_id", "fold", "target", "predicted", F.lit(name).alias("model_name"))
         out = own if out is None else out.unionByName(own)
-    keys = ["user_id", "model_name"]
-    return metric_summary(metrics_long(regression_metrics(out, [*keys, "fold"]), [*keys, "fold"]), keys)
+    keys = ["user_id", "model_name", "fold"]
+    return metrics_long(regression_metrics(out, keys), keys)
+
+
+def compare_models(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
+    """(user_id, model_name, metric, mean, std, folds): suite_metrics by model."""
+    from .supervised import metric_summary
+
+    return metric_summary(suite_metrics(folds, features, models), ["user_id", "model_name"])
 
 
 def fold_status(folds: DataFrame) -> DataFrame:

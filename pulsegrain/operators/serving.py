@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 from .contracts import ContractError, outside
 from .features import FEATURES, user_line
 from .intervals import bootstrap_tails, prediction_intervals
-from .learn import fit_ridge, predict_ridge, update_ridge, validate_ridge
+from .learn import fit_ridge, predict_ridge, suite_metrics, update_ridge, validate_ridge
 from .monitor import error_windows, retrain_decision
 from .supervised import readiness, supervised_pairs, walk_forward
 from .tables import Store, insert_new
@@ -80,6 +80,20 @@ def log_version(store: Store, name: str, models: DataFrame, fold_metrics: DataFr
     return version
 
 
+def log_suite(store: Store, folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted"), data_kind: str = "synthetic") -> dict[str, int]:
+    """Compare several forecasters over the same folds: the fold metrics of all
+    are committed together, each under the next version of <data_kind>-<model>;
+    returns the versions."""
+    old = store.read("fold_metrics")
+    last = {} if old is None else {r[0]: r[1] for r in old.groupBy("model_name").agg(F.max("model_version")).collect()}  # a row for each model
+    versions = {f"{data_kind}-{m}": (last.get(f"{data_kind}-{m}") or 0) + 1 for m in models}
+    name = F.concat(F.lit(f"{data_kind}-"), "model_name")
+    version = F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), name)
+    new = suite_metrics(folds, features, models).select("user_id", name.alias("model_name"), version.alias("model_version"), "fold", "metric", "value")
+    store.commit({"fold_metrics": new if old is None else old.unionByName(new, allowMissingColumns=True)})
+    return versions
+
+
 def activate(store: Store, name: str, version: int, at: dt.datetime) -> None:
     row = store.spark.createDataFrame([(name, version, at)], "model_name string, model_version int, activated_at timestamp")
     old = store.read("activations")

@@ -142,6 +142,11 @@ def best_sleep_band(spark, sf_dir):
     return rounded(explore.best_sleep_band(_daily(spark, sf_dir)).select("sleep_band", "avg_recovery"))
 
 
+@query(DAILY + ", p as (select 'week' as cycle, isodow(start_at)::int as position, recovery_score from daily union all select 'month', day(start_at)::int, recovery_score from daily) select cycle, position, round(avg(recovery_score),6) as avg_recovery, count(*) as n, round(avg(recovery_score) - (select avg(recovery_score) from daily),6) as from_mean from p where recovery_score is not null group by 1, 2")
+def recovery_cycles(spark, sf_dir):
+    return rounded(explore.recovery_cycles(_daily(spark, sf_dir)))
+
+
 @query(DAILY + "select cycle_id, user_id, round(stddev_samp(cycle_strain) over (partition by user_id order by start_at, cycle_id rows between 6 preceding and current row), 6) as strain_spread from daily")
 def strain_stability(spark, sf_dir):
     return rounded(features.strain_stability(_daily(spark, sf_dir)).select("cycle_id", "user_id", "strain_spread"))

@@ -196,6 +196,11 @@ def lag_correlation(spark, sf_dir):
     return rounded(out.select("user_id", F.when(F.col("both") > 2, F.nanvl("correlation", F.lit(None).cast("double"))).alias("correlation"), "pairs"))
 
 
+@query(DAILY + "select user_id, count(p) as pairs from (select user_id, lag(recovery_score) over (partition by user_id order by start_at, cycle_id) as p from daily) group by 1")
+def lag_pairs(spark, sf_dir):
+    return explore.lag_correlation(_daily(spark, sf_dir), "recovery_score").select("user_id", "pairs")
+
+
 # ---------------------------------------------------------------- contracts
 @query(DAILY + "select cycle_id, user_id, cycle_strain from daily where cycle_strain is not null and (cycle_strain<5 or cycle_strain>20)")
 def range_violations(spark, sf_dir):

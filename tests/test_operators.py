@@ -468,7 +468,7 @@ def test_exact_quantiles(spark):
     assert got["k"] == pytest.approx(np.quantile([i % 5 for i in range(len(x))], shares)) and got["none"] == [None] * 6
 
 
-def test_classifier_and_boosted_folds(spark):
+def test_classifier_and_boosted_folds(spark, tmp_path):
     rng = np.random.default_rng(1)
     rows = []
     for user, level in ((1, 0.5), (2, 3.0)):
@@ -486,6 +486,11 @@ def test_classifier_and_boosted_folds(spark):
     assert np.mean([(r["probability"] > 0.5) == (r["low_recovery"] == 1) for r in mine]) > 0.8
     boosted = learn.validate_boosted(folds.where("user_id = 1"), ("a", "b")).collect()
     assert np.mean([abs(r["predicted"] - r["target"]) for r in boosted]) < 4 and all(0 <= r["predicted"] <= 100 for r in boosted)
+    store = tables.Store(spark, f"file://{tmp_path}/suite")
+    some = folds.where("user_id = 1").withColumn("recovery_score", F.col("a"))
+    for version in (1, 2):
+        assert serving.log_suite(store, some, ("a", "b"), ("persistence", "ridge")) == {"synthetic-persistence": version, "synthetic-ridge": version}
+    assert {(r["model_name"], r["model_version"]) for r in store.read("fold_metrics").collect()} == {(f"synthetic-{m}", v) for m in ("persistence", "ridge") for v in (1, 2)}
     whole = learn.compare_models(folds.withColumn("recovery_score", F.col("a")), ("a", "b"))
     assert {r["model_name"] for r in whole.collect()} == {"persistence", "ridge", "incremental_ridge", "boosted"}
 
