@@ -167,7 +167,7 @@ def score_slice(buf: np.ndarray, offs: np.ndarray, model: ToxicityModel | None)
     return out
 
 
-def fit(rows: list[tuple[str, int]], hidden: int = 4, dim: int = 4, steps: int = 250, seed: int = 5, rate: float = 0.01, doubt: float = 0.5, jitter: int = 12, drop: float = 0.3) -> ToxicityModel | None:
+def fit(rows: list[tuple[str, int]], hidden: int = 8, dim: int = 8, steps: int = 500, seed: int = 5, rate: float = 0.01, doubt: float = 0.5, jitter: int = 12, drop: float = 0.3) -> ToxicityModel | None:
     """Train on (text, label). A labelled text is a bag of windows: a toxic one
     is represented by its most suspicious window (by the words' log odds over
     the sample, for the first sixth of the epochs, then by the network), a clean
