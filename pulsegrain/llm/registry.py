@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann import op2_ann
 from .language_id import op1_language_id
 from .packing import op6_packing
+from .periodic_runs import OP11_SQL, op11_periodic_runs
 from .pii import op4_pii
 from .piece_sampling import op9_piece_sampling
 from .quality_classifier import op10_quality_classifier
@@ -24,7 +25,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_piece_sampling": op9_piece_sampling,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 #: Words and hashes of other kinds (XXH64, token ids), and trained models, are
 #: not expressible; those queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL, "op11_periodic_runs": OP11_SQL}
