@@ -65,6 +65,21 @@ def crc_bucket(id_col: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
+#: crc32 in DuckDB's SQL: a table that its rule gives, folded over the bytes.
+CRC_TABLE_SQL = """bits as (
+    select i::bigint as i, i::bigint as v, 0 as k from range(256) t(i)
+    union all
+    select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8
+), crc as (
+    select list(v order by i) as t from bits where k = 8
+)"""
+
+
+def crc_sql(text: str) -> str:
+    """crc32 of an ASCII text, in a query that also reads crc."""
+    return f"xor(list_reduce([4294967295::bigint] || list_transform(string_split({text}, ''), lambda c: ascii(c)::bigint), lambda x, c: xor(x >> 8, t[(xor(x, c) & 255) + 1])), 4294967295)"
+
+
 def stratified_sample(df: DataFrame, stratum: str, order_by: Column, per_stratum: int, strata: int = 1000) -> DataFrame:
     """At most `per_stratum` rows of each of the `strata` most frequent strata,
     those with the smallest hash. Strata are first thinned by a hash threshold

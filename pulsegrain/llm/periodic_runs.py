@@ -292,18 +292,11 @@ def run_digests(runs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return out.select(id_col, "n_runs", "best.start", "best.length", "best.period", exact.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
-#: crc32 is folded byte by byte over a table that its rule gives. Stretches of
-#: words that are the same a period apart are found as islands.
-OP11_SQL = """
-with recursive bits as (
-    select i::bigint as i, i::bigint as v, 0 as k from range(256) t(i)
-    union all
-    select i, case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, k + 1 from bits where k < 8
-), crc as (
-    select list(v order by i) as t from bits where k = 8
-), split as (
+#: Stretches of words that are the same a period apart are found as islands.
+OP11_SQL = f"""
+with recursive {C.CRC_TABLE_SQL}, split as (
     select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
-        xor(list_reduce([4294967295::bigint] || list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint), lambda x, c: xor(x >> 8, t[(xor(x, c) & 255) + 1])), 4294967295) as h
+        {C.crc_sql("doc_id::varchar")} as h
     from documents, crc
 ), sized as (
     select doc_id, w, h, h // 10 as g, len(w) as n from split

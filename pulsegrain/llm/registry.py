@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .ann import op2_ann
 from .language_id import op1_language_id
+from .merkle import OP13_SQL, op13_merkle_manifest
+from .ngram_join import OP12_SQL, op12_ngram_join
 from .packing import op6_packing
 from .periodic_runs import OP11_SQL, op11_periodic_runs
 from .pii import op4_pii
@@ -26,7 +28,9 @@ QUERIES = {
     "op9_piece_sampling": op9_piece_sampling,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_ngram_join": op12_ngram_join,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 #: Words and hashes of other kinds (XXH64, token ids), and trained models, are
 #: not expressible; those queries are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL, "op11_periodic_runs": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_substring_dedup": OP5_SQL, "op11_periodic_runs": OP11_SQL, "op12_ngram_join": OP12_SQL, "op13_merkle_manifest": OP13_SQL}
