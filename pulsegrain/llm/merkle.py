@@ -24,8 +24,8 @@ from pyspark.sql.window import Window
 
 from . import common as C
 
+#: A block has ARITY ** HEIGHT rows.
 ARITY, HEIGHT = 16, 3
-BLOCK = ARITY**HEIGHT
 _STEPS = T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("others", T.StringType())]))
 
 
@@ -142,12 +142,11 @@ def ranked(df: DataFrame, group: str, order: list[str]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- blocks
-def _dealt(nodes: DataFrame) -> DataFrame:
-    block = F.floor(F.col("pos") / BLOCK).cast("long")
-    return nodes.withColumn("block", block)
+def _dealt(nodes: DataFrame, height: int) -> DataFrame:
+    return nodes.withColumn("block", F.expr(f"pos div {ARITY**height}"))
 
 
-def _block_roots(nodes: DataFrame) -> DataFrame:
+def _block_roots(nodes: DataFrame, height: int) -> DataFrame:
     """nodes: g, pos, n, digest. The blocks' roots as nodes of the next tree."""
     schema = T.StructType([nodes.schema["g"], *[T.StructField(c, T.LongType()) for c in ("pos", "n")], T.StructField("digest", T.StringType())])
 
@@ -155,7 +154,7 @@ def _block_roots(nodes: DataFrame) -> DataFrame:
         key, tree, size, out = None, None, 0, []
 
         def close():
-            out.append((*key, -(-size // BLOCK), tree.finish(min(HEIGHT, levels_of(size))).digest))
+            out.append((*key, -(-size // ARITY**height), tree.finish(min(height, levels_of(size))).digest))
 
         for b in batches:
             for g, block, n, value in zip(*[c.to_pylist() for c in b.columns]):
@@ -170,34 +169,34 @@ def _block_roots(nodes: DataFrame) -> DataFrame:
             close()
             yield C.arrow_rows(schema, **dict(zip(schema.names, map(list, zip(*out)))))
 
-    dealt = _dealt(nodes).repartition("g", "block").sortWithinPartitions("g", "block", "pos")
+    dealt = _dealt(nodes, height).repartition("g", "block").sortWithinPartitions("g", "block", "pos")
     return dealt.select("g", "block", "n", "digest").mapInArrow(C.tidy(build), schema)
 
 
-def _towers(nodes: DataFrame, label: str) -> list[DataFrame]:
+def _towers(nodes: DataFrame, height: int, label: str) -> list[DataFrame]:
     """The nodes, their block roots, the block roots of these and so on, until
     every group has one."""
     tables = [nodes]
     while (tables[-1].agg(F.max("n")).first()[0] or 0) > 1:
-        tables.append(C.materialise(_block_roots(tables[-1]), label))
+        tables.append(C.materialise(_block_roots(tables[-1], height), label))
     return tables
 
 
-def _descend(nodes: DataFrame, upper: DataFrame, emit, schema: T.StructType, own: list[str]) -> DataFrame:
+def _descend(nodes: DataFrame, upper: DataFrame, height: int, emit, schema: T.StructType, own: list[str]) -> DataFrame:
     """Rows that emit(rows, witnesses, above) gives for each block, in batches.
     upper: g, pos (the block), steps, top: the witness of each block's root and
     the group's root. It comes before the block's nodes, once."""
     names = ["g", "block", "pos", "n", "digest", "steps", "top", *own]
     kinds = {f.name: f.dataType for f in [*nodes.schema.fields, *upper.schema.fields]}
     null = lambda c: F.lit(None).cast(kinds[c]).alias(c)
-    below = _dealt(nodes).select(*[null(c) if c in ("steps", "top") else F.col(c) for c in names])
+    below = _dealt(nodes, height).select(*[null(c) if c in ("steps", "top") else F.col(c) for c in names])
     above = upper.select(*[F.col("pos").alias("block") if c == "block" else F.lit(-1).cast("long").alias("pos") if c == "pos" else F.col(c) if c in ("g", "steps", "top") else null(c) for c in names])
 
     def walk(batches):
         key, tree, size, leaves, rows, head = None, None, 0, [], [], None
 
         def close():
-            tree.finish(min(HEIGHT, levels_of(size)))
+            tree.finish(min(height, levels_of(size)))
             yield from emit(key, rows, [partial_witness(x) for x in leaves], head)
 
         for b in batches:
@@ -221,7 +220,7 @@ def _descend(nodes: DataFrame, upper: DataFrame, emit, schema: T.StructType, own
     return both.mapInArrow(C.tidy(walk), schema)
 
 
-def _lowered(nodes: DataFrame, upper: DataFrame, label: str) -> DataFrame:
+def _lowered(nodes: DataFrame, upper: DataFrame, height: int, label: str) -> DataFrame:
     """upper one tree further down: g, pos, steps, top of each of nodes."""
     schema = T.StructType([nodes.schema["g"], T.StructField("pos", T.LongType()), T.StructField("steps", _STEPS), T.StructField("top", T.StringType())])
 
@@ -231,10 +230,10 @@ def _lowered(nodes: DataFrame, upper: DataFrame, label: str) -> DataFrame:
             steps = [[{"at": a, "others": o} for a, o in w + head[0]] for w in witnesses[lo : lo + 256]]
             yield C.arrow_rows(schema, g=[key[0]] * len(part), pos=[r[2] for r in part], steps=steps, top=[head[1]] * len(part))
 
-    return C.materialise(_descend(nodes, upper, emit, schema, []), label)
+    return C.materialise(_descend(nodes, upper, height, emit, schema, []), label)
 
 
-def merkle_manifest(rows: DataFrame, *, id_col: str = "doc_id", group_col: str = "source", leaf_col: str = "leaf", present_col: str | None = None, witness: bool = False) -> DataFrame:
+def merkle_manifest(rows: DataFrame, *, id_col: str = "doc_id", group_col: str = "source", leaf_col: str = "leaf", present_col: str | None = None, witness: bool = False, height: int = HEIGHT) -> DataFrame:
     """The manifest of rows with their leaves (lowercase hex digests).
 
     A group's leaves ascend by id, then leaf. While several nodes remain, every
@@ -253,20 +252,20 @@ def merkle_manifest(rows: DataFrame, *, id_col: str = "doc_id", group_col: str =
     """
     present = F.col(present_col or leaf_col)
     leaves = C.materialise(rows.select(F.col(id_col).alias("id"), F.col(group_col).alias("g"), F.col(leaf_col).alias("digest"), present.alias("present")), "leaves")
-    tables = _towers(C.materialise(ranked(leaves, "g", ["id", "digest"]), "ranked"), "blocks")
+    tables = _towers(C.materialise(ranked(leaves, "g", ["id", "digest"]), "ranked"), height, "blocks")
     subroots = tables[-1].select(F.col("g").alias("group"), F.col("digest").alias("subroot"))
     tops = C.materialise(ranked(subroots.select(F.lit(None).cast("string").alias("g"), "group", F.col("subroot").alias("digest")), "g", ["group"]), "subroots")
-    crown = _towers(tops, "crown")
+    crown = _towers(tops, height, "crown")
     last = crown[-1].first()
     root = last["digest"] if last else None
 
     upper = crown[-1].select("g", "pos", F.array().cast(_STEPS).alias("steps"), F.lit(root).alias("top"))
     for nodes in reversed(crown[:-1]):
-        upper = _lowered(nodes, upper, "crown_steps")
+        upper = _lowered(nodes, upper, height, "crown_steps")
     # the places among all groups lead to the groups' own trees
     upper = tops.select(F.col("group").alias("g"), F.col("digest").alias("top"), F.col("pos").alias("place")).join(upper.select(F.col("pos").alias("place"), "steps"), "place").select("g", F.lit(0).cast("long").alias("pos"), "steps", "top")
     for nodes in reversed(tables[1:-1]):
-        upper = _lowered(nodes, upper, "steps")
+        upper = _lowered(nodes, upper, height, "steps")
 
     texts = ["leaf", "subroot", "root", "proof_sha256", "folded_root"]
     schema = T.StructType([T.StructField("id", rows.schema[id_col].dataType), *[T.StructField(c, T.StringType()) for c in texts], T.StructField("verified", T.BooleanType()), *([T.StructField("steps", _STEPS)] if witness else [])])
@@ -284,7 +283,7 @@ def merkle_manifest(rows: DataFrame, *, id_col: str = "doc_id", group_col: str =
                 out["steps"] = [[{"at": a, "others": o} for a, o in w + head[0]] for w in own]
             yield C.arrow_rows(schema, **out)
 
-    return _descend(tables[0], upper, emit, schema, ["id", "present"]).withColumnRenamed("id", id_col)
+    return _descend(tables[0], upper, height, emit, schema, ["id", "present"]).withColumnRenamed("id", id_col)
 
 
 def _op13_sql(levels: int = 6) -> str:
