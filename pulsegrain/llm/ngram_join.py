@@ -10,7 +10,8 @@ filter). The order is rare first:
    by chance change the order, so the work, and never the result.
 2. Each class posts the n-grams of its prefix with its size, the n-gram's place
    and, in eight parts of the hash space, how many of its n-grams come later.
-   N-grams that only one class posts go; the rest is joined on the n-gram.
+   They are shuffled once: n-grams that only one class posts go, and the rest,
+   which is little, is joined on the n-gram.
 3. A pair must pass the length filter (the sizes), the positional filter (what
    is left after the places) and the suffix filter (places passed and the parts'
    counts add up to a lower bound of the difference). None loses a pair.
@@ -39,6 +40,9 @@ from .near_copies import _names, shingle_sets
 SLOT_BITS, BLOCK_BITS = 22, 14
 #: The map of texts to read again has at most so many bits (as a power of two).
 MAP_BITS = 28
+#: Texts of an n-gram's slot from which on its classes are dealt over salts, if
+#: they are also 64 times the mean.
+DEALT = 100_000
 #: Members of a star that meet one copy of its head.
 STAR = 512
 _LOW = 0xFFFFFFFF
@@ -111,39 +115,74 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-def later_counts(part: np.ndarray, d: np.ndarray, size: np.ndarray, shown: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def later_counts(part: np.ndarray, d: np.ndarray, size: np.ndarray, shown: np.ndarray) -> np.ndarray:
     """For each place shown, how many n-grams of its set come later in each of
-    eight parts; two longs of four 15-bit numbers that stop at their greatest
-    (which only lowers differences)."""
+    eight parts: bytes of a long that stop at 255 (which only lowers differences)."""
     ends = np.cumsum(size)[d[shown]] - 1
     at = np.flatnonzero(shown)
-    out = [np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)]
+    out = np.zeros((len(at), 8), np.uint8)
     for k in range(8):
         upto = np.cumsum(part == k)
-        out[k // 4] |= np.minimum(upto[ends] - upto[at], 0x7FFF) << (15 * (k % 4))
-    return out[0], out[1]
+        out[:, k] = np.minimum(upto[ends] - upto[at], 255)
+    return out.view(np.int64).ravel()
+
+
+_POSTING = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "name", "spot", "later", "salt")])
 
 
 def _postings(docs: DataFrame, text_col: str, shingle: int, percent: int, rarity) -> DataFrame:
-    """(gram, name, spot, s0, s1) of every set's prefix; spot is the place times
-    2**32 plus the set's size. Equal sets give equal rows."""
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("gram", "name", "spot", "s0", "s1")])
+    """(gram, name, spot, later, salt) of every set's prefix; spot is the place
+    times 2**32 plus the set's size. Equal sets give equal rows. An n-gram of a
+    slot far above the mean has its classes dealt over several salts."""
+    often = max(8 * math.log2(DEALT), float(np.mean(rarity.value)) + 48)
 
     def run(batches):
+        table = rarity.value
+        salts = np.maximum(1, np.exp2((np.arange(256) - often) / 8)).astype(np.uint64)
         for b in batches:
             for lo, hi, buf, offs in C.text_slices(b.column(0)):
                 g, d = shingle_sets(buf, offs, shingle)
                 name, size = _names(g, d, hi - lo)
                 new = np.zeros(hi - lo, bool)  # equal sets of a slice are shown once
                 new[np.unique(name, return_index=True)[1]] = True
-                order = np.lexsort((g, rarity.value[_slots(g)], d))
-                g, d = g[order], d[order]
+                code = table[_slots(g)]
+                order = np.lexsort((g, code, d))
+                g, d, code = g[order], d[order], code[order]
                 place = np.arange(len(g)) - (np.cumsum(size) - size)[d]
                 shown = (place < prefix_size(size, percent)[d]) & new[d]
-                s0, s1 = later_counts((C.mix(g) >> np.uint64(61)).astype(np.int64), d, size, shown)
-                yield C.arrow_rows(schema, gram=g[shown].view(np.int64), name=name[d[shown]], spot=(place[shown] << 32) + size[d[shown]], s0=s0, s1=s1)
+                later = later_counts((C.mix(g) >> np.uint64(61)).astype(np.int64), d, size, shown)
+                own, parts = name[d[shown]], salts[code[shown]]
+                salt = np.where(parts > 1, C.mix(own.view(np.uint64)) % parts + np.uint64(1), np.uint64(0))
+                yield C.arrow_rows(_POSTING, gram=g[shown].view(np.int64), name=own, spot=(place[shown] << 32) + size[d[shown]], later=later, salt=salt.astype(np.int64))
+
+    return docs.select(text_col).mapInArrow(C.tidy(run), _POSTING)
 
-    return docs.select(text_col).mapInArrow(C.tidy(run), schema)
+
+def _met(posts: DataFrame) -> DataFrame:
+    """The distinct postings of n-grams that several classes post, in one shuffle
+    of all: neighbours in the order of n-grams tell. Those with a salt all stay."""
+
+    def run(batches):
+        last, told = None, False
+        for b in batches:
+            rows = np.column_stack([c.to_numpy() for c in b.columns])
+            if not len(rows):
+                continue
+            held = last is not None
+            if held:
+                rows = np.concatenate([last, rows])
+            new = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))
+            rows = rows[new]
+            same = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 4] == rows[:-1, 4])
+            before = np.append(False, same)
+            keep = before | np.append(same, False) | (rows[:, 4] > 0)
+            if held and told:
+                keep[0] = False
+            yield C.arrow_rows(_POSTING, **{f.name: rows[keep, i] for i, f in enumerate(_POSTING)})
+            told = bool(keep[-1]) or (len(rows) == 1 and held and told)
+            last = rows[-1:]
+
+    return posts.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "name").mapInArrow(C.tidy(run), _POSTING)
 
 
 def may_be_similar(x: str, y: str, percent: int) -> Column:
@@ -156,10 +195,9 @@ def may_be_similar(x: str, y: str, percent: int) -> Column:
     length = 100 * F.least(*size) >= percent * F.greatest(*size)
     position = F.least(size[0] - place[0], size[1] - place[1]) * (100 + percent) >= percent * both
     apart = place[0] + place[1]
-    for s in ("s0", "s1"):
-        for k in range(4):
-            a, b = (F.shiftright(F.col(f"{side}{s}"), 15 * k).bitwiseAND(F.lit(0x7FFF)) for side in (x, y))
-            apart = apart + F.abs(a - b)
+    for k in range(8):
+        a, b = (F.shiftright(F.col(f"{side}later"), 8 * k).bitwiseAND(F.lit(0xFF)) for side in (x, y))
+        apart = apart + F.abs(a - b)
     # sets that share o n-grams differ in |a| + |b| - 2 o
     return length & position & (apart * (100 + percent) <= both * (100 - percent))
 
@@ -235,14 +273,11 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     named = rows.where(F.col(id_col).isNotNull() & (F.col("__n") > 0))
     classes = C.materialise(named.groupBy("__name").agg(F.min(id_col).alias("__first")), "classes")
     rarity = docs.sparkSession.sparkContext.broadcast(_rarity(scanned))
-    posts = C.materialise(_postings(docs.where(F.col(id_col).isNotNull()), text_col, shingle, percent, rarity).distinct(), "postings")
-
+    posts = _postings(docs.where(F.col(id_col).isNotNull()), text_col, shingle, percent, rarity)
     # sets of like length: two similar ones are in one band or in neighbouring ones
     band = F.floor(F.log(F.col("spot").bitwiseAND(F.lit(_LOW)).cast("double")) / math.log(101.0 / percent)).cast("int")
-    crowd = posts.groupBy("gram").agg(F.min("name").alias("x"), F.max("name").alias("y")).where("x != y").select("gram")
-    shared = C.materialise(posts.join(crowd, "gram", "left_semi").withColumn("band", band), "shared")
-    head = F.min(F.struct("spot", "name", "s0", "s1"))
-    heads = shared.groupBy("gram", "band").agg(head.alias("h")).select("gram", "band", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("spot", "name", "s0", "s1")])
+    shared = C.materialise(_met(posts).drop("salt").withColumn("band", band), "shared")
+    heads = shared.groupBy("gram", "band").agg(F.min(F.struct("spot", "name", "later")).alias("h")).select("gram", "band", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("spot", "name", "later")])
     near = may_be_similar("", "h_", percent) & (F.col("name") != F.col("h_name"))
     stars = shared.join(heads, ["gram", "band"]).where(near).select(F.col("name").alias("a"), F.col("h_name").alias("b"))
     links = _verified(docs, classes, stars, id_col, text_col, shingle, percent)

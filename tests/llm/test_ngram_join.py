@@ -101,6 +101,27 @@ def test_filters_lose_no_pair():
         assert apart * (100 + percent) <= both * (100 - percent)
 
 
+def test_postings_that_meet(spark):
+    """Once each, if their n-gram has several classes, wherever batches end."""
+    rng = random.Random(6)
+    rows = [(g, rng.randrange(40), 1, 2, 3 if g % 50 == 0 else 0) for g in range(3000) for _ in range(rng.choice([1, 1, 2, 5]))]
+    rows += rows[:500]
+    df = spark.createDataFrame(rows, ngram_join._POSTING).repartition(6)
+    want = set(rows)
+    count: dict = {}
+    for r in want:
+        count[r[0]] = count.get(r[0], 0) + 1
+    want = {r for r in want if count[r[0]] > 1 or r[4]}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 7, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = [tuple(r) for r in ngram_join._met(df).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_later_counts_and_rarity(spark):
     texts = ["a b c d e f", "x y z", "a b c d e g h"]
     _, _, buf, offs = next(common.text_slices(pa.array(texts)))
@@ -110,7 +131,7 @@ def test_later_counts_and_rarity(spark):
     s = ngram_join.later_counts(part, d, size, np.ones(len(g), bool))
     for i in range(len(g)):
         later = [part[j] for j in range(i + 1, len(g)) if d[j] == d[i]]
-        assert [(int(s[k // 4][i]) >> (15 * (k % 4))) & 0x7FFF for k in range(8)] == np.bincount(np.array(later, int), minlength=8).tolist()
+        assert [(int(s[i]) >> (8 * k)) & 0xFF for k in range(8)] == np.bincount(np.array(later, int), minlength=8).tolist()
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "doc_id bigint, text string").repartition(3)
     rarity = ngram_join._rarity(ngram_join._scan(df, "doc_id", "text", 3))
     shared = np.isin(g, [x for x in g if (g == x).sum() > 1])
