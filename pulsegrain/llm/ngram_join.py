@@ -15,7 +15,8 @@ filter). The order is rare first:
 3. A pair must pass the length filter (the sizes), the positional filter (what
    is left after the places) and the suffix filter (places passed and the parts'
    counts add up to a lower bound of the difference). None loses a pair.
-4. Pairs left are made distinct and verified once on the whole sets.
+4. Pairs left are made distinct, compared by sketches whose bits can only differ
+   as the sets do, and verified once on the whole sets.
 
 Sets of one n-gram and like length are first compared with one of them, in a
 star; then only those whose components still differ are paired. So groups of
@@ -31,6 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import common as C
 from .components import connected_components
@@ -40,6 +42,8 @@ from .near_copies import _names, shingle_sets
 SLOT_BITS, BLOCK_BITS = 22, 14
 #: The map of texts to read again has at most so many bits (as a power of two).
 MAP_BITS = 28
+#: Bits of a set's sketch.
+SKETCH = 2048
 #: Texts of an n-gram's slot from which on its classes are dealt over salts, if
 #: they are also 64 times the mean.
 DEALT = 100_000
@@ -158,9 +162,10 @@ def _postings(docs: DataFrame, text_col: str, shingle: int, percent: int, rarity
     return docs.select(text_col).mapInArrow(C.tidy(run), _POSTING)
 
 
-def _met(posts: DataFrame) -> DataFrame:
-    """The distinct postings of n-grams that several classes post, in one shuffle
-    of all: neighbours in the order of n-grams tell. Those with a salt all stay."""
+def _met(posts: DataFrame, percent: int) -> DataFrame:
+    """The distinct postings of n-grams that several classes of like length post,
+    in one shuffle of all: in the order of n-gram and length, a posting that has a
+    partner has one beside it. Those with a salt all stay."""
 
     def run(batches):
         last, told = None, False
@@ -173,7 +178,8 @@ def _met(posts: DataFrame) -> DataFrame:
                 rows = np.concatenate([last, rows])
             new = np.append(True, (rows[1:, :2] != rows[:-1, :2]).any(axis=1))
             rows = rows[new]
-            same = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 4] == rows[:-1, 4])
+            size = rows[:, 2] & _LOW
+            same = (rows[1:, 0] == rows[:-1, 0]) & (rows[1:, 4] == rows[:-1, 4]) & (100 * size[:-1] >= percent * size[1:])
             before = np.append(False, same)
             keep = before | np.append(same, False) | (rows[:, 4] > 0)
             if held and told:
@@ -182,7 +188,7 @@ def _met(posts: DataFrame) -> DataFrame:
             told = bool(keep[-1]) or (len(rows) == 1 and held and told)
             last = rows[-1:]
 
-    return posts.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "name").mapInArrow(C.tidy(run), _POSTING)
+    return posts.repartition("gram", "salt").sortWithinPartitions("gram", "salt", F.col("spot").bitwiseAND(F.lit(_LOW)), "name").mapInArrow(C.tidy(run), _POSTING)
 
 
 def may_be_similar(x: str, y: str, percent: int) -> Column:
@@ -213,14 +219,12 @@ def _id_map(ids: DataFrame, id_col: str, bits: int):
     return ids.sparkSession.sparkContext.broadcast(out.view(np.uint64)), slot
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
-    """Those of pairs (a, b; names) whose whole sets are similar."""
-    pairs = C.materialise(pairs.distinct(), "candidates")
-    wanted = pairs.select(F.col("a").alias("__name")).unionByName(pairs.select(F.col("b").alias("__name"))).distinct()
-    wanted = C.materialise(classes.join(wanted, "__name", "left_semi").select("__name", F.col("__first").alias(id_col)), "wanted")
+def _read_again(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int, sketch: bool) -> DataFrame:
+    """(id, __name, __n, __value) of texts that have one of the ids of `wanted`,
+    and of some others: the n-grams, or a sketch of them."""
     bits = min(max(16, math.ceil(math.log2(16 * max(wanted.count(), 1)))), MAP_BITS)
     bitmap, slot = _id_map(wanted, id_col, bits)
-    schema = T.StructType([docs.schema[id_col], T.StructField("__name", T.LongType()), T.StructField("__grams", T.ArrayType(T.LongType()))])
+    schema = T.StructType([docs.schema[id_col], T.StructField("__name", T.LongType()), T.StructField("__n", T.LongType()), T.StructField("__value", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for b in batches:
@@ -233,17 +237,57 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str
                 g, d = shingle_sets(buf, offs, shingle)
                 name, size = _names(g, d, hi - lo)
                 ends = np.cumsum(size)
-                yield C.arrow_rows(schema, **{id_col: ids.slice(lo, hi - lo), "__name": name, "__grams": [g[z - n : z].view(np.int64) for z, n in zip(ends, size)]})
+                if sketch:
+                    value = parities(g, d, hi - lo)
+                else:
+                    value = [g[z - n : z].view(np.int64) for z, n in zip(ends, size)]
+                yield C.arrow_rows(schema, **{id_col: ids.slice(lo, hi - lo), "__name": name, "__n": size, "__value": list(value)})
+
+    return docs.where(F.col(id_col).isNotNull()).select(slot.alias("__slot"), id_col, text_col).mapInArrow(C.tidy(run), schema)
+
+
+def parities(g: np.ndarray, d: np.ndarray, n_docs: int) -> np.ndarray:
+    """SKETCH bits for each set, flipped by its n-grams: two sketches differ in
+    at most as many bits as the sets differ in n-grams."""
+    out = np.zeros((n_docs, SKETCH // 64), np.uint64)
+    for lo in range(0, n_docs, 512):
+        own = (d >= lo) & (d < lo + 512)
+        rows = min(512, n_docs - lo)
+        odd = np.bincount((d[own] - lo) * SKETCH + (g[own] >> np.uint64(20)).astype(np.int64) % SKETCH, minlength=rows * SKETCH) & 1
+        out[lo : lo + rows] = np.packbits(odd.astype(np.uint8).reshape(rows, SKETCH), axis=1, bitorder="little").view(np.uint64)
+    return out.view(np.int64)
+
+
+def _sketched(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """Those of pairs (a, b; names) whose sketches are near enough: the last
+    filter, on whole sets, by texts read again and narrow rows."""
+    pairs = C.materialise(pairs.distinct(), "candidates")
+    wanted = pairs.select(F.col("a").alias("__name")).unionByName(pairs.select(F.col("b").alias("__name"))).distinct()
+    wanted = C.materialise(wanted.join(classes.select("__name", F.col("__first").alias(id_col)), "__name"), "wanted")
+    found = _read_again(docs, wanted, id_col, text_col, shingle, True).join(wanted, ["__name", id_col], "left_semi").dropDuplicates(["__name"])
+    found = C.materialise(found.select("__name", "__n", "__value"), "sketches")
+    side = lambda k: found.select(F.col("__name").alias(k), F.col("__n").alias(f"{k}n"), F.col("__value").alias(f"{k}v"))
+    apart = F.aggregate(F.zip_with("av", "bv", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart * (100 + percent) <= (F.col("an") + F.col("bn")) * (100 - percent)).select("a", "b")
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int) -> DataFrame:
+    """Those of pairs (a, b; names) whose whole sets are similar.
 
-    whole = docs.where(F.col(id_col).isNotNull()).select(slot.alias("__slot"), id_col, text_col).mapInArrow(C.tidy(run), schema)
-    whole = whole.join(wanted, ["__name", id_col], "left_semi").dropDuplicates(["__name"]).select("__name", "__grams")
-    # the set of a star's head is copied, so that its members do not meet in one task
+    A class's text is read again where its first row stands, and its set goes to
+    the stars that it is in; a star is a b with STAR of its a at most, so a b of
+    more pairs is copied. Sets are shuffled twice, and no star grows."""
+    pairs = C.materialise(_sketched(docs, classes, pairs, id_col, text_col, shingle, percent), "near")
     often = pairs.groupBy("b").count().where(F.col("count") > STAR).select("b", F.ceil(F.col("count") / STAR).cast("int").alias("copies"))
-    dealt = pairs.join(often, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"))
-    heads = whole.withColumnRenamed("__name", "b").join(often, "b", "left").select("b", F.col("__grams").alias("y"), F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"))
-    both = dealt.join(whole.select(F.col("__name").alias("a"), F.col("__grams").alias("x")), "a").join(heads, ["b", "copy"])
-    shared = F.size(F.array_intersect("x", "y"))
-    return C.materialise(both.where(shared * (100 + percent) >= percent * (F.size("x") + F.size("y"))).select("a", "b"), "similar")
+    dealt = pairs.join(often, "b", "left").select("a", "b", F.pmod(F.xxhash64("a"), F.coalesce("copies", F.lit(1))).cast("int").alias("__copy"))
+    places = dealt.select(F.col("a").alias("__name"), F.col("b").alias("__head"), "__copy").unionByName(dealt.select(F.col("b").alias("__name"), F.col("b").alias("__head"), "__copy").distinct())
+    places = C.materialise(places.join(classes.select("__name", F.col("__first").alias(id_col)), "__name"), "places")
+    whole = _read_again(docs, places, id_col, text_col, shingle, False)
+    star = Window.partitionBy("__head", "__copy")  # STAR sets and their head
+    both = whole.join(places, ["__name", id_col]).withColumn("__top", F.max(F.when(F.col("__name") == F.col("__head"), F.col("__value"))).over(star))
+    shared = F.size(F.array_intersect("__value", "__top"))
+    alike = shared * (100 + percent) >= percent * (F.size("__value") + F.size("__top"))
+    return C.materialise(both.where((F.col("__name") != F.col("__head")) & alike).select(F.col("__name").alias("a"), F.col("__head").alias("b")).distinct(), "similar")
 
 
 # ---------------------------------------------------------------- join
@@ -276,7 +320,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     posts = _postings(docs.where(F.col(id_col).isNotNull()), text_col, shingle, percent, rarity)
     # sets of like length: two similar ones are in one band or in neighbouring ones
     band = F.floor(F.log(F.col("spot").bitwiseAND(F.lit(_LOW)).cast("double")) / math.log(101.0 / percent)).cast("int")
-    shared = C.materialise(_met(posts).drop("salt").withColumn("band", band), "shared")
+    shared = C.materialise(_met(posts, percent).drop("salt").withColumn("band", band), "shared")
     heads = shared.groupBy("gram", "band").agg(F.min(F.struct("spot", "name", "later")).alias("h")).select("gram", "band", *[F.col(f"h.{c}").alias(f"h_{c}") for c in ("spot", "name", "later")])
     near = may_be_similar("", "h_", percent) & (F.col("name") != F.col("h_name"))
     stars = shared.join(heads, ["gram", "band"]).where(near).select(F.col("name").alias("a"), F.col("h_name").alias("b"))

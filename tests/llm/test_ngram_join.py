@@ -101,22 +101,35 @@ def test_filters_lose_no_pair():
         assert apart * (100 + percent) <= both * (100 - percent)
 
 
+def test_sketches_differ_as_sets_do():
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(0, 900))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * rng.uniform(0.5, 1))], rng.integers(0, 2**63, int(rng.integers(0, 90))).astype(np.uint64)]))
+        s = ngram_join.parities(np.concatenate([a, b]), np.repeat([0, 1030], [len(a), len(b)]), 1031)
+        bits = np.unpackbits((s[0] ^ s[1030]).view(np.uint8)).sum()
+        apart = len(np.setxor1d(a, b))
+        assert bits <= apart and (bits - apart) % 2 == 0 and not s[1:1030].any()
+
+
 def test_postings_that_meet(spark):
     """Once each, if their n-gram has several classes, wherever batches end."""
     rng = random.Random(6)
-    rows = [(g, rng.randrange(40), 1, 2, 3 if g % 50 == 0 else 0) for g in range(3000) for _ in range(rng.choice([1, 1, 2, 5]))]
+    sized = lambda: (3 << 32) + rng.choice([10, 12, 20])
+    spots = {name: sized() for name in range(40)}
+    rows = [(g, name, spots[name], 2, 3 if g % 50 == 0 else 0) for g in range(3000) for name in rng.choices(range(40), k=rng.choice([1, 1, 2, 5]))]
     rows += rows[:500]
     df = spark.createDataFrame(rows, ngram_join._POSTING).repartition(6)
-    want = set(rows)
-    count: dict = {}
-    for r in want:
-        count[r[0]] = count.get(r[0], 0) + 1
-    want = {r for r in want if count[r[0]] > 1 or r[4]}
+    of: dict = {}
+    for r in set(rows):
+        of.setdefault(r[0], []).append(r[2] & 0xFFFFFFFF)
+    near = lambda a, b: 100 * min(a, b) >= 80 * max(a, b)
+    want = {r for r in set(rows) if r[4] or sum(near(r[2] & 0xFFFFFFFF, n) for n in of[r[0]]) > 1}
     old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     try:
         for size in (1, 7, 10_000):
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-            got = [tuple(r) for r in ngram_join._met(df).collect()]
+            got = [tuple(r) for r in ngram_join._met(df, 80).collect()]
             assert len(got) == len(set(got)) and set(got) == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
