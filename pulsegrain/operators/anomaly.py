@@ -49,9 +49,9 @@ def score_new(fitted: DataFrame, new: DataFrame, window: int = 28, **options) ->
     return robust_scores(both, window, **options).where("__new").drop("__new")
 
 
-def flag_rate(folds: DataFrame) -> DataFrame:
-    """Share of flagged test rows of each user's folds (is_anomaly, fold, role)."""
-    return folds.where("role = 'test'").groupBy("user_id", "fold").agg(F.avg(F.col("is_anomaly").cast("double")).alias("flag_rate"), F.count("*").alias("evaluated_rows"))
+def flag_rate(tested: DataFrame) -> DataFrame:
+    """Share of flagged test rows (is_anomaly) of each user's folds."""
+    return tested.groupBy("user_id", "fold").agg(F.avg(F.col("is_anomaly").cast("double")).alias("flag_rate"), F.count("*").alias("evaluated_rows"))
 
 
 # ---------------------------------------------------------------- forest

@@ -15,22 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clipped
+from ..scratch import materialise
 from .features import FEATURES
+from .folds import running_medians, running_products, test_rows, training, values
 from .quantiles import exact_quantiles
 
 ALPHA = 10.0
 
 
-def _values(features: tuple[str, ...]) -> list[Column]:
-    return [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features]
-
-
 def fit_preprocessing(train: DataFrame, keys: list[str], features: tuple[str, ...] = FEATURES) -> DataFrame:
     """(keys, medians, means, scales): exact medians that fill nulls (0 where a
     column is all null), then mean and population deviation (0 becomes 1). One
     aggregation: what filling does to both follows from counts and the median."""
     parts = {}
-    for i, v in enumerate(_values(features)):
+    for i, v in enumerate(values(features)):
         parts |= {f"__p{i}": F.percentile(v, 0.5), f"__c{i}": F.count(v), f"__a{i}": F.avg(v), f"__v{i}": F.var_pop(v)}
     one = train.groupBy(*keys).agg(F.count("*").alias("__n"), *[c.alias(n) for n, c in parts.items()])
     medians, means, scales = [], [], []
@@ -47,7 +45,7 @@ def fit_preprocessing(train: DataFrame, keys: list[str], features: tuple[str, ..
 
 def standardise(df: DataFrame, prepared: DataFrame, keys: list[str], features: tuple[str, ...] = FEATURES) -> DataFrame:
     """df with z: its features filled and scaled as `prepared` says."""
-    z = [(F.coalesce(v, F.col("medians")[i]) - F.col("means")[i]) / F.col("scales")[i] for i, v in enumerate(_values(features))]
+    z = [(F.coalesce(v, F.col("medians")[i]) - F.col("means")[i]) / F.col("scales")[i] for i, v in enumerate(values(features))]
     return df.join(prepared.select(*keys, "medians", "means", "scales"), keys).withColumn("z", F.array(*z)).drop("medians", "means", "scales")
 
 
@@ -115,22 +113,141 @@ def contributions(df: DataFrame, models: DataFrame, keys: list[str], features: t
     return out.select(*keys, "cycle_id", F.explode(rows).alias("x")).select(*keys, "cycle_id", F.col("x.feature"), F.col("x.contribution"))
 
 
-def validate_ridge(folds: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA) -> DataFrame:
-    """Test rows of walk-forward folds with `predicted` and `residual` (actual -
-    predicted); every user's folds are fitted in one job."""
-    keys = ["user_id", "fold"]
-    models = fit_ridge(folds.where("role = 'train'"), keys, features, alpha=alpha)
-    return predict_ridge(folds.where("role = 'test'"), models, keys, features).withColumn("residual", F.col("target") - F.col("predicted"))
+# ---------------------------------------------------------------- folds
+def _fold_solution(sums: np.ndarray, centre: np.ndarray, medians: np.ndarray, alpha: float, frozen: tuple[np.ndarray, np.ndarray, np.ndarray] | None):
+    """(n, medians, means, scales, weights, intercept) of one fold from its sums
+    of products (folds.running_products); frozen: medians, means and scales."""
+    d = len(medians)
+    g = np.zeros((2 * d + 2, 2 * d + 2))
+    g[np.triu_indices(2 * d + 2)] = sums
+    g = g + np.triu(g, 1).T
+    n, fill = g[-1, -1], (frozen[0] if frozen else medians) - centre[:d]
+    # a filled value is the value plus, where it is missing, the median
+    into = np.vstack([np.eye(d), np.diag(fill)])
+    total, y = into.T @ g[: 2 * d, -1], g[-2, -1]
+    ff = into.T @ g[: 2 * d, : 2 * d] @ into - np.outer(total, total) / n
+    fy = into.T @ g[: 2 * d, -2] - total * y / n
+    means = total / n + centre[:d]
+    if frozen:
+        medians, mean, scale = frozen
+    else:
+        spread = np.maximum(np.diag(ff) / n, 0)
+        spread[spread <= 1e-12 * (spread + (total / n) ** 2)] = 0  # what rounding leaves of a constant
+        mean, scale = means, np.where(spread > 0, np.sqrt(spread), 1.0)
+    w = np.linalg.solve(ff / np.outer(scale, scale) + alpha * np.eye(d), fy / scale)
+    return int(round(n)), medians, mean, scale, w, float(y / n + centre[d] - w @ ((means - mean) / scale))
+
+
+def fold_models(rows: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA, frozen: bool = False) -> DataFrame:
+    """A ridge model of every user's every fold (user_id, fold, n, medians, means,
+    scales, weights, intercept) from folds.fold_rows. frozen: preprocessing stays
+    as the first fold has it. Sums and medians run over the blocks; what is left
+    for each fold is a solve of as many unknowns as features."""
+    middle = running_medians(rows, features)
+    joined = running_products(rows, features).join(middle, ["user_id", "fold"])
+    schema = T.StructType([rows.schema["user_id"], T.StructField("fold", T.IntegerType()), T.StructField("n", T.LongType()), *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("medians", "means", "scales", "weights")], T.StructField("intercept", T.DoubleType())])
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                first = None
+                if frozen:
+                    _, *first, _, _ = _fold_solution(np.asarray(r.sums0, float), np.asarray(r.centre, float), np.asarray(r.medians0, float), alpha, None)
+                got = _fold_solution(np.asarray(r.sums, float), np.asarray(r.centre, float), np.asarray(r.medians, float), alpha, tuple(first) if first else None)
+                out.append((r.user_id, r.fold, *[x.tolist() if isinstance(x, np.ndarray) else x for x in got]))
+            yield pd.DataFrame(out, columns=schema.names)
+
+    if frozen:
+        first = joined.where("fold = 0").select("user_id", F.col("sums").alias("sums0"), F.col("medians").alias("medians0"))
+        joined = joined.join(first, "user_id")
+    return joined.mapInPandas(run, schema)
+
 
+def _residuals(predicted: DataFrame) -> DataFrame:
+    return predicted.withColumn("residual", F.col("target") - F.col("predicted"))
 
-def validate_incremental(folds: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA) -> DataFrame:
+
+def validate_ridge(rows: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA) -> DataFrame:
+    """Test rows of walk-forward folds (folds.fold_rows) with `predicted` and
+    `residual` (actual - predicted); every user's folds are fitted in one job."""
+    return _residuals(predict_ridge(test_rows(rows), fold_models(rows, features, alpha), ["user_id", "fold"], features))
+
+
+def validate_incremental(rows: DataFrame, features: tuple[str, ...] = FEATURES, alpha: float = ALPHA) -> DataFrame:
     """The same by the incremental learner: preprocessing stays as the first
     fold's training rows have it, and later folds add to its sums."""
-    train, keys = folds.where("role = 'train'"), ["user_id", "fold"]
-    frozen = fit_preprocessing(train.where("fold = 0"), ["user_id"], features)
-    state = gram(standardise(train, frozen, ["user_id"], features), keys, len(features))
-    models = solve(state.join(frozen, "user_id"), alpha)
-    return predict_ridge(folds.where("role = 'test'"), models, keys, features).withColumn("residual", F.col("target") - F.col("predicted"))
+    return _residuals(predict_ridge(test_rows(rows), fold_models(rows, features, alpha, frozen=True), ["user_id", "fold"], features))
+
+
+def _newton(sums: DataFrame, c: float) -> DataFrame:
+    """One Newton step of every fold: weights (the intercept last, not penalised)
+    and the length of the step."""
+    schema = T.StructType([*sums.select("user_id", "fold").schema.fields, T.StructField("weights", T.ArrayType(T.DoubleType())), T.StructField("step", T.DoubleType())])
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                w = np.asarray(r.weights, float)
+                size = len(w)
+                h = np.zeros((size, size))
+                h[np.triu_indices(size)] = np.asarray(r.hessian, float)
+                h = h + np.triu(h, 1).T
+                penalty = np.append(np.full(size - 1, 1 / c), 1e-9)
+                step = np.linalg.solve(h + np.diag(penalty), np.asarray(r.gradient, float) + penalty * w)
+                out.append((r.user_id, r.fold, (w - step).tolist(), float(np.abs(step).max())))
+            yield pd.DataFrame(out, columns=schema.names)
+
+    return sums.mapInPandas(run, schema)
+
+
+def fold_classifiers(rows: DataFrame, features: tuple[str, ...] = FEATURES, c: float = 1.0, tolerance: float = 1e-9, rounds: int = 50) -> DataFrame:
+    """A class-balanced logistic regression of every user's every fold whose
+    training rows hold both classes: user_id, fold, medians, means, scales and
+    weights, the intercept last.
+
+    Each round is one job: a row meets the models of the folds that train on it
+    where it is read, and their sums of weighted products are added up there, so
+    that no row is shuffled twice. Folds that have settled take no further part."""
+    d = len(features)
+    prepared = fold_models(rows, features).select("user_id", "fold", "medians", "means", "scales")
+    counts = training(rows, positive=("sum", F.col("low_recovery")), all=("count", F.lit(1))).where("positive > 0 and positive < all")
+    base = materialise(prepared.join(counts, ["user_id", "fold"]).withColumns({"share1": F.col("all") / (2.0 * F.col("positive")), "share0": F.col("all") / (2.0 * (F.col("all") - F.col("positive")))}).drop("positive", "all"), "classifiers")
+    narrow = materialise(rows.where("block is not null").select("user_id", "block", "low_recovery", F.array(*values(features)).alias("x")).repartition("user_id"), "labelled")
+    state = base.select("user_id", "fold", F.array_repeat(F.lit(0.0), d + 1).alias("weights"))
+    done = None
+    for _ in range(rounds):
+        models = base.join(state, ["user_id", "fold"])
+        met = narrow.join(models.withColumnRenamed("user_id", "u"), (F.col("user_id") == F.col("u")) & (F.col("block") <= F.col("fold"))).drop("u")
+        z = F.concat(F.zip_with(F.zip_with("x", "medians", lambda x, m: F.coalesce(x, m)), F.zip_with("means", "scales", lambda m, s: F.struct(m.alias("m"), s.alias("s"))), lambda x, p: (x - p["m"]) / p["s"]), F.array(F.lit(1.0)))
+        met = met.select("user_id", "fold", "low_recovery", "weights", F.when(F.col("low_recovery") == 1, F.col("share1")).otherwise(F.col("share0")).alias("share"), z.alias("z"))
+        score = F.aggregate(F.zip_with("z", "weights", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+        met = met.withColumn("p", 1 / (1 + F.exp(-score)))
+        zs, pull = [F.col("z")[i] for i in range(d + 1)], F.col("share") * (F.col("p") - F.col("low_recovery"))
+        bend = F.col("share") * F.col("p") * (1 - F.col("p"))
+        sums = met.groupBy("user_id", "fold").agg(F.first("weights").alias("weights"), *[F.sum(pull * v).alias(f"g{i}") for i, v in enumerate(zs)], *[F.sum(bend * zs[i] * zs[j]).alias(f"h{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)])
+        sums = sums.select("user_id", "fold", "weights", F.array(*[f"g{i}" for i in range(d + 1)]).alias("gradient"), F.array(*[f"h{i}_{j}" for i in range(d + 1) for j in range(i, d + 1)]).alias("hessian"))
+        stepped = materialise(_newton(sums, c), "newton")
+        settled = stepped.where(F.col("step") < tolerance).select("user_id", "fold", "weights")
+        done = settled if done is None else done.unionByName(settled)
+        state = stepped.where(F.col("step") >= tolerance).select("user_id", "fold", "weights")
+        if state.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"classifiers not settled after {rounds} rounds")
+    return base.select("user_id", "fold", "medians", "means", "scales").join(done, ["user_id", "fold"])
+
+
+def validate_low_recovery(rows: DataFrame, features: tuple[str, ...] = FEATURES, c: float = 1.0) -> DataFrame:
+    """Test rows of walk-forward folds with the `probability` of low recovery.
+    Folds whose training rows hold one class have no rows; fold_status counts
+    them."""
+    keys = ["user_id", "fold"]
+    models = fold_classifiers(rows, features, c)
+    out = standardise(test_rows(rows), models, keys, features).join(models.select(*keys, "weights"), keys)
+    score = F.aggregate(F.zip_with(F.concat("z", F.array(F.lit(1.0))), "weights", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    return out.withColumn("probability", 1 / (1 + F.exp(-score))).drop("z", "weights")
 
 
 def _prepared(train: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,21 +260,6 @@ def _prepared(train: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (train - train.mean(0)) / scale, (test - train.mean(0)) / scale
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, c: float) -> np.ndarray:
-    """Class-balanced weights and intercept (last, not penalised), by Newton."""
-    share = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))
-    z = np.c_[x, np.ones(len(x))]
-    penalty = np.append(np.full(x.shape[1], 1 / c), 1e-9)
-    w = np.zeros(z.shape[1])
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-z @ w))
-        step = np.linalg.solve((z * (share * p * (1 - p))[:, None]).T @ z + np.diag(penalty), z.T @ (share * (p - y)) + penalty * w)
-        w -= step
-        if np.abs(step).max() < 1e-10:
-            break
-    return w
-
-
 def _boosted(x: np.ndarray, y: np.ndarray, new: np.ndarray, trees: int, depth: int, step: float) -> np.ndarray:
     """Forecasts for new rows by boosted regression trees."""
     out, fit = np.full(len(new), y.mean()), np.full(len(y), y.mean())
@@ -190,47 +292,33 @@ def _boosted(x: np.ndarray, y: np.ndarray, new: np.ndarray, trees: int, depth: i
     return out
 
 
-def _by_fold(folds: DataFrame, features: tuple[str, ...], columns: list[str], result: str, predict) -> DataFrame:
-    """Test rows (user_id, fold, cycle_id, columns, result) of every fold that
-    predict(train, test) gives values for. A fold is one user's history."""
-    names = ["user_id", "fold", "cycle_id", *columns]
-    schema = T.StructType([*folds.select(*names).schema.fields, T.StructField(result, T.DoubleType())])
+def validate_boosted(rows: DataFrame, features: tuple[str, ...] = FEATURES, trees: int = 80, depth: int = 2, step: float = 0.05) -> DataFrame:
+    """Test rows of walk-forward folds (user_id, fold, cycle_id, target) with
+    `predicted` (within [0, 100]) by boosted trees of each fold. Rows come to a
+    user's task once; its folds are grown there one after another."""
+    names = ["user_id", "fold", "cycle_id", "target"]
+    schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("predicted", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        train, test = (pdf[pdf["role"] == r].sort_values("cycle_id") for r in ("train", "test"))
-        got = predict(train, test, *_prepared(train[list(features)].to_numpy(float), test[list(features)].to_numpy(float))) if len(train) and len(test) else None
-        return test[names].assign(**{result: got}) if got is not None else test[names].head(0).assign(**{result: pd.Series(dtype=float)})
-
-    return folds.where("role in ('train', 'test')").select(*names, "role", *[f for f in features if f not in names]).groupBy("user_id", "fold").applyInPandas(run, schema)
+        pdf = pdf.sort_values("row_index")
+        x, y, block, fold = pdf[list(features)].to_numpy(float), pdf["target"].to_numpy(float), pdf["block"].to_numpy(float), pdf["fold"].to_numpy(float)
+        out = []
+        for k in sorted(set(fold[fold >= 0])):
+            train, test = block <= k, fold == k
+            a, b = _prepared(x[train], x[test])
+            out.append(pdf.loc[test, names].assign(predicted=np.clip(_boosted(a, y[train], b, trees, depth, step), 0, 100)))
+        return pd.concat(out).astype({"fold": "int32"}) if out else pdf[names].head(0).assign(predicted=pd.Series(dtype=float))
 
+    return rows.select(*names, "row_index", "block", *[f for f in features if f not in names]).groupBy("user_id").applyInPandas(run, schema)
 
-def validate_low_recovery(folds: DataFrame, features: tuple[str, ...] = FEATURES, c: float = 1.0) -> DataFrame:
-    """Test rows of walk-forward folds with the `probability` of low recovery by
-    a class-balanced logistic regression of each fold. Folds whose training rows
-    hold one class have no rows; fold_status counts them."""
 
-    def predict(train, test, x, new):
-        y = train["low_recovery"].to_numpy(float)
-        if y.min() == y.max():
-            return None
-        return 1 / (1 + np.exp(-np.c_[new, np.ones(len(new))] @ _logistic(x, y, c)))
-
-    return _by_fold(folds, features, ["low_recovery"], "probability", predict)
-
-
-def validate_boosted(folds: DataFrame, features: tuple[str, ...] = FEATURES, trees: int = 80, depth: int = 2, step: float = 0.05) -> DataFrame:
-    """Test rows of walk-forward folds with `predicted` (within [0, 100]) by
-    boosted trees of each fold."""
-    return _by_fold(folds, features, ["target"], "predicted", lambda train, test, x, new: np.clip(_boosted(x, train["target"].to_numpy(float), new, trees, depth, step), 0, 100))
-
-
-def suite_metrics(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
+def suite_metrics(rows: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
     """(user_id, model_name, fold, metric, value) of several forecasters over the
-    same folds."""
+    same folds (folds.fold_rows)."""
     from .monitor import persistence_forecast
     from .supervised import metrics_long, regression_metrics
 
-    made = {"persistence": lambda: persistence_forecast(folds.where("role = 'test'")), "ridge": lambda: validate_ridge(folds, features), "incremental_ridge": lambda: validate_incremental(folds, features), "boosted": lambda: validate_boosted(folds, features)}
+    made = {"persistence": lambda: persistence_forecast(test_rows(rows)), "ridge": lambda: validate_ridge(rows, features), "incremental_ridge": lambda: validate_incremental(rows, features), "boosted": lambda: validate_boosted(rows, features)}
     out = None
     for name in models:
         own = made[name]().select("user_id", "fold", "target", "predicted", F.lit(name).alias("model_name"))
@@ -239,17 +327,11 @@ def suite_metrics(folds: DataFrame, features: tuple[str, ...] = FEATURES, models
     return metrics_long(regression_metrics(out, keys), keys)
 
 
-def compare_models(folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
+def compare_models(rows: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
     """(user_id, model_name, metric, mean, std, folds): suite_metrics by model."""
     from .supervised import metric_summary
 
-    return metric_summary(suite_metrics(folds, features, models), ["user_id", "model_name"])
-
-
-def fold_status(folds: DataFrame) -> DataFrame:
-    """Whether a fold's training rows hold both classes; others are skipped."""
-    out = folds.where("role = 'train'").groupBy("user_id", "fold").agg(F.countDistinct("low_recovery").alias("classes"))
-    return out.withColumn("skipped", F.col("classes") < 2)
+    return metric_summary(suite_metrics(rows, features, models), ["user_id", "model_name"])
 
 
 # ---------------------------------------------------------------- pooled models
@@ -258,7 +340,7 @@ def pooled_preprocessing(train: DataFrame, features: tuple[str, ...]) -> DataFra
     found by counting, so that no task holds a column's values."""
     medians = exact_quantiles(train, list(features), [0.5])
     fill = [medians[f][0] or 0.0 for f in features]
-    x = [F.coalesce(v, F.lit(m)) for v, m in zip(_values(features), fill)]
+    x = [F.coalesce(v, F.lit(m)) for v, m in zip(values(features), fill)]
     scale = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(F.lit(1.0))
     return train.agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in x]).alias("means"), F.array(*[scale(c) for c in x]).alias("scales")).select(F.lit(0).alias("__all"), F.array(*[F.lit(m) for m in fill]).alias("medians"), "means", "scales")
 

@@ -11,10 +11,11 @@ from pyspark.sql.window import Window
 
 from .contracts import ContractError, outside
 from .features import FEATURES, user_line
+from .folds import fold_rows
 from .intervals import bootstrap_tails, prediction_intervals
 from .learn import fit_ridge, predict_ridge, suite_metrics, update_ridge, validate_ridge
 from .monitor import error_windows, retrain_decision
-from .supervised import readiness, supervised_pairs, walk_forward
+from .supervised import readiness, supervised_pairs
 from .tables import Store, insert_new
 
 PREDICTIONS = (
@@ -80,7 +81,7 @@ def log_version(store: Store, name: str, models: DataFrame, fold_metrics: DataFr
     return version
 
 
-def log_suite(store: Store, folds: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted"), data_kind: str = "synthetic") -> dict[str, int]:
+def log_suite(store: Store, rows: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted"), data_kind: str = "synthetic") -> dict[str, int]:
     """Compare several forecasters over the same folds: the fold metrics of all
     are committed together, each under the next version of <data_kind>-<model>;
     returns the versions."""
@@ -89,7 +90,7 @@ def log_suite(store: Store, folds: DataFrame, features: tuple[str, ...] = FEATUR
     versions = {f"{data_kind}-{m}": (last.get(f"{data_kind}-{m}") or 0) + 1 for m in models}
     name = F.concat(F.lit(f"{data_kind}-"), "model_name")
     version = F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), name)
-    new = suite_metrics(folds, features, models).select("user_id", name.alias("model_name"), version.alias("model_version"), "fold", "metric", "value")
+    new = suite_metrics(rows, features, models).select("user_id", name.alias("model_name"), version.alias("model_version"), "fold", "metric", "value")
     store.commit({"fold_metrics": new if old is None else old.unionByName(new, allowMissingColumns=True)})
     return versions
 
@@ -165,7 +166,7 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
         core = [c for c in models.columns if c not in ("trained_through", "updated_at", "model_version", "low_tail", "high_tail")]
         fresh = full.unionByName(meta(update_ridge(base.select(*core), new, user)))
     # intervals rest on a fresh walk-forward fit of the users that are updated
-    folds = walk_forward(pairs.join(state.where("method in ('full', 'partial')"), user, "left_semi"), **(splits or {}))
+    folds = fold_rows(pairs.join(state.where("method in ('full', 'partial')"), user, "left_semi"), **(splits or {}))
     tails = bootstrap_tails(validate_ridge(folds).select("user_id", "residual", "fold", "row_index"), ["fold", "row_index"], replicates=replicates)
     fresh = fresh.join(tails.select("user_id", "low_tail", "high_tail"), user, "left")
     all_models = fresh if models is None else models.join(fresh.select("user_id"), user, "left_anti").unionByName(fresh)

@@ -46,32 +46,6 @@ def readiness(pairs: DataFrame, min_pairs: int = 90, min_days: int = 89) -> Data
     return out.withColumn("ready", (F.col("pairs") >= min_pairs) & (F.col("days") >= min_days))
 
 
-def walk_forward(pairs: DataFrame, initial: int = 60, test: int = 14, gap: int = 1, order: tuple[str, ...] = ("start_at", "cycle_id")) -> DataFrame:
-    """pairs with fold and role (train, purged, test), a row for each fold that
-    it has a role in. Folds are complete and expanding: fold k tests rows
-    initial + gap + k * test onwards and trains on all rows up to the gap before
-    them. Users with fewer than two folds have no rows."""
-    if initial < 2 or test < 2 or gap < 0:
-        raise ValueError("invalid walk-forward sizes")
-    per_user = Window.partitionBy("user_id")
-    d = pairs.withColumn("row_index", F.row_number().over(per_user.orderBy(*order)).cast("long") - 1)
-    d = d.join(pairs.groupBy("user_id").agg(F.count("*").alias("__n")), "user_id").where(F.col("__n") >= initial + gap + 2 * test)
-    folds = F.floor((F.col("__n") - initial - gap) / test).cast("int")
-    # the first fold that a row is in: it is trained on, purged or tested from there on
-    first = F.greatest(F.lit(0), F.floor((F.col("row_index") - initial - gap) / test).cast("int"))
-    d = d.where(first < folds).withColumn("fold", F.explode(F.sequence(first, folds - 1)))
-    start = F.lit(initial + gap) + F.col("fold") * test
-    role = F.when(F.col("row_index") < start - gap, "train").when(F.col("row_index") < start, "purged").when(F.col("row_index") < start + test, "test")
-    return d.withColumn("role", role).where("role is not null").drop("__n")
-
-
-def leaking_folds(folds: DataFrame) -> DataFrame:
-    """Folds in which a training label is not older than every test origin."""
-    at = lambda role, c: F.when(F.col("role") == role, F.col(c))
-    out = folds.groupBy("user_id", "fold").agg(F.max(at("train", "target_start_at")).alias("last_label"), F.min(at("test", "start_at")).alias("first_origin"))
-    return out.where("last_label >= first_origin")
-
-
 def regression_metrics(df: DataFrame, keys: list[str], actual: str = "target", predicted: str = "predicted") -> DataFrame:
     """mae, r2, mape over non-zero actuals (null without any) and how many
     zeros were left out. A constant target has r2 1 if all errors are 0, else 0."""

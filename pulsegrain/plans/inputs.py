@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..operators.flatten import conform
+from ..operators.folds import fold_rows
 from ..operators.supervised import supervised_pairs
 
 
@@ -67,3 +68,8 @@ def nation_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return supervised_pairs(nation_history(spark, sf_dir))
+
+
+def nation_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation history's walk-forward folds, each row once."""
+    return fold_rows(nation_pairs(spark, sf_dir))

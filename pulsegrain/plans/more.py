@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 from .. import sources
 from ..functions import one_hot_weekday
-from ..operators import anomaly, contracts, explore, features, learn, serving, supervised
+from ..operators import anomaly, contracts, explore, features, folds, learn, serving, supervised
 from ..operators.flatten import flatten
 from ..schemas import RECORDS, SILVER, ranges, required
-from .inputs import nation_history, nation_pairs, silver
+from .inputs import nation_folds, nation_history, nation_pairs, silver
 from .oracle import DAILY, FOLDS, FORECASTS, HISTORY, SHAPES
 from .registry import _daily, _forecasts, _plain, query, rounded
 
@@ -199,35 +199,34 @@ def leaking_folds(spark, sf_dir):
     """Folds that leak because some labels are dated 40 days late."""
     p = nation_pairs(spark, sf_dir)
     late = F.when(F.col("cycle_id") % 50 == 0, F.col("target_start_at") + F.expr("interval 40 days")).otherwise(F.col("target_start_at"))
-    return supervised.leaking_folds(supervised.walk_forward(p.withColumn("target_start_at", late))).select("user_id", "fold")
+    return folds.leaking_folds(folds.fold_rows(p.withColumn("target_start_at", late))).select("user_id", "fold")
 
 
 @query(FOLDS + "select user_id, cast(fold as int) as fold, round(avg(case when total > 3e5 then 1.0 else 0.0 end),6) as flag_rate, count(*) as evaluated_rows from folds where role='test' group by 1, 2")
 def flag_rate(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir)).withColumn("is_anomaly", F.col("total") > 3e5)
-    return rounded(anomaly.flag_rate(folds))
+    rows = nation_folds(spark, sf_dir).withColumn("is_anomaly", F.col("total") > 3e5)
+    return rounded(anomaly.flag_rate(folds.test_rows(rows)))
 
 
 @query(FOLDS + ", s as (select user_id, fold, count(distinct low_recovery) < 2 as skipped from folds where role='train' group by 1, 2) select user_id, count(*) as folds, count(*) filter (skipped) as skipped_folds from s group by 1")
 def classifier_folds(spark, sf_dir):
     """Folds of each user, and those that are skipped and counted because their
     training rows hold one class."""
-    status = learn.fold_status(supervised.walk_forward(nation_pairs(spark, sf_dir)))
+    status = folds.fold_status(nation_folds(spark, sf_dir))
     return status.groupBy("user_id").agg(F.count("*").alias("folds"), F.count_if("skipped").alias("skipped_folds"))
 
 
 @query()
 def low_recovery_walk_forward(spark, sf_dir):
     """Out-of-sample probabilities of low recovery of every nation's folds."""
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
-    return rounded(learn.validate_low_recovery(folds, ("recovery_score", "total", "prior")))
+    out = learn.validate_low_recovery(nation_folds(spark, sf_dir), ("recovery_score", "total", "prior"))
+    return rounded(out.select("user_id", "fold", "cycle_id", "low_recovery", "probability"))
 
 
 @query()
 def boosted_walk_forward(spark, sf_dir):
     """Out-of-sample forecasts of every nation's folds by boosted trees."""
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir), initial=300, test=140)
-    return rounded(learn.validate_boosted(folds, ("recovery_score", "total", "prior")).select("user_id", "fold", "cycle_id", "target", "predicted"))
+    return rounded(learn.validate_boosted(nation_folds(spark, sf_dir), ("recovery_score", "total", "prior")).select("user_id", "fold", "cycle_id", "target", "predicted"))
 
 
 # ---------------------------------------------------------------- ridge with one feature
@@ -269,13 +268,13 @@ step as (select t.user_id, t.fold, cycle_id, target, """ + _CLIP.format("y + w *
 
 @query(_OUT + "select user_id, cast(fold as int) as fold, cycle_id, round(predicted, 6) as predicted, round(target - predicted, 6) as residual from ridge")
 def ridge_folds(spark, sf_dir):
-    out = learn.validate_ridge(supervised.walk_forward(nation_pairs(spark, sf_dir)), _ONE)
+    out = learn.validate_ridge(nation_folds(spark, sf_dir), _ONE)
     return rounded(out.select("user_id", "fold", "cycle_id", "predicted", "residual"))
 
 
 @query(_STEP + "select user_id, cast(fold as int) as fold, cycle_id, round(predicted, 6) as predicted from step")
 def incremental_folds(spark, sf_dir):
-    out = learn.validate_incremental(supervised.walk_forward(nation_pairs(spark, sf_dir)), _ONE)
+    out = learn.validate_incremental(nation_folds(spark, sf_dir), _ONE)
     return rounded(out.select("user_id", "fold", "cycle_id", "predicted"))
 
 
@@ -283,8 +282,7 @@ def incremental_folds(spark, sf_dir):
 one as (select user_id, fold, model_name, avg(abs(predicted - target)) as mae from every group by 1, 2, 3) select user_id, model_name, round(avg(mae), 6) as mean, round(stddev_pop(mae), 6) as std, count(*) as folds from one group by 1, 2""")
 def model_suite(spark, sf_dir):
     """Fold errors of all forecasters over the same folds, side by side."""
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
-    out = learn.compare_models(folds, _ONE, ("persistence", "ridge", "incremental_ridge"))
+    out = learn.compare_models(nation_folds(spark, sf_dir), _ONE, ("persistence", "ridge", "incremental_ridge"))
     return rounded(out.where("metric = 'mae'").select("user_id", "model_name", "mean", "std", "folds"))
 
 

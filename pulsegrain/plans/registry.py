@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import elapsed_ms
-from ..operators import anomaly, contracts, daily, explore, features, intervals, learn, monitor, serving, supervised, tables
+from ..operators import anomaly, contracts, daily, explore, features, folds, intervals, learn, monitor, serving, supervised, tables
 from ..operators.flatten import flatten
 from ..schemas import RECORDS, SCORE_STATES
 from . import inputs
-from .inputs import nation_history, nation_pairs, silver
+from .inputs import nation_folds, nation_history, nation_pairs, silver
 from .oracle import DAILY, FOLDS, FORECASTS, HISTORY, MART, SHAPES, TAIL
 
 QUERIES: dict = {}
@@ -248,7 +248,7 @@ def readiness(spark, sf_dir):
 
 @query(FOLDS + "select user_id, cast(fold as int) as fold, role, count(*) as n, min(cycle_id) as first_cycle, max(cycle_id) as last_cycle from folds group by 1, 2, 3")
 def walk_forward_folds(spark, sf_dir):
-    return supervised.walk_forward(nation_pairs(spark, sf_dir)).groupBy("user_id", "fold", "role").agg(F.count("*").alias("n"), F.min("cycle_id").alias("first_cycle"), F.max("cycle_id").alias("last_cycle"))
+    return folds.fold_summary(nation_folds(spark, sf_dir))
 
 
 _Z = "round(case when count({c}) over w >= 14 then abs({c} - median({c}) over w) / greatest(1.4826*mad({c}) over w, {f}) end, 6) as z_{c}"
@@ -266,10 +266,8 @@ _HF = inputs.HISTORY_FEATURES
 
 @query(FOLDS + ", tr as (select * from folds where role='train'), med as (select user_id, fold, " + ", ".join(f"coalesce(quantile_cont({c},0.5),0) as m_{c}" for c in _HF) + " from tr group by 1, 2), f as (select tr.user_id, tr.fold, target, " + ", ".join(f"coalesce({c}, m_{c}) as {c}" for c in _HF) + " from tr join med using (user_id, fold)) select user_id, cast(fold as int) as fold, count(*) as n, " + ", ".join(f"round(avg({c}),6) as mean_{c}, round(stddev_pop({c}),6) as scale_{c}" for c in _HF) + " from f group by 1, 2")
 def impute_scale(spark, sf_dir):
-    train = supervised.walk_forward(nation_pairs(spark, sf_dir)).where("role = 'train'")
-    keys = ["user_id", "fold"]
-    prep = learn.fit_preprocessing(train, keys, _HF).join(train.groupBy(*keys).agg(F.count("*").alias("n")), keys)
-    return rounded(prep.select(*keys, "n", *[x for i, c in enumerate(_HF) for x in (F.col("means")[i].alias(f"mean_{c}"), F.col("scales")[i].alias(f"scale_{c}"))]))
+    prep = learn.fold_models(nation_folds(spark, sf_dir), _HF)
+    return rounded(prep.select("user_id", "fold", "n", *[x for i, c in enumerate(_HF) for x in (F.col("means")[i].alias(f"mean_{c}"), F.col("scales")[i].alias(f"scale_{c}"))]))
 
 
 @query(HISTORY + ", z as (select user_id, target, (recovery_score - avg(recovery_score) over u)/coalesce(nullif(stddev_pop(recovery_score) over u, 0), 1) as a, (total - avg(total) over u)/coalesce(nullif(stddev_pop(total) over u, 0), 1) as b from pairs window u as (partition by user_id)) select user_id, count(*) as n, round(sum(target),6) as sum_y, round(sum(a*target),4) as za_y, round(sum(b*target),4) as zb_y, round(sum(a*b),4) as za_zb from z group by 1")
@@ -282,8 +280,8 @@ def ridge_gram(spark, sf_dir):
 
 @query(FOLDS + ", t as (select user_id, fold, target as a, recovery_score as p from folds where role='test') select user_id, cast(fold as int) as fold, count(*) as n, round(avg(abs(p-a)),6) as mae, round(avg(abs((p-a)/nullif(a,0)))*100,6) as mape, count(*) filter (a=0) as mape_excluded_zeros, round(case when min(a)=max(a) then (case when sum((p-a)*(p-a))=0 then 1.0 else 0.0 end) else 1-sum((p-a)*(p-a))/(count(*)*var_pop(a)) end,6) as r2 from t group by 1, 2")
 def fold_metrics(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
-    return rounded(supervised.regression_metrics(monitor.persistence_forecast(folds.where("role = 'test'")), ["user_id", "fold"]))
+    tested = folds.test_rows(nation_folds(spark, sf_dir))
+    return rounded(supervised.regression_metrics(monitor.persistence_forecast(tested), ["user_id", "fold"]))
 
 
 @query(FOLDS + """, t as (select user_id, fold, low_recovery as y, 1-recovery_score/cast(101 as double) as p from folds where role='test'),
@@ -292,14 +290,14 @@ select user_id, cast(fold as int) as fold, round(case when count(*) filter (p>=0
 round(case when sum(y)>0 then count(*) filter (p>=0.5 and y=1)/cast(sum(y) as double) else 0.0 end,6) as recall, cast(sum(y) as bigint) as positive_count,
 round(case when sum(y)>0 and sum(y)<count(*) then (sum(case when y=1 then rk end) - sum(y)*(sum(y)+1)/cast(2 as double))/(sum(y)*(count(*)-sum(y))) end,6) as auc from r group by 1, 2""")
 def auc_by_fold(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir)).where("role = 'test'")
-    return rounded(supervised.classification_metrics(folds.withColumn("probability", 1 - F.col("recovery_score") / F.lit(101.0)), ["user_id", "fold"]))
+    tested = folds.test_rows(nation_folds(spark, sf_dir))
+    return rounded(supervised.classification_metrics(tested.withColumn("probability", 1 - F.col("recovery_score") / F.lit(101.0)), ["user_id", "fold"]))
 
 
 @query(FOLDS + ", t as (select user_id, fold, avg(abs(recovery_score-target)) as mae, count(*) as n from folds where role='test' group by 1, 2) select user_id, 'mae' as metric, round(avg(mae),6) as mean, round(stddev_pop(mae),6) as std, count(*) as folds from t group by 1")
 def metric_summary(spark, sf_dir):
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
-    m = supervised.regression_metrics(monitor.persistence_forecast(folds.where("role = 'test'")), ["user_id", "fold"])
+    tested = folds.test_rows(nation_folds(spark, sf_dir))
+    m = supervised.regression_metrics(monitor.persistence_forecast(tested), ["user_id", "fold"])
     return rounded(supervised.metric_summary(supervised.metrics_long(m, ["user_id", "fold"]).where("metric = 'mae'"), ["user_id"]))
 
 
@@ -400,8 +398,7 @@ def daily_rollup(spark, sf_dir):
 @query()
 def ridge_walk_forward(spark, sf_dir):
     """Out-of-sample forecasts of every nation's folds (ridge)."""
-    folds = supervised.walk_forward(nation_pairs(spark, sf_dir))
-    return rounded(learn.validate_ridge(folds, _HF).select("user_id", "fold", "cycle_id", "target", "predicted", "residual"))
+    return rounded(learn.validate_ridge(nation_folds(spark, sf_dir), _HF).select("user_id", "fold", "cycle_id", "target", "predicted", "residual"))
 
 
 @query()

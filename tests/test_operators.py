@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from pulsegrain import sources
 from pulsegrain.functions import one_hot_weekday
-from pulsegrain.operators import anomaly, contracts, daily, explore, features, intervals, learn, monitor, serving, supervised, tables
+from pulsegrain.operators import anomaly, contracts, daily, explore, features, folds, intervals, learn, monitor, serving, supervised, tables
 from pulsegrain.operators.flatten import conform, flatten
 from pulsegrain.schemas import RECORD_TYPES, RECORDS, SILVER, silver_type
 
@@ -262,14 +262,7 @@ def test_history_gate(spark):
     assert supervised.history_violations(h.drop("cycle_strain")).first()["rule"] == "missing_column:cycle_strain"
 
 
-def test_walk_forward(spark):
-    folds = supervised.walk_forward(supervised.supervised_pairs(history(spark, [i % 90 for i in range(92)])))
-    got = {(r["fold"], r["role"]): (r["n"], r["lo"], r["hi"]) for r in folds.groupBy("fold", "role").agg(F.count("*").alias("n"), F.min("row_index").alias("lo"), F.max("row_index").alias("hi")).collect()}
-    assert got == {(0, "train"): (60, 0, 59), (0, "purged"): (1, 60, 60), (0, "test"): (14, 61, 74), (1, "train"): (74, 0, 73), (1, "purged"): (1, 74, 74), (1, "test"): (14, 75, 88)}
-    assert supervised.leaking_folds(folds).count() == 0
-    assert supervised.walk_forward(supervised.supervised_pairs(history(spark, range(80)))).count() == 0
-    with pytest.raises(ValueError):
-        supervised.walk_forward(folds, initial=1)
+def test_readiness(spark):
     assert supervised.readiness(supervised.supervised_pairs(history(spark, [50] * 92))).first()["ready"]
     assert not supervised.readiness(supervised.supervised_pairs(history(spark, [50] * 90))).first()["ready"]
 
@@ -470,28 +463,28 @@ def test_exact_quantiles(spark):
 
 def test_classifier_and_boosted_folds(spark, tmp_path):
     rng = np.random.default_rng(1)
-    rows = []
+    raw = []
     for user, level in ((1, 0.5), (2, 3.0)):
         for i in range(110):
             a, b = rng.normal(size=2)
             # user 2 has one class in the first training rows
             low = int(a + 0.3 * rng.normal() > level) if user == 1 or i > 80 else 0
-            rows.append((user, i, at(i), float(a), None if i % 9 == 0 else float(b), 50 + 10 * float(np.sign(a)) + float(rng.normal()), low))
-    df = spark.createDataFrame(rows, "user_id long, cycle_id long, start_at timestamp, a double, b double, target double, low_recovery int")
-    folds = supervised.walk_forward(df)
-    status = {(r["user_id"], r["fold"]): r["skipped"] for r in learn.fold_status(folds).collect()}
-    out = learn.validate_low_recovery(folds, ("a", "b")).collect()
+            raw.append((user, i, at(i), float(a), None if i % 9 == 0 else float(b), 50 + 10 * float(np.sign(a)) + float(rng.normal()), low))
+    df = spark.createDataFrame(raw, "user_id long, cycle_id long, start_at timestamp, a double, b double, target double, low_recovery int")
+    rows = folds.fold_rows(df)
+    status = {(r["user_id"], r["fold"]): r["skipped"] for r in folds.fold_status(rows).collect()}
+    out = learn.validate_low_recovery(rows, ("a", "b")).collect()
     assert {(r["user_id"], r["fold"]) for r in out} == {k for k, skipped in status.items() if not skipped} and any(status.values())
     mine = [r for r in out if r["user_id"] == 1]
     assert np.mean([(r["probability"] > 0.5) == (r["low_recovery"] == 1) for r in mine]) > 0.8
-    boosted = learn.validate_boosted(folds.where("user_id = 1"), ("a", "b")).collect()
+    boosted = learn.validate_boosted(rows.where("user_id = 1"), ("a", "b")).collect()
     assert np.mean([abs(r["predicted"] - r["target"]) for r in boosted]) < 4 and all(0 <= r["predicted"] <= 100 for r in boosted)
     store = tables.Store(spark, f"file://{tmp_path}/suite")
-    some = folds.where("user_id = 1").withColumn("recovery_score", F.col("a"))
+    some = rows.where("user_id = 1").withColumn("recovery_score", F.col("a"))
     for version in (1, 2):
         assert serving.log_suite(store, some, ("a", "b"), ("persistence", "ridge")) == {"synthetic-persistence": version, "synthetic-ridge": version}
     assert {(r["model_name"], r["model_version"]) for r in store.read("fold_metrics").collect()} == {(f"synthetic-{m}", v) for m in ("persistence", "ridge") for v in (1, 2)}
-    whole = learn.compare_models(folds.withColumn("recovery_score", F.col("a")), ("a", "b"))
+    whole = learn.compare_models(rows.withColumn("recovery_score", F.col("a")), ("a", "b"))
     assert {r["model_name"] for r in whole.collect()} == {"persistence", "ridge", "incremental_ridge", "boosted"}
 
 
