@@ -60,6 +60,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df, to be broadcast if it has at most `rows` rows; a job counts so far."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def crc_bucket(id_col: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo `modulus`; null for a null id."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from . import common as C
 from .text_stats import rule_counts
 
-ORDER = 4
+ORDER = 5
 #: Broadcast at most this many n-grams (12 bytes each); beyond, join.
 BROADCAST_GRAMS = 6_000_000
 _FOLD = np.arange(256, dtype=np.uint64)
@@ -54,6 +54,10 @@ def fold_of(text_col: str):
     return F.pmod(F.xxhash64(F.col(text_col)), F.lit(2)).cast("int")
 
 
+#: n-grams that a task holds before it passes them on.
+HELD = 1_000_000
+
+
 def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDER) -> DataFrame:
     """(lang, fold, gram, n) over all texts; a null lang is ''. Tasks add up
     what they read before anything is shuffled."""
@@ -61,6 +65,7 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDE
 
     def run(batches):
         held: dict[tuple, tuple[list, list]] = {}
+        total = 0
 
         def out(key):
             g, c = _merge(*held.pop(key))
@@ -78,11 +83,14 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str, order: int = ORDE
                     own = held.setdefault(key, ([], []))
                     own[0].append(g)
                     own[1].append(c)
-                    if sum(map(len, own[0])) > 1_000_000:
-                        g, c = _merge(*own)
-                        held[key] = ([g], [c])
-                        if len(g) > 500_000:
-                            yield from out(key)
+                    total += len(g)
+                    if total > HELD:  # of all languages together
+                        held = {k: tuple([x] for x in _merge(*v)) for k, v in held.items()}
+                        for k in sorted(held, key=lambda k: -len(held[k][0][0])):
+                            total = sum(len(v[0][0]) for v in held.values())
+                            if total <= HELD // 2:
+                                break
+                            yield from out(k)
         for key in list(held):
             yield from out(key)
 
@@ -124,7 +132,8 @@ def crossed(counts: DataFrame, order: int = ORDER) -> DataFrame:
             F.greatest(F.lit(0.05), F.least(F.lit(3.0), 3 - 4 * y * ratio("n4", "n3"))).alias("d3"),
         )
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        model = t.join(F.broadcast(d), own).withColumn("off", F.least(off, F.col("n").cast("double")))
+        d = C.small(C.materialise(d, "discounts"))  # a row for each language and fold
+        model = t.join(d, own).withColumn("off", F.least(off, F.col("n").cast("double")))
         contexts = model.groupBy(*own, F.shiftrightunsigned("gram", 8).alias("ctx")).agg(F.sum("n").alias("total"), F.sum("off").alias("mass"))
         seen = model.select("lang", other, "gram", (F.col("n") - F.col("off")).alias("left"))
         asked = t.select(*own, "gram", F.shiftrightunsigned("gram", 8).alias("ctx")).join(seen, [*own, "gram"], "left")
@@ -208,29 +217,37 @@ def _scored(docs: DataFrame, model: DataFrame, id_col: str, text_col: str, lang_
     return rows.join(sums, "__row", "left").select(id_col, "lang", *_COUNTS, "length", bits.alias("bits"))
 
 
-def perplexity_bands(scored: DataFrame, floor: float = 0.02, prior: float = 2.0, vague: float = 4.0, step: float = 0.002) -> DataFrame:
+def perplexity_bands(scored: DataFrame, floor: float = 0.02, prior: float = 2.0, step: float = 0.002) -> DataFrame:
     """(lang, middle, noise, floor): a language's median bits, and what a text's
     bits may stray from it: noise over the root of its bytes, and floor. noise is
-    the robust deviation of (bits - median) times that root, both from histograms
-    of all scored documents (bounded by their steps, exact at any size). The floor
-    has the weight of `prior` documents that stray `vague` bits, so that a
-    language with few documents rejects next to nothing."""
-    from pyspark.sql.window import Window
+    the robust deviation of (bits - median) times that root. Both come from
+    histograms of all scored documents, so from bins, exact at any size.
 
-    total = scored.groupBy("lang").agg(F.count("*").alias("all"))
+    Languages with few documents borrow from all: their middle and noise shrink
+    towards those of all documents, which weigh as much as `prior` documents of
+    the language. How far the middle moved by that is how little is known of it,
+    and widens the floor; one rule for every number of documents."""
+    from pyspark.sql.window import Window
 
     def middle(rows: DataFrame, value, name: str) -> DataFrame:
-        # at most some thousand bins for each language
-        hist = rows.groupBy("lang", F.floor(value).cast("long").alias("bin")).agg(F.count("*").alias("count"))
-        w = Window.partitionBy("lang").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("upto", F.sum("count").over(w)).join(total, "lang")
-        return hist.where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min("bin").alias(name))
-
-    mid = C.materialise(middle(scored, F.col("bits") / step, "bin").select("lang", ((F.col("bin") + 0.5) * step).alias("middle")), "middles")
-    strays = scored.join(F.broadcast(mid), "lang")
-    spread = middle(strays, F.abs(F.col("bits") - F.col("middle")) * F.sqrt("length") * 50, "far")
-    wide = floor + prior * vague / (F.col("all") + prior)
-    return mid.join(spread, "lang").join(total, "lang").select("lang", "middle", (1.4826 * (F.col("far") + 0.5) / 50).alias("noise"), wide.alias("floor"))
+        # some thousand bins for a language; the null language stands for all
+        bins = rows.groupBy("lang", F.floor(value).cast("long").alias("bin")).agg(F.count("*").alias("count"))
+        bins = C.materialise(bins, "bins")
+        bins = bins.unionByName(bins.groupBy("bin").agg(F.sum("count").alias("count")).withColumn("lang", F.lit(None).cast("string")))
+        own = Window.partitionBy("lang")
+        bins = bins.withColumns({"upto": F.sum("count").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum("count").over(own)})
+        return C.materialise(bins.where(F.col("upto") * 2 >= F.col("all")).groupBy("lang").agg(F.min("bin").alias(name), F.first("all").alias("all")), "middles")
+
+    mid = middle(scored, F.col("bits") / step, "bin").select("lang", "all", ((F.col("bin") + 0.5) * step).alias("own"))
+    of_all = mid.where("lang is null").first()
+    mid = mid.where("lang is not null")
+    shrunk = lambda own, other: (F.col("all") * own + prior * other) / (F.col("all") + prior)
+    mid = mid.withColumn("middle", shrunk(F.col("own"), F.lit(of_all["own"] if of_all else 0.0)))
+    strays = scored.join(C.small(mid.select("lang", "own")), "lang")
+    spread = middle(strays, F.abs(F.col("bits") - F.col("own")) * F.sqrt("length") * 50, "far").select("lang", (1.4826 * (F.col("far") + 0.5) / 50).alias("noise"))
+    noise_of_all = spread.where("lang is null").first()
+    out = mid.join(spread, "lang")
+    return out.select("lang", "middle", shrunk(F.col("noise"), F.lit(noise_of_all["noise"] if noise_of_all else 0.0)).alias("noise"), (floor + F.abs(F.col("own") - F.col("middle"))).alias("floor"))
 
 
 def quality_rules(
@@ -256,7 +273,7 @@ def quality_rules(
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words"))
     scored = C.materialise(scored.withColumn("base_failed", failed), "scored")
     bands = perplexity_bands(scored.where(~F.col("base_failed")))
-    out = scored.join(F.broadcast(bands), "lang", "left")
+    out = scored.join(C.small(C.materialise(bands, "bands")), "lang", "left")
     may = F.sqrt(F.col("noise") ** 2 / F.greatest("length", F.lit(1)) + F.col("floor") ** 2)
     inside = (F.col("bits") <= F.col("middle") + upper * may) & (F.col("bits") >= F.col("middle") - lower * may)
     return out.select(id_col, *_COUNTS, "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(False))).alias("kept"), "lang", "bits")

@@ -670,12 +670,17 @@ def test_kneser_ney_crosses_folds(spark):
 
 
 def _bands(rows: list) -> dict[str, tuple[float, float, float]]:
-    out = {}
-    for lang in {r["lang"] for r in rows}:
-        own = [(r["bits"], r["size"]) for r in rows if r["lang"] == lang and not r["base_failed"]]
-        if own:
-            middle = float(np.quantile([b for b, _ in own], 0.5, method="inverted_cdf"))
-            out[lang] = middle, 1.4826 * float(np.quantile([abs(b - middle) * s**0.5 for b, s in own], 0.5, method="inverted_cdf")), 0.02 + 8 / (len(own) + 2)
+    """Middle, noise and floor: those of a language's documents, with two of all."""
+    middle = lambda v: float(np.quantile(v, 0.5, method="inverted_cdf"))
+    kept = [r for r in rows if not r["base_failed"]]
+    own = {lang: middle([r["bits"] for r in kept if r["lang"] == lang]) for lang in {r["lang"] for r in kept}}
+    far = lambda rs: 1.4826 * middle([abs(r["bits"] - own[r["lang"]]) * r["size"] ** 0.5 for r in rs])
+    of_all, noise_of_all, out = middle([r["bits"] for r in kept]), far(kept), {}
+    for lang, m in own.items():
+        mine = [r for r in kept if r["lang"] == lang]
+        n = len(mine)
+        shrunk = (n * m + 2 * of_all) / (n + 2)
+        out[lang] = shrunk, (n * far(mine) + 2 * noise_of_all) / (n + 2), 0.02 + abs(m - shrunk)
     return out
 
 
@@ -722,6 +727,38 @@ def test_bands_reject_garbled_and_stock_texts_alone(spark):
     assert 0 < sum(not r["kept"] for r in own) < 0.05 * len(own)
 
 
+def test_junk_in_a_rare_language(spark):
+    """A language of 20 documents (English in a cipher): its junk is rejected,
+    its other texts stay."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    noise = random.Random(2)
+    cipher = str.maketrans("abcdefghijklmnopqrstuvwxyz", "qkzwxjvpfybgcmlhudoritsena")
+    prose = quality_rules.quality_rules(docs).where("lang = 'en' and kept").select("doc_id")
+    prose = docs.join(prose, "doc_id").where("n_chars between 1500 and 5000").orderBy("doc_id").limit(20).collect()
+    clean = [r["text"].lower().translate(cipher) for r in prose]
+    junk = [" ".join("".join(noise.choice("qxzjkvwy0189") for _ in range(6)) for _ in range(120)), "".join(noise.sample(clean[0], len(clean[0])))]
+    planted = [(10**6 + i, t, "xx", "z", len(t)) for i, t in enumerate(clean)] + [(2 * 10**6 + i, t, "xx", "z", len(t)) for i, t in enumerate(junk)]
+    rows = quality_rules.quality_rules(docs.unionByName(spark.createDataFrame(planted, DOCS))).where("lang = 'xx' and not base_failed").collect()
+    assert [r["kept"] for r in rows if r["doc_id"] >= 2 * 10**6] == [False, False]
+    good = [r["kept"] for r in rows if r["doc_id"] < 2 * 10**6]
+    assert len(good) == 20 and sum(good) >= 19
+
+
+def test_counting_holds_a_bounded_number(spark, monkeypatch):
+    """Many languages in one task: what is passed on early adds up to the same."""
+    rng = random.Random(3)
+    rows = [(i, sentence(rng, 30), f"l{i % 40}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    want: dict = {}
+    for (lang, fold, text) in df.select("lang", quality_rules.fold_of("text").alias("f"), "text").collect():
+        wide = "\n\n" + text.lower()
+        for i in range(len(text)):
+            key = (lang, fold, int.from_bytes(wide[i : i + 3].encode(), "big"))
+            want[key] = want.get(key, 0) + 1
+    monkeypatch.setattr(quality_rules, "HELD", 2_000)
+    assert {(r["lang"], r["fold"], r["gram"]): r["n"] for r in quality_rules.count_grams(df, "text", "lang", 3).collect()} == want
+
+
 # ------------------------------------------------------------------ 8
 def test_gradients():
     rng = np.random.default_rng(0)

@@ -109,7 +109,7 @@ def test_sketches_differ_as_sets_do():
         s = ngram_join.parities(np.concatenate([a, b]), np.repeat([0, 1030], [len(a), len(b)]), 1031)
         bits = np.unpackbits((s[0] ^ s[1030]).view(np.uint8)).sum()
         apart = len(np.setxor1d(a, b))
-        assert bits <= apart and (bits - apart) % 2 == 0 and not s[1:1030].any()
+        assert bits <= apart and (int(bits) - apart) % 2 == 0 and not s[1:1030].any()
 
 
 def test_postings_that_meet(spark):
