@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..scratch import materialise
 from .contracts import ContractError, outside
 from .features import FEATURES, user_line
 from .folds import fold_rows
 from .intervals import bootstrap_tails, prediction_intervals
 from .learn import fit_ridge, predict_ridge, suite_metrics, update_ridge, validate_ridge
 from .monitor import error_windows, retrain_decision
+from .staging import staged
 from .supervised import readiness, supervised_pairs
-from .tables import Store, insert_new
+from .tables import Store, Transaction, insert_new
 
 PREDICTIONS = (
     "user_id bigint, cycle_id bigint, model_name string, model_version int, origin_at timestamp, created_at timestamp, predicted_value double, ci_lower double, ci_upper double, "
@@ -65,40 +67,41 @@ def settle(predictions: DataFrame, history: DataFrame, model_name: str | None =
 # ---------------------------------------------------------------- experiments
 def log_version(store: Store, name: str, models: DataFrame, fold_metrics: DataFrame | None = None, params: dict[str, str] | None = None) -> int:
     """Append a model table (weights as arrays) and its fold metrics under the
-    next version of `name`; returns the version."""
-    old = store.read("model_versions")
-    last = None if old is None else old.where(F.col("model_name") == name).agg(F.max("model_version")).first()[0]
-    version = (last or 0) + 1
-    tag = lambda df: df.withColumns({"model_name": F.lit(name), "model_version": F.lit(version)})
-    frames = {"model_versions": tag(models).withColumn("params", F.lit(None).cast("map<string,string>") if not params else F.create_map(*[F.lit(x) for kv in sorted(params.items()) for x in kv]))}
-    if fold_metrics is not None:
-        frames["fold_metrics"] = tag(fold_metrics)
-    for n in frames:
-        have = store.read(n)
-        if have is not None:
-            frames[n] = have.unionByName(frames[n], allowMissingColumns=True)
-    store.commit(frames)
-    return version
+    next version of `name`; returns the version. Two writers get two versions."""
+
+    def log(tx) -> int:
+        old = tx.read("model_versions")
+        last = None if old is None else old.where(F.col("model_name") == name).agg(F.max("model_version")).first()[0]
+        version = (last or 0) + 1
+        tag = lambda df: df.withColumns({"model_name": F.lit(name), "model_version": F.lit(version)})
+        noted = F.create_map(*[F.lit(x) for kv in sorted(params.items()) for x in kv]) if params else F.lit(None).cast("map<string,string>")
+        tx.append("model_versions", tag(models).withColumn("params", noted))
+        if fold_metrics is not None:
+            tx.append("fold_metrics", tag(fold_metrics))
+        return version
+
+    return store.update(log)
 
 
 def log_suite(store: Store, rows: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted"), data_kind: str = "synthetic") -> dict[str, int]:
     """Compare several forecasters over the same folds: the fold metrics of all
     are committed together, each under the next version of <data_kind>-<model>;
     returns the versions."""
-    old = store.read("fold_metrics")
-    last = {} if old is None else {r[0]: r[1] for r in old.groupBy("model_name").agg(F.max("model_version")).collect()}  # a row for each model
-    versions = {f"{data_kind}-{m}": (last.get(f"{data_kind}-{m}") or 0) + 1 for m in models}
-    name = F.concat(F.lit(f"{data_kind}-"), "model_name")
-    version = F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), name)
-    new = suite_metrics(rows, features, models).select("user_id", name.alias("model_name"), version.alias("model_version"), "fold", "metric", "value")
-    store.commit({"fold_metrics": new if old is None else old.unionByName(new, allowMissingColumns=True)})
-    return versions
+    made = materialise(suite_metrics(rows, features, models).withColumn("model_name", F.concat(F.lit(f"{data_kind}-"), "model_name")), "suite")
+
+    def log(tx) -> dict[str, int]:
+        old = tx.read("fold_metrics")
+        last = {} if old is None else {r[0]: r[1] for r in old.groupBy("model_name").agg(F.max("model_version")).collect()}  # a row for each model
+        versions = {f"{data_kind}-{m}": (last.get(f"{data_kind}-{m}") or 0) + 1 for m in models}
+        version = F.element_at(F.create_map(*[F.lit(x) for kv in versions.items() for x in kv]), F.col("model_name"))
+        tx.append("fold_metrics", made.select("user_id", "model_name", version.alias("model_version"), "fold", "metric", "value"))
+        return versions
+
+    return store.update(log)
 
 
 def activate(store: Store, name: str, version: int, at: dt.datetime) -> None:
-    row = store.spark.createDataFrame([(name, version, at)], "model_name string, model_version int, activated_at timestamp")
-    old = store.read("activations")
-    store.commit({"activations": row if old is None else old.unionByName(row)})
+    store.append("activations", store.spark.createDataFrame([(name, version, at)], "model_name string, model_version int, activated_at timestamp"))
 
 
 def active_version(store: Store, name: str) -> int | None:
@@ -118,17 +121,24 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
     Settles outcomes, then for each user: skipped (stale or future features,
     too little history), already_predicted, or predicted after a full fit (the
     first one and emergencies), an incremental one, or none (stable, or no new
-    labels). Model state, forecasts and outcomes are committed together, so a
-    failed run changes nothing and a repeated one predicts nothing twice.
+    labels). Model state, forecasts and outcomes are one transaction, so a
+    failed run changes nothing, a repeated one predicts nothing twice, and one
+    that another overtakes runs again. Rows that stay as they are are not
+    written again.
     """
-    spark = store.spark
     status = "user_id bigint, status string, reason string, updated boolean, cycle_id bigint, model_version int, predicted double, ci_lower double, ci_upper double"
     if now.tzinfo is None:
         raise ValueError("now must have a time zone")
     if data_kind == "real" and not allow_real:
         return history.select("user_id").distinct().select("user_id", F.lit("disabled").alias("status"), F.lit("real_training_requires_deliberate_opt_in").alias("reason"), *[F.lit(None).cast(t).alias(n) for n, t in (("updated", "boolean"), ("cycle_id", "bigint"), ("model_version", "int"), ("predicted", "double"), ("ci_lower", "double"), ("ci_upper", "double"))])
     name = model_name or f"{data_kind}-recovery-ridge-daily"
-    table = f"models_{data_kind}"
+    out = store.update(lambda tx: _update(tx, history, now, name, f"models_{data_kind}", replicates, min_pairs, min_days, splits))
+    assert [f.name for f in out.schema] == [c.split()[0] for c in status.split(", ")]
+    return out
+
+
+def _update(tx: Transaction, history: DataFrame, now: dt.datetime, name: str, table: str, replicates: int, min_pairs: int, min_days: int, splits: dict | None) -> DataFrame:
+    store, spark = tx.store, tx.store.spark
     at = F.lit(now)
     user = ["user_id"]
     latest = history.withColumn("__r", F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("start_at"), F.desc("cycle_id")))).where("__r = 1").drop("__r")
@@ -136,11 +146,11 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
     pairs = supervised_pairs(history)
     ready = readiness(pairs, min_pairs, min_days)
 
-    old = store.read("predictions")
+    old = tx.read("predictions")
     old = spark.createDataFrame([], PREDICTIONS) if old is None else old
     settled = settle(old, history, name)
     mine = settled.where(F.col("model_name") == name)
-    models = store.read(table)
+    models = tx.read(table)
     state = latest.select("user_id", "cycle_id", "start_at", ((age >= 0) & (age <= 2 * 86400 * 1_000_000)).alias("fresh")).join(ready, user, "left")
     state = state.join(mine.select("user_id", "cycle_id").withColumn("__done", F.lit(True)), ["user_id", "cycle_id"], "left")
     known = models.select("user_id", "trained_through", "updated_at", "model_version") if models is not None else spark.createDataFrame([], "user_id bigint, trained_through timestamp, updated_at timestamp, model_version int")
@@ -153,8 +163,6 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
         .when(F.col("updated_at").isNull(), "initial_training").when(F.col("newest") <= F.col("trained_through"), "no_new_labels").otherwise(F.col("reason"))
     )
     state = state.withColumn("reason", kind).withColumn("method", F.when(F.col("reason").isin("initial_training", "emergency"), "full").when(F.col("reason").isin("bias_correction", "drift_correction", "routine"), "partial").when(F.col("reason").isin("stable", "no_new_labels"), "none"))
-    from .staging import staged
-
     state = staged(state, store, "state")
     chosen = lambda m: state.where(F.col("method") == m).select("user_id")
     meta = lambda df: df.join(state.select("user_id", F.col("newest").alias("trained_through"), F.coalesce(F.col("model_version") + 1, F.lit(1)).alias("model_version")), user).withColumn("updated_at", at)
@@ -169,8 +177,8 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
     folds = fold_rows(pairs.join(state.where("method in ('full', 'partial')"), user, "left_semi"), **(splits or {}))
     tails = bootstrap_tails(validate_ridge(folds).select("user_id", "residual", "fold", "row_index"), ["fold", "row_index"], replicates=replicates)
     fresh = fresh.join(tails.select("user_id", "low_tail", "high_tail"), user, "left")
+    fresh = staged(fresh, store, "models")
     all_models = fresh if models is None else models.join(fresh.select("user_id"), user, "left_anti").unionByName(fresh)
-    all_models = staged(all_models, store, "models")
 
     point = predict_ridge(latest.join(state.where("method is not null").select("user_id"), user, "left_semi"), all_models, user)
     point = prediction_intervals(point, all_models.where("low_tail is not null").select("user_id", "low_tail", "high_tail"))
@@ -181,11 +189,17 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
         none("bigint").alias("target_cycle_id"), none("double").alias("actual_value"), none("double").alias("error"),
     )
     rows = staged(rows, store, "forecasts")
-    store.commit({"predictions": settled.unionByName(save_predictions(settled, rows)), table: all_models})
+    outcome = ["target_cycle_id", "actual_value", "error"]
+    before = old.select(*KEY, *[F.col(c).alias(f"__{c}") for c in outcome])
+    same = F.lit(True)
+    for c in outcome:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    changed = settled.join(before, KEY).where(~same).select(*settled.columns)
+    tx.merge("predictions", changed.unionByName(save_predictions(settled, rows)), KEY)
+    tx.merge(table, fresh, "user_id")
     made = rows.select("user_id", "model_version", F.col("predicted_value").alias("predicted"), "ci_lower", "ci_upper")
     out = state.drop("model_version").join(made, user, "left")
     label = F.when(F.col("predicted").isNotNull(), "predicted").when(F.col("reason") == "already_predicted", "already_predicted").otherwise("skipped")
     reason = F.when(F.col("method").isNotNull() & F.col("predicted").isNull(), "too_few_residuals").when(F.col("reason") == "already_predicted", None).otherwise(F.col("reason"))
     out = out.select("user_id", label.alias("status"), reason.alias("reason"), (F.col("method").isin("full", "partial")).alias("updated"), "cycle_id", "model_version", "predicted", "ci_lower", "ci_upper")
-    assert [f.name for f in out.schema] == [c.split()[0] for c in status.split(", ")]
-    return out
+    return staged(out, store, "status")

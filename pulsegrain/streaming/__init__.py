@@ -48,34 +48,33 @@ def silver_batch(batch: DataFrame) -> dict[str, DataFrame]:
 
 
 def gold_writer(store: Store, stream: str, today: dt.date | None = None):
-    """A foreachBatch function: bad lines to the table `rejects`, contract,
-    merge, then the mart of the users that the batch touches. A batch that the
-    manifest has seen is left out, so replays change nothing; one that failed in
-    between may leave its rejects twice."""
+    """A foreachBatch function: contract, then bad lines to the table `rejects`,
+    the silver tables, and the mart of the users that the batch touches, all in
+    one transaction with the batch's id. A batch that the manifest has seen is
+    left out, and one that failed in between has left nothing behind."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if store.manifest()["batches"].get(stream, -1) >= batch_id:
             return
-        batch = batch.persist()
-        try:
-            silver = silver_batch(batch)
-            from ..operators.contracts import enforce
+        from ..operators.contracts import enforce
+        from ..operators.staging import staged
 
-            enforce(silver)
-            bad = rejected(batch)
+        batch = staged(batch, store, "landed")
+        silver = {n: staged(df, store, n) for n, df in silver_batch(batch).items()}
+        enforce(silver)
+        bad = rejected(batch).withColumn("batch", F.lit(batch_id).cast("long"))
+        users = reduce(DataFrame.unionByName, [silver[n].select("user_id") for n in silver]).distinct()
+
+        def gold(tx) -> None:
             if not bad.isEmpty():
-                store.append("rejects", bad.withColumn("batch", F.lit(batch_id).cast("long")))
-            store.merge({n: (silver[n], KEYS[n]) for n in silver}, today)  # the mart and the batch id follow; a replay in between is idempotent
-            users = None
+                tx.append("rejects", bad)
             for n in silver:
-                own = silver[n].select("user_id")
-                users = own if users is None else users.unionByName(own)
-            users = users.distinct()
-            gold = {n: store.read(n).join(users, "user_id", "left_semi") for n in RECORD_TYPES}
-            mart = mart_daily_features(daily_summary(gold["cycles"], gold["recovery"], gold["sleep"], gold["workouts"]))
-            store.merge({"mart_daily_features": (mart, "user_id")}, batch=(stream, batch_id))
-        finally:
-            batch.unpersist()
+                tx.merge(n, silver[n], KEYS[n])
+            own = {n: tx.read(n).join(users, "user_id", "left_semi") for n in RECORD_TYPES}
+            mart = mart_daily_features(daily_summary(own["cycles"], own["recovery"], own["sleep"], own["workouts"]))
+            tx.merge("mart_daily_features", mart, "user_id")
+
+        store.update(gold, today, (stream, batch_id))
 
     return write
 
