@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
 from .features import recent_rows, user_line
 from .quantiles import exact_quantiles
 
@@ -55,70 +56,87 @@ def flag_rate(tested: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- forest
-def _tree(x: np.ndarray, rng: np.random.Generator, depth: int, limit: int) -> list:
-    """Nested [feature, cut, left, right], or [rows] at a leaf."""
-    spread = np.flatnonzero(x.max(0) > x.min(0)) if len(x) else np.zeros(0, int)
-    if depth >= limit or len(x) < 2 or not len(spread):
-        return [len(x)]
-    f = int(rng.choice(spread))
-    cut = float(rng.uniform(x[:, f].min(), x[:, f].max()))
-    low = x[:, f] < cut
-    return [f, cut, _tree(x[low], rng, depth + 1, limit), _tree(x[~low], rng, depth + 1, limit)]
-
-
-def _expected(n) -> np.ndarray:
+#: A node of a tree: the value it asks for, the cut, where the two sides are (in
+#: the tree's array), and at a leaf (feature -1) its path length.
+NODE = "struct<feature:int,cut:double,low:int,high:int,length:double>"
+
+
+def _tree(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
+    """The nodes of a random tree over rows x, the root first."""
+    nodes: list = []
+
+    def grow(x: np.ndarray, depth: int) -> int:
+        at = len(nodes)
+        nodes.append(None)
+        spread = np.flatnonzero(x.max(0) > x.min(0)) if len(x) else np.zeros(0, int)
+        if depth >= limit or len(x) < 2 or not len(spread):
+            nodes[at] = (-1, 0.0, 0, 0, depth + _expected(len(x)))
+            return at
+        f = int(rng.choice(spread))
+        cut = float(rng.uniform(x[:, f].min(), x[:, f].max()))
+        low = x[:, f] < cut
+        a = grow(x[low], depth + 1)
+        nodes[at] = (f, cut, a, grow(x[~low], depth + 1), 0.0)
+        return at
+
+    grow(x, 0)
+    return nodes
+
+
+def _expected(n: float) -> float:
     """Mean path length of an unsuccessful search among n rows."""
-    n = np.asarray(n, float)
-    return np.where(n > 2, 2 * (np.log(np.maximum(n - 1, 1)) + 0.5772156649015329) - 2 * (n - 1) / np.maximum(n, 1), np.where(n == 2, 1.0, 0.0))
+    return 2 * (float(np.log(n - 1)) + 0.5772156649015329) - 2 * (n - 1) / n if n > 2 else float(n == 2)
 
 
-def _depths(tree: list, x: np.ndarray, at: int = 0) -> np.ndarray:
-    if len(tree) == 1:
-        return np.full(len(x), at + float(_expected(tree[0])))
-    out, low = np.empty(len(x)), x[:, tree[0]] < tree[1]
-    out[low], out[~low] = _depths(tree[2], x[low], at + 1), _depths(tree[3], x[~low], at + 1)
-    return out
-
-
-def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees: int = 100, rows: int = 256, contamination: float = 0.03, seed: int = 42) -> DataFrame:
-    """history with isolation_score (higher: lonelier) and is_isolated: above
-    the 1 - contamination quantile. Each tree grows in a task of its own from
-    about `rows` rows that a hash picks; the forest (trees * 2 * rows nodes at
-    most) is broadcast. Nulls count as the column's median."""
-    columns = list(FLOORS) if columns is None else columns
-    spark = history.sparkSession
-    medians = exact_quantiles(history, columns, [0.5])
-    keys, names = ["user_id", "cycle_id"], [f"__{c}" for c in columns]
-    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    narrow = history.select(*keys, *[F.coalesce(value(c), F.lit(medians[c][0] or 0.0)).alias(f"__{c}") for c in columns])
-    total = max(1, history.count())
-    share = min(1.0, rows / total)
+def grow_forest(narrow: DataFrame, keys: list[str], columns: list[str], trees: int, rows: int, seed: int) -> DataFrame:
+    """(tree, n, nodes): each tree grows in a task of its own from about `rows`
+    rows that a hash picks, so that no part of the ids is preferred."""
+    share = min(1.0, rows / max(1, narrow.count()))
     draw = lambda t: F.pmod(F.xxhash64(t, F.lit(seed), *keys), F.lit(1_000_003))
     draws = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: draw(t) < share * 1_000_003)
-    sample = narrow.select(F.explode(draws).alias("tree"), *keys, *names).withColumn("__draw", draw(F.col("tree")))
+    sample = narrow.select(F.explode(draws).alias("tree"), *keys, *columns).withColumn("__draw", draw(F.col("tree")))
     limit = int(np.ceil(np.log2(max(rows, 2))))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        import json
-
         t = int(pdf["tree"].iloc[0])
-        # the smallest draws, so that no part of the ids is preferred
-        x = pdf.sort_values(["__draw", *keys])[names].to_numpy()[: 2 * rows]
-        return pd.DataFrame({"tree": [t], "nodes": [json.dumps(_tree(x, np.random.default_rng(seed * 1000 + t), 0, limit))], "n": [len(x)]})
+        x = pdf.sort_values(["__draw", *keys])[columns].to_numpy()[: 2 * rows]
+        names = ("feature", "cut", "low", "high", "length")
+        return pd.DataFrame({"tree": [t], "n": [len(x)], "nodes": [[dict(zip(names, n)) for n in _tree(x, np.random.default_rng(seed * 1000 + t), limit)]]})
+
+    return sample.groupBy("tree").applyInPandas(grow, f"tree int, n int, nodes array<{NODE}>")
 
-    grown = sample.groupBy("tree").applyInPandas(grow, "tree int, nodes string, n int").orderBy("tree").collect()
-    import json
 
-    forest = spark.sparkContext.broadcast([json.loads(r["nodes"]) for r in grown])
-    norm = float(_expected(np.mean([r["n"] for r in grown]) if grown else 2)) or 1.0
+def path_length(nodes: Column, x: Column, limit: int) -> Column:
+    """How deep the values x (an array) fall in a tree."""
 
-    @F.pandas_udf("double")
-    def score(cols: pd.DataFrame) -> pd.Series:
-        x = cols.to_numpy()
-        depth = np.mean([_depths(t, x) for t in forest.value], axis=0) if forest.value else np.zeros(len(x))
-        return pd.Series(2.0 ** (-depth / norm))
+    def down(at: Column, _: Column) -> Column:
+        node = F.get(nodes, at)
+        return F.when(node["feature"] < 0, at).when(F.get(x, node["feature"]) < node["cut"], node["low"]).otherwise(node["high"])
 
-    filled = history.withColumns({f"__{c}": F.coalesce(value(c), F.lit(medians[c][0] or 0.0)) for c in columns})
-    scored = filled.withColumn("isolation_score", score(F.struct(*names))).drop(*names)
-    cut = exact_quantiles(scored.select("isolation_score"), ["isolation_score"], [1 - contamination])["isolation_score"][0]
+    return F.get(nodes, F.aggregate(F.sequence(F.lit(1), F.lit(limit)), F.lit(0), down))["length"]
+
+
+def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees: int = 100, rows: int = 256, contamination: float = 0.03, seed: int = 42) -> DataFrame:
+    """history with isolation_score (higher: lonelier) and is_isolated: above
+    the 1 - contamination quantile. The forest (trees * 4 * rows nodes at most)
+    is one broadcast row, and a column expression walks it; the scored rows are
+    written once. Nulls count as the column's median."""
+    columns = list(FLOORS) if columns is None else columns
+    keys = ["user_id", "cycle_id"]
+    names = [f"__{c}" for c in columns]
+    value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+    narrow = materialise(history.select(*keys, *[value(c).alias(n) for c, n in zip(columns, names)]), "measured")
+    medians = exact_quantiles(narrow, names, [0.5])
+    fill = lambda c, n: F.coalesce(c, F.lit(medians[n][0] or 0.0))
+    filled = narrow.select(*keys, *[fill(F.col(n), n).alias(n) for n in names])
+    grown = materialise(grow_forest(filled, keys, names, trees, rows, seed), "trees")
+    forest = grown.agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("__forest"), F.avg("n").alias("__size"))
+    norm = float(_expected(forest.select("__size").first()[0] or 2)) or 1.0
+    x = F.array(*[fill(value(c), n) for c, n in zip(columns, names)])
+    limit = int(np.ceil(np.log2(max(rows, 2))))
+    depth = F.aggregate(F.transform("__forest", lambda t: path_length(t["nodes"], F.col("__x"), limit)), F.lit(0.0), lambda a, b: a + b) / F.size("__forest")
+    scored = history.withColumn("__x", x).join(F.broadcast(forest.select("__forest")), F.lit(True))  # a single row
+    scored = scored.withColumn("isolation_score", F.when(F.size("__forest") > 0, F.pow(F.lit(2.0), -depth / norm)).otherwise(1.0)).drop("__x", "__forest")
+    scored = materialise(scored, "isolation")
+    cut = exact_quantiles(scored, ["isolation_score"], [1 - contamination])["isolation_score"][0]
     return scored.withColumn("is_isolated", F.coalesce(F.col("isolation_score") > F.lit(cut).cast("double"), F.lit(False)))

@@ -24,9 +24,11 @@ def assign_workouts(workouts: DataFrame, cycles: DataFrame, bucket_hours: int =
     larger id. Workouts that no cycle contains are dropped. Adds cycle_id.
 
     Open cycles need no range join: the one that wins is the last to start, a
-    running maximum over the user's time line. Closed ones are spread over the
-    time buckets they touch, so that the join is by user and bucket and a busy
-    user is many keys; a cycle is copied once for each bucket of its length.
+    running maximum along the user's time. It is taken within a bucket of time
+    and over the buckets before, so that a busy user is many windows. Closed ones
+    are joined by user and bucket. A cycle that is long for its bucket takes
+    wider ones, so that it has three copies at most, whatever its end; a workout
+    has one for each width that its user's cycles have.
     """
     size = bucket_hours * 3600
     bucket = lambda ts: F.floor(F.unix_seconds(ts.cast("timestamp")) / size).cast("long")
@@ -35,12 +37,21 @@ def assign_workouts(workouts: DataFrame, cycles: DataFrame, bucket_hours: int =
 
     line = w.select("user_id", F.col("start_at").alias("t"), F.lit(1).alias("kind"), "workout_id", F.lit(None).cast(c.schema["cycle_id"].dataType).alias("cycle_id"))
     opened = c.where(F.col("c_end").isNull()).select("user_id", F.col("c_start").alias("t"), F.lit(0).alias("kind"), F.lit(None).cast(w.schema["workout_id"].dataType).alias("workout_id"), "cycle_id")
-    along = Window.partitionBy("user_id").orderBy("t", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    line = line.unionByName(opened).withColumn("bucket", bucket(F.col("t")))
     start = F.when(F.col("kind") == 0, F.struct(F.col("t").alias("c_start"), "cycle_id"))
-    by_open = line.unionByName(opened).withColumn("best", F.max(start).over(along)).where("kind = 1 and best is not null").select("user_id", "workout_id", "best")
-
-    closed = c.where(F.col("c_end") > F.col("c_start")).withColumn("bucket", F.explode(F.sequence(bucket(F.col("c_start")), bucket(F.col("c_end")))))
-    hit = w.select("user_id", "workout_id", "start_at", bucket(F.col("start_at")).alias("bucket")).join(closed, ["user_id", "bucket"]).where((F.col("start_at") >= F.col("c_start")) & (F.col("start_at") < F.col("c_end")))
+    so_far = lambda *keys: Window.partitionBy(*keys).rowsBetween(Window.unboundedPreceding, 0)
+    before = line.groupBy("user_id", "bucket").agg(F.max(start).alias("own"))
+    before = before.withColumn("before", F.max("own").over(Window.partitionBy("user_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))).drop("own")
+    within = line.withColumn("within", F.max(start).over(so_far("user_id", "bucket").orderBy("t", "kind"))).where("kind = 1")
+    # a cycle of the bucket starts after all before it
+    by_open = within.join(before, ["user_id", "bucket"]).withColumn("best", F.coalesce("within", "before")).where("best is not null").select("user_id", "workout_id", "best")
+
+    closed = c.where(F.col("c_end") > F.col("c_start")).withColumns({"b0": bucket(F.col("c_start")), "b1": bucket(F.col("c_end"))})
+    closed = closed.withColumn("level", F.when(F.col("b1") - F.col("b0") <= 2, 0).otherwise(F.ceil(F.log2((F.col("b1") - F.col("b0")).cast("double")))).cast("int"))
+    closed = closed.withColumn("bucket", F.explode(F.sequence(F.expr("shiftright(b0, level)"), F.expr("shiftright(b1, level)")))).drop("b0", "b1")
+    levels = closed.select("user_id", "level").distinct()
+    asked = w.select("user_id", "workout_id", "start_at", bucket(F.col("start_at")).alias("b")).join(levels, "user_id").select("user_id", "workout_id", "start_at", "level", F.expr("shiftright(b, level)").alias("bucket"))
+    hit = asked.join(closed, ["user_id", "level", "bucket"]).where((F.col("start_at") >= F.col("c_start")) & (F.col("start_at") < F.col("c_end")))
     by_closed = hit.select("user_id", "workout_id", F.struct("c_start", "cycle_id").alias("best"))
     best = by_open.unionByName(by_closed).groupBy("user_id", "workout_id").agg(F.max("best").alias("best"))
     return w.join(best, ["user_id", "workout_id"]).select(*workouts.columns, F.col("best.cycle_id").alias("cycle_id"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import sleep_band, strain_band, weekday_name, year_month
+from ..scratch import materialise
 from .quantiles import exact_quantiles
 
 
@@ -100,7 +101,9 @@ def table_profile(df: DataFrame, time_column: str | None = None) -> DataFrame:
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, deviation, minimum, exact quartiles and maximum."""
+    """Count, mean, deviation, minimum, exact quartiles and maximum. The columns
+    are written once and scanned three times, whatever plan they come from."""
+    df = materialise(df.select(*columns), "numbers")
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
 
     def of(c: str) -> Column:

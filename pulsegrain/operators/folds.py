@@ -145,18 +145,35 @@ def running_medians(rows: DataFrame, features: tuple[str, ...]) -> DataFrame:
     return ordered.repartition("user_id").sortWithinPartitions("user_id", "row_index").drop("row_index").mapInArrow(run, schema)
 
 
+def _products(rows: DataFrame, features: tuple[str, ...], target: str, keep: list[str]) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """keep, centre (the user's means), and e: the features and target counted
+    from there (0 where missing), the marks of missing features, and 1."""
+    x, y = values(features), F.col(target).cast("double")
+    centre = rows.groupBy("user_id").agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in [*x, y]]).alias("centre"))
+    away = [c - F.col("centre")[i] for i, c in enumerate([*x, y])]
+    e = [*[F.coalesce(c, F.lit(0.0)) for c in away[:-1]], *[c.isNull().cast("double") for c in x], away[-1], F.lit(1.0)]
+    d = rows.join(centre, "user_id").select(*keep, "centre", F.array(*e).alias("e"))
+    return d, [(i, j) for i in range(len(e)) for j in range(i, len(e))]
+
+
 def running_products(rows: DataFrame, features: tuple[str, ...], target: str = "target") -> DataFrame:
     """(user_id, fold, centre, sums): sums of the products of each two of the
     features (0 where missing), the marks of missing ones, the target and 1, as an
     upper triangle by rows; features and target are counted from the user's
     means (centre), so that sums keep their digits."""
-    x, y = values(features), F.col(target).cast("double")
-    centre = rows.groupBy("user_id").agg(F.array(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in [*x, y]]).alias("centre"))
-    d = rows.join(centre, "user_id")
-    away = [c - F.col("centre")[i] for i, c in enumerate([*x, y])]
-    e = [*[F.coalesce(c, F.lit(0.0)) for c in away[:-1]], *[c.isNull().cast("double") for c in x], away[-1], F.lit(1.0)]
-    d = d.select("user_id", "block", "centre", F.array(*e).alias("e"))
-    size = len(e)
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
+    d, pairs = _products(rows, features, target, ["user_id", "block"])
     out = training(d, centre=("max", F.col("centre")), **{f"s{i}_{j}": ("sum", F.col("e")[i] * F.col("e")[j]) for i, j in pairs})
     return out.select("user_id", "fold", "centre", F.array(*[f"s{i}_{j}" for i, j in pairs]).alias("sums"))
+
+
+def sliding_products(pairs: DataFrame, features: tuple[str, ...], days: int = 90, target: str = "target") -> DataFrame:
+    """running_products of every pair's last `days` days of earlier pairs, whose
+    labels are known when it starts: (user_id, cycle_id, centre, sums). What has
+    left the window is subtracted from the sum of all before, so that a pair is
+    added once and taken away once, however long the window."""
+    d, products = _products(pairs.withColumn("__at", F.unix_seconds(F.col("start_at").cast("timestamp"))), features, target, ["user_id", "cycle_id", "__at"])
+    along, span = Window.partitionBy("user_id").orderBy("__at"), days * 86400
+    until = along.rangeBetween(Window.unboundedPreceding, -1)
+    gone = along.rangeBetween(Window.unboundedPreceding, -span - 1)
+    sums = [F.coalesce(F.sum(F.col("e")[i] * F.col("e")[j]).over(until), F.lit(0.0)) - F.coalesce(F.sum(F.col("e")[i] * F.col("e")[j]).over(gone), F.lit(0.0)) for i, j in products]
+    return d.select("user_id", "cycle_id", "centre", F.array(*sums).alias("sums"))

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions import clipped
 from ..scratch import materialise
 from .features import FEATURES
-from .folds import running_medians, running_products, test_rows, training, values
+from .folds import running_medians, running_products, sliding_products, test_rows, training, values
 from .quantiles import exact_quantiles
 
 ALPHA = 10.0
@@ -164,6 +164,30 @@ def fold_models(rows: DataFrame, features: tuple[str, ...] = FEATURES, alpha: fl
     return joined.mapInPandas(run, schema)
 
 
+def sliding_forecasts(pairs: DataFrame, features: tuple[str, ...] = FEATURES, days: int = 90, least: int = 30, alpha: float = ALPHA) -> DataFrame:
+    """pairs with `predicted` by a ridge of their own, trained on the user's pairs
+    of the last `days` days; those with fewer than `least` have no row. What is
+    missing counts as the window's mean."""
+    schema = T.StructType([*pairs.select("user_id", "cycle_id").schema.fields, T.StructField("n", T.LongType()), *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("medians", "means", "scales", "weights")], T.StructField("intercept", T.DoubleType())])
+    d = len(features)
+    triangle = {ij: at for at, ij in enumerate((i, j) for i in range(2 * d + 2) for j in range(i, 2 * d + 2))}
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                sums, centre = np.asarray(r.sums, float), np.asarray(r.centre, float)
+                n = sums[-1]
+                have = n - np.array([sums[triangle[d + i, 2 * d + 1]] for i in range(d)])
+                means = np.array([sums[triangle[i, 2 * d + 1]] for i in range(d)]) / np.maximum(have, 1) + centre[:d]
+                got = _fold_solution(sums, centre, means, alpha, None)
+                out.append((r.user_id, r.cycle_id, *[x.tolist() if isinstance(x, np.ndarray) else x for x in got]))
+            yield pd.DataFrame(out, columns=schema.names)
+
+    enough = sliding_products(pairs, features, days).where(F.round(F.element_at("sums", -1)) >= least)
+    return predict_ridge(pairs, enough.mapInPandas(run, schema), ["user_id", "cycle_id"], features)
+
+
 def _residuals(predicted: DataFrame) -> DataFrame:
     return predicted.withColumn("residual", F.col("target") - F.col("predicted"))
 

@@ -1,9 +1,9 @@
-"""Exact quantiles of whole columns without a shuffle of their values.
+"""Exact quantiles of whole columns in two scans.
 
-The value of a rank is found by narrowing an interval: each pass counts the
-values in a thousand bins of every interval at once, and keeps the bin that
-holds the rank. Bins are aggregated in the tasks, so a pass sends a bounded
-number of rows, whatever the table's size and however many values differ.
+A mergeable sketch brackets every wanted rank between two values of the column;
+then the values inside the brackets are counted, and those below. Tasks add up
+what they read; what is counted one by one is a small share of the values, set
+by the sketch's accuracy, and equal values are one row.
 """
 
 from __future__ import annotations
@@ -12,8 +12,10 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-BINS = 1000
+#: The sketch's ranks are within a share of 1 / ACCURACY of the rows.
+ACCURACY = 10_000
 
 
 def _finite(column: str) -> Column:
@@ -21,43 +23,40 @@ def _finite(column: str) -> Column:
     return F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v)
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, columns: list[str], shares: list[float], accuracy: int = ACCURACY) -> dict[str, list[float | None]]:
     """For each column its quantiles at `shares`, linear between neighbours; null
     and non-finite values are left out, a column without values has None."""
+    if not columns or not shares:
+        return {c: [None] * len(shares) for c in columns}
     values = df.select(*[_finite(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    ends = values.agg(*[f(F.col(f"v{i}")).alias(f"{k}{i}") for i in range(len(columns)) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
-    found: dict[tuple[int, int], float] = {}
-    open_: dict[tuple[int, int], tuple[float, float, int]] = {}
-    for i in range(len(columns)):
-        n = ends[f"n{i}"]
-        for q in shares if n else ():
-            for rank in {math.floor((n - 1) * q), math.ceil((n - 1) * q)}:
-                open_[i, rank] = (ends[f"lo{i}"], ends[f"hi{i}"], 0)
+    slack, found = 2.0 / accuracy, {}
     while True:
-        for key in [k for k, (lo, hi, _) in open_.items() if lo == hi]:
-            found[key] = open_.pop(key)[0]
-        if not open_:
+        marks = [min(1.0, max(0.0, q + s)) for q in shares for s in (-slack, slack)]
+        one = values.agg(*[x for i in range(len(columns)) for x in (F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"), F.max(f"v{i}").alias(f"hi{i}"), F.percentile_approx(f"v{i}", marks, accuracy).alias(f"q{i}"))]).first()
+        wanted, brackets = [], []
+        for i in range(len(columns)):
+            n = one[f"n{i}"]
+            for k, q in enumerate(shares) if n else ():
+                ranks = {math.floor((n - 1) * q), math.ceil((n - 1) * q)}
+                low = one[f"lo{i}"] if marks[2 * k] == 0 else one[f"q{i}"][2 * k]
+                high = one[f"hi{i}"] if marks[2 * k + 1] == 1 else one[f"q{i}"][2 * k + 1]
+                brackets.append((i, low, high))
+                wanted += [(len(brackets) - 1, r) for r in ranks if (i, r) not in found]
+        if not wanted:
             break
-        # ranks that are still in one interval share its bins
-        spans = sorted({(i, lo, hi) for (i, _), (lo, hi, _) in open_.items()})
-        marks = []
-        for at, (i, lo, hi) in enumerate(spans):
-            v = F.col(f"v{i}")
-            bin_ = F.least(F.lit(BINS - 1), F.greatest(F.lit(0), F.floor((v / 2 - lo / 2) / (hi / 2 - lo / 2) * BINS))).cast("int")
-            marks.append(F.when((v >= lo) & (v <= hi), F.struct(F.lit(at).alias("at"), bin_.alias("bin"), v.alias("v"))))
-        rows = values.select(F.explode(F.array_compact(F.array(*marks))).alias("x")).groupBy("x.at", "x.bin").agg(F.count("*").alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi"))
-        bins: dict[int, list] = {}
-        for r in rows.collect():  # BINS for each interval at most
-            bins.setdefault(r["at"], []).append(r)
-        for (i, rank), (lo, hi, before) in list(open_.items()):
-            for r in sorted(bins[spans.index((i, lo, hi))], key=lambda r: r["bin"]):
-                if before + r["n"] > rank:
-                    open_[i, rank] = (r["lo"], r["hi"], before)
-                    break
-                before += r["n"]
+        part = lambda b, i, low, high: F.when(F.col(f"v{i}") <= high, F.struct(F.lit(b).alias("b"), F.when(F.col(f"v{i}") >= low, F.col(f"v{i}")).alias("v")))
+        rows = values.select(F.explode(F.array_compact(F.array(*[part(b, *x) for b, x in enumerate(brackets)]))).alias("x"))
+        counts = rows.groupBy("x.b", "x.v").agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("b").orderBy(F.asc_nulls_first("v")))  # those below the bracket come first
+        hits = F.explode(F.filter(F.array(*[F.struct(F.lit(b).alias("b"), F.lit(r).cast("long").alias("rank")) for b, r in wanted]), lambda w: (w["b"] == F.col("b")) & (w["rank"] < F.col("upto")) & (w["rank"] >= F.col("upto") - F.col("n"))))
+        got = counts.withColumn("upto", upto).where("v is not null").select("b", "v", hits.alias("hit")).select("b", "v", "hit.rank").collect()  # a row for each rank
+        found |= {(brackets[r["b"]][0], r["rank"]): r["v"] for r in got}
+        if all((brackets[b][0], r) in found for b, r in wanted):
+            break
+        slack *= 8  # a sketch that was further off than it should
     out = {}
     for i, c in enumerate(columns):
-        n, own = ends[f"n{i}"], []
+        n, own = one[f"n{i}"], []
         for q in shares:
             if not n:
                 own.append(None)

@@ -114,7 +114,7 @@ def active_version(store: Store, name: str) -> int | None:
 
 
 # ---------------------------------------------------------------- daily update
-def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kind: str, allow_real: bool = False, model_name: str | None = None, replicates: int = 1000, min_pairs: int = 90, min_days: int = 89, splits: dict | None = None) -> DataFrame:
+def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kind: str, allow_real: bool = False, model_name: str | None = None, replicates: int = 1000, min_pairs: int = 90, min_days: int = 89, splits: dict | None = None, features: tuple[str, ...] = FEATURES) -> DataFrame:
     """One forecast for each user's latest cycle; returns (user_id, status,
     reason, updated, cycle_id, model_version, predicted, ci_lower, ci_upper).
 
@@ -132,12 +132,12 @@ def update_daily(store: Store, history: DataFrame, now: dt.datetime, *, data_kin
     if data_kind == "real" and not allow_real:
         return history.select("user_id").distinct().select("user_id", F.lit("disabled").alias("status"), F.lit("real_training_requires_deliberate_opt_in").alias("reason"), *[F.lit(None).cast(t).alias(n) for n, t in (("updated", "boolean"), ("cycle_id", "bigint"), ("model_version", "int"), ("predicted", "double"), ("ci_lower", "double"), ("ci_upper", "double"))])
     name = model_name or f"{data_kind}-recovery-ridge-daily"
-    out = store.update(lambda tx: _update(tx, history, now, name, f"models_{data_kind}", replicates, min_pairs, min_days, splits))
+    out = store.update(lambda tx: _update(tx, history, now, name, f"models_{data_kind}", replicates, min_pairs, min_days, splits, features))
     assert [f.name for f in out.schema] == [c.split()[0] for c in status.split(", ")]
     return out
 
 
-def _update(tx: Transaction, history: DataFrame, now: dt.datetime, name: str, table: str, replicates: int, min_pairs: int, min_days: int, splits: dict | None) -> DataFrame:
+def _update(tx: Transaction, history: DataFrame, now: dt.datetime, name: str, table: str, replicates: int, min_pairs: int, min_days: int, splits: dict | None, features: tuple[str, ...]) -> DataFrame:
     store, spark = tx.store, tx.store.spark
     at = F.lit(now)
     user = ["user_id"]
@@ -166,21 +166,21 @@ def _update(tx: Transaction, history: DataFrame, now: dt.datetime, name: str, ta
     state = staged(state, store, "state")
     chosen = lambda m: state.where(F.col("method") == m).select("user_id")
     meta = lambda df: df.join(state.select("user_id", F.col("newest").alias("trained_through"), F.coalesce(F.col("model_version") + 1, F.lit(1)).alias("model_version")), user).withColumn("updated_at", at)
-    full = meta(fit_ridge(pairs.join(chosen("full"), user, "left_semi"), user))
+    full = meta(fit_ridge(pairs.join(chosen("full"), user, "left_semi"), user, features))
     fresh = full
     if models is not None:
         base = models.join(chosen("partial"), user, "left_semi")
         new = pairs.join(base.select("user_id", F.col("trained_through").alias("__t")), user).where(F.col("target_start_at") > F.col("__t")).drop("__t")
         core = [c for c in models.columns if c not in ("trained_through", "updated_at", "model_version", "low_tail", "high_tail")]
-        fresh = full.unionByName(meta(update_ridge(base.select(*core), new, user)))
+        fresh = full.unionByName(meta(update_ridge(base.select(*core), new, user, features)))
     # intervals rest on a fresh walk-forward fit of the users that are updated
     folds = fold_rows(pairs.join(state.where("method in ('full', 'partial')"), user, "left_semi"), **(splits or {}))
-    tails = bootstrap_tails(validate_ridge(folds).select("user_id", "residual", "fold", "row_index"), ["fold", "row_index"], replicates=replicates)
+    tails = bootstrap_tails(validate_ridge(folds, features).select("user_id", "residual", "fold", "row_index"), ["fold", "row_index"], replicates=replicates)
     fresh = fresh.join(tails.select("user_id", "low_tail", "high_tail"), user, "left")
     fresh = staged(fresh, store, "models")
     all_models = fresh if models is None else models.join(fresh.select("user_id"), user, "left_anti").unionByName(fresh)
 
-    point = predict_ridge(latest.join(state.where("method is not null").select("user_id"), user, "left_semi"), all_models, user)
+    point = predict_ridge(latest.join(state.where("method is not null").select("user_id"), user, "left_semi"), all_models, user, features)
     point = prediction_intervals(point, all_models.where("low_tail is not null").select("user_id", "low_tail", "high_tail"))
     point = point.join(all_models.select("user_id", "model_version"), user)
     none = lambda t: F.lit(None).cast(t)

@@ -7,7 +7,6 @@ have a closed form.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,9 +17,10 @@ from ..functions import one_hot_weekday
 from ..operators import anomaly, contracts, explore, features, folds, learn, serving, supervised
 from ..operators.flatten import flatten
 from ..schemas import RECORDS, SILVER, ranges, required
+from ..scratch import scratch_dir
 from .inputs import nation_folds, nation_history, nation_pairs, silver
 from .oracle import DAILY, FOLDS, FORECASTS, HISTORY, SHAPES
-from .registry import _daily, _forecasts, _plain, query, rounded
+from .registry import ROBUST, WATCHED, _daily, _forecasts, _plain, query, rounded
 
 # ---------------------------------------------------------------- flattening
 _RAW = "with raw as (select event_id, user_id, date_trunc('second', ts) as ts, value, cast(json_extract_string(props,'$.k') as int) as k, event_id % 5 < 3 as scored, case event_id % 5 when 3 then 'PENDING_SCORE' when 4 then 'UNSCORABLE' else 'SCORED' end as state from events)"
@@ -175,13 +175,7 @@ def bronze_round_trip(spark, sf_dir):
     pull replaces its partition, and lines that are no records are told apart."""
     import datetime as dt
 
-    context = spark.sparkContext
-    root = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not root:
-        if not context.master.startswith("local["):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="spark-")
-    root = f"{root}/bronze-{uuid.uuid4().hex}"
+    root = f"{scratch_dir(spark)}/bronze-{uuid.uuid4().hex}"
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     score = F.struct(F.col("value").cast("string").alias("strain"))
     records = e.select(F.col("event_id").cast("string").alias("id"), F.col("user_id").cast("string").alias("user_id"), F.when(F.col("event_type") == "click", "SCORED").otherwise("PENDING_SCORE").alias("score_state"), score.alias("score"))
@@ -202,10 +196,22 @@ def leaking_folds(spark, sf_dir):
     return folds.leaking_folds(folds.fold_rows(p.withColumn("target_start_at", late))).select("user_id", "fold")
 
 
-@query(FOLDS + "select user_id, cast(fold as int) as fold, round(avg(case when total > 3e5 then 1.0 else 0.0 end),6) as flag_rate, count(*) as evaluated_rows from folds where role='test' group by 1, 2")
+@query(ROBUST + FOLDS.replace(HISTORY, "", 1) + "select f.user_id, cast(f.fold as int) as fold, round(avg(r.is_anomaly::int), 6) as flag_rate, count(*) as evaluated_rows from folds f join robust r using (user_id, cycle_id) where role='test' group by 1, 2")
 def flag_rate(spark, sf_dir):
-    rows = nation_folds(spark, sf_dir).withColumn("is_anomaly", F.col("total") > 3e5)
-    return rounded(anomaly.flag_rate(folds.test_rows(rows)))
+    """Share of every fold's test days that stand out from the 28 before them."""
+    return rounded(_flag_rate(spark, sf_dir, anomaly.robust_scores(nation_history(spark, sf_dir), floors=WATCHED)))
+
+
+def _flag_rate(spark, sf_dir, scored: DataFrame) -> DataFrame:
+    tested = folds.test_rows(nation_folds(spark, sf_dir)).select("user_id", "cycle_id", "fold")
+    return anomaly.flag_rate(tested.join(scored.select("user_id", "cycle_id", "is_anomaly"), ["user_id", "cycle_id"]))
+
+
+@query()
+def isolation_flag_rate(spark, sf_dir):
+    """The same by the isolation forest over all nations' days."""
+    scored = anomaly.isolation_forest(nation_history(spark, sf_dir), list(WATCHED))
+    return rounded(_flag_rate(spark, sf_dir, scored.withColumnRenamed("is_isolated", "is_anomaly")))
 
 
 @query(FOLDS + ", s as (select user_id, fold, count(distinct low_recovery) < 2 as skipped from folds where role='train' group by 1, 2) select user_id, count(*) as folds, count(*) filter (skipped) as skipped_folds from s group by 1")

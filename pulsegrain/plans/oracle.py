@@ -98,14 +98,13 @@ TAIL = """, series as (
   select user_id, day, recovery_score - prior as residual, row_number() over (partition by user_id order by day) - 1 as i, count(*) over (partition by user_id) as n
   from history where prior is not null
 ),
-drawn as (
-  select r.rep, s.user_id, s.n, s.residual
-  from (select unnest(range(0,100)) as rep) r
-  join (select distinct user_id, n from series where n >= 20) u on true
-  join (select unnest(range(0,2000)) as p) p on p.p < u.n
-  join series s on s.user_id = u.user_id and s.i = ((r.rep*7919 + (p.p//7)*104729 + 31) % 1000003) % (u.n - 6) + p.p % 7
-),
-tails as (select rep, user_id, n, quantile_cont(residual, 0.05) as lo, quantile_cont(residual, 0.95) as hi from drawn group by rep, user_id, n)
+tails as (
+  select rep, user_id, n, list_aggregate(drawn, 'quantile_cont', 0.05) as lo, list_aggregate(drawn, 'quantile_cont', 0.95) as hi
+  from (
+    select rep, user_id, n, list_transform(range(0, n), lambda p: r[((rep*7919 + (p//7)*104729 + 31) % 1000003) % (n - 6) + p % 7 + 1]) as drawn
+    from (select user_id, n, list(residual order by i) as r from series where n >= 20 group by 1, 2) u, (select unnest(range(0,1000)) as rep) x
+  )
+)
 """
 FORECASTS = HISTORY + """, forecasts as (
   select user_id, cycle_id, day, least(100.0, greatest(0.0, coalesce(prior, recovery_score))) as predicted_value, target_cycle_id, target, target_day from led

@@ -251,14 +251,17 @@ def walk_forward_folds(spark, sf_dir):
     return folds.fold_summary(nation_folds(spark, sf_dir))
 
 
-_Z = "round(case when count({c}) over w >= 14 then abs({c} - median({c}) over w) / greatest(1.4826*mad({c}) over w, {f}) end, 6) as z_{c}"
+#: What is watched in the nation history, and the least scale of each.
+WATCHED = {"total": 1000.0, "recovery_score": 1.0, "prior": 1.0}
+_Z = ", ".join(f"case when count({c}) over w >= 14 then abs({c} - median({c}) over w) / greatest(1.4826 * mad({c}) over w, cast({floor} as double)) end as z_{c}" for c, floor in WATCHED.items())
+ROBUST = HISTORY + f", z as (select user_id, cycle_id, {_Z} from history window w as (partition by user_id order by day rows between 28 preceding and 1 preceding)), robust as (select *, " + " or ".join(f"coalesce(z_{c} > 3.5, false)" for c in WATCHED) + " as is_anomaly from z)"
 
 
-@query(DAILY + f", z as (select cycle_id, user_id, {_Z.format(c='hrv_rmssd_milli', f='cast(1.0 as double)')}, {_Z.format(c='resting_heart_rate', f='cast(1.0 as double)')}, {_Z.format(c='respiratory_rate', f='cast(0.1 as double)')} from (select cycle_id, user_id, start_at, cast(hrv_rmssd_milli as double) as hrv_rmssd_milli, cast(resting_heart_rate as double) as resting_heart_rate, cast(respiratory_rate as double) as respiratory_rate from daily) window w as (partition by user_id order by start_at, cycle_id rows between 28 preceding and 1 preceding)) select *, coalesce(z_hrv_rmssd_milli>3.5,false) or coalesce(z_resting_heart_rate>3.5,false) or coalesce(z_respiratory_rate>3.5,false) as is_anomaly from z")
+@query(ROBUST + "select user_id, cycle_id, " + ", ".join(f"round(z_{c}, 6) as z_{c}" for c in WATCHED) + ", is_anomaly from robust")
 def robust_anomaly(spark, sf_dir):
-    d = _daily(spark, sf_dir).select("cycle_id", "user_id", "start_at", "hrv_rmssd_milli", "resting_heart_rate", "respiratory_rate")
-    out = anomaly.robust_scores(d, floors={c: anomaly.FLOORS[c] for c in ("hrv_rmssd_milli", "resting_heart_rate", "respiratory_rate")})
-    return rounded(out.select("cycle_id", "user_id", "z_hrv_rmssd_milli", "z_resting_heart_rate", "z_respiratory_rate", "is_anomaly"))
+    """Every nation's days against the 28 before them; some hundreds are flagged."""
+    out = anomaly.robust_scores(nation_history(spark, sf_dir), floors=WATCHED)
+    return rounded(out.select("user_id", "cycle_id", *[f"z_{c}" for c in WATCHED], "is_anomaly"))
 
 
 _HF = inputs.HISTORY_FEATURES
@@ -311,7 +314,7 @@ def _tails(history: DataFrame) -> DataFrame:
     h = history.where("prior is not null")
     start = lambda rep, b, places: ((rep.cast("long") * 7919 + b.cast("long") * 104729 + 31) % 1000003) % places
     r = h.select("user_id", "day", (F.col("recovery_score") - F.col("prior")).alias("residual"))
-    return intervals.bootstrap_tails(r, ["day"], replicates=100, start=start)
+    return intervals.bootstrap_tails(r, ["day"], replicates=1000, start=start)
 
 
 def _forecasts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
@@ -415,4 +418,4 @@ def isolation_flags(spark, sf_dir):
     return rounded(anomaly.isolation_forest(_daily(spark, sf_dir).select("cycle_id", "user_id", *anomaly.FLOORS)).select("cycle_id", "user_id", "isolation_score", "is_isolated"))
 
 
-from . import more  # noqa: E402, F401  registers its queries here
+from . import landed, more  # noqa: E402, F401  they register their queries here
