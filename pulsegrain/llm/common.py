@@ -6,8 +6,6 @@ word hashes and n-gram hashes cost a few array passes and no Python per word.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,37 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..scratch import materialise, scratch_dir  # noqa: F401  for the operators
+
 SLICE_BYTES = 1 << 20
 #: Word separators: space and \x09-\x0D.
 SEPARATORS = np.zeros(256, bool)
 SEPARATORS[[9, 10, 11, 12, 13, 32]] = True
 
 
-# ---------------------------------------------------------------- scratch
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or the
-    context's checkpoint folder. Where neither is set, a local master, which is
-    driver and executor in one, gets a temporary one; on a cluster that is an
-    error, since executors on other hosts would not see it."""
-    context = spark.sparkContext
-    path = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not path:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        path = tempfile.mkdtemp(prefix="spark-")
-        context.setCheckpointDir(path)
-    return path
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: cuts the
-    lineage, survives lost executors and gives later plans real sizes."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, lengthened until no column of df has them (in any case)."""
     taken = {c.lower() for c in df.columns}
