@@ -60,7 +60,7 @@ def stream_gold(spark, sf_dir):
     root, t = _fresh(spark, "stream"), silver(spark, sf_dir)
     late = F.col("cycle_id") % 5 == 0
     first = t["cycles"].withColumns({"score_state": F.when(late, "PENDING_SCORE").otherwise(F.col("score_state")), "strain": F.when(~late, F.col("strain")), "updated_at": F.when(late, F.col("start_at")).otherwise(F.col("updated_at"))})
-    store = Store(spark, f"{root}/gold")
+    store = Store(spark, f"{root}/gold", buckets=8)
     for n in RECORD_TYPES:
         _records(first if n == "cycles" else t[n], n).write.text(f"{root}/landing/{n}/pull=1")
     run_available(spark, f"{root}/landing", store, f"{root}/checkpoint")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 
 import numpy as np
 import pytest
@@ -461,6 +462,69 @@ def test_exact_quantiles(spark):
     assert got["k"] == pytest.approx(np.quantile([i % 5 for i in range(len(x))], shares)) and got["none"] == [None] * 6
 
 
+def test_quantiles_widen_a_bad_bracket(spark):
+    """A sketch too coarse for its brackets costs another scan, not the result."""
+    from pulsegrain.operators.quantiles import exact_quantiles
+
+    df = spark.range(20_000).select(((F.col("id") * 7919) % 20_000).cast("double").alias("x"))
+    got = exact_quantiles(df, ["x"], [0.1, 0.5, 0.999], accuracy=3)
+    assert got["x"] == pytest.approx(np.quantile(np.arange(20_000.0), [0.1, 0.5, 0.999]))
+
+
+def test_forest_is_walked_as_it_was_grown(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 3))
+    nodes = anomaly._tree(x[:200], np.random.default_rng(5), 8)
+
+    def plain(v) -> float:
+        at = 0
+        while nodes[at][0] >= 0:
+            f, cut, low, high, _ = nodes[at]
+            at = low if v[f] < cut else high
+        return nodes[at][4]
+
+    df = spark.createDataFrame([(i, [float(a) for a in r], [tuple(n) for n in nodes]) for i, r in enumerate(x)], f"i int, x array<double>, nodes array<{anomaly.NODE}>")
+    got = {r["i"]: r["d"] for r in df.select("i", anomaly.path_length(F.col("nodes"), F.col("x"), 8).alias("d")).collect()}
+    assert all(got[i] == pytest.approx(plain(r)) for i, r in enumerate(x))
+
+
+def test_long_cycles_and_busy_users(spark):
+    """Far end dates, open cycles before and within a day, and several lengths at
+    once, against all pairs; no cycle is copied often."""
+    rng = random.Random(4)
+    hour = lambda h: at(0) + dt.timedelta(hours=h)
+    cycles = [(u, u * 1000 + i, hour(s), None if rng.random() < 0.2 else hour(s + rng.choice([1, 8, 30, 200, 5_000_000]))) for u in (1, 2) for i in range(60) for s in [rng.uniform(0, 900)]]
+    workouts = [(u, f"w{u}-{i}", hour(rng.uniform(-10, 1500))) for u in (1, 2, 3) for i in range(150)]
+    c = spark.createDataFrame(cycles, "user_id long, cycle_id long, start_at timestamp, end_at timestamp")
+    w = spark.createDataFrame(workouts, "user_id long, workout_id string, start_at timestamp")
+    want = {}
+    for u, name, t in workouts:
+        held = [(s, i) for v, i, s, e in cycles if u == v and s <= t and (e is None or t < e)]
+        if held:
+            want[name] = max(held)[1]
+    assert {r["workout_id"]: r["cycle_id"] for r in daily.assign_workouts(w, c).collect()} == want
+
+
+def test_sliding_forecasts_match_numpy(spark):
+    rng = np.random.default_rng(6)
+    raw = [(u, u * 1000 + i, at(i * (1 + u)), float(rng.normal(500, 9)), None if rng.random() < 0.3 else float(rng.normal()), float(rng.uniform(0, 100))) for u in (0, 1) for i in range(140)]
+    df = spark.createDataFrame(raw, "user_id long, cycle_id long, start_at timestamp, a double, b double, target double")
+    got = {r["cycle_id"]: r["predicted"] for r in learn.sliding_forecasts(df, ("a", "b"), days=40, least=15).collect()}
+    want = {}
+    for u, i, t, a, b, _ in raw:
+        own = [r for r in raw if r[0] == u and t - dt.timedelta(days=40) <= r[2] < t]
+        if len(own) < 15:
+            continue
+        x, y = np.array([[r[3], np.nan if r[4] is None else r[4]] for r in own], float), np.array([r[5] for r in own])
+        mean = np.nanmean(x, 0)
+        fill = lambda v: np.where(np.isnan(v), mean, v)  # noqa: E731, B023
+        scale = fill(x).std(0)
+        z = (fill(x) - mean) / scale
+        w_ = np.linalg.solve(z.T @ z + 10 * np.eye(2), z.T @ (y - y.mean()))
+        want[i] = float(np.clip(y.mean() + (fill(np.array([a, np.nan if b is None else b], float)) - mean) / scale @ w_, 0, 100))
+    assert set(got) == set(want) and all(got[i] == pytest.approx(want[i]) for i in want)
+
+
 def test_classifier_and_boosted_folds(spark, tmp_path):
     rng = np.random.default_rng(1)
     raw = []

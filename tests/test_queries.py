@@ -11,7 +11,7 @@ from pulsegrain.plans import registry
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
 #: The smallest tables have too few days for a walk-forward: these use larger ones.
-LONG = {"walk_forward_folds", "impute_scale", "fold_metrics", "auc_by_fold", "metric_summary", "ridge_walk_forward", "leaking_folds", "flag_rate", "classifier_folds", "low_recovery_walk_forward", "boosted_walk_forward", "ridge_folds", "incremental_folds", "model_suite"}
+LONG = {"walk_forward_folds", "impute_scale", "fold_metrics", "auc_by_fold", "metric_summary", "ridge_walk_forward", "leaking_folds", "flag_rate", "classifier_folds", "low_recovery_walk_forward", "boosted_walk_forward", "ridge_folds", "incremental_folds", "model_suite", "sliding_forecasts", "daily_update", "isolation_flag_rate"}
 
 
 def _plain(v):
