@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from . import common as C
 from .labelled import LONGEST
@@ -131,14 +132,16 @@ def predict(buf: np.ndarray, offs: np.ndarray, model: LanguageModel | None) -> t
 
 
 def identify_languages(
-    docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 300, landmarks_per_language: int = 32
+    docs: DataFrame, train: Column, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang", per_language: int = 300, landmarks_per_language: int = 32, sample_bytes: int = 64 << 20
 ) -> DataFrame:
     """Language of every text.
 
     docs: documents; train: boolean column, the rows whose label may be learnt.
     per_language bounds the training sample (rows of each language with the
     smallest id hash, of the 1000 most frequent languages, and texts of LONGEST
-    bytes at most) and landmarks_per_language the kernel's landmarks.
+    bytes at most) and landmarks_per_language the kernel's landmarks. The sample
+    has sample_bytes in all, dealt evenly to the languages, and a language's
+    first text whatever its length, so it fits the driver (264 MB at most).
 
     Returns id, lang_pred, score, one row for each input row. A null text, or
     one without a letter, is `und` with score 0; a null label is not learnt
@@ -149,8 +152,12 @@ def identify_languages(
     spark = docs.sparkSession
     docs = docs.select(id_col, text_col, label_col)
     short = docs.where(F.octet_length(text_col) <= LONGEST)
-    ids = short.where(train & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("label"))
-    picked = C.stratified_sample(ids, "label", F.xxhash64(F.col(id_col)), per_language).select(F.col(id_col), F.col("label").alias("__label"))
+    ids = short.where(train & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(F.col(id_col), F.col(label_col).alias("label"), F.octet_length(text_col).alias("__size"))
+    picked = C.materialise(C.stratified_sample(ids, "label", F.xxhash64(F.col(id_col)), per_language), "sampled")
+    share = sample_bytes // max(1, picked.select("label").distinct().count())
+    first = Window.partitionBy("label").orderBy(F.xxhash64(F.col(id_col)), id_col)  # per_language rows
+    picked = picked.withColumns({"__upto": F.sum("__size").over(first.rowsBetween(Window.unboundedPreceding, 0)), "__rank": F.row_number().over(first)})
+    picked = picked.where((F.col("__upto") <= share) | (F.col("__rank") == 1)).select(F.col(id_col), F.col("label").alias("__label"))
     # the sample is bounded by per_language and the number of languages
     sample = short.join(F.broadcast(picked.distinct()), id_col, "inner").where(train & (F.col(label_col) == F.col("__label")))
     rows = sample.orderBy(F.xxhash64(F.col(id_col)), id_col, text_col).select(text_col, label_col).collect()

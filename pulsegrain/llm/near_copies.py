@@ -211,7 +211,9 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """(id, component_id) of every id: the smallest id that links reach. Two
     texts are linked if the sets of their word shingles (ASCII case folded) have
     a Jaccard similarity of at least `percent`; texts without words are alike.
-    Rows of one id are one node; rows with a null id are left out.
+    Rows of one id are one node; rows with a null id are left out. Other columns
+    play no part, whatever their names; an empty table gives an empty result; a
+    text of any length is read whole by one task.
 
     The sets of a prefix shingle are first compared with the one that shows it
     earliest (which has the fewest shingles of its own), and each set is linked

@@ -262,7 +262,10 @@ def encode_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     each. alpha sharpens the weights (0: all segmentations alike; large: the
     likeliest). Null and empty texts have no pieces. Rows with one key and text
     get one segmentation; a null key counts as a key. model: the file of a
-    vocabulary with byte pieces, by default the installed one."""
+    vocabulary with byte pieces, by default the installed one. One row for each
+    input row; an empty table gives an empty result; other columns play no part,
+    whatever their names. A text of any length is read whole by one task, whose
+    lattices are those of its units."""
     path = _path(model)
     schema = T.StructType([docs.schema[id_col], T.StructField("piece_ids", T.ArrayType(T.IntegerType()))])
 
@@ -275,7 +278,9 @@ def encode_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def decode_pieces(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str = "piece_ids", model: str | None = None) -> DataFrame:
-    """id and text of every row of ids; null ids are an empty text."""
+    """id and text of every row of ids; null ids are an empty text. One row for
+    each input row, repeated ones alike; an empty table gives an empty result;
+    other columns play no part, whatever their names."""
     path = _path(model)
     schema = T.StructType([encoded.schema[id_col], T.StructField("text", T.StringType())])
 
@@ -289,7 +294,8 @@ def decode_pieces(encoded: DataFrame, *, id_col: str = "doc_id", ids_col: str =
 
 def piece_digests(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", model: str | None = None, alpha: float = 1.0, seed: int = 0) -> DataFrame:
     """id, n_pieces, ids_crc32 (of the ids as little-endian 32-bit numbers) and
-    lossless: whether the decoded ids are the text, byte for byte."""
+    lossless: whether the decoded ids are the text, byte for byte. Nulls, repeated
+    rows, empty tables, extra columns and long texts as in encode_pieces."""
     path = _path(model)
     schema = T.StructType([docs.schema[id_col], T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()), T.StructField("lossless", T.BooleanType())])
 

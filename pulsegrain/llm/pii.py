@@ -393,7 +393,8 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact_pii(docs: DataFrame, *, text_col: str = "text", examples: DataFrame | None = None) -> DataFrame:
     """docs with every span in its text replaced by its kind. Null texts stay
     null, repeated rows are treated alike, and all other columns pass through,
-    whatever their names."""
+    whatever their names. An empty table stays empty; a text of any length is
+    read whole by one task."""
     field = _field(docs.sparkSession, examples)
     schema, names, at = docs.schema, docs.columns, docs.columns.index(text_col)
 

@@ -109,7 +109,8 @@ def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     two bits reach. One row for each input row. Null and empty texts
     have fingerprint zero and are linked like any other; rows with a null id
     link nothing and have a null component. Rows of one id are one node. Extra
-    columns are ignored.
+    columns are ignored; an empty table gives an empty result; a text of any
+    length is read whole by one task.
     """
     fps = C.materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     same = fps.where(F.col(id_col).isNotNull()).groupBy("fp").agg(F.min(id_col).alias("node"))

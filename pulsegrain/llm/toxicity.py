@@ -281,7 +281,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, train: Column, *, id_col:
     Labels are learnt from at most per_class rows of either label that `train`
     (on the labels table) allows. Every window of the whole text is scored and
     the highest counts. Null and empty texts, and any text if nothing can be
-    learnt, score 0. One row for each input row.
+    learnt, score 0. One row for each input row: repeated rows are scored alike,
+    a null id is scored like any other, an empty table stays empty. A text of
+    any length is scored whole by one task, window by window.
     """
     spark = docs.sparkSession
     model = spark.sparkContext.broadcast(fit(training_texts(docs, labels, label_col, train, per_class, id_col, text_col)))

@@ -1021,3 +1021,16 @@ def test_stages_take_odd_inputs(spark, sf_dir, odd, empty, name, stage):
             assert {r["score"] for r in rows} == {"x"} and {r["anchor"] for r in rows} == {"x"}
 
 
+
+
+def test_language_sample_is_bounded_in_bytes(spark, monkeypatch):
+    """A table of many languages: what comes to the driver has a bound in bytes,
+    and every language its first text."""
+    rows = [(i, "x" * 400 + f" word{i}", f"l{i % 40}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    seen, real = [], language_id.fit
+    monkeypatch.setattr(language_id, "fit", lambda got, *rest: (seen.append(got), real(got, *rest))[1])
+    language_id.identify_languages(df, F.lit(True), sample_bytes=40 * 1000, landmarks_per_language=2)
+    language_id.identify_languages(df, F.lit(True), sample_bytes=10, landmarks_per_language=2)
+    assert len(seen[0]) == 80 and sum(len(t) for t, _ in seen[0]) <= 40_000
+    assert len(seen[1]) == 40 and len({lang for _, lang in seen[1]}) == 40
