@@ -135,7 +135,9 @@ def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees
     x = F.array(*[fill(value(c), n) for c, n in zip(columns, names)])
     limit = int(np.ceil(np.log2(max(rows, 2))))
     depth = F.aggregate(F.transform("__forest", lambda t: path_length(t["nodes"], F.col("__x"), limit)), F.lit(0.0), lambda a, b: a + b) / F.size("__forest")
-    scored = history.withColumn("__x", x).join(F.broadcast(forest.select("__forest")), F.lit(True))  # a single row
+    # the walk is the work here, so small tables are spread over all cores as well
+    spread = history.repartition(int(history.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    scored = spread.withColumn("__x", x).join(F.broadcast(forest.select("__forest")), F.lit(True))  # a single row
     scored = scored.withColumn("isolation_score", F.when(F.size("__forest") > 0, F.pow(F.lit(2.0), -depth / norm)).otherwise(1.0)).drop("__x", "__forest")
     scored = materialise(scored, "isolation")
     cut = exact_quantiles(scored, ["isolation_score"], [1 - contamination])["isolation_score"][0]
