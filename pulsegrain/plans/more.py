@@ -55,7 +55,9 @@ def _struct(leaves: dict) -> str:
     return "named_struct(" + ", ".join(f"'{n}', {_struct(v) if isinstance(v, dict) else v}" for n, v in leaves.items()) + ")"
 
 
-def _flattened(table: str):
+def record_shape(table: str) -> tuple[str, list[str]]:
+    """A table's record of an event: its struct in Spark SQL, and the flattened
+    columns in DuckDB."""
     tree: dict = {}
     columns = []
     for name, path, kind in SILVER[table]:
@@ -66,10 +68,20 @@ def _flattened(table: str):
             at = at.setdefault(part, {})
         at[last] = text
         columns.append(f"{f'case when scored then {value} end' if path.startswith('score.') else value} as {name}")
+    return _struct(tree), columns
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events with what the structs of record_shape read."""
+    e = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return e.withColumns({"ts": F.col("ts").cast("timestamp"), "k": F.get_json_object("props", "$.k").cast("int")})
+
+
+def _flattened(table: str):
+    struct, columns = record_shape(table)
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        e = spark.read.parquet(f"{sf_dir}/events.parquet").withColumns({"ts": F.col("ts").cast("timestamp"), "k": F.get_json_object("props", "$.k").cast("int")})
-        raw = e.select(F.to_json(F.expr(_struct(tree)), {"ignoreNullFields": "false"}).alias("raw"))
+        raw = event_records(spark, sf_dir).select(F.to_json(F.expr(struct), {"ignoreNullFields": "false"}).alias("raw"))
         flat = rounded(flatten(raw.select(F.from_json("raw", RECORDS[table]).alias("r")).select("r.*"), table))
         return flat.select(*[F.col(n).cast("timestamp_ntz").alias(n) if kind == "ts" else F.col(n) for n, _, kind in SILVER[table]])
 

@@ -418,4 +418,4 @@ def isolation_flags(spark, sf_dir):
     return rounded(anomaly.isolation_forest(_daily(spark, sf_dir).select("cycle_id", "user_id", *anomaly.FLOORS)).select("cycle_id", "user_id", "isolation_score", "is_isolated"))
 
 
-from . import landed, more  # noqa: E402, F401  they register their queries here
+from . import ingest, landed, more  # noqa: E402, F401  they register their queries here

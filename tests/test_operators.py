@@ -137,6 +137,47 @@ def test_sync_window_and_order(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
 
 
+@pytest.mark.parametrize("lines", [False, True])
+def test_pages_that_are_cut_off_are_rejects(spark, tmp_path, lines):
+    whole = json.dumps({"records": [*records()["cycles"], 5, None, "x"], "next_token": None})
+    texts = [whole, '{"records": [', '{"records": 7}', '{"next_token": "a"}']
+    if lines:
+        (tmp_path / "in.jsonl").write_text("\n\n".join(texts) + "\n")
+    else:
+        for i, t in enumerate(texts):
+            (tmp_path / f"{i}.json").write_text(t)
+    good, bad = sources.read_pages(spark, str(tmp_path), "cycles", lines=lines)
+    assert good.count() == 3
+    assert sorted(str(r["raw"]) for r in bad.collect()) == sorted(["5", "None", "x", '{"records": [', '{"records": 7}'])
+
+
+def test_exports_by_line(spark, tmp_path):
+    one, none = json.dumps(records()), json.dumps({"user": {"id": 2}, "cycles": []})
+    (tmp_path / "in.jsonl").write_text(f"{one}\n{none}\n{one}\n")
+    assert {t: df.count() for t, df in sources.read_export(spark, str(tmp_path), lines=True).items()} == {"cycles": 6, "recovery": 2, "sleep": 4, "workouts": 2}
+
+
+def test_sync_keeps_rejects_and_what_tells_no_time(spark, tmp_path):
+    landing = {}
+    for t in RECORD_TYPES:
+        untimed = [{**r, "updated_at": None} for r in records()[t]]
+        (tmp_path / f"{t}.json").write_text(json.dumps({"records": [*records()[t], *untimed, 9]}))
+        landing[t] = str(tmp_path / f"{t}.json")
+    now = dt.datetime(2030, 1, 2, tzinfo=UTC)
+    counts = sources.sync_landing(spark, landing, str(tmp_path / "b"), now, dt.date(2030, 1, 1), lambda d: None)
+    assert counts == {"cycles": 3, "recovery": 1, "sleep": 2, "workouts": 1}  # those without a time
+    for _ in range(2):  # a repeated pull replaces its rejects
+        sources.sync_landing(spark, landing, str(tmp_path / "b"), now, dt.date(2030, 1, 1), lambda d: None)
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "b/rejects/sleep")).collect()] == ["9"]
+
+
+def test_csv_comes_back_as_it_was(spark, tmp_path):
+    rows = [(1, 'a "b", c\\', dt.datetime(2024, 1, 2, 3, 4, 5, 678901), 0.1 + 0.2), (2, "two\nlines", None, None), (3, "", None, -0.0), (4, None, None, 1e300)]
+    df = spark.createDataFrame(rows, "id int, text string, at timestamp, x double")
+    sources.export_csv(df, str(tmp_path / "csv"))
+    assert sources.read_csv(spark, str(tmp_path / "csv"), df.schema).orderBy("id").collect() == df.orderBy("id").collect()
+
+
 # ------------------------------------------------------------------ contracts
 def test_contract_accepts_and_rejects(frames):
     contracts.enforce(frames)
