@@ -274,74 +274,109 @@ def validate_low_recovery(rows: DataFrame, features: tuple[str, ...] = FEATURES,
     return out.withColumn("probability", 1 / (1 + F.exp(-score))).drop("z", "weights")
 
 
-def _prepared(train: np.ndarray, test: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Filled by medians, then scaled, as the training rows say."""
-    known = np.isfinite(train)
-    middle = np.array([np.median(c[k]) if k.any() else 0.0 for c, k in zip(train.T, known.T)])
-    train, test = (np.where(np.isfinite(x), x, middle) for x in (train, test))
-    scale = train.std(0)
-    scale[scale == 0] = 1.0
-    return (train - train.mean(0)) / scale, (test - train.mean(0)) / scale
-
-
-def _boosted(x: np.ndarray, y: np.ndarray, new: np.ndarray, trees: int, depth: int, step: float) -> np.ndarray:
-    """Forecasts for new rows by boosted regression trees."""
-    out, fit = np.full(len(new), y.mean()), np.full(len(y), y.mean())
-    orders = np.argsort(x, 0, kind="stable")
-
-    def grow(rows: np.ndarray, at: np.ndarray, depth: int, error: np.ndarray) -> None:
-        best = (1e-12, None, None)
-        inside = np.zeros(len(y), bool)
-        inside[rows] = True
-        for j in range(x.shape[1]) if depth else ():
-            order = orders[:, j][inside[orders[:, j]]]
-            v, total = x[order, j], np.cumsum(error[order])
-            n = np.arange(1, len(order))
-            gain = total[:-1] ** 2 / n + (total[-1] - total[:-1]) ** 2 / (len(order) - n) - total[-1] ** 2 / len(order)
-            gain = np.where(v[1:] > v[:-1], gain, 0)
-            if len(gain) and gain.max() > best[0]:
-                i = int(gain.argmax())
-                best = (gain[i], j, (v[i] + v[i + 1]) / 2)
-        if best[1] is None:
-            value = step * error[rows].mean()
-            fit[rows] += value
-            out[at] += value
-            return
-        left, low = x[rows, best[1]] <= best[2], new[at, best[1]] <= best[2]
-        grow(rows[left], at[low], depth - 1, error)
-        grow(rows[~left], at[~low], depth - 1, error)
+def _filled(x: np.ndarray, train: np.ndarray) -> np.ndarray:
+    """x for every fold (folds, rows, features), what is not finite as the median
+    of the fold's training rows; 0 where they have none."""
+    x = np.where(np.isfinite(x), x, np.nan)
+    out = np.repeat(x[None], len(train), 0)
+    for j in np.flatnonzero(np.isnan(x).any(0)):
+        for k, own in enumerate(train):
+            known = x[own, j][~np.isnan(x[own, j])]
+            out[k, np.isnan(x[:, j]), j] = np.median(known) if len(known) else 0.0
+    return out
+
+
+def boosted_forecasts(x: np.ndarray, y: np.ndarray, train: np.ndarray, trees: int, depth: int, step: float) -> np.ndarray:
+    """Forecasts (folds, rows) of all rows by boosted regression trees of each
+    fold. x is (folds, rows, features) and train says which rows a fold learns
+    from. The trees of all folds grow together: along a feature's sorted values,
+    running sums of errors and counts give the gain of every cut."""
+    folds, n, d = x.shape
+    each, row = np.arange(folds), np.arange(n)[None]
+    at = each[:, None]
+    orders = [np.argsort(np.where(train, x[:, :, j], np.inf), 1, kind="stable") for j in range(d)]
+    along = [x[at, o, j] for j, o in enumerate(orders)]
+    fit = np.repeat((np.where(train, y, 0).sum(1) / train.sum(1))[:, None], n, 1)
+
+    def cuts(rows: np.ndarray, error: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The best (feature, cut) of each fold among `rows`; feature -1 for none."""
+        best, feature, cut = np.full(folds, 1e-12), np.full(folds, -1), np.zeros(folds)
+        for j, o in enumerate(orders):
+            own = rows[at, o]
+            total, count = np.cumsum(np.where(own, error[at, o], 0), 1), np.cumsum(own, 1)
+            value = np.where(own, along[j], np.inf)
+            after = np.minimum.accumulate(value[:, ::-1], 1)[:, ::-1]  # the next value of the rows
+            after = np.concatenate([after[:, 1:], np.full((folds, 1), np.inf)], 1)
+            rest, whole = size[:, None] - count, total[:, -1:]
+            gain = total**2 / np.maximum(count, 1) + (whole - total) ** 2 / np.maximum(rest, 1) - whole**2 / np.maximum(size, 1)[:, None]
+            gain = np.where(own & (after > value) & (rest > 0), gain, 0)
+            p = gain.argmax(1)
+            more = gain[each, p] > best * (1 + 1e-9)  # features that part the rows alike tie; the first stays
+            best[more], feature[more] = gain[each, p][more], j
+            cut[more] = ((value[each, p] + after[each, p]) / 2)[more]
+        return feature, cut
 
     for _ in range(trees):
-        grow(np.arange(len(y)), np.arange(len(new)), depth, y - fit)
-    return out
+        error = np.where(train, y - fit, 0)
+        node, going = np.zeros((folds, n), int), np.ones((folds, n), bool)
+        for level in range(depth + 1):
+            below = np.zeros((folds, n), int)
+            for b in range(1 << level):
+                here = going & (node == b)
+                rows = here & train
+                size = rows.sum(1)
+                if not size.any():
+                    continue
+                feature, cut = cuts(rows, error, size) if level < depth else (np.full(folds, -1), np.zeros(folds))
+                leaf = here & (feature < 0)[:, None]
+                mean = np.where(rows, error, 0).sum(1) / np.maximum(size, 1)
+                fit += np.where(leaf, step * mean[:, None], 0)
+                going &= ~leaf
+                right = x[at, row, np.maximum(feature, 0)[:, None]] > cut[:, None]
+                below = np.where(here & ~leaf, 2 * b + right, below)
+            node = below
+    return fit
+
+
+#: Numbers (folds x rows x features) that are worked on at a time.
+BOOSTED_BLOCK = 4_000_000
 
 
 def validate_boosted(rows: DataFrame, features: tuple[str, ...] = FEATURES, trees: int = 80, depth: int = 2, step: float = 0.05) -> DataFrame:
     """Test rows of walk-forward folds (user_id, fold, cycle_id, target) with
     `predicted` (within [0, 100]) by boosted trees of each fold. Rows come to a
-    user's task once; its folds are grown there one after another."""
+    user's task once, and its folds grow there side by side, as many at a time
+    as BOOSTED_BLOCK allows."""
     names = ["user_id", "fold", "cycle_id", "target"]
     schema = T.StructType([*rows.select(*names).schema.fields, T.StructField("predicted", T.DoubleType())])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("row_index")
         x, y, block, fold = pdf[list(features)].to_numpy(float), pdf["target"].to_numpy(float), pdf["block"].to_numpy(float), pdf["fold"].to_numpy(float)
-        out = []
-        for k in sorted(set(fold[fold >= 0])):
-            train, test = block <= k, fold == k
-            a, b = _prepared(x[train], x[test])
-            out.append(pdf.loc[test, names].assign(predicted=np.clip(_boosted(a, y[train], b, trees, depth, step), 0, 100)))
+        every, out = np.unique(fold[fold >= 0]), []
+        some = max(1, BOOSTED_BLOCK // max(1, x.size))
+        for lo in range(0, len(every), some):
+            ks = every[lo : lo + some]
+            train = block[None] <= ks[:, None]
+            got = boosted_forecasts(_filled(x, train), y, train, trees, depth, step)
+            k, i = np.nonzero(fold[None] == ks[:, None])
+            out.append(pdf[names].iloc[i].assign(predicted=np.clip(got[k, i], 0, 100)))
         return pd.concat(out).astype({"fold": "int32"}) if out else pdf[names].head(0).assign(predicted=pd.Series(dtype=float))
 
-    return rows.select(*names, "row_index", "block", *[f for f in features if f not in names]).groupBy("user_id").applyInPandas(run, schema)
+    # growing is the work here, so small tables are spread over all cores as well; a
+    # plan that has them by user in one part would be left as it is, a table is not
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    narrow = rows.select(*names, "row_index", "block", *[f for f in features if f not in names])
+    return materialise(narrow, "boosting").repartition(parts, "user_id").groupBy("user_id").applyInPandas(run, schema)
 
 
 def suite_metrics(rows: DataFrame, features: tuple[str, ...] = FEATURES, models: tuple[str, ...] = ("persistence", "ridge", "incremental_ridge", "boosted")) -> DataFrame:
     """(user_id, model_name, fold, metric, value) of several forecasters over the
-    same folds (folds.fold_rows)."""
+    same folds (folds.fold_rows), which are written once."""
     from .monitor import persistence_forecast
     from .supervised import metrics_long, regression_metrics
 
+    rows = materialise(rows, "folds")
     made = {"persistence": lambda: persistence_forecast(test_rows(rows)), "ridge": lambda: validate_ridge(rows, features), "incremental_ridge": lambda: validate_incremental(rows, features), "boosted": lambda: validate_boosted(rows, features)}
     out = None
     for name in models:

@@ -566,6 +566,51 @@ def test_sliding_forecasts_match_numpy(spark):
     assert set(got) == set(want) and all(got[i] == pytest.approx(want[i]) for i in want)
 
 
+def _boosted_plainly(x, y, new, trees, depth, step):
+    """One fold's trees, grown row by row: (fit, forecasts of new rows)."""
+    fit, out = [sum(y) / len(y)] * len(y), [sum(y) / len(y)] * len(new)
+
+    def grow(rows, at, depth, error):
+        total, best = sum(error[i] for i in rows), None
+        for j in range(len(x[0])) if depth else ():
+            values = sorted({x[i][j] for i in rows})
+            for a, b in zip(values, values[1:]):
+                low = [error[i] for i in rows if x[i][j] <= a]
+                gain = sum(low) ** 2 / len(low) + (total - sum(low)) ** 2 / (len(rows) - len(low)) - total**2 / len(rows)
+                if gain > (best[0] if best else 1e-12) * (1 + 1e-9):
+                    best = (gain, j, (a + b) / 2)
+        if best is None:
+            for i in rows:
+                fit[i] += step * total / len(rows)
+            for i in at:
+                out[i] += step * total / len(rows)
+            return
+        _, j, cut = best
+        for side in (lambda v: v <= cut, lambda v: v > cut):
+            grow([i for i in rows if side(x[i][j])], [i for i in at if side(new[i][j])], depth - 1, error)
+
+    for _ in range(trees):
+        grow(list(range(len(y))), list(range(len(new))), depth, [a - b for a, b in zip(y, fit)])
+    return out
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3])
+def test_folds_boosted_together_are_folds_boosted_one_by_one(depth):
+    rng = np.random.default_rng(depth)
+    x, n = rng.integers(0, 12, (70, 3)).astype(float), 70
+    x[:, 1] = rng.normal(size=n)
+    x[rng.random(n) < 0.2, 0], x[:, 2] = np.nan, 4.0  # nulls, and a feature that never changes
+    y = 3 * np.nan_to_num(x[:, 0]) + rng.normal(size=n)
+    train = np.arange(n)[None] < np.array([2, 20, 41, 60])[:, None]
+    filled = learn._filled(x, train)
+    got = learn.boosted_forecasts(filled, y, train, 12, depth, 0.2)
+    for k, own in enumerate(train):
+        middle = np.nanmedian(x[own, 0]) if np.isfinite(x[own, 0]).any() else 0.0
+        assert np.array_equal(filled[k, :, 0], np.where(np.isnan(x[:, 0]), middle, x[:, 0]))
+        want = _boosted_plainly(filled[k, own].tolist(), y[own].tolist(), filled[k].tolist(), 12, depth, 0.2)
+        assert np.allclose(got[k], want, atol=1e-9)
+
+
 def test_classifier_and_boosted_folds(spark, tmp_path):
     rng = np.random.default_rng(1)
     raw = []
