@@ -36,8 +36,10 @@ from . import common as C
 #: Words in an anchor.
 K = 4
 #: A key with more suffixes than this is extended; so is one with over a
-#: SPREAD-th of all, which bounds the list of such keys.
+#: SPREAD-th of all, which bounds the list of such keys (24 bytes for each).
 GROUP, SPREAD = 2_000, 4_000_000
+#: Bits (a power of two) that say which prefixes are frequent: 16 MB.
+FILTER = 1 << 27
 #: Rows (runs of suffixes) whose subtrees are built at a time.
 BLOCK = 40_000
 #: Windows that one row of marks can name.
@@ -159,19 +161,33 @@ def _prefix_counts(docs: DataFrame, hot, id_col: str, text_col: str, window: int
     return found.groupBy("words", "h1", "h2").agg(F.sum("places").alias("places"), F.min("least").alias("least"), F.max("most").alias("most"))
 
 
+def _filter(prefixes: DataFrame) -> np.ndarray:
+    """FILTER bits, set where the hash of a prefix falls. Bits are put together
+    in words before they come to the driver, at most FILTER / 64 rows."""
+    bit = F.expr("bit_or(shiftleft(1L, cast(h1 & 63 as int)))")
+    table = prefixes.groupBy(F.shiftright(F.col("h1").bitwiseAND(F.lit(FILTER - 1)), 6).alias("at")).agg(bit.alias("bits")).toArrow()
+    out = np.zeros(FILTER >> 6, np.uint64)
+    out[table.column("at").to_numpy()] = table.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 class _Keys:
-    """Which suffixes have a frequent key: anchors, prefixes by their length,
-    and whole windows, which are nodes with a smallest document."""
+    """Which suffixes have a frequent key: anchors, prefixes, and whole windows,
+    which are nodes with a smallest document. Prefixes shorter than a window are
+    bits of a filter. A false hit makes a key longer than it need be, and does so
+    for all suffixes with that prefix alike, so that equal windows still meet."""
 
-    def __init__(self, anchors: np.ndarray, prefixes: pa.Table | None, window: int, k: int):
+    def __init__(self, anchors: np.ndarray, prefixes: DataFrame | None, window: int, k: int):
         self.anchors, self.window, self.k = C.HashIndex(anchors.view(np.uint64)), window, k
-        self.longer: dict[int, C.HashIndex] = {}
         if prefixes is not None:
-            words = prefixes.column("words").to_numpy()
-            h1, h2 = (prefixes.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
-            for n in range(k + 1, window + 1):
-                own = words == n
-                self.longer[n] = C.HashIndex(h1[own], h2[own], prefixes.column("least").to_numpy()[own])
+            self.filter = _filter(prefixes.where(F.col("words") < window))
+            nodes = prefixes.where(F.col("words") == window).select("h1", "h2", "least").toArrow()
+            h1, h2 = (nodes.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
+            self.nodes = C.HashIndex(h1, h2, nodes.column("least").to_numpy())
+
+    def frequent(self, h: np.ndarray) -> np.ndarray:
+        at = h & np.uint64(len(self.filter) * 64 - 1)
+        return (self.filter[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
     def deal(self, s: _Slice, under: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(key, whether it is a node, the node's smallest document) of the
@@ -181,13 +197,13 @@ class _Keys:
         for n in range(self.k + 1, self.window):
             h = s.prefix(n, under[left])
             key[left] = h
-            left = left[self.longer[n].find(h) >= 0]
+            left = left[self.frequent(h)]
             if not len(left):
                 return key, np.zeros(len(under), bool), least
         node = np.zeros(len(under), bool)
         key[left] = h = s.prefix(self.window, under[left])
-        own = self.longer[self.window].find(h)
-        second, smallest = self.longer[self.window].values
+        own = self.nodes.find(h)
+        second, smallest = self.nodes.values
         hit = np.flatnonzero(own >= 0)
         hit = hit[second[own[hit]] == s.prefix(self.window, under[left[hit]], True)]
         node[left[hit]], least[left[hit]] = True, smallest[own[hit]]
@@ -268,7 +284,8 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     prefixes = None
     if len(anchors):
         found = _prefix_counts(docs, hot, id_col, text_col, window, k).where(F.col("places") > limit)
-        prefixes = found.select("words", "h1", "h2", "least").toArrow()  # fewer than (window - k) * SPREAD
+        # one length has fewer than SPREAD of them; whole windows alone come to the driver
+        prefixes = C.materialise(found.select("words", "h1", "h2", "least"), "prefixes")
     keys = spark.sparkContext.broadcast(_Keys(anchors, prefixes, window, k))
     few = _anchor_ids(docs, hot, id_col, text_col, window, k).join(shared.where(F.col("places") <= limit).select("anchor"), "anchor")
     few = few.groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))

@@ -484,6 +484,29 @@ def test_substrings(spark, group):
             assert r["n_removed"] or r["text"] == texts[r["doc_id"]]
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 9])
+def test_substrings_with_a_crowded_filter(spark, monkeypatch, bits):
+    """False hits in the filter of frequent prefixes make keys longer and change
+    no result."""
+    monkeypatch.setattr(substring_dedup, "FILTER", bits)
+    rng = random.Random(8)
+    passages = [sentence(rng, n) for n in (13, 17, 40)]
+    rows = [(i, " ".join([sentence(rng, rng.randint(0, 30)), rng.choice(passages), sentence(rng, 9)])) for i in range(60)]
+    rows += [(60, "the " * 300), (61, "the " * 400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(df, digest=True, group=3).collect()}
+    assert got == _kept(rows)
+
+
+@pytest.mark.parametrize("window", [3, 4, 5])
+def test_short_windows(spark, window):
+    rng = random.Random(9)
+    rows = [(i, sentence(rng, 30)) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(df, digest=True, window=window, group=1).collect()}
+    assert got == _kept(rows, window)
+
+
 def test_word_codes_and_deep_nodes():
     rng = random.Random(3)
     words = [rng.choice("abc") for _ in range(400)]
