@@ -141,10 +141,16 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 
 
 def lag_correlation(df: DataFrame, column: str, lag: int = 1) -> DataFrame:
-    """Autocorrelation of each user's series at a lag; pairs: rows with a value
-    before, both: those with a value of their own as well."""
+    """Autocorrelation of each user's series at a lag (null where either side
+    does not vary); pairs: rows with a value before, both: those with a value of
+    their own as well."""
     before = F.lag(column, lag).over(Window.partitionBy("user_id").orderBy("start_at", "cycle_id"))
-    return df.withColumn("__before", before).groupBy("user_id").agg(F.corr(F.col(column).cast("double"), F.col("__before").cast("double")).alias("correlation"), F.count("__before").alias("pairs"), F.count(F.col(column) + F.col("__before")).alias("both"))
+    x, y = F.col(column).cast("double"), F.col("__before").cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    # corr divides by the deviations, which under ANSI is an error for a constant side
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    out = df.withColumn("__before", before).groupBy("user_id")
+    return out.agg(F.try_divide(F.covar_pop(x, y), spread).alias("correlation"), F.count("__before").alias("pairs"), F.count(F.when(both, 1)).alias("both"))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -652,3 +652,13 @@ def test_explore_helpers(spark, tmp_path):
     assert "kept_rows" in explore.list_tables(spark)
     assert conform(df, "cycles").columns == [c for c, _, _ in SILVER["cycles"]]
     assert df.select(*one_hot_weekday(F.col("start_at"))).first()["is_day_5"] == 1
+
+
+def test_lag_correlation_of_a_constant_series(spark):
+    values = {1: [4.0] * 5, 2: [1.0, 1.0, 1.0, 9.0], 3: [1.0, None, 2.0], 4: [3.0], 5: [1.0, 5.0, 2.0, None, 7.0, 3.0, 4.0]}
+    rows = [(u, i, at(i), x) for u, xs in values.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "user_id long, cycle_id long, start_at timestamp, x double")
+    got = {r["user_id"]: r for r in explore.lag_correlation(df, "x").collect()}
+    assert [got[u]["correlation"] for u in (1, 2, 3, 4)] == [None] * 4
+    assert got[5]["correlation"] == pytest.approx(np.corrcoef([1, 5, 7, 3], [5, 2, 3, 4])[0, 1])
+    assert [(got[u]["pairs"], got[u]["both"]) for u in values] == [(4, 4), (3, 3), (1, 0), (0, 0), (5, 4)]
