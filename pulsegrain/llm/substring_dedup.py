@@ -35,13 +35,15 @@ from . import common as C
 
 #: Words in an anchor.
 K = 4
-#: A key with more suffixes than this is extended; so is one with over a
-#: SPREAD-th of all, which bounds the list of such keys (24 bytes for each).
-GROUP, SPREAD = 2_000, 4_000_000
+#: A key with more places than GROUP is extended. In larger tables the limit is a
+#: SHARE-th of all places, so that the part of the suffixes under frequent keys
+#: does not grow with the table, up to MOST, which a task can hold. It is no less
+#: than a SPREAD-th, which bounds the list of such keys (24 bytes for each).
+GROUP, SHARE, MOST, SPREAD = 2_000, 1_000, 20_000, 4_000_000
 #: Bits (a power of two) that say which prefixes are frequent: 16 MB.
 FILTER = 1 << 27
 #: Rows (runs of suffixes) whose subtrees are built at a time.
-BLOCK = 40_000
+BLOCK = 20_000
 #: Windows that one row of marks can name.
 WIDE = 31
 
@@ -102,6 +104,11 @@ def _last(heads: np.ndarray, n: int) -> np.ndarray:
 
 
 # ---------------------------------------------------------------- keys
+def key_limit(places: int, group: int = GROUP) -> int:
+    """Most places of a key in a table with so many places of shared anchors."""
+    return max(group, min(MOST, places // SHARE), places // SPREAD)
+
+
 def _anchor_counts(docs: DataFrame, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
     """(anchor, rows, places): in how many rows each anchor stands, and how often."""
     schema = T.StructType([T.StructField(n, T.LongType()) for n in ("anchor", "rows", "places")])
@@ -132,33 +139,46 @@ def _anchor_ids(docs: DataFrame, hot, id_col: str, text_col: str, window: int, k
     return docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
-def _prefix_counts(docs: DataFrame, hot, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
-    """(words, h1, h2, places, least, most) of the prefixes of more than k words
-    of all suffixes under frequent anchors; least and most are document ids."""
-    id_type = docs.schema[id_col].dataType
-    schema = T.StructType(
-        [T.StructField("words", T.IntegerType()), *[T.StructField(n, T.LongType()) for n in ("h1", "h2", "places")], T.StructField("least", id_type), T.StructField("most", id_type)]
-    )
+def _window_counts(docs: DataFrame, hot, id_col: str, text_col: str, window: int, k: int) -> DataFrame:
+    """(h1, h2, places, least, shorter) of the distinct windows under frequent
+    anchors: least is a document id, shorter the hashes of the window's prefixes
+    of more than k words. A window is one row for each batch that has it."""
+    hashes, values = [T.StructField(n, T.LongType()) for n in ("h1", "h2")], T.StructField("places", T.LongType())
+    names = [f"p{n}" for n in range(k + 1, window)]
+    schema = T.StructType([*hashes, values, T.StructField("least", docs.schema[id_col].dataType), *[T.StructField(n, T.LongType()) for n in names]])
+
+    def once(h1, h2, places, own, shorter):
+        order = np.lexsort((own, h2, h1))
+        h1, h2, places = h1[order], h2[order], places[order]
+        head = _runs(h1, h2)
+        return h1[head], h2[head], np.add.reduceat(places, head), own[order[head]], [p[order[head]] for p in shorter]
 
     def run(batches):
         for b in batches:
-            ids = b.column(0).to_numpy()
+            ids, found = b.column(0).to_numpy(), []
             for lo, _, buf, offs in C.text_slices(b.column(1)):
                 s = _Slice(buf, offs, window, k)
                 under = np.flatnonzero(hot.value.find(s.anchor) >= 0)
-                if not len(under):
-                    continue
-                own = ids[s.doc[under] + lo]
-                for n in range(k + 1, window + 1):
-                    h1, h2 = s.prefix(n, under), s.prefix(n, under, True)
-                    order = np.lexsort((own, h2, h1))
-                    h1, h2, sorted_ = h1[order], h2[order], own[order]
-                    head = _runs(h1, h2)
-                    last = _last(head, len(h1))
-                    yield C.arrow_rows(schema, words=[n] * len(head), h1=h1[head].view(np.int64), h2=h2[head].view(np.int64), places=last - head + 1, least=sorted_[head], most=sorted_[last])
+                if len(under):
+                    shorter = [s.prefix(n, under) for n in range(k + 1, window)]
+                    found.append(once(s.prefix(window, under), s.prefix(window, under, True), np.ones(len(under), np.int64), ids[s.doc[under] + lo], shorter))
+            if found:
+                *whole, shorter = zip(*found)
+                h1, h2, places, least, shorter = once(*map(np.concatenate, whole), [np.concatenate(p) for p in zip(*shorter)])
+                yield C.arrow_rows(schema, h1=h1.view(np.int64), h2=h2.view(np.int64), places=places, least=least, **{n: p.view(np.int64) for n, p in zip(names, shorter)})
 
     found = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col).mapInArrow(C.tidy(run), schema)
-    return found.groupBy("words", "h1", "h2").agg(F.sum("places").alias("places"), F.min("least").alias("least"), F.max("most").alias("most"))
+    found = found.groupBy("h1", "h2").agg(F.sum("places").alias("places"), F.min("least").alias("least"), *[F.min(n).alias(n) for n in names])
+    shorter = F.array(*names).cast("array<bigint>")
+    return found.select("h1", "h2", "places", "least", shorter.alias("shorter"))
+
+
+def _frequent(windows: DataFrame, limit: int) -> tuple[DataFrame, DataFrame]:
+    """(h1 of the prefixes; h1, h2 and least of the whole windows) with more than
+    `limit` places. The prefixes are counted from distinct windows."""
+    prefixes = windows.select("places", F.posexplode("shorter").alias("words", "h1")).groupBy("words", "h1").agg(F.sum("places").alias("places"))
+    over = F.col("places") > limit
+    return prefixes.where(over).select("h1"), windows.where(over).select("h1", "h2", "least")
 
 
 def _filter(prefixes: DataFrame) -> np.ndarray:
@@ -177,11 +197,11 @@ class _Keys:
     bits of a filter. A false hit makes a key longer than it need be, and does so
     for all suffixes with that prefix alike, so that equal windows still meet."""
 
-    def __init__(self, anchors: np.ndarray, prefixes: DataFrame | None, window: int, k: int):
+    def __init__(self, anchors: np.ndarray, frequent: tuple[DataFrame, DataFrame] | None, window: int, k: int):
         self.anchors, self.window, self.k = C.HashIndex(anchors.view(np.uint64)), window, k
-        if prefixes is not None:
-            self.filter = _filter(prefixes.where(F.col("words") < window))
-            nodes = prefixes.where(F.col("words") == window).select("h1", "h2", "least").toArrow()
+        if frequent is not None:
+            self.filter = _filter(frequent[0])
+            nodes = frequent[1].toArrow()
             h1, h2 = (nodes.column(c).to_numpy().view(np.uint64) for c in ("h1", "h2"))
             self.nodes = C.HashIndex(h1, h2, nodes.column("least").to_numpy())
 
@@ -277,16 +297,15 @@ def repeated_windows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     docs = docs.select(id_col, text_col)
     shared = C.materialise(_anchor_counts(docs, id_col, text_col, window, k).where("rows > 1").select("anchor", "places"), "shared")
     # a key's suffixes are its places, which one text can have many of
-    limit = max(group, (shared.agg(F.sum("places")).first()[0] or 0) // SPREAD)
+    limit = key_limit(shared.agg(F.sum("places")).first()[0] or 0, group)
     # fewer than SPREAD by the limit
     anchors = shared.where(F.col("places") > limit).select("anchor").toArrow().column(0).to_numpy()
     hot = spark.sparkContext.broadcast(C.HashIndex(anchors.view(np.uint64)))
-    prefixes = None
+    frequent = None
     if len(anchors):
-        found = _prefix_counts(docs, hot, id_col, text_col, window, k).where(F.col("places") > limit)
-        # one length has fewer than SPREAD of them; whole windows alone come to the driver
-        prefixes = C.materialise(found.select("words", "h1", "h2", "least"), "prefixes")
-    keys = spark.sparkContext.broadcast(_Keys(anchors, prefixes, window, k))
+        # frequent whole windows alone come to the driver, fewer than SPREAD
+        frequent = _frequent(C.materialise(_window_counts(docs, hot, id_col, text_col, window, k), "windows"), limit)
+    keys = spark.sparkContext.broadcast(_Keys(anchors, frequent, window, k))
     few = _anchor_ids(docs, hot, id_col, text_col, window, k).join(shared.where(F.col("places") <= limit).select("anchor"), "anchor")
     few = few.groupBy(id_col).agg(F.collect_list("anchor").alias("__shared"))
     # a left join, as in remove_repeats: both read the same shuffle of the texts

@@ -498,6 +498,25 @@ def test_substrings_with_a_crowded_filter(spark, monkeypatch, bits):
     assert got == _kept(rows)
 
 
+def test_frequent_windows_are_one_row_each(spark):
+    """What is counted under frequent anchors is a row for each distinct window of
+    a batch, and the frequent part does not grow with the table."""
+    rng = random.Random(10)
+    passage = [f"w{i}" for i in range(40)]
+    rows = [(i + 5, " ".join([*passage, f"end{i % 3}"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    every = substring_dedup._anchor_counts(df, "doc_id", "text", 13, 4).toPandas()["anchor"].to_numpy()
+    hot = spark.sparkContext.broadcast(common.HashIndex(every.view(np.uint64)))
+    made = substring_dedup._window_counts(df, hot, "doc_id", "text", 13, 4)
+    got = made.collect()
+    assert sorted(r["places"] for r in got) == [100] * 3 + [300] * 28 and sum(r["least"] == 5 for r in got) == 29
+    assert len({p for r in got for p in r["shorter"]}) == 8 * 29
+    prefixes, nodes = substring_dedup._frequent(made, 100)
+    assert nodes.count() == 28 and prefixes.count() == 8 * 29
+    limits = [substring_dedup.key_limit(n) for n in (1_757_981, 5 * 1_757_981, 10**9)]
+    assert limits[0] == 2_000 and limits[1] > 4 * limits[0] and limits[2] == substring_dedup.MOST
+
+
 @pytest.mark.parametrize("window", [3, 4, 5])
 def test_short_windows(spark, window):
     rng = random.Random(9)
