@@ -35,7 +35,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts that near copies link (five-word shingles, similarity of 0.8 or
-    more) the smallest id stays. Texts without words, null ones among them, are
+    more; candidates by SimHash and pigeonring chains, then by prefixes for what
+    64 bits cannot tell) the smallest id stays. Texts without words, null ones among them, are
     alike, so one of them stays; so does one of the rows with one id."""
     return near_dedup(docs, shingle=5, percent=80)
 

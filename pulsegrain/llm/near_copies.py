@@ -1,7 +1,8 @@
 """Near copies by exact word-shingle similarity (Jaccard): the form of operator 3
 for similarities that fingerprints of 64 bits cannot tell.
 
-Two sets of at least p percent similarity share one of their first shingles in
+The sets' SimHash fingerprints are linked by pigeonring chains as in operator 3;
+these are the first candidates. What they leave is found by prefixes. Two sets of at least p percent similarity share one of their first shingles in
 any common order, if each shows its first n - ceil(p n / 100) + 1. Candidates
 come from those prefixes, common shingles last, and are thinned by bounds that
 lose no pair: the sizes, the places of the shared shingle, and pigeonring chains
@@ -21,7 +22,7 @@ from pyspark.sql.window import Window
 
 from . import common as C
 from .components import connected_components
-from .pigeonring import has_chain
+from .pigeonring import hamming_links, has_chain
 
 #: One text of so many is read for the order of shingles (no result hangs on it).
 SAMPLED = 16
@@ -61,10 +62,22 @@ def _names(g: np.ndarray, d: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.nd
     return C.mix(total[ends] - total[ends - size] + size.astype(np.uint64)).view(np.int64), size
 
 
+def set_fingerprints(g: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """SimHash of each set, as a long: a bit is 1 if over half the set's hashes
+    have it. g: the hashes, set after set."""
+    total, doc = np.zeros((len(size), 64), np.int64), np.repeat(np.arange(len(size)), size)
+    for lo in range(0, len(g), 1 << 16):
+        own = doc[lo : lo + (1 << 16)]
+        head = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        bits = np.unpackbits(g[lo : lo + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        total[own[head]] += np.add.reduceat(bits, head, axis=0, dtype=np.int64)
+    return np.packbits(2 * total > size[:, None], axis=1, bitorder="little").view(np.int64)[:, 0]
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, name, n, parity words) of every row."""
+    """(id, name, n, fingerprint, parity words) of every row."""
     parities = [T.StructField(f"q{i}", T.LongType()) for i in range(_PARITY)]
-    schema = T.StructType([docs.schema[id_col], T.StructField("__name", T.LongType()), T.StructField("__n", T.LongType()), *parities])
+    schema = T.StructType([docs.schema[id_col], T.StructField("__name", T.LongType()), T.StructField("__n", T.LongType()), T.StructField("__fp", T.LongType()), *parities])
 
     def run(batches):
         for b in batches:
@@ -74,7 +87,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFram
                 bits = 64 * _PARITY
                 odd = (np.bincount(d * bits + (g >> np.uint64(20)).astype(np.int64) % bits, minlength=(hi - lo) * bits) & 1).astype(np.uint8)
                 q = np.packbits(odd.reshape(hi - lo, bits), axis=1, bitorder="little").view(np.int64)
-                yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo), "__name": name, "__n": size, **{f"q{i}": np.ascontiguousarray(q[:, i]) for i in range(_PARITY)}})
+                yield C.arrow_rows(schema, **{id_col: b.column(0).slice(lo, hi - lo), "__name": name, "__n": size, "__fp": set_fingerprints(g, size), **{f"q{i}": np.ascontiguousarray(q[:, i]) for i in range(_PARITY)}})
 
     return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
@@ -129,13 +142,21 @@ def _sketched(classes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.where(has_chain(parts, budget, 3)).where(far <= budget).select("a", "b", far.alias("far"))
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, nearest: bool = False) -> DataFrame:
-    """Those of pairs (a, b; names) whose whole sets are similar; nearest: only
-    the pair of each a whose sketches are nearest."""
-    pairs = _sketched(classes, pairs.distinct(), percent)
-    if nearest:
-        pairs = pairs.groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b; names) that link the sets whose fingerprints differ in at most two
+    bits; sets of one fingerprint are linked to one of them."""
+    reps = C.materialise(classes.groupBy(F.col("__fp").alias("fp")).agg(F.min("__name").alias("node")), "fingerprints")
+    same = classes.join(reps, F.col("__fp") == F.col("fp")).where(F.col("__name") != F.col("node")).select(F.col("__name").alias("a"), F.col("node").alias("b"))
+    return hamming_links(reps).unionByName(same).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, heads: DataFrame | None = None) -> DataFrame:
+    """Those of pairs (a, b; names) whose whole sets are similar; of the pairs
+    `heads` only the one of each a whose sketches are nearest is taken."""
+    pairs = _sketched(classes, pairs.distinct(), percent).select("a", "b")
+    if heads is not None:
+        nearest = _sketched(classes, heads.distinct(), percent).groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b"))
+        pairs = pairs.unionByName(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
     pairs = C.materialise(pairs.select("a", "b"), "candidates")
     wanted = pairs.select(F.col("a").alias("__name")).unionByName(pairs.select(F.col("b").alias("__name"))).distinct()
     ids = classes.join(wanted, "__name", "left_semi").select(F.col("__first").alias(id_col))
@@ -169,7 +190,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
     """(rows: id and name of its set; roots: name and component_id)."""
     docs = docs.where(F.col(id_col).isNotNull())
     sets = C.materialise(_sets(docs, id_col, text_col, shingle), "sets")
-    facts = ["__n", *[f"q{i}" for i in range(_PARITY)]]
+    facts = ["__n", "__fp", *[f"q{i}" for i in range(_PARITY)]]
     classes = C.materialise(sets.groupBy("__name").agg(F.min(id_col).alias("__first"), *[F.min(c).alias(c) for c in facts]), "classes")
     common = docs.sparkSession.sparkContext.broadcast(_common_shingles(docs, id_col, text_col, shingle))
     posts = _prefixes(docs, text_col, shingle, percent, common)
@@ -186,7 +207,7 @@ def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, perce
         return (100 * F.least(*size) >= percent * F.greatest(*size)) & (F.least(*room) * (100 + percent) >= percent * (size[0] + size[1]))
 
     stars = shared.where(F.col("name") != F.col("head")).where(alike("spot", "head_spot")).select(F.col("name").alias("a"), F.col("head").alias("b"))
-    links = _verified(docs, classes, stars, id_col, text_col, shingle, percent, nearest=True)
+    links = _verified(docs, classes, _fingerprint_pairs(classes), id_col, text_col, shingle, percent, heads=stars)
     # an id with several texts ties their sets together
     ids = sets.groupBy(id_col).agg(F.min("__name").alias("a"), F.max("__name").alias("b")).where("a != b").select(id_col, "a")
     links = links.unionByName(sets.join(ids, id_col).select("a", F.col("__name").alias("b")))
@@ -215,10 +236,11 @@ def near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     play no part, whatever their names; an empty table gives an empty result; a
     text of any length is read whole by one task.
 
-    The sets of a prefix shingle are first compared with the one that shows it
-    earliest (which has the fewest shingles of its own), and each set is linked
-    to the nearest of these; after that, only a shingle's sets of different
-    components are still paired up. No pair that is similar but of different
+    Sets whose fingerprints are two bits apart or less are compared first. The
+    sets of a prefix shingle are compared with the one that shows it earliest
+    (which has the fewest shingles of its own), and each set is linked to the
+    nearest of these; after that, only a shingle's sets of different components
+    are still paired up. No pair that is similar but of different
     components is left out.
     """
     rows, roots = _components(docs, id_col, text_col, shingle, percent)

@@ -18,12 +18,8 @@ from pyspark.sql import types as T
 from . import common as C
 from .components import connected_components
 from .near_copies import near_copy_roots
+from .pigeonring import hamming_links
 
-#: Bits in which linked fingerprints may differ: dense segments are covered by
-#: points one bit away, which is exact for two.
-DISTANCE = 2
-#: A segment's value with more fingerprints than this is not paired up.
-DENSE = 16
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -59,49 +55,6 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3)
     return docs.select(id_col, text_col).mapInArrow(C.tidy(run), schema)
 
 
-def _segments(distance: int) -> list[int]:
-    """Masks of distance + 1 segments of 64 bits, as signed longs."""
-    cuts = np.linspace(0, 64, distance + 2).round().astype(int)
-    masks = [((1 << int(z - a)) - 1) << int(a) for a, z in zip(cuts[:-1], cuts[1:])]
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
-
-
-def hamming_links(reps: DataFrame, dense: int = DENSE) -> DataFrame:
-    """Links (a, b) that connect every two rows of reps (node, fp; fp distinct)
-    whose fingerprints differ in at most DISTANCE bits.
-
-    A segment value that at most `dense` fingerprints share is paired up, under
-    the chain condition. Denser values would give pairs with the square of
-    their size; there every fingerprint is written at the points
-    one bit away from it that keep the segment. Two fingerprints differ in at
-    most two bits outside it exactly if they share such a point, and no point
-    has more than 65 fingerprints; each point links its fingerprints in a star.
-    """
-    masks = _segments(DISTANCE)
-    n = len(masks)
-    keyed = reps.select("node", "fp", F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), F.col("fp").bitwiseAND(F.lit(m)).alias("val")) for i, m in enumerate(masks)])).alias("k")).select("node", "fp", "k.seg", "k.val")
-    crowd = keyed.groupBy("seg", "val").count().where("count > 1")
-    keyed = C.materialise(keyed.join(crowd, ["seg", "val"]), "segments")
-    small, large = keyed.where(F.col("count") <= dense), keyed.where(F.col("count") > dense)
-    x = F.col("l.fp").bitwiseXOR(F.col("r.fp"))
-    run, chain = None, F.lit(True)
-    for length in range(2, n + 1):
-        # the run of `length` segments from seg on differs in length - 1 bits at most
-        run = F.element_at(F.array(*[F.lit(np.bitwise_or.reduce([np.int64(masks[(i + j) % n]) for j in range(length)]).item()) for i in range(n)]), F.col("l.seg") + 1)
-        chain = chain & (F.bit_count(x.bitwiseAND(run)) <= length - 1)
-    pairs = (
-        small.alias("l").join(small.alias("r"), (F.col("l.seg") == F.col("r.seg")) & (F.col("l.val") == F.col("r.val")) & (F.col("l.fp") < F.col("r.fp")) & chain)
-        .where(F.bit_count(x) <= DISTANCE)
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    )
-    flips = F.array(*[F.lit(0).cast("long")], *[F.lit((1 << j) - (1 << 64) if j == 63 else 1 << j).cast("long") for j in range(64)])
-    outside = F.filter(flips, lambda b: b.bitwiseAND(F.element_at(F.array(*[F.lit(m) for m in masks]), F.col("seg") + 1)) == 0)
-    points = large.select("node", F.explode(F.transform(outside, lambda b: b.bitwiseXOR(F.col("fp")))).alias("point"))
-    stars = points.groupBy("point").agg(F.collect_set("node").alias("nodes")).where(F.size("nodes") > 1)
-    stars = stars.select(F.array_min("nodes").alias("a"), F.explode("nodes").alias("b")).where("a != b")
-    return pairs.unionByName(stars).distinct()
-
-
 def simhash_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """Fingerprint and near-duplicate component of every row.
 
@@ -129,10 +82,10 @@ def near_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     """docs without near duplicates: of each component the smallest id stays.
 
     Texts are linked by fingerprints that differ in two bits at most or, with
-    `percent`, by shingle sets of at least that Jaccard similarity: 64 bits
-    cannot tell those (texts of similarity 0.8 are 10 bits apart on average, and
-    up to 20), so there the pigeonring filter works on sketches of the sets and
-    every link is checked exactly.
+    `percent`, by shingle sets of at least that Jaccard similarity. There the
+    fingerprints give the first candidates; 64 bits cannot tell all (texts of
+    similarity 0.8 are 10 bits apart on average, and up to 20), so what they
+    leave is searched by the sets, and every link is checked exactly.
 
     Rows with a null id stay; of rows with one id one stays. Null and empty
     texts are one component like any other. Columns pass through, whatever

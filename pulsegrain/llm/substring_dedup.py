@@ -44,6 +44,8 @@ GROUP, SHARE, MOST, SPREAD = 2_000, 1_000, 20_000, 4_000_000
 FILTER = 1 << 27
 #: Rows (runs of suffixes) whose subtrees are built at a time.
 BLOCK = 20_000
+#: Words that are hashed or compared at a time there.
+PIECE = 1 << 16
 #: Windows that one row of marks can name.
 WIDE = 31
 
@@ -231,13 +233,24 @@ class _Keys:
 
 
 # ---------------------------------------------------------------- subtrees
-def word_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _pieces(n: int) -> list[slice]:
+    return [slice(lo, lo + PIECE) for lo in range(0, n, PIECE)]
+
+
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of the words, a piece at a time: a hash takes many times its bytes."""
+    cut = ((starts[p], ends[p]) for p in _pieces(len(starts)))
+    return np.concatenate([np.zeros(0, np.uint64), *[C.span_hashes(buf[a[0] : z[-1]], a - a[0], z - a[0]) for a, z in cut]])
+
+
+def word_codes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray | None = None) -> np.ndarray:
     """A number for each word, equal exactly for equal words: hashes name the
     words and their bytes are compared with the first word of that hash."""
-    _, first, code = np.unique(C.span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+    _, first, code = np.unique(word_hashes(buf, starts, ends) if hashes is None else hashes, return_index=True, return_inverse=True)
     size = ends - starts
     like = first[code]
-    if (size == size[like]).all() and (buf[C.ragged(starts, size)] == buf[C.ragged(starts[like], size)]).all():
+    same = lambda p: (buf[C.ragged(starts[p], size[p])] == buf[C.ragged(starts[like[p]], size[p])]).all()
+    if (size == size[like]).all() and all(same(p) for p in _pieces(len(starts))):
         return code
     names: dict[bytes, int] = {}
     raw = buf.tobytes()
@@ -271,13 +284,14 @@ def _marked(table: pa.Table, id_col: str, window: int) -> np.ndarray:
     start = C.ragged(first[:-1], many)
     key, doc = table.column("key").to_numpy()[run], table.column(id_col).to_numpy()[run]
     # suffixes whose first words occur once hang from no deep node
-    h = C.mix(C.gram_hashes(C.span_hashes(buf, starts, ends), window)[start] ^ C.mix(key.view(np.uint64)))
+    hashes = word_hashes(buf, starts, ends)
+    h = C.mix(C.gram_hashes(hashes, window)[start] ^ C.mix(key.view(np.uint64)))
     order = np.argsort(h)
     same = h[order][1:] == h[order][:-1]
     often = order[np.append(same, False) | np.append(False, same)]
     bits = np.zeros(len(many), np.int64)
     if len(often):
-        order, head = deep_nodes(word_codes(buf, starts, ends), key[often], start[often], doc[often], window)
+        order, head = deep_nodes(word_codes(buf, starts, ends, hashes), key[often], start[often], doc[often], window)
         leaf = often[order]
         least = np.repeat(doc[leaf[head[:-1]]], np.diff(head))
         hit = leaf[doc[leaf] > least]

@@ -366,6 +366,29 @@ def test_near_copies_equal_brute_force(spark, odd, empty):
     assert simhash.near_dedup(odd, shingle=5, percent=80).columns == odd.columns and simhash.near_dedup(empty, shingle=5, percent=80).count() == 0
 
 
+def test_near_copies_go_through_fingerprints(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(5000)}" for _ in range(400)]
+    rows = [(i, " ".join([*base[:k], "other", *base[k + 1 :]])) for i, k in enumerate(range(10, 390, 40))] + [(90 + i, f"a short text {i}") for i in range(5)] + [(100, ""), (101, None)]
+    _, _, buf, offs = next(common.text_slices(pa.array([t for _, t in rows], pa.string())))
+    g, d = near_copies.shingle_sets(buf, offs, 5)
+    fps = near_copies.set_fingerprints(g, np.bincount(d, minlength=len(rows))).view(np.uint64).tolist()
+    for i, fp in enumerate(fps):
+        own = g[d == i].tolist()
+        assert fp == sum(1 << j for j in range(64) if 2 * sum(h >> j & 1 for h in own) > len(own))
+    made, real = [], near_copies._fingerprint_pairs
+    monkeypatch.setattr(near_copies, "_fingerprint_pairs", lambda classes: made.append((classes, real(classes))) or made[0][1])
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, df, "").collect()} == set(_near(rows).values())
+    classes, pairs = made[0]
+    fp = {r["__name"]: r["__fp"] % 2**64 for r in classes.collect()}
+    got = {(r["a"], r["b"]) for r in pairs.collect()}
+    assert got and all((fp[a] ^ fp[b]).bit_count() <= 2 for a, b in got)
+    near = {(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 2}
+    tied = {r["node"]: r["component"] for r in components.connected_components(pairs).collect()}
+    assert all(tied[a] == tied[b] for a, b in near)
+
+
 def test_near_duplicates_stage_takes_one_changed_word(spark, sf_dir):
     rng = random.Random(6)
     base = [f"w{rng.randrange(5000)}" for _ in range(200)]
@@ -526,6 +549,23 @@ def test_short_windows(spark, window):
     assert got == _kept(rows, window)
 
 
+def test_subtrees_hash_words_in_pieces():
+    """A block's memory is a small multiple of its bytes."""
+    import tracemalloc
+
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(5000)}ñ" for _ in range(400_000)]
+    _, _, buf, offs = next(common.text_slices(pa.array([" ".join(words)]), 1 << 60))
+    starts, ends, _ = common.word_bounds(buf, offs)
+    tracemalloc.start()
+    codes = substring_dedup.word_codes(buf, starts, ends)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(buf)
+    names = {}
+    assert all(names.setdefault(c, w) == w for c, w in zip(codes.tolist(), words)) and len(names) == len(set(words))
+
+
 def test_word_codes_and_deep_nodes():
     rng = random.Random(3)
     words = [rng.choice("abc") for _ in range(400)]
