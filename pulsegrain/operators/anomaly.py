@@ -116,6 +116,19 @@ def path_length(nodes: Column, x: Column, limit: int) -> Column:
     return F.get(nodes, F.aggregate(F.sequence(F.lit(1), F.lit(limit)), F.lit(0), down))["length"]
 
 
+def path_lengths(trees: list, x: np.ndarray, limit: int) -> np.ndarray:
+    """The sum over the trees (node arrays: feature, cut, low, high, length) of
+    how deep each row of x falls."""
+    total, row = np.zeros(len(x)), np.arange(len(x))
+    for feature, cut, low, high, length in trees:
+        at = np.zeros(len(x), np.int64)
+        for _ in range(limit):
+            f = feature[at]
+            at = np.where(f < 0, at, np.where(x[row, f] < cut[at], low[at], high[at]))
+        total += length[at]
+    return total
+
+
 def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees: int = 100, rows: int = 256, contamination: float = 0.03, seed: int = 42) -> DataFrame:
     """history with isolation_score (higher: lonelier) and is_isolated: above
     the 1 - contamination quantile. The forest (trees * 4 * rows nodes at most)
@@ -125,20 +138,27 @@ def isolation_forest(history: DataFrame, columns: list[str] | None = None, trees
     keys = ["user_id", "cycle_id"]
     names = [f"__{c}" for c in columns]
     value = lambda c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-    narrow = materialise(history.select(*keys, *[value(c).alias(n) for c, n in zip(columns, names)]), "measured")
+    history = materialise(history, "measured")
+    narrow = history.select(*keys, *[value(c).alias(n) for c, n in zip(columns, names)])
     medians = exact_quantiles(narrow, names, [0.5])
     fill = lambda c, n: F.coalesce(c, F.lit(medians[n][0] or 0.0))
     filled = narrow.select(*keys, *[fill(F.col(n), n).alias(n) for n in names])
     grown = materialise(grow_forest(filled, keys, names, trees, rows, seed), "trees")
-    forest = grown.agg(F.sort_array(F.collect_list(F.struct("tree", "nodes"))).alias("__forest"), F.avg("n").alias("__size"))
-    norm = float(_expected(forest.select("__size").first()[0] or 2)) or 1.0
-    x = F.array(*[fill(value(c), n) for c, n in zip(columns, names)])
+    forest = grown.orderBy("tree").collect()  # trees * 4 * rows nodes at most
+    norm = float(_expected(sum(r["n"] for r in forest) / len(forest) if forest else 2)) or 1.0
+    arrays = [tuple(np.array(v) for v in zip(*r["nodes"])) for r in forest]
+    shared = history.sparkSession.sparkContext.broadcast(arrays)
     limit = int(np.ceil(np.log2(max(rows, 2))))
-    depth = F.aggregate(F.transform("__forest", lambda t: path_length(t["nodes"], F.col("__x"), limit)), F.lit(0.0), lambda a, b: a + b) / F.size("__forest")
+
+    @F.pandas_udf("double")
+    def depth(*x: pd.Series) -> pd.Series:
+        return pd.Series(path_lengths(shared.value, np.column_stack([c.to_numpy(np.float64) for c in x]), limit))
+
+    x = [fill(value(c), n) for c, n in zip(columns, names)]
     # the walk is the work here, so small tables are spread over all cores as well
     spread = history.repartition(int(history.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
-    scored = spread.withColumn("__x", x).join(F.broadcast(forest.select("__forest")), F.lit(True))  # a single row
-    scored = scored.withColumn("isolation_score", F.when(F.size("__forest") > 0, F.pow(F.lit(2.0), -depth / norm)).otherwise(1.0)).drop("__x", "__forest")
+    score = F.pow(F.lit(2.0), -(depth(*x) / F.lit(len(forest))) / F.lit(norm)) if forest else F.lit(1.0)
+    scored = spread.withColumn("isolation_score", score)
     scored = materialise(scored, "isolation")
     cut = exact_quantiles(scored, ["isolation_score"], [1 - contamination])["isolation_score"][0]
     return scored.withColumn("is_isolated", F.coalesce(F.col("isolation_score") > F.lit(cut).cast("double"), F.lit(False)))

@@ -662,3 +662,17 @@ def test_lag_correlation_of_a_constant_series(spark):
     assert [got[u]["correlation"] for u in (1, 2, 3, 4)] == [None] * 4
     assert got[5]["correlation"] == pytest.approx(np.corrcoef([1, 5, 7, 3], [5, 2, 3, 4])[0, 1])
     assert [(got[u]["pairs"], got[u]["both"]) for u in values] == [(4, 4), (3, 3), (1, 0), (0, 0), (5, 4)]
+
+
+def test_forest_walk_takes_batches():
+    x = np.random.default_rng(3).normal(size=(300, 3))
+    trees = [anomaly._tree(x, np.random.default_rng(t), 8) for t in range(5)]
+
+    def walk(nodes, row):
+        at = 0
+        while nodes[at][0] >= 0:
+            at = nodes[at][2] if row[nodes[at][0]] < nodes[at][1] else nodes[at][3]
+        return nodes[at][4]
+
+    got = anomaly.path_lengths([tuple(np.array(v) for v in zip(*t)) for t in trees], x, 8)
+    assert got.tolist() == [sum(walk(t, row) for t in trees) for row in x]
