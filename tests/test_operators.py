@@ -675,4 +675,4 @@ def test_forest_walk_takes_batches():
         return nodes[at][4]
 
     got = anomaly.path_lengths([tuple(np.array(v) for v in zip(*t)) for t in trees], x, 8)
-    assert got.tolist() == [sum(walk(t, row) for t in trees) for row in x]
+    assert got.tolist() == pytest.approx([sum(walk(t, row) for t in trees) for row in x], rel=1e-12)
