@@ -39,6 +39,8 @@ LIST, CENTROIDS = 160, 8192
 LONG, PARTS, PART_SAMPLE = 4, 1024, 20_000
 #: Bytes of vectors that one task holds, and tasks that lists are dealt to at least.
 HELD, GROUPS = 32 << 20, 16
+#: Distances to centroids in memory at once while those are fitted.
+CELLS = 1 << 20
 #: Vectors of a long list, or questions that read it, that meet in a task.
 BLOCK = 20_000
 #: A part's number is its list's times this plus its place in the list.
@@ -124,6 +126,13 @@ class CentroidGraph:
         return np.concatenate(rows or [left]), np.concatenate(ats or [left]), np.concatenate(ds or [left.astype(float)])
 
 
+def _cell_of(x: np.ndarray, centroids: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Each row's centroid of the least weighted squared distance. Rows go in
+    blocks, so that memory does not grow with their number times the centroids'."""
+    step = max(1, CELLS // len(centroids))
+    return np.concatenate([(weight * ((y * y).sum(1)[:, None] - 2 * y @ centroids.T + (centroids**2).sum(1))).argmin(1) for y in (x[lo : lo + step] for lo in range(0, len(x), step))])
+
+
 def fit_graph(sample: np.ndarray, top: float, lists: int, degree: int = 16, seed: int = 2) -> CentroidGraph:
     """Centroids of `lists` equal cells of the sample and their graph."""
     rng = np.random.default_rng(seed)
@@ -148,18 +157,18 @@ def fit_graph(sample: np.ndarray, top: float, lists: int, degree: int = 16, seed
     # a few rounds of means, where full cells look farther than they are
     size = np.array([len(c) for c in cells], float)
     for _ in range(4):
-        d = (x * x).sum(1)[:, None] - 2 * x @ centroids.T + (centroids**2).sum(1)
-        d *= 1 + 0.1 * (size / size.mean() - 1).clip(-0.9, 3)
-        own = d.argmin(1)
+        own = _cell_of(x, centroids, 1 + 0.1 * (size / size.mean() - 1).clip(-0.9, 3))
         size = np.bincount(own, minlength=len(centroids)).astype(float)
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, x)
         centroids = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centroids)
     k = len(centroids)
     near = np.empty((k, min(degree, k)), np.int64)
-    for lo in range(0, k, 512):
-        d = (centroids[lo : lo + 512] ** 2).sum(1)[:, None] - 2 * centroids[lo : lo + 512] @ centroids.T + (centroids**2).sum(1)
-        near[lo : lo + 512] = np.argsort(d, 1, kind="stable")[:, : near.shape[1]]
+    step = max(1, CELLS // k)
+    for lo in range(0, k, step):
+        y = centroids[lo : lo + step]
+        d = (y * y).sum(1)[:, None] - 2 * y @ centroids.T + (centroids**2).sum(1)
+        near[lo : lo + step] = np.argsort(d, 1, kind="stable")[:, : near.shape[1]]
     # links go both ways, up to twice the degree; a ring keeps the graph in one
     # piece and a few far links shorten its paths
     links = np.repeat(np.arange(k)[:, None], 3 * degree + 4, 1)

@@ -6,6 +6,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -244,6 +245,25 @@ def test_graph_search_finds_the_nearest():
     assert sizes.max() < 12 * sizes.mean()
 
 
+def test_fitting_centroids_holds_no_matrix_of_the_sample(monkeypatch):
+    """Memory of a fit, which runs on the driver, does not grow with sampled
+    rows times lists; blocks of any size make the same graph."""
+    rng = np.random.default_rng(7)
+    sample = rng.normal(size=(6000, 8))
+    top = float(np.sqrt((sample**2).sum(1)).max())
+    tracemalloc.start()
+    try:
+        ann.fit_graph(sample, top, 3000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 6000 * 3000 * 8 / 2
+    whole = ann.fit_graph(sample, top, 100)
+    monkeypatch.setattr(ann, "CELLS", 700)
+    blocks = ann.fit_graph(sample, top, 100)
+    assert np.allclose(whole.centroids, blocks.centroids) and (whole.links == blocks.links).all()
+
+
 # ------------------------------------------------------------------ 3
 def _simhash(text: str | None) -> int:
     import xxhash
